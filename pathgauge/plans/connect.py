@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathgauge.functions.semantics import floor_at_zero, sum0
+from pathgauge.functions.semantics import floor_at_zero
 from pathgauge.operators.lookup import lookup_join
 from pathgauge.params import Params
+from pathgauge.plans.production import sum_years, year_rows
 from pathgauge.sources.stages import store
 
 MARKET = "GlobalMarket"
@@ -56,60 +57,62 @@ def index_regions(wide: DataFrame) -> DataFrame:
     )
 
 
-def company_plans(facts: DataFrame, regions: DataFrame, markets: DataFrame, params: Params) -> DataFrame:
-    """Production plan per company, market, geography, technology and year, with its start.
+def company_plans(
+    assets: DataFrame, bridge: DataFrame, regions: DataFrame, markets: DataFrame, params: Params
+) -> DataFrame:
+    """Production plan per listed company, market, geography, technology and year.
+
+    ``_tech0`` and ``_sector0`` are the reference-year plans of the technology
+    and of its whole sector. ``assets`` holds the years side by side, see
+    ``production.asset_sums``.
 
-    Summing by country first keeps the rows that the geography join repeats few.
-    The sums are combined before they are shuffled, so a company holding a large
-    part of the assets arrives as one row per country, technology and year.
+    Assets are summed by country first, and combined before they are shuffled: a
+    company holding a large part of all assets arrives as one row per country
+    and technology. Those few rows are then placed by company id, and everything
+    keyed by company, up to the scores, uses that placement without another
+    shuffle.
     """
-    by_country = (
-        facts.where(
-            F.col("year").between(params.reference_year, params.end_year)
-            & F.col("ald_sector").isin(*params.all_sectors)
+    years = list(params.relevant_years)
+    by_country = sum_years(
+        assets.where(
+            F.col("ald_sector").isin(*params.all_sectors)
             & ~F.coalesce(F.col("technology").isin(*params.excluded_techs), F.lit(False))
-        )
-        .groupBy("id", "ald_location", "ald_sector", "technology", "year")
-        .agg(sum0("ald_production").alias("plan_tech_prod"))
-    )
+        ),
+        ["id", "ald_location", "ald_sector", "technology"],
+        years,
+    ).repartition("id")
     places = (
         regions.where(F.col("scenario_geography").isin(*params.scenario_geographies))
         .join(markets, F.col("country") == F.col("country_iso"))
         .select(F.col("country").alias("ald_location"), "scenario_geography", "equity_market")
         .distinct()
     )
-    plans = (
-        by_country.join(places, "ald_location")
-        .groupBy("id", "equity_market", "scenario_geography", "ald_sector", "technology", "year")
-        .agg(F.sum("plan_tech_prod").alias("plan_tech_prod"))
-    )
-    # From here on everything is keyed by company: this one placement by id
-    # serves the start-year windows, the name join and the score's sums.
-    at_start = F.when(F.col("year") == params.reference_year, F.col("plan_tech_prod"))
     sector = ["id", "equity_market", "scenario_geography", "ald_sector"]
-    return (
-        plans.repartition("id")
-        .withColumn("_sector0", F.coalesce(F.sum(at_start).over(Window.partitionBy(*sector)), F.lit(0.0)))
-        .withColumn(
-            "_tech0",
-            F.coalesce(F.max(at_start).over(Window.partitionBy(*sector, "technology")), F.lit(0.0)),
-        )
+    placed = lookup_join(
+        in_scope(by_country, bridge), places, ["ald_location"], "inner", spread_by=["id"]
     )
+    plans = sum_years(placed, [*sector, "technology"], years)
+    with_start = plans.withColumn(
+        "_tech0", F.coalesce(f"v_{params.reference_year}", F.lit(0.0))
+    ).withColumn("_sector0", F.sum("_tech0").over(Window.partitionBy(*sector)))
+    return year_rows(with_start, [*sector, "technology", "_tech0", "_sector0"], years, "plan_tech_prod")
 
 
 def connect(
-    facts: DataFrame,
+    assets: DataFrame,
+    bridge: DataFrame,
     scenarios: DataFrame,
     regions: DataFrame,
     markets: DataFrame,
     params: Params,
 ) -> DataFrame:
-    """Each company plan beside the production the scenario expects of it.
+    """Each listed company's plan beside the production the scenario expects of it.
 
     The expected production starts at the company's own plan in the reference
     year and moves by the scenario's share of the company's sector (technologies
     to build out) or of the technology itself (all others); it is never negative.
-    ``scenarios`` should be a stored table, as its size is checked.
+    ``scenarios``, ``regions`` and ``markets`` should be stored tables: they have
+    few keys, so their size is checked before they are broadcast.
     """
     targets = scenarios.select(
         "scenario_source",
@@ -120,7 +123,7 @@ def connect(
         "year",
         "fair_share",
     )
-    plans = company_plans(facts, regions, markets, params)
+    plans = company_plans(assets, bridge, regions, markets, params)
     joined = lookup_join(
         plans,
         targets,

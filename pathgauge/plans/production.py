@@ -1,40 +1,26 @@
-"""Asset production: wide input to one clean row per company, place, technology and year."""
+"""Asset production: wide input to one clean row per company, place, technology and year.
+
+The sums run on wide rows, years side by side, and turn long only at the end,
+where that costs no shuffle. A shuffled row then carries its keys once instead
+of once per year.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathgauge import refdata
-from pathgauge.functions.semantics import floor_at_zero, if_else, recode, sum0
-from pathgauge.operators.reshape import unpivot_years
-
-_ASSET_KEYS = (
-    "company_name",
-    "company_id",
-    "sector",
-    "asset_country",
-    "technology",
-    "year",
-    "unit",
-    "emissions_factor",
-)
-
-FACT_COLUMNS = (
-    "id",
-    "id_name",
-    "ald_sector",
-    "ald_location",
-    "technology",
-    "year",
-    "ald_production",
-    "ald_production_unit",
-    "ald_emissions_factor",
-    "ald_emissions_factor_unit",
-    "company_name",
-)
+from pathgauge.functions.semantics import floor_at_zero, if_else, recode
+from pathgauge.operators.reshape import prefixed_years
+
+_ASSET_KEYS = ("company_name", "company_id", "sector", "asset_country", "technology", "unit")
+
+
+def _is_zero_tech(techs: Sequence[str]) -> Column:
+    return F.coalesce(F.col("technology").isin(*techs), F.lit(False))
 
 
 def zero_factor(long: DataFrame, techs: Sequence[str] = refdata.ZERO_FACTOR_TECHS) -> DataFrame:
@@ -42,22 +28,73 @@ def zero_factor(long: DataFrame, techs: Sequence[str] = refdata.ZERO_FACTOR_TECH
 
     When the production of such an asset is missing, so is its factor.
     """
-    produces = F.col("technology").isin(*techs) & (F.col("ald_production") > 0)
+    produces = _is_zero_tech(techs) & (F.col("ald_production") > 0)
     return long.withColumn("emissions_factor", if_else(produces, F.lit(0.0), F.col("emissions_factor")))
 
 
-def production_facts(
+_PRODUCING, _IDLE, _UNKNOWN, _ANY = range(4)
+
+
+def _with_factor_versions(wide: DataFrame, years: dict[str, int], techs: Sequence[str]) -> DataFrame:
+    """``zero_factor`` on wide rows; ``v_<year>`` is NULL where a row has no such year.
+
+    The factor of a zero-emission asset differs from year to year, so its row is
+    repeated for each factor it takes: 0 in the years it produces, its own in
+    those it does not, missing where the production is missing.
+    """
+    versions = F.when(
+        _is_zero_tech(techs), F.array(F.lit(_PRODUCING), F.lit(_IDLE), F.lit(_UNKNOWN))
+    ).otherwise(F.array(F.lit(_ANY)))
+    version = F.col("_version")
+    factor = F.when(version == _PRODUCING, F.lit(0.0)).when(version != _UNKNOWN, F.col("emissions_factor"))
+
+    def cell(value: Column) -> Column:
+        holds = (
+            (version == _ANY)
+            | ((version == _PRODUCING) & (value > 0))
+            | ((version == _IDLE) & (value <= 0))
+            | ((version == _UNKNOWN) & value.isNull())
+        )
+        return F.when(holds, F.coalesce(value, F.lit(0.0)))
+
+    copies = wide.select(*_ASSET_KEYS, "emissions_factor", *years, F.explode(versions).alias("_version"))
+    return copies.select(
+        *_ASSET_KEYS,
+        factor.alias("emissions_factor"),
+        *[cell(F.col(c)).alias(f"v_{y}") for c, y in years.items()],
+    )
+
+
+def sum_years(rows: DataFrame, keys: Sequence[str], years: Iterable[int]) -> DataFrame:
+    """Sums per year; a year no row has stays NULL."""
+    return rows.groupBy(*keys).agg(*[F.sum(f"v_{y}").alias(f"v_{y}") for y in years])
+
+
+def year_rows(
+    rows: DataFrame, columns: Sequence[str], years: Iterable[int], value: str = "ald_production"
+) -> DataFrame:
+    """Years side by side to one row per year that has rows."""
+    long = rows.unpivot(list(columns), [f"v_{y}" for y in years], "year", value)
+    return long.where(F.col(value).isNotNull()).withColumn("year", F.substring("year", 3, 4).cast("int"))
+
+
+def asset_sums(
     wide: DataFrame,
     *,
     years: Iterable[int] | None = None,
     zero_techs: Sequence[str] = refdata.ZERO_FACTOR_TECHS,
 ) -> DataFrame:
-    """Asset rows summed per key, then typed, floored at 0 and with clean technology names.
+    """Assets summed per key, floored at 0 and under their clean names; years side by side.
 
-    Technology names that become equal here are not summed yet; see ``normalise``.
+    ``v_<year>`` is the production, NULL when the key has no row in that year.
+    Technology names that became equal are not summed yet: that is left to
+    ``normalise``, or to a reader that sums by technology anyway.
     """
-    long = zero_factor(unpivot_years(wide, "ald_production", years=years), zero_techs)
-    summed = long.groupBy(*_ASSET_KEYS).agg(sum0("ald_production").alias("ald_production"))
+    columns = prefixed_years(wide, years)
+    numbers = list(columns.values())
+    summed = sum_years(
+        _with_factor_versions(wide, columns, zero_techs), [*_ASSET_KEYS, "emissions_factor"], numbers
+    )
     cleaned = (
         F.when(F.col("technology") == "Oil and Condensate", F.lit("Oil"))
         .when(F.col("sector") == "Coal", F.lit("Coal"))
@@ -69,32 +106,50 @@ def production_facts(
         F.col("sector").alias("ald_sector"),
         F.col("asset_country").alias("ald_location"),
         F.regexp_replace(cleaned, "Grade$", "").alias("technology"),
-        "year",
-        floor_at_zero("ald_production").alias("ald_production"),
         F.col("unit").alias("ald_production_unit"),
         F.col("emissions_factor").alias("ald_emissions_factor"),
         F.lit("-").alias("ald_emissions_factor_unit"),
         "company_name",
+        *[floor_at_zero(f"v_{y}").alias(f"v_{y}") for y in numbers],
     )
 
 
-def sum_again(facts: DataFrame) -> DataFrame:
-    """Sum rows that agree on every column but production."""
-    keys = [c for c in facts.columns if c != "ald_production"]
-    return facts.groupBy(*keys).agg(sum0("ald_production").alias("ald_production")).select(*facts.columns)
+def _years(rows: DataFrame) -> list[int]:
+    return [int(c.removeprefix("v_")) for c in rows.columns if c.startswith("v_")]
+
+
+def side_by_side(long: DataFrame, years: Iterable[int]) -> DataFrame:
+    """A stored long table in the shape of ``asset_sums``, one row per input row, without a shuffle."""
+    numbers = list(years)
+    keys = [c for c in long.columns if c not in ("year", "ald_production")]
+    known = F.coalesce("ald_production", F.lit(0.0))
+    return long.where(F.col("year").isin(*numbers)).select(
+        *keys, *[F.when(F.col("year") == y, known).alias(f"v_{y}") for y in numbers]
+    )
+
 
+def _key_columns(rows: DataFrame, without: Sequence[str] = ()) -> list[str]:
+    return [c for c in rows.columns if not c.startswith("v_") and c not in without]
 
-def normalise(wide: DataFrame, **options) -> DataFrame:
-    """The full clean long table, company name included."""
-    return sum_again(production_facts(wide, **options))
+
+def normalise(
+    wide: DataFrame,
+    *,
+    years: Iterable[int] | None = None,
+    zero_techs: Sequence[str] = refdata.ZERO_FACTOR_TECHS,
+    without: Sequence[str] = (),
+) -> DataFrame:
+    """The full clean long table: one row per value of all its other columns."""
+    rows = asset_sums(wide, years=years, zero_techs=zero_techs)
+    keys, numbers = _key_columns(rows, without), _years(rows)
+    return year_rows(sum_years(rows, keys, numbers), keys, numbers)
 
 
 def masterdata(
     wide: DataFrame, zero_techs: Sequence[str], *, years: Iterable[int] | None = None
 ) -> DataFrame:
     """The clean long table as later stages read it: keyed by company id, without its name."""
-    facts = production_facts(wide, years=years, zero_techs=zero_techs)
-    return sum_again(facts.drop("company_name", "id_name"))
+    return normalise(wide, years=years, zero_techs=zero_techs, without=("company_name", "id_name"))
 
 
 def recode_hdv(facts: DataFrame) -> DataFrame:

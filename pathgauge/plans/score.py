@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathgauge import refdata
-from pathgauge.functions.semantics import first_match, if_else, ratio, sum0, weighted_mean
+from pathgauge.functions.semantics import first_match, if_else, ratio, weighted_mean
 from pathgauge.operators.lookup import fixed_lookup
 from pathgauge.operators.ranking import average_rank_desc
 from pathgauge.operators.reshape import strict_pivot
 from pathgauge.params import Params
 from pathgauge.plans.connect import GLOBAL, MARKET
-from pathgauge.plans.names import display_name
+from pathgauge.plans.names import sector_display_name
 
 # All windows below contain these five columns, so rows placed by them once
 # serve every one of them.
@@ -33,32 +33,31 @@ def paired_years(connected: DataFrame, bridge: DataFrame, params: Params) -> Dat
     """One row per technology series with its reference-year and end-year sums.
 
     Only two years count, so they become columns in the same aggregate that
-    sums them; first and last values then need no ordered window. ``in_start``
-    and ``in_end`` tell whether a year has rows at all.
+    sums them; first and last values then need no ordered window. The columns of
+    a year without rows are NULL, those of a year with rows never are.
     """
     scope = connected.where(
         F.col("year").isin(params.reference_year, params.end_year)
         & F.col("ald_sector").isin(*refdata.TECH_TYPES)
         & (F.col("equity_market") == MARKET)
     )
-    at_start, at_end = F.col("year") == params.reference_year, F.col("year") == params.end_year
     listed = scope.join(bridge.withColumnRenamed("company_id", "id"), "id", "inner")
-    return (
-        listed.groupBy(*_SERIES, "technology")
-        .agg(
-            F.max(at_start).alias("in_start"),
-            F.max(at_end).alias("in_end"),
-            *[
-                sum0(F.when(here, F.col(f"{side}_tech_prod"))).alias(f"{side}_{name}")
-                for side in ("plan", "scen")
-                for name, here in (("start", at_start), ("end", at_end))
-            ],
-        )
+
+    def total(side: str, year: int) -> Column:
+        known = F.coalesce(f"{side}_tech_prod", F.lit(0.0))
+        return F.sum(F.when(F.col("year") == year, known))
+
+    return listed.groupBy(*_SERIES, "technology").agg(
+        *[
+            total(side, number).alias(f"{side}_{name}")
+            for side in ("plan", "scen")
+            for name, number in (("start", params.reference_year), ("end", params.end_year))
+        ]
     )
 
 
-def _in(year: str, value: Column) -> Column:
-    return F.when(F.col(f"in_{year}"), value)
+def _has(year: str) -> Column:
+    return F.col(f"plan_{year}").isNotNull()
 
 
 def with_sector_totals(pairs: DataFrame) -> DataFrame:
@@ -66,23 +65,22 @@ def with_sector_totals(pairs: DataFrame) -> DataFrame:
     window = Window.partitionBy(*_PLACE)
     return pairs.withColumns(
         {
-            f"{side}_sec_{year}": F.sum(_in(year, F.col(f"{side}_{year}"))).over(window)
+            f"{side}_sec_{year}": F.sum(f"{side}_{year}").over(window)
             for side in ("plan", "scen")
             for year in ("start", "end")
         }
     )
 
 
-def _long(pairs: DataFrame, keys: list[str], per_year: dict[str, str], shared: list[str], params: Params) -> DataFrame:
+def _long(pairs: DataFrame, keys: list[str], per_year: dict[str, str], params: Params) -> DataFrame:
     """Two rows per series, one per year present; ``per_year`` maps a column to its stem."""
 
-    def one(year: str, number: int) -> Column:
-        cells = [F.lit(number).alias("year")]
-        cells += [F.col(stem.format(year=year)).alias(name) for name, stem in per_year.items()]
-        return _in(year, F.struct(*cells))
+    def one(year: str, number: int) -> list[Column]:
+        return [F.lit(number), *[F.col(stem.format(year=year)) for stem in per_year.values()]]
 
-    both = F.array_compact(F.array(one("start", params.reference_year), one("end", params.end_year)))
-    return pairs.select(*keys, *shared, F.inline(both))
+    both = F.stack(F.lit(2), *one("start", params.reference_year), *one("end", params.end_year))
+    long = pairs.select(*keys, both.alias("year", *per_year))
+    return long.where(F.col("plan_tech_prod").isNotNull())
 
 
 def tech_share(connected: DataFrame, bridge: DataFrame, params: Params) -> DataFrame:
@@ -96,7 +94,6 @@ def tech_share(connected: DataFrame, bridge: DataFrame, params: Params) -> DataF
             "plan_sec_prod": "plan_sec_{year}",
             "scen_sec_prod": "scen_sec_{year}",
         },
-        [],
         params,
     )
     return long.withColumn("plan_tech_share", ratio("plan_tech_prod", "plan_sec_prod")).withColumn(
@@ -109,9 +106,9 @@ def with_factors(pairs: DataFrame, params: Params) -> DataFrame:
 
     When only one of the two years is present it is both first and last.
     """
-    plan_last = F.when(F.col("in_end"), F.col("plan_end")).otherwise(F.col("plan_start"))
-    scen_last = F.when(F.col("in_end"), F.col("scen_end")).otherwise(F.col("scen_start"))
-    scen_first = F.when(F.col("in_start"), F.col("scen_start")).otherwise(F.col("scen_end"))
+    plan_last = F.coalesce("plan_end", "plan_start")
+    scen_last = F.coalesce("scen_end", "scen_start")
+    scen_first = F.coalesce("scen_start", "scen_end")
     relevant = F.col("technology").isin(*params.most_relevant_techs)
 
     def larger_if_relevant(own: Column, other: Column) -> Column:
@@ -120,7 +117,7 @@ def with_factors(pairs: DataFrame, params: Params) -> DataFrame:
     def alignment(year: str) -> Column:
         plan, scen = F.col(f"plan_{year}"), F.col(f"scen_{year}")
         deviation = F.when(scen == 0, F.when(plan == 0, 0.0).otherwise(1.0)).otherwise(
-            ratio(plan - scen, scen)
+            ratio(plan - scen, scen)  # NULL when the year has no rows
         )
         return F.when(F.col("type") == "Green", deviation).otherwise(-deviation)
 
@@ -135,8 +132,8 @@ def with_factors(pairs: DataFrame, params: Params) -> DataFrame:
         )
         .withColumn("tech_allocation_weight", larger_if_relevant(plan_last, scen_last))
         .withColumn("weighting_factor", F.col("scenario_change") * F.col("tech_allocation_weight"))
-        .withColumn("alignment_start", _in("start", alignment("start")))
-        .withColumn("alignment_end", _in("end", alignment("end")))
+        .withColumn("alignment_start", alignment("start"))
+        .withColumn("alignment_end", alignment("end"))
     )
 
 
@@ -146,14 +143,22 @@ def scored_technologies(connected: DataFrame, bridge: DataFrame, params: Params)
     window = Window.partitionBy(*_SERIES)
 
     def score(year: str) -> Column:
-        weight = _in(year, F.col("weighting_factor"))
-        # A series without this year must not count as one of unknown weight.
-        return weighted_mean(f"alignment_{year}", F.when(F.col(f"in_{year}"), weight).otherwise(0.0), window)
+        # A series without rows in this year has no part in the mean: weight 0.
+        weight = F.when(_has(year), F.col("weighting_factor")).otherwise(0.0)
+        return weighted_mean(f"alignment_{year}", weight, window)
 
     scored = factors.withColumns({"score_start": score("start"), "score_end": score("end")})
     long = _long(
         scored.where(F.col("scenario_geography") == GLOBAL),
-        [*_SERIES, "technology"],
+        [
+            *_SERIES,
+            "technology",
+            "type",
+            "scenario_change",
+            "production_change",
+            "tech_allocation_weight",
+            "weighting_factor",
+        ],
         {
             "plan_tech_prod": "plan_{year}",
             "scen_tech_prod": "scen_{year}",
@@ -162,7 +167,6 @@ def scored_technologies(connected: DataFrame, bridge: DataFrame, params: Params)
             "trajectory_alignment": "alignment_{year}",
             "single_score_Case8": "score_{year}",
         },
-        ["type", "scenario_change", "production_change", "tech_allocation_weight", "weighting_factor"],
         params,
     )
     return long.withColumn("plan_tech_share", ratio("plan_tech_prod", "plan_sec_prod")).withColumn(
@@ -191,15 +195,19 @@ def company_scores(connected: DataFrame, bridge: DataFrame, params: Params) -> D
     picked = connected.where((F.col("scenario_geography") == GLOBAL) & _picked(params))
     factors = with_factors(paired_years(picked, bridge, params), params)
     scores = (
-        factors.where(F.col("in_end"))
+        factors.where(_has("end"))
         .groupBy(*_SERIES)
         .agg(weighted_mean("alignment_end", "weighting_factor").alias("single_score_Case8"))
         .select("ald_sector", "company_name", "single_score_Case8")
     )
-    is_truck = F.col("ald_sector") == "HDV"
-    trucks = display_name(scores.where(is_truck), refdata.HDV_SCORE_DISPLAY_NAMES)
-    others = display_name(scores.where(~is_truck), refdata.SCORE_DISPLAY_NAMES)
-    named = others.unionByName(trucks)
+    named = sector_display_name(
+        scores,
+        {
+            "Power": refdata.SCORE_DISPLAY_NAMES,
+            "Automotive": refdata.SCORE_DISPLAY_NAMES,
+            "HDV": refdata.HDV_SCORE_DISPLAY_NAMES,
+        },
+    )
     for sector, pick in params.score_picks.items():
         if pick.only_companies:
             named = named.where(

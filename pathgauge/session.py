@@ -10,6 +10,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # One run has more than 100 different stages; keep their compiled code.
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 

@@ -87,8 +87,19 @@ BRIDGE = (
 )
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int",
+    "lineitem": "l_partkey bigint, l_suppkey bigint, l_quantity double, l_returnflag string, "
+    "l_shipdate timestamp_ntz",
+}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table with the columns the model uses; a given schema saves the footer pass."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values: tuple[str, ...], number: Column) -> Column:
@@ -120,7 +131,7 @@ def asset_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "p_type string, p_brand string, sector string, technology string, unit string, scale double"
     )
     factor = F.when(F.col("p_size") != UNKNOWN_FACTOR_SIZE, F.col("p_size") / F.col("scale"))
-    return fixed_lookup(_read(spark, sf_dir, "part"), rule, ["p_type", "p_brand"], "inner").select(
+    return fixed_lookup(read(spark, sf_dir, "part"), rule, ["p_type", "p_brand"], "inner").select(
         F.col("p_partkey").alias("l_partkey"),
         "sector",
         "technology",
@@ -131,12 +142,12 @@ def asset_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company id, name, country and region of every supplier."""
-    nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
+    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
     countries = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("asset_country"), "r_name"
     )
     return (
-        _read(spark, sf_dir, "supplier")
+        read(spark, sf_dir, "supplier")
         .join(countries, "s_nationkey")
         .select(
             F.col("s_suppkey").alias("l_suppkey"),
@@ -156,7 +167,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     returned = F.col("l_returnflag") == "R"
     return (
-        _read(spark, sf_dir, "lineitem")
+        read(spark, sf_dir, "lineitem")
         .select(
             "l_partkey",
             "l_suppkey",
@@ -188,11 +199,10 @@ def production(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _totals(spark: SparkSession, sf_dir: str, sectors: tuple[str, ...]) -> DataFrame:
-    """Gross shipments per sector, technology, region and year."""
+def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gross shipments per sector, technology, region and year: what scenarios are made from."""
     per_company = (
         shipments(spark, sf_dir)
-        .where(F.col("sector").isin(*sectors))
         .groupBy("l_suppkey", "sector", "technology", "ship_year")
         .agg(F.sum("gross").alias("gross"))
     )
@@ -203,18 +213,17 @@ def _totals(spark: SparkSession, sf_dir: str, sectors: tuple[str, ...]) -> DataF
     )
 
 
-def datasets(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+def datasets(totals: DataFrame) -> Mapping[str, DataFrame]:
     """Named raw scenario datasets with values at the knot years.
 
     HydroCap has no value at the middle knot and NuclearCap no first knot.
     """
-    totals = _totals(spark, sf_dir, ("Power", "Automotive", "Steel", "Cement")).where(
-        F.col("year").isin(*KNOTS)
-    )
+    scenario_sectors = ("Power", "Automotive", "Steel", "Cement")
+    at_knots = totals.where(F.col("sector").isin(*scenario_sectors) & F.col("year").isin(*KNOTS))
     rich = F.col("region").isin(*RICH_REGIONS)
     own = F.when(rich, F.lit("Advanced economies")).otherwise(F.lit("Emerging economies"))
     placed = (
-        totals.withColumn("scenario_geography", F.explode(F.array(F.lit("World"), own)))
+        at_knots.withColumn("scenario_geography", F.explode(F.array(F.lit("World"), own)))
         .groupBy("sector", "technology", "scenario_geography", "year")
         .agg(F.sum("total").alias("total"))
     )
@@ -273,11 +282,11 @@ def datasets(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return {"weo_2022": weo, "sector_2021": sector}
 
 
-def pathway(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pathway(totals: DataFrame) -> DataFrame:
     """Yearly truck pathway under its source's own names."""
     kind = first_match([(F.col("technology") == t, F.lit(k)) for t, k in PATHWAY_KIND.items()])
-    totals = (
-        _totals(spark, sf_dir, ("HDV",))
+    trucks = (
+        totals.where(F.col("sector") == "HDV")
         .groupBy(kind.alias("kind"), "year")
         .agg(F.sum("total").alias("total"))
     )
@@ -289,7 +298,7 @@ def pathway(spark: SparkSession, sf_dir: str) -> DataFrame:
             for name, step in PATHWAY_STEP.items()
         ]
     )
-    return totals.select("*", F.inline(options)).select(
+    return trucks.select("*", F.inline(options)).select(
         "scenario",
         F.lit("Global").alias("scenario_region"),
         F.col("kind").alias("technology"),
@@ -303,7 +312,7 @@ def pathway(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Countries of each scenario geography."""
-    nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
+    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
     group = F.when(F.col("r_name").isin(*RICH_REGIONS), F.lit("OECD")).otherwise(F.lit("NonOECD"))
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.explode(F.array(F.lit("Global"), group, F.col("r_name"))).alias("scenario_geography"),
@@ -323,7 +332,7 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _pick(ASSESSED, F.col("s_nationkey")), _pick(ASSESSED, F.col("s_nationkey") + 1)
     sectors = F.when(two, F.array(first, second)).otherwise(F.array(first))
     return (
-        _read(spark, sf_dir, "supplier")
+        read(spark, sf_dir, "supplier")
         .where(F.col("s_acctbal") >= 0)
         .select(F.col("s_name").alias("company_name"), F.explode(sectors).alias("sector_assessed"))
     )
@@ -339,7 +348,7 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(F.col("sector") == s, F.lit(name)) for s, name in sheets.items()], F.col("sector")
     )
     return (
-        _read(spark, sf_dir, "supplier")
+        read(spark, sf_dir, "supplier")
         .select(F.col("s_name").alias("Company"), F.explode(sectors).alias("sector"))
         .where(F.col("sector") != "HDV")
         .select(sheet.alias("sheet"), "Company")

@@ -35,18 +35,32 @@ def rounded(df: DataFrame, columns: Sequence[str], digits: int = RATIO_DIGITS) -
 # --- shared steps ---------------------------------------------------------------
 
 
-def _masterdata(spark, sf_dir, years=None) -> DataFrame:
-    wide = model.production(spark, sf_dir)
+def _wide(spark, sf_dir) -> DataFrame:
+    """The production table as a stage, for results that read it more than once."""
+    return store(model.production(spark, sf_dir), "production")
+
+
+def _masterdata(wide: DataFrame, years=None) -> DataFrame:
     return prod.masterdata(wide, PARAMS.zero_emission_techs, years=years)
 
 
-def _name_bridge(spark, sf_dir) -> DataFrame:
+def _name_bridge(spark, sf_dir, wide: DataFrame) -> DataFrame:
     """Suppliers with shipments, by name and id, with their assessed sectors."""
-    return conn.name_bridge(model.production(spark, sf_dir), model.companies(spark, sf_dir))
+    return conn.name_bridge(wide, model.companies(spark, sf_dir))
+
+
+def _totals(spark, sf_dir) -> DataFrame:
+    """Shipped totals behind all scenario tables, as a stage: both of them read it."""
+    return store(model.totals(spark, sf_dir), "totals")
 
 
 def _scenario_input(spark, sf_dir) -> DataFrame:
-    return scenario.scenario_input(model.datasets(spark, sf_dir), model.pathway(spark, sf_dir), PARAMS)
+    totals = _totals(spark, sf_dir)
+    return scenario.scenario_input(model.datasets(totals), model.pathway(totals), PARAMS)
+
+
+def _scenario_raw(spark, sf_dir) -> DataFrame:
+    return stack_named(model.datasets(_totals(spark, sf_dir)), PARAMS.scenario_datasets)
 
 
 def _scenario_long(spark, sf_dir) -> DataFrame:
@@ -55,22 +69,29 @@ def _scenario_long(spark, sf_dir) -> DataFrame:
     )
 
 
-def _connected(spark, sf_dir) -> DataFrame:
-    wide = model.production(spark, sf_dir)
-    facts = prod.production_facts(wide, years=PARAMS.relevant_years, zero_techs=PARAMS.zero_emission_techs)
-    listed = conn.in_scope(facts, _name_bridge(spark, sf_dir))
+def _connected(spark, sf_dir, wide: DataFrame, listed: DataFrame) -> DataFrame:
+    assets = prod.asset_sums(wide, years=PARAMS.relevant_years, zero_techs=PARAMS.zero_emission_techs)
     return conn.connect(
-        prod.recode_hdv(listed),
+        prod.recode_hdv(assets),
+        listed,
         store(_scenario_long(spark, sf_dir), "scenario_long"),
         model.regions(spark, sf_dir),
-        conn.index_regions(wide),
+        store(conn.index_regions(wide), "index_regions"),
         PARAMS,
     )
 
 
+def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Connected table and name bridge, on top of stored inputs."""
+    wide = _wide(spark, sf_dir)
+    listed = store(_name_bridge(spark, sf_dir, wide), "name_bridge")
+    return _connected(spark, sf_dir, wide, listed), listed
+
+
 def _rated(sector: str) -> Query:
     def query(spark, sf_dir):
-        rows = trajectory.rated(_connected(spark, sf_dir), PARAMS).where(F.col("ald_sector") == sector)
+        connected, _ = _connected_stages(spark, sf_dir)
+        rows = trajectory.rated(connected, PARAMS).where(F.col("ald_sector") == sector)
         scenarios = ("NPS", "SDS", "B2DS") if sector == "HDV" else ("STEPS", "APS", "NZE_2050")
         return rounded(
             rows.select(
@@ -89,11 +110,6 @@ def _rated(sector: str) -> Query:
     return query
 
 
-def _stored_connected(spark, sf_dir) -> DataFrame:
-    """The connected table as a stage: written once, then read by two results."""
-    return conn.store_per_source(_connected(spark, sf_dir))
-
-
 # --- queries ---------------------------------------------------------------------
 
 
@@ -114,26 +130,26 @@ def prod_normalise(spark, sf_dir):
 
 
 def masterdata(spark, sf_dir):
-    return _masterdata(spark, sf_dir)
+    return _masterdata(model.production(spark, sf_dir))
 
 
 def hdv_recode(spark, sf_dir):
-    facts = prod.recode_hdv(_masterdata(spark, sf_dir))
+    facts = prod.recode_hdv(_masterdata(model.production(spark, sf_dir)))
     return facts.groupBy("id", "ald_sector", "technology", "year").agg(
         sum0("ald_production").alias("ald_production")
     )
 
 
 def hdv_pathway(spark, sf_dir):
-    return scenario.hdv_pathway(model.pathway(spark, sf_dir), PARAMS)
+    return scenario.hdv_pathway(model.pathway(model.totals(spark, sf_dir)), PARAMS)
 
 
 def scenario_union(spark, sf_dir):
-    return stack_named(model.datasets(spark, sf_dir), PARAMS.scenario_datasets)
+    return _scenario_raw(spark, sf_dir)
 
 
 def interpolate(spark, sf_dir):
-    raw = stack_named(model.datasets(spark, sf_dir), PARAMS.scenario_datasets)
+    raw = _scenario_raw(spark, sf_dir)
     return rounded(interpolate_yearly(raw, scenario.SERIES_KEYS), ["value"])
 
 
@@ -142,7 +158,7 @@ def market_share(spark, sf_dir):
 
 
 def geo_bridge_join(spark, sf_dir):
-    raw = stack_named(model.datasets(spark, sf_dir), PARAMS.scenario_datasets)
+    raw = _scenario_raw(spark, sf_dir)
     named = raw.withColumnRenamed("source", "scenario_source")
     return scenario.bridge_geography(named, model.bridge(spark))
 
@@ -156,31 +172,35 @@ def scenario_long(spark, sf_dir):
 
 
 def company_scope(spark, sf_dir):
-    return conn.in_scope(_masterdata(spark, sf_dir), _name_bridge(spark, sf_dir))
+    wide = _wide(spark, sf_dir)
+    return conn.in_scope(_masterdata(wide), _name_bridge(spark, sf_dir, wide))
 
 
 def name_bridge(spark, sf_dir):
-    return _name_bridge(spark, sf_dir)
+    return _name_bridge(spark, sf_dir, model.production(spark, sf_dir))
 
 
 def bridge_join(spark, sf_dir):
-    facts = _masterdata(spark, sf_dir, years=[PARAMS.reference_year])
-    return conn.with_company(facts, _name_bridge(spark, sf_dir))
+    wide = _wide(spark, sf_dir)
+    facts = _masterdata(wide, years=[PARAMS.reference_year])
+    return conn.with_company(facts, _name_bridge(spark, sf_dir, wide))
 
 
 def connect(spark, sf_dir):
-    return rounded(_connected(spark, sf_dir), ["scen_tech_prod"])
+    connected, _ = _connected_stages(spark, sf_dir)
+    return rounded(connected, ["scen_tech_prod"])
 
 
 def per_source_output(spark, sf_dir):
-    stored = _stored_connected(spark, sf_dir)
+    connected, _ = _connected_stages(spark, sf_dir)
+    stored = conn.store_per_source(connected)
     return stored.groupBy("scenario_source", "scenario").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("plan_tech_prod").alias("plan_tech_prod")
     )
 
 
 def stage_roundtrip(spark, sf_dir):
-    return store(_masterdata(spark, sf_dir), "masterdata")
+    return store(_masterdata(model.production(spark, sf_dir)), "masterdata")
 
 
 def csv_roundtrip(spark, sf_dir):
@@ -198,7 +218,7 @@ def production_csv(spark, sf_dir):
 
 def ei_benchmark(spark, sf_dir):
     """Production of the reference year against what the benchmark allows it to emit."""
-    facts = _masterdata(spark, sf_dir, years=[PARAMS.reference_year])
+    facts = _masterdata(model.production(spark, sf_dir), years=[PARAMS.reference_year])
     per_sector = facts.groupBy("ald_sector").agg(sum0("ald_production").alias("ald_production"))
     joined = fixed_lookup(per_sector, refdata.intensity_benchmarks(spark), ["ald_sector"], "inner")
     return rounded(joined.withColumn("allowed", F.col("ald_production") * F.col("value")), ["allowed"])
@@ -206,24 +226,27 @@ def ei_benchmark(spark, sf_dir):
 
 def tech_type_dim(spark, sf_dir):
     """Production per technology type and year."""
-    facts = prod.recode_hdv(_masterdata(spark, sf_dir))
+    facts = prod.recode_hdv(_masterdata(model.production(spark, sf_dir)))
     typed = fixed_lookup(facts, refdata.tech_types(spark), ["technology", "ald_sector"], "inner")
     return typed.groupBy("ald_sector", "type", "year").agg(sum0("ald_production").alias("ald_production"))
 
 
 def ei_scope(spark, sf_dir):
-    return ei.intensity_scope(_masterdata(spark, sf_dir, years=[PARAMS.reference_year]), PARAMS)
+    facts = _masterdata(model.production(spark, sf_dir), years=[PARAMS.reference_year])
+    return ei.intensity_scope(facts, PARAMS)
 
 
 def ei_intensity(spark, sf_dir):
-    facts = _masterdata(spark, sf_dir, years=[PARAMS.reference_year])
-    result = ei.company_intensity(facts, _name_bridge(spark, sf_dir), PARAMS)
+    wide = _wide(spark, sf_dir)
+    facts = _masterdata(wide, years=[PARAMS.reference_year])
+    result = ei.company_intensity(facts, _name_bridge(spark, sf_dir, wide), PARAMS)
     return rounded(result, ["emission_intensity_sector"], FACTOR_DIGITS)
 
 
 def _intensity_result(spark, sf_dir) -> DataFrame:
-    facts = _masterdata(spark, sf_dir, years=[PARAMS.reference_year])
-    return ei.intensity_result(facts, _name_bridge(spark, sf_dir), PARAMS)
+    wide = _wide(spark, sf_dir)
+    facts = _masterdata(wide, years=[PARAMS.reference_year])
+    return ei.intensity_result(facts, _name_bridge(spark, sf_dir, wide), PARAMS)
 
 
 def ei_score(spark, sf_dir):
@@ -233,14 +256,15 @@ def ei_score(spark, sf_dir):
 
 
 def traj_base(spark, sf_dir):
-    ladder = trajectory.scenario_ladder(_connected(spark, sf_dir), PARAMS)
+    connected, _ = _connected_stages(spark, sf_dir)
+    ladder = trajectory.scenario_ladder(connected, PARAMS)
     return rounded(ladder, refdata.RATED_SCENARIOS)
 
 
 def display_names(spark, sf_dir):
     """Shipped quantity per company, with suppliers standing in for the listed companies."""
     names = [n for group in refdata.COMPANIES.values() for n in group]
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = model.read(spark, sf_dir, "lineitem")
     stand_in = F.array(*[F.lit(n) for n in names])[(F.col("l_suppkey") % len(names)).cast("int")]
     per_company = lines.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
     shown = per_company.select(
@@ -257,19 +281,18 @@ def display_names(spark, sf_dir):
 
 
 def traj_wide(spark, sf_dir):
-    result = trajectory.technology_result(_connected(spark, sf_dir), _name_bridge(spark, sf_dir), PARAMS)
+    connected, listed = _connected_stages(spark, sf_dir)
+    result = trajectory.technology_result(connected, listed, PARAMS)
     return trajectory.sorted_result(result)
 
 
 def tech_share(spark, sf_dir):
-    result = score.tech_share(_connected(spark, sf_dir), _name_bridge(spark, sf_dir), PARAMS)
-    return rounded(
-        result, ["scen_tech_prod", "scen_sec_prod", "plan_tech_share", "scen_tech_share"]
-    )
+    result = score.tech_share(*_connected_stages(spark, sf_dir), PARAMS)
+    return rounded(result, ["scen_tech_prod", "scen_sec_prod", "plan_tech_share", "scen_tech_share"])
 
 
 def _scored(spark, sf_dir) -> DataFrame:
-    return score.scored_technologies(_connected(spark, sf_dir), _name_bridge(spark, sf_dir), PARAMS)
+    return score.scored_technologies(*_connected_stages(spark, sf_dir), PARAMS)
 
 
 def agg_factors(spark, sf_dir):
@@ -300,8 +323,7 @@ def agg_score(spark, sf_dir):
 
 
 def _score_result(spark, sf_dir) -> DataFrame:
-    scores = score.company_scores(_connected(spark, sf_dir), _name_bridge(spark, sf_dir), PARAMS)
-    return score.score_result(scores)
+    return score.score_result(score.company_scores(*_connected_stages(spark, sf_dir), PARAMS))
 
 
 def agg_rank(spark, sf_dir):
@@ -325,8 +347,8 @@ def comm_plan(spark, sf_dir):
 
 def _technology_report(sector: str) -> Query:
     def query(spark, sf_dir):
-        connected = _stored_connected(spark, sf_dir)
-        listed = store(_name_bridge(spark, sf_dir), "name_bridge")
+        connected, listed = _connected_stages(spark, sf_dir)
+        connected = conn.store_per_source(connected)
         scores = score.score_result(score.company_scores(connected, listed, PARAMS))
         technologies = trajectory.technology_result(connected, listed, PARAMS)
         return report.technology_report(model.roster(spark, sf_dir), scores, technologies, sector)
