@@ -62,3 +62,24 @@ SCENARIO_INPUT = _struct(
 GEOGRAPHY_BRIDGE = _struct(source=S, scenario_geography_source=S, scenario_geography_model=S)
 SCENARIO_REGIONS = _struct(scenario_geography=S, country=S)
 ROSTER = _struct(sheet=S, Company=S)
+
+INTENSITY_RESULT = _struct(
+    ald_sector=S,
+    company_name=S,
+    year=I,
+    emission_intensity_sector=D,
+    scenario=S,
+    benchmark_year=I,
+    value=D,
+    alignment_metric=D,
+    alignement_classement=S,
+    traffic_light=S,
+)
+
+SCORE_RESULT = _struct(
+    company_name=S,
+    single_score_Case8=D,
+    rank=D,
+    aggregate_score_class=S,
+    aggregate_score_traffic_light=S,
+)

@@ -12,14 +12,37 @@ from pathgauge import schemas
 from pathgauge.operators.reshape import prefixed_years
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV by header name, as ``schema``; only a blank cell is missing.
+# Quotes inside a cell are doubled and blanks at its ends are kept: names hold both.
+_CSV = {
+    "header": True,
+    "nullValue": "",
+    "encoding": "UTF-8",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def read_text(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with every column as text; only a blank cell is missing."""
+    return spark.read.csv(path, **_CSV)
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, headings: Mapping[str, str] | None = None
+) -> DataFrame:
+    """CSV by header name, as ``schema``; ``headings`` maps a column to its name in the file.
 
     Columns are read as text and converted by name, so the column order in the
     file does not matter and no pass over the data is spent on guessing types.
+    A column the file lacks is left out.
     """
-    raw = spark.read.csv(path, header=True, nullValue="", encoding="UTF-8")
-    return raw.select(*[_typed(f.name, f.dataType) for f in schema.fields if f.name in raw.columns])
+    raw = read_text(spark, path)
+    names = {f.name: (headings or {}).get(f.name, f.name) for f in schema.fields}
+    return raw.select(
+        *[_typed(f.name, f.dataType, names[f.name]) for f in schema.fields if names[f.name] in raw.columns]
+    )
 
 
 def read_production(spark: SparkSession, path: str) -> DataFrame:
@@ -28,12 +51,8 @@ def read_production(spark: SparkSession, path: str) -> DataFrame:
     The text "NA" stays text (it is a country code); only blank cells are
     missing. Cells that are not numbers become missing.
     """
-    raw = (
-        spark.read.csv(path, header=True, nullValue="", encoding="UTF-8")
-        if path.rstrip("/").endswith(".csv")
-        else spark.read.parquet(path)
-    )
-    return as_production(raw)
+    is_csv = path.rstrip("/").endswith(".csv")
+    return as_production(read_text(spark, path) if is_csv else spark.read.parquet(path))
 
 
 def as_production(raw: DataFrame) -> DataFrame:
@@ -42,8 +61,8 @@ def as_production(raw: DataFrame) -> DataFrame:
     return raw.select(*keys, *years)
 
 
-def _typed(name: str, kind: T.DataType) -> Column:
-    source = F.col(f"`{name}`")
+def _typed(name: str, kind: T.DataType, heading: str | None = None) -> Column:
+    source = F.col(f"`{heading or name}`")
     if isinstance(kind, T.StringType):
         return source.cast(kind).alias(name)
     value = source.cast("string").try_cast(kind) if not isinstance(kind, T.DoubleType) else source.try_cast(kind)
@@ -55,4 +74,4 @@ def _typed(name: str, kind: T.DataType) -> Column:
 def write_csv(df: DataFrame, path: str, headings: Mapping[str, str] | None = None) -> None:
     """CSV with a header; missing cells are blank. Headings replace column names."""
     renamed = df.select(*[F.col(f"`{c}`").alias((headings or {}).get(c, c)) for c in df.columns])
-    renamed.write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="", encoding="UTF-8")
+    renamed.write.mode("overwrite").csv(path, emptyValue="", **_CSV)
