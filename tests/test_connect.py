@@ -1,0 +1,176 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from pathgauge import schemas
+from pathgauge.operators import lookup
+from pathgauge.params import profile
+from pathgauge.plans import connect as conn
+from pathgauge.plans import production as prod
+
+PARAMS = profile("2022Q2", time_horizon=1)
+
+FACTS = "id long, ald_sector string, ald_location string, technology string, year int, ald_production double"
+
+
+@pytest.fixture(scope="module")
+def world(spark):
+    return {
+        "bridge": spark.createDataFrame(
+            [("A", 1, "Power"), ("A", 1, "HDV"), ("B", 2, "Power")],
+            "company_name string, company_id long, sector_assessed string",
+        ),
+        "regions": spark.createDataFrame(
+            [("Global", "DE"), ("Global", "NA"), ("OECD", "DE"), ("NonOECD", "NA"), ("Europe", "DE")],
+            schemas.SCENARIO_REGIONS,
+        ),
+        "markets": spark.createDataFrame(
+            [("DE", "GlobalMarket"), ("NA", "GlobalMarket")], "country_iso string, equity_market string"
+        ),
+    }
+
+
+def targets(spark, *data):
+    full = [
+        (src, "S", sec, tech, geo, "i", "u", year, 1.0, 1.0, 0.0, share)
+        for src, sec, tech, geo, year, share in data
+    ]
+    return spark.createDataFrame(full, schemas.SCENARIO_INPUT)
+
+
+def connected(spark, world, facts, data, params=PARAMS):
+    assets = prod.side_by_side(spark.createDataFrame(facts, FACTS), params.relevant_years)
+    return conn.connect(
+        assets, world["bridge"], targets(spark, *data), world["regions"], world["markets"], params
+    )
+
+
+FACT_ROWS = [
+    (1, "Power", "DE", "CoalCap", 2022, 60.0),
+    (1, "Power", "NA", "CoalCap", 2022, 20.0),
+    (1, "Power", "DE", "CoalCap", 2023, 50.0),
+    (1, "Power", "DE", "RenewablesCap", 2022, 20.0),
+    (1, "Power", "DE", "RenewablesCap", 2023, 90.0),
+    (1, "Power", "DE", "GasCap", 2023, 5.0),
+    (1, "Power", "DE", "OtherCap", 2022, 1000.0),  # excluded technology, not in the sector total
+    (1, "Power", "DE", "CoalCap", 2030, 1000.0),  # outside the horizon
+    (9, "Power", "DE", "CoalCap", 2022, 1.0),  # not listed
+]
+TARGETS = [
+    ("W", "Power", tech, geo, year, share)
+    for geo in ("Global", "OECD", "Europe")
+    for tech, year, share in [
+        ("CoalCap", 2022, 0.0),
+        ("CoalCap", 2023, -0.25),
+        ("RenewablesCap", 2022, 0.0),
+        ("RenewablesCap", 2023, 0.1),
+        ("GasCap", 2023, -0.5),
+    ]
+]
+
+
+def test_expected_production(spark, world):
+    got = connected(spark, world, FACT_ROWS, TARGETS)
+    assert got.columns == list(conn.CONNECTED_COLUMNS)
+    by_place = rows(got, "scenario_geography", "technology", "year", "plan_tech_prod", "scen_tech_prod")
+    assert by_place == [
+        ("Global", "CoalCap", 2022, 80.0, 80.0),
+        ("Global", "CoalCap", 2023, 50.0, 60.0),  # 80 - 25 % of its own start
+        ("Global", "GasCap", 2023, 5.0, 0.0),  # started at nothing
+        ("Global", "RenewablesCap", 2022, 20.0, 20.0),
+        ("Global", "RenewablesCap", 2023, 90.0, 30.0),  # 20 + 10 % of the sector's 100
+        ("OECD", "CoalCap", 2022, 60.0, 60.0),
+        ("OECD", "CoalCap", 2023, 50.0, 45.0),
+        ("OECD", "GasCap", 2023, 5.0, 0.0),
+        ("OECD", "RenewablesCap", 2022, 20.0, 20.0),
+        ("OECD", "RenewablesCap", 2023, 90.0, 28.0),
+    ]
+
+
+def test_scenario_equals_plan_in_the_reference_year(spark, world):
+    got = connected(spark, world, FACT_ROWS, TARGETS).where("year = 2022")
+    assert got.where("plan_tech_prod != scen_tech_prod").count() == 0
+
+
+def test_expected_production_is_never_negative_and_unknown_stays(spark, world):
+    data = [("W", "Power", "CoalCap", "Global", 2023, -3.0), ("W", "Power", "RenewablesCap", "Global", 2023, None)]
+    got = connected(spark, world, FACT_ROWS, data)
+    assert rows(got, "technology", "scen_tech_prod") == [("CoalCap", 0.0), ("RenewablesCap", None)]
+
+
+def test_same_result_without_broadcast(spark, world, monkeypatch):
+    want = rows(connected(spark, world, FACT_ROWS, TARGETS))
+    original = lookup.lookup_join
+    monkeypatch.setattr(
+        conn, "lookup_join", lambda *a, **k: original(*a, **{**k, "row_limit": 0, "salts": 3})
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = connected(spark, world, FACT_ROWS, TARGETS)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_one_placement_by_company_serves_all_later_steps(spark, world):
+    plan = connected(spark, world, FACT_ROWS, TARGETS)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(id" in line]
+    # The sum per country, its placement by id, and the bridge brought to the same place.
+    assert len(shuffles) == 3
+
+
+def test_global_from_parts(spark, world):
+    data = TARGETS + [("W", "Power", t, "NonOECD", y, s) for _, _, t, g, y, s in TARGETS if g == "Global"]
+    params = profile(
+        "2022Q2", time_horizon=1, global_aggregate_sources=("W",), global_aggregate_sectors=("Power",)
+    )
+    got = connected(spark, world, FACT_ROWS, data, params)
+    coal = got.where("technology = 'CoalCap' and year = 2023")
+    # NonOECD coal has no plan in 2023, so Global is OECD alone.
+    assert rows(coal, "scenario_geography", "plan_tech_prod", "scen_tech_prod") == [
+        ("Global", 50.0, 45.0),
+        ("OECD", 50.0, 45.0),
+    ]
+    start = got.where("technology = 'CoalCap' and year = 2022 and scenario_geography = 'Global'")
+    assert rows(start, "plan_tech_prod") == [(80.0,)]
+
+
+def test_name_bridge_scope_and_fan_out(spark):
+    wide = spark.createDataFrame(
+        [("A", 1, "DE"), ("A", 1, "FR"), ("A", 7, None), ("C", 3, "DE")],
+        "company_name string, company_id long, asset_country string",
+    )
+    companies = spark.createDataFrame(
+        [("A", "Power"), ("A", "HDV"), ("B", "Steel")], "company_name string, sector_assessed string"
+    )
+    bridge = conn.name_bridge(wide, companies)
+    assert rows(bridge, "company_name", "company_id", "sector_assessed") == [
+        ("A", 1, "HDV"),
+        ("A", 1, "Power"),
+        ("A", 7, "HDV"),
+        ("A", 7, "Power"),
+    ]
+    facts = spark.createDataFrame([(1, 5.0), (3, 6.0), (None, 7.0)], "id long, v double")
+    assert rows(conn.in_scope(facts, bridge), "id") == [(1,)]
+    doubled = conn.with_company(facts, bridge)
+    assert doubled.where("id = 1").count() == 2 and doubled.where("id = 3").count() == 1
+    assert rows(conn.index_regions(wide)) == sorted(
+        [("DE", "GlobalMarket"), ("FR", "GlobalMarket"), (None, "GlobalMarket")], key=repr
+    )
+
+
+def test_per_source_output_prunes_partitions(spark, world, tmp_path):
+    data = TARGETS + [("V", *t[1:]) for t in TARGETS]
+    table = connected(spark, world, FACT_ROWS, data)
+    path = str(tmp_path / "connected")
+    stored = conn.store_per_source(table, path)
+    assert rows(stored) == rows(table)
+    assert sorted(p.name for p in (tmp_path / "connected").iterdir() if p.is_dir()) == [
+        "scenario_source=V",
+        "scenario_source=W",
+    ]
+    plan = stored.where("scenario_source = 'V'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(scenario_source" in plan

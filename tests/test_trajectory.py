@@ -1,0 +1,181 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from pathgauge import refdata
+from pathgauge.params import profile
+from pathgauge.plans import trajectory
+
+PARAMS = profile("2022Q2")
+END = PARAMS.end_year
+
+NA = "N.A."
+NZE, APS = "Aligned with/Below NZE (<1.5°C)", "Aligned with APS (1.5°C - 1.7°C)"
+ABOVE, STEPS = "Above APS (>1.7°C)", "Aligned with /Above STEPS (>2.5°C)"
+H_B2DS, H_SDS = "Aligned to B2DS <1.75°C", "Close to 2DS 1.75C-2°C"
+H_NPS, H_WORST = "Above 2DS >2°C", "Significantly above 2DS >2.7°C"
+
+CONNECTED = (
+    "id long, equity_market string, scenario_source string, scenario string, scenario_geography string, "
+    "ald_sector string, technology string, year int, plan_tech_prod double, scen_tech_prod double"
+)
+SCENARIOS = {"Power": ("STEPS", "APS", "NZE_2050"), "Automotive": ("STEPS", "APS", "NZE_2050"), "HDV": ("NPS", "SDS", "B2DS")}
+
+
+def series(id, sector, tech, plan, values, **other):
+    base = {"market": "GlobalMarket", "geo": "Global", "year": END, **other}
+    return [
+        (id, base["market"], "W", name, base["geo"], sector, tech, base["year"], plan, value)
+        for name, value in zip(SCENARIOS[sector], values)
+    ]
+
+
+# (sector, technology, plan, three scenario values in order, rating, light)
+CASES = [
+    ("Power", "RenewablesCap", 0.0, (1, 2, 3), NA, None),
+    ("Power", "RenewablesCap", 0.5, (1, 2, 3), STEPS, "Red"),
+    ("Power", "RenewablesCap", 1.0, (1, 2, 3), ABOVE, "Red"),
+    ("Power", "RenewablesCap", 2.0, (1, 2, 3), APS, "Amber"),
+    ("Power", "RenewablesCap", 3.0, (1, 2, 3), NZE, "Green"),
+    ("Power", "RenewablesCap", 2.0, (1, 2, 1.5), NZE, "Green"),  # NZE raised to APS
+    ("Power", "RenewablesCap", 1.7, (1, 2, 1.5), ABOVE, "Red"),
+    ("Power", "RenewablesCap", 9.0, (1, 2, None), STEPS, "Red"),
+    ("Power", "RenewablesCap", None, (1, 2, 3), STEPS, "Red"),
+    ("Power", "CoalCap", 4.0, (3, 2, 1), STEPS, "Red"),
+    ("Power", "CoalCap", 3.0, (3, 2, 1), NZE, "Green"),  # equal to STEPS falls through
+    ("Power", "CoalCap", 2.5, (3, 2, 1), ABOVE, "Red"),
+    ("Power", "CoalCap", 2.0, (3, 2, 1), NZE, "Green"),  # equal to APS falls through
+    ("Power", "CoalCap", 1.5, (3, 2, 1), APS, "Amber"),
+    ("Power", "CoalCap", 1.0, (3, 2, 1), NZE, "Green"),
+    ("Power", "CoalCap", 0.0, (3, 2, 0), NA, None),
+    ("Power", "CoalCap", 0.0, (3, 2, 1), NZE, "Green"),
+    ("Power", "CoalCap", 2.2, (3, 2, 2.5), ABOVE, "Red"),  # NZE lowered to APS
+    ("Power", "CoalCap", None, (3, 2, 1), NZE, "Green"),
+    ("Power", "CoalCap", 1.5, (3, None, 1), NZE, "Green"),  # unknown APS keeps NZE and holds no rule
+    ("Automotive", "Electric", 0.0, (1, 2, 3), NA, None),
+    ("Automotive", "Electric", 1.9, (1, 2, 3), ABOVE, "Red"),
+    ("Automotive", "Electric", 2.0, (1, 2, 3), APS, "Amber"),
+    ("Automotive", "Electric", 3.0, (1, 2, 3), NZE, "Green"),
+    ("Automotive", "Electric", 1.6, (1, 2, 1.5), NZE, "Green"),  # no override outside power
+    ("Automotive", "ICE", 0.0, (3, 2, 1), NA, None),
+    ("Automotive", "ICE", 1.0, (3, 2, 1), NZE, "Green"),
+    ("Automotive", "ICE", 2.0, (3, 2, 1), APS, "Amber"),
+    ("Automotive", "ICE", 2.1, (3, 2, 1), ABOVE, "Red"),
+    ("HDV", "Electric_HDV", 0.0, (1, 2, 3), NA, None),
+    ("HDV", "Electric_HDV", 0.5, (1, 2, 3), H_WORST, "Red"),
+    ("HDV", "Electric_HDV", 1.0, (1, 2, 3), H_NPS, "Red"),
+    ("HDV", "Electric_HDV", 2.0, (1, 2, 3), H_SDS, "Amber"),
+    ("HDV", "Electric_HDV", 3.0, (1, 2, 3), H_B2DS, "Green"),
+    ("HDV", "Electric_HDV", 1.0, (None, None, None), None, None),  # no fallback
+    ("HDV", "ICE_HDV", 3.0, (1, 2, 3), H_B2DS, "Green"),  # rated like a technology to build out
+]
+HDV_BROWN = [
+    (3.0, (3, 2, 1), H_WORST, "Red"),
+    (2.0, (3, 2, 1), H_NPS, "Red"),
+    (1.0, (3, 2, 1), H_SDS, "Amber"),
+    (0.0, (3, 2, 1), H_B2DS, "Green"),
+    (0.0, (None, None, None), NA, None),
+    (1.0, (None, None, None), None, None),
+]
+
+
+def floats(values):
+    return tuple(None if v is None else float(v) for v in values)
+
+
+def test_every_ladder_step(spark):
+    data, want = [], []
+    for id, (sector, tech, plan, values, rating, light) in enumerate(CASES):
+        data += series(id, sector, tech, plan, floats(values))
+        want.append((id, rating, light))
+    got = trajectory.rated(spark.createDataFrame(data, CONNECTED), PARAMS)
+    assert [tuple(r) for r in got.select("id", "Scen_Rating", "traffic_light").orderBy("id").collect()] == want
+
+
+def test_brown_truck_ladder(spark):
+    data, want = [], []
+    for id, (plan, values, rating, light) in enumerate(HDV_BROWN):
+        data += series(id, "HDV", "ICE_HDV", plan, floats(values))
+        want.append((id, rating, light))
+    params = profile("2022Q2", brown_techs=("ICE_HDV",))
+    got = trajectory.rated(spark.createDataFrame(data, CONNECTED), params)
+    assert [tuple(r) for r in got.select("id", "Scen_Rating", "traffic_light").orderBy("id").collect()] == want
+
+
+def test_ladder_scope(spark):
+    data = (
+        series(1, "Power", "CoalCap", 1.0, (3.0, 2.0, 1.0))
+        + series(1, "Power", "CoalCap", 1.0, (3.0, 2.0, 1.0), year=END - 1)
+        + series(1, "Power", "CoalCap", 1.0, (3.0, 2.0, 1.0), geo="OECD")
+        + series(1, "Power", "CoalCap", 1.0, (3.0, 2.0, 1.0), market="Other")
+    )
+    ladder = trajectory.scenario_ladder(spark.createDataFrame(data, CONNECTED), PARAMS)
+    assert rows(ladder, "plan", "STEPS", "APS", "NZE_2050", "NPS", "category") == [
+        (1.0, 3.0, 2.0, 1.0, None, "Brown")
+    ]
+
+
+def test_one_scenario_from_two_sources_is_an_error(spark):
+    data = series(1, "Power", "CoalCap", 1.0, (3.0, 2.0, 1.0)) * 2
+    with pytest.raises(Exception, match="more than one row"):
+        trajectory.rated(spark.createDataFrame(data, CONNECTED), PARAMS).collect()
+
+
+BRIDGE = "company_name string, company_id long, sector_assessed string"
+
+
+def test_result_is_wide_and_limited_to_the_assessed_sector(spark):
+    data = (
+        series(1, "Power", "CoalCap", 4.0, (3.0, 2.0, 1.0))
+        + series(1, "Power", "HydroCap", 0.0, (1.0, 2.0, 3.0))
+        + series(1, "Automotive", "ICE", 1.0, (3.0, 2.0, 1.0))
+        + series(2, "Power", "CoalCap", 4.0, (3.0, 2.0, 1.0))  # same company, same rating
+        + series(3, "Automotive", "ICE", 1.0, (3.0, 2.0, 1.0))
+        + series(4, "Power", "CoalCap", 4.0, (3.0, 2.0, 1.0))  # not listed
+    )
+    bridge = spark.createDataFrame(
+        [("CEZ as", 1, "Power"), ("CEZ as", 2, "Power"), ("Ford Motor Co.", 3, "Automotive")], BRIDGE
+    )
+    got = trajectory.technology_result(spark.createDataFrame(data, CONNECTED), bridge, PARAMS)
+    assert len(got.columns) == 2 + 2 * 14
+    assert rows(
+        got,
+        "company_name",
+        "ald_sector",
+        "Rating_2diU2_CoalCapT",
+        "traffic_light_2diU2_CoalCapT",
+        "Rating_2diU2_HydroCapT",
+        "traffic_light_2diU2_HydroCapT",
+        "Rating_2diA2_ICET",
+        "Rating_2diU2_ICE_HDVT",
+    ) == [
+        ("CEZ, a.s.", "Power", STEPS, "Red", NA, None, None, None),
+        ("Ford", "Automotive", None, None, None, None, NZE, None),
+    ]
+
+
+def test_two_ids_with_different_ratings_are_an_error(spark):
+    data = series(1, "Power", "CoalCap", 4.0, (3.0, 2.0, 1.0)) + series(2, "Power", "CoalCap", 1.5, (3.0, 2.0, 1.0))
+    bridge = spark.createDataFrame([("A", 1, "Power"), ("A", 2, "Power")], BRIDGE)
+    with pytest.raises(Exception, match="more than one row"):
+        trajectory.technology_result(spark.createDataFrame(data, CONNECTED), bridge, PARAMS).collect()
+
+
+def test_an_unknown_technology_is_not_left_out_silently(spark):
+    data = series(1, "Power", "FusionCap", 4.0, (3.0, 2.0, 1.0))
+    bridge = spark.createDataFrame([("A", 1, "Power")], BRIDGE)
+    with pytest.raises(Exception, match="unlisted name"):
+        trajectory.technology_result(spark.createDataFrame(data, CONNECTED), bridge, PARAMS).collect()
+
+
+def test_sorted_result_puts_missing_names_last(spark):
+    df = spark.createDataFrame([(None, "P"), ("b", "P"), ("a", None), ("a", "H")], "company_name string, ald_sector string")
+    got = [tuple(r) for r in trajectory.sorted_result(df).collect()]
+    assert got == [("a", "H"), ("a", None), ("b", "P"), (None, "P")]
+
+
+def test_ratings_and_lights_line_up():
+    assert len(refdata.RATINGS) == 10
+    assert {light for _, light in refdata.RATINGS} == {None, "Green", "Amber", "Red"}
