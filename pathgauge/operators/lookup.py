@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 500_000
+BROADCAST_ROW_LIMIT = 200_000
 SALTS = 64
 
 
@@ -31,12 +31,12 @@ def lookup_join(
     Up to ``row_limit`` rows it is broadcast. Beyond that, both sides are
     shuffled on the key plus a salt, so that one hot key spreads over ``salts``
     tasks; every table row is repeated once per salt, which keeps the result
-    whole. The size check reads at most ``row_limit + 1`` rows, so ``table``
-    should be read from storage, not recomputed.
+    whole. ``table`` should be a stored table: the size check is a count, which
+    for Parquet reads the file footers only.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
-    if table.limit(row_limit + 1).count() <= row_limit:
+    if table.count() <= row_limit:
         return facts.join(F.broadcast(table), list(on), how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -73,9 +73,15 @@ def sum_years(rows: DataFrame, keys: Sequence[str], years: Iterable[int]) -> Dat
 def year_rows(
     rows: DataFrame, columns: Sequence[str], years: Iterable[int], value: str = "ald_production"
 ) -> DataFrame:
-    """Years side by side to one row per year that has rows."""
-    long = rows.unpivot(list(columns), [f"v_{y}" for y in years], "year", value)
-    return long.where(F.col(value).isNotNull()).withColumn("year", F.substring("year", 3, 4).cast("int"))
+    """Years side by side to one row per year that has rows.
+
+    A generator keeps the placement of its input rows; ``unpivot`` would lose
+    it, and the next join or sum by the same key would shuffle again.
+    """
+    numbers = list(years)
+    cells = [cell for y in numbers for cell in (F.lit(y), F.col(f"v_{y}"))]
+    long = rows.select(*columns, F.stack(F.lit(len(numbers)), *cells).alias("year", value))
+    return long.where(F.col(value).isNotNull())
 
 
 def asset_sums(

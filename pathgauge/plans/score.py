@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,14 +178,15 @@ def scored_technologies(connected: DataFrame, bridge: DataFrame, params: Params)
 
 
 def _picked(params: Params) -> Column:
-    return first_match(
+    """Rows of the scenario picked for their sector, in a form the scan can prune by."""
+    return reduce(
+        or_,
         [
-            (
-                F.col("ald_sector") == sector,
-                (F.col("scenario_source") == pick.source) & (F.col("scenario") == pick.scenario),
-            )
+            (F.col("ald_sector") == sector)
+            & (F.col("scenario_source") == pick.source)
+            & (F.col("scenario") == pick.scenario)
             for sector, pick in params.score_picks.items()
-        ]
+        ],
     )
 
 

@@ -44,10 +44,11 @@ def read_inputs(spark: SparkSession, folder: str, params: Params) -> Inputs:
 
     ``production.csv``, ``scenarios/<dataset>.csv`` for every configured dataset,
     ``hdv_pathway.csv``, ``geography_bridge.csv`` and ``scenario_regions.csv``.
-    The assessed companies are the fixed list of the model.
+    The assessed companies are the fixed list of the model. The production file
+    is parsed once and kept as a column store, as three stages read parts of it.
     """
     return Inputs(
-        production=tables.read_production(spark, f"{folder}/production.csv"),
+        production=store(tables.read_production(spark, f"{folder}/production.csv"), "production"),
         scenarios={
             name: tables.read_csv(spark, f"{folder}/scenarios/{name}.csv", schemas.SCENARIO_RAW)
             for name in params.scenario_datasets

@@ -9,6 +9,7 @@ from pathgauge.operators import lookup
 from pathgauge.params import profile
 from pathgauge.plans import connect as conn
 from pathgauge.plans import production as prod
+from pathgauge.plans import score
 
 PARAMS = profile("2022Q2", time_horizon=1)
 
@@ -116,10 +117,19 @@ def test_same_result_without_broadcast(spark, world, monkeypatch):
 
 
 def test_one_placement_by_company_serves_all_later_steps(spark, world):
-    plan = connected(spark, world, FACT_ROWS, TARGETS)._jdf.queryExecution().executedPlan().toString()
-    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(id" in line]
-    # The sum per country, its placement by id, and the bridge brought to the same place.
-    assert len(shuffles) == 3
+    """With every table too large to broadcast, assets are shuffled twice up to the score."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = connected(spark, world, FACT_ROWS, TARGETS)
+        scores = score.scored_technologies(table, world["bridge"], PARAMS)
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    by_company = [line for line in shuffles if "Exchange hashpartitioning(id#" in line]
+    # The sum per country and its placement by id; the bridge goes to the same
+    # place for the scope and for the name. The other two match the countries.
+    assert len(by_company) == 4 and len(shuffles) == 6
 
 
 def test_global_from_parts(spark, world):

@@ -159,6 +159,21 @@ def test_score_needs_no_sector_totals(spark):
     assert "Window" not in plan
 
 
+def test_score_reads_only_the_picked_sources(spark, tmp_path):
+    data = two(1, "CoalCap", (1.0, 1.0), (1.0, 2.0)) + two(1, "CoalCap", (1.0, 1.0), (1.0, 2.0), source="OTHER")
+    connected, listed = frames(spark, data)
+    path = str(tmp_path / "connected")
+    connected.write.partitionBy("scenario_source").parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        scores = score.company_scores(spark.read.parquet(path), listed, PARAMS)
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [((scenario_source" in plan and "In(year, [2022,2027])" in plan
+    assert rows(scores, "single_score_Case8") == [(0.5,)]
+
+
 def test_sector_pick_and_truck_companies(spark):
     data = two(1, "CoalCap", (1.0, 1.0), (1.0, 2.0)) + two(1, "CoalCap", (1.0, 1.0), (1.0, 4.0), name="APS")
     for id in (2, 3):
