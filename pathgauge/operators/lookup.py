@@ -1,4 +1,4 @@
-"""Joins of large facts to smaller tables whose keys are few and hot."""
+"""Joins of large facts to smaller tables, with a size check before any broadcast."""
 
 from __future__ import annotations
 
@@ -41,3 +41,25 @@ def lookup_join(
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def key_join(
+    facts: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    *,
+    stored: DataFrame | None = None,
+    row_limit: int = BROADCAST_ROW_LIMIT,
+) -> DataFrame:
+    """Join to a table with one row per key that may be small or very large.
+
+    It is broadcast when ``stored`` (the file table that ``table`` is made from,
+    row by row) has at most ``row_limit`` rows; its footers tell. Spark's own
+    estimate is off once the table is itself a join. Beyond the limit this is a
+    plain shuffle join: the key has many values, and adaptive execution splits
+    a frequent one over several tasks.
+    """
+    if (table if stored is None else stored).count() <= row_limit:
+        table = F.broadcast(table)
+    return facts.join(table, list(on), how)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathgauge.functions.semantics import first_match
-from pathgauge.operators.lookup import fixed_lookup
+from pathgauge.operators.lookup import fixed_lookup, key_join
 from pathgauge.params import Params, ScorePick, profile
 
 YEARS = range(1995, 2002)
@@ -158,37 +158,41 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line with its asset kind and year.
+def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments per supplier and asset kind, years side by side, in one pass over the lines.
 
-    Neither lookup table is marked for broadcast: both grow with the data, so
-    Spark decides by their size, and splits a frequent part or supplier at run
-    time when it has to shuffle.
+    ``_<year>`` is net of returns and makes the production table; ``g_<year>``
+    is gross and makes the scenarios. Lines are summed per supplier before the
+    supplier's name and place are joined. Both lookup tables grow with the
+    data, so their size is checked before they are broadcast.
     """
     returned = F.col("l_returnflag") == "R"
-    return (
-        read(spark, sf_dir, "lineitem")
-        .select(
-            "l_partkey",
-            "l_suppkey",
-            F.year("l_shipdate").alias("ship_year"),
-            F.col("l_quantity").alias("gross"),
-            F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("net"),
-        )
-        .join(asset_kinds(spark, sf_dir), "l_partkey")
+    lines = read(spark, sf_dir, "lineitem").select(
+        "l_partkey",
+        "l_suppkey",
+        F.year("l_shipdate").alias("ship_year"),
+        F.col("l_quantity").alias("gross"),
+        F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("net"),
     )
+    of_kind = key_join(
+        lines, asset_kinds(spark, sf_dir), ["l_partkey"], stored=read(spark, sf_dir, "part")
+    )
+    summed = of_kind.groupBy("l_suppkey", "sector", "technology", "unit", "emissions_factor").agg(
+        *[
+            F.sum(F.when(F.col("ship_year") == y, F.col(value))).alias(f"{prefix}_{y}")
+            for prefix, value in (("", "net"), ("g", "gross"))
+            for y in YEARS
+        ]
+    )
+    return key_join(
+        summed, places(spark, sf_dir), ["l_suppkey"], stored=read(spark, sf_dir, "supplier")
+    ).withColumnRenamed("l_suppkey", "company_id")
 
 
-def production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide production table: one column per year, empty where nothing was shipped.
-
-    Lines are summed per supplier before supplier names are joined.
-    """
-    kind = ["sector", "technology", "unit", "emissions_factor"]
-    per_year = [F.sum(F.when(F.col("ship_year") == y, F.col("net"))).alias(f"_{y}") for y in YEARS]
-    summed = shipments(spark, sf_dir).groupBy("l_suppkey", *kind).agg(*per_year)
-    return summed.join(places(spark, sf_dir), "l_suppkey").select(
-        F.col("l_suppkey").alias("company_id"),
+def production(shipped: DataFrame) -> DataFrame:
+    """Wide production table: one column per year, empty where nothing was shipped."""
+    return shipped.select(
+        "company_id",
         "company_name",
         "sector",
         "asset_country",
@@ -199,18 +203,14 @@ def production(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def totals(shipped: DataFrame) -> DataFrame:
     """Gross shipments per sector, technology, region and year: what scenarios are made from."""
-    per_company = (
-        shipments(spark, sf_dir)
-        .groupBy("l_suppkey", "sector", "technology", "ship_year")
-        .agg(F.sum("gross").alias("gross"))
-    )
-    return (
-        per_company.join(places(spark, sf_dir).select("l_suppkey", "region"), "l_suppkey")
-        .groupBy("sector", "technology", "region", F.col("ship_year").alias("year"))
-        .agg(F.sum("gross").alias("total"))
+    summed = shipped.groupBy("sector", "technology", "region").agg(
+        *[F.sum(f"g_{y}").alias(f"g_{y}") for y in YEARS]
     )
+    cells = [cell for y in YEARS for cell in (F.lit(y), F.col(f"g_{y}"))]
+    long = summed.select("sector", "technology", "region", F.stack(F.lit(len(YEARS)), *cells).alias("year", "total"))
+    return long.where(F.col("total").isNotNull())
 
 
 def datasets(totals: DataFrame) -> Mapping[str, DataFrame]:

@@ -35,9 +35,18 @@ def rounded(df: DataFrame, columns: Sequence[str], digits: int = RATIO_DIGITS) -
 # --- shared steps ---------------------------------------------------------------
 
 
+def _production(spark, sf_dir) -> DataFrame:
+    return model.production(model.shipped(spark, sf_dir))
+
+
+def _shipped(spark, sf_dir) -> DataFrame:
+    """Shipments as a stage, so that the lines are read once however many tables need them."""
+    return store(model.shipped(spark, sf_dir), "shipped")
+
+
 def _wide(spark, sf_dir) -> DataFrame:
-    """The production table as a stage, for results that read it more than once."""
-    return store(model.production(spark, sf_dir), "production")
+    """The production table, for results that read it more than once."""
+    return model.production(_shipped(spark, sf_dir))
 
 
 def _masterdata(wide: DataFrame, years=None) -> DataFrame:
@@ -49,43 +58,38 @@ def _name_bridge(spark, sf_dir, wide: DataFrame) -> DataFrame:
     return conn.name_bridge(wide, model.companies(spark, sf_dir))
 
 
-def _totals(spark, sf_dir) -> DataFrame:
-    """Shipped totals behind all scenario tables, as a stage: both of them read it."""
-    return store(model.totals(spark, sf_dir), "totals")
-
-
-def _scenario_input(spark, sf_dir) -> DataFrame:
-    totals = _totals(spark, sf_dir)
+def _scenario_input(shipped: DataFrame) -> DataFrame:
+    """Both scenario tables come from the same totals, which are kept as a stage."""
+    totals = store(model.totals(shipped), "totals")
     return scenario.scenario_input(model.datasets(totals), model.pathway(totals), PARAMS)
 
 
 def _scenario_raw(spark, sf_dir) -> DataFrame:
-    return stack_named(model.datasets(_totals(spark, sf_dir)), PARAMS.scenario_datasets)
+    totals = store(model.totals(model.shipped(spark, sf_dir)), "totals")
+    return stack_named(model.datasets(totals), PARAMS.scenario_datasets)
 
 
-def _scenario_long(spark, sf_dir) -> DataFrame:
+def _scenario_long(spark, sf_dir, shipped: DataFrame) -> DataFrame:
     return scenario.scenario_long(
-        _scenario_input(spark, sf_dir), model.bridge(spark), model.regions(spark, sf_dir), PARAMS
+        _scenario_input(shipped), model.bridge(spark), model.regions(spark, sf_dir), PARAMS
     )
 
 
-def _connected(spark, sf_dir, wide: DataFrame, listed: DataFrame) -> DataFrame:
+def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Connected table and name bridge, on top of stored inputs."""
+    shipped = _shipped(spark, sf_dir)
+    wide = model.production(shipped)
+    listed = store(_name_bridge(spark, sf_dir, wide), "name_bridge")
     assets = prod.asset_sums(wide, years=PARAMS.relevant_years, zero_techs=PARAMS.zero_emission_techs)
-    return conn.connect(
+    connected = conn.connect(
         prod.recode_hdv(assets),
         listed,
-        store(_scenario_long(spark, sf_dir), "scenario_long"),
+        store(_scenario_long(spark, sf_dir, shipped), "scenario_long"),
         model.regions(spark, sf_dir),
         store(conn.index_regions(wide), "index_regions"),
         PARAMS,
     )
-
-
-def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Connected table and name bridge, on top of stored inputs."""
-    wide = _wide(spark, sf_dir)
-    listed = store(_name_bridge(spark, sf_dir, wide), "name_bridge")
-    return _connected(spark, sf_dir, wide, listed), listed
+    return connected, listed
 
 
 def _rated(sector: str) -> Query:
@@ -114,34 +118,34 @@ def _rated(sector: str) -> Query:
 
 
 def scan_wide(spark, sf_dir):
-    return model.production(spark, sf_dir)
+    return _production(spark, sf_dir)
 
 
 def wide_years(spark, sf_dir):
-    return unpivot_years(model.production(spark, sf_dir), "ald_production")
+    return unpivot_years(_production(spark, sf_dir), "ald_production")
 
 
 def zero_emission(spark, sf_dir):
-    return prod.zero_factor(unpivot_years(model.production(spark, sf_dir), "ald_production"))
+    return prod.zero_factor(unpivot_years(_production(spark, sf_dir), "ald_production"))
 
 
 def prod_normalise(spark, sf_dir):
-    return prod.normalise(model.production(spark, sf_dir))
+    return prod.normalise(_production(spark, sf_dir))
 
 
 def masterdata(spark, sf_dir):
-    return _masterdata(model.production(spark, sf_dir))
+    return _masterdata(_production(spark, sf_dir))
 
 
 def hdv_recode(spark, sf_dir):
-    facts = prod.recode_hdv(_masterdata(model.production(spark, sf_dir)))
+    facts = prod.recode_hdv(_masterdata(_production(spark, sf_dir)))
     return facts.groupBy("id", "ald_sector", "technology", "year").agg(
         sum0("ald_production").alias("ald_production")
     )
 
 
 def hdv_pathway(spark, sf_dir):
-    return scenario.hdv_pathway(model.pathway(model.totals(spark, sf_dir)), PARAMS)
+    return scenario.hdv_pathway(model.pathway(model.totals(model.shipped(spark, sf_dir))), PARAMS)
 
 
 def scenario_union(spark, sf_dir):
@@ -154,7 +158,7 @@ def interpolate(spark, sf_dir):
 
 
 def market_share(spark, sf_dir):
-    return rounded(_scenario_input(spark, sf_dir), ["value", "tmsr", "smsp", "fair_share"])
+    return rounded(_scenario_input(model.shipped(spark, sf_dir)), ["value", "tmsr", "smsp", "fair_share"])
 
 
 def geo_bridge_join(spark, sf_dir):
@@ -164,11 +168,11 @@ def geo_bridge_join(spark, sf_dir):
 
 
 def index_regions(spark, sf_dir):
-    return conn.index_regions(model.production(spark, sf_dir))
+    return conn.index_regions(_production(spark, sf_dir))
 
 
 def scenario_long(spark, sf_dir):
-    return rounded(_scenario_long(spark, sf_dir), ["value", "tmsr", "smsp", "fair_share"])
+    return rounded(_scenario_long(spark, sf_dir, model.shipped(spark, sf_dir)), ["value", "tmsr", "smsp", "fair_share"])
 
 
 def company_scope(spark, sf_dir):
@@ -177,7 +181,7 @@ def company_scope(spark, sf_dir):
 
 
 def name_bridge(spark, sf_dir):
-    return _name_bridge(spark, sf_dir, model.production(spark, sf_dir))
+    return _name_bridge(spark, sf_dir, _production(spark, sf_dir))
 
 
 def bridge_join(spark, sf_dir):
@@ -200,25 +204,25 @@ def per_source_output(spark, sf_dir):
 
 
 def stage_roundtrip(spark, sf_dir):
-    return store(_masterdata(model.production(spark, sf_dir)), "masterdata")
+    return store(_masterdata(_production(spark, sf_dir)), "masterdata")
 
 
 def csv_roundtrip(spark, sf_dir):
     path = stage_path(spark, "scenario_input.csv")
-    tables.write_csv(_scenario_input(spark, sf_dir), path)
+    tables.write_csv(_scenario_input(model.shipped(spark, sf_dir)), path)
     back = tables.read_csv(spark, path, schemas.SCENARIO_INPUT)
     return rounded(back, ["value", "tmsr", "smsp", "fair_share"])
 
 
 def production_csv(spark, sf_dir):
     path = stage_path(spark, "production.csv")
-    tables.write_csv(model.production(spark, sf_dir), path)
+    tables.write_csv(_production(spark, sf_dir), path)
     return tables.read_production(spark, path)
 
 
 def ei_benchmark(spark, sf_dir):
     """Production of the reference year against what the benchmark allows it to emit."""
-    facts = _masterdata(model.production(spark, sf_dir), years=[PARAMS.reference_year])
+    facts = _masterdata(_production(spark, sf_dir), years=[PARAMS.reference_year])
     per_sector = facts.groupBy("ald_sector").agg(sum0("ald_production").alias("ald_production"))
     joined = fixed_lookup(per_sector, refdata.intensity_benchmarks(spark), ["ald_sector"], "inner")
     return rounded(joined.withColumn("allowed", F.col("ald_production") * F.col("value")), ["allowed"])
@@ -226,13 +230,13 @@ def ei_benchmark(spark, sf_dir):
 
 def tech_type_dim(spark, sf_dir):
     """Production per technology type and year."""
-    facts = prod.recode_hdv(_masterdata(model.production(spark, sf_dir)))
+    facts = prod.recode_hdv(_masterdata(_production(spark, sf_dir)))
     typed = fixed_lookup(facts, refdata.tech_types(spark), ["technology", "ald_sector"], "inner")
     return typed.groupBy("ald_sector", "type", "year").agg(sum0("ald_production").alias("ald_production"))
 
 
 def ei_scope(spark, sf_dir):
-    facts = _masterdata(model.production(spark, sf_dir), years=[PARAMS.reference_year])
+    facts = _masterdata(_production(spark, sf_dir), years=[PARAMS.reference_year])
     return ei.intensity_scope(facts, PARAMS)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pathgauge.operators import (
     average_rank_desc,
     interpolate_yearly,
+    key_join,
     lookup_join,
     stack_named,
     stack_same,
@@ -170,3 +171,19 @@ def test_rank_when_one_score_fills_many_partitions(spark):
 @given(st.lists(st.tuples(st.sampled_from("pq"), st.sampled_from([None, -1.0, 0.0, 0.5, 2.0])), min_size=1, max_size=40))
 def test_rank_against_brute_force(spark, drawn):
     check_rank(spark, [(g, f"c{i:02d}", s) for i, (g, s) in enumerate(drawn)])
+
+
+def test_key_join_checks_the_size_before_it_broadcasts(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).write.parquet(path)
+    table = spark.read.parquet(path)
+    facts = spark.range(300).select("id", (F.col("id") % 60).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = key_join(facts, table, ["k"], stored=table)
+        large = key_join(facts, table, ["k"], stored=table, row_limit=10)
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert rows(small) == rows(large)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
