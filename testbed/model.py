@@ -121,25 +121,34 @@ def _kind(p_type: str, n: int) -> tuple[str, str, str, float]:
     return sector, techs[n % len(techs)], UNITS[sector], FACTOR_SCALE.get(sector, 64.0)
 
 
-def asset_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sector, technology, unit and emission factor of every part.
+def _kinds() -> tuple[list[tuple], list[tuple]]:
+    """The rule as two tables: part type and brand to a kind number, and the kinds.
 
-    The rule knows 6 part types and 25 brands, so it is a table of 150 rows.
+    The rule knows 6 part types and 25 brands, so neither exceeds 150 rows.
     """
-    rows = [(t, f"Brand#{n}", *_kind(t, n)) for t in PART_TYPES for n in BRANDS]
-    rule = spark.createDataFrame(
-        rows, "p_type string, p_brand string, sector string, technology string, unit string, scale double"
-    )
-    factor = F.when(F.col("p_size") != UNKNOWN_FACTOR_SIZE, F.col("p_size") / F.col("scale"))
+    of_part = {(t, f"Brand#{n}"): _kind(t, n) for t in PART_TYPES for n in BRANDS}
+    number = {kind: i for i, kind in enumerate(dict.fromkeys(of_part.values()))}
+    return [(*part, number[kind]) for part, kind in of_part.items()], [(i, *kind) for kind, i in number.items()]
+
+
+def part_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kind number and size of every part."""
+    rule = spark.createDataFrame(_kinds()[0], "p_type string, p_brand string, kind int")
     return fixed_lookup(read(spark, sf_dir, "part"), rule, ["p_type", "p_brand"], "inner").select(
-        F.col("p_partkey").alias("l_partkey"),
-        "sector",
-        "technology",
-        "unit",
-        factor.alias("emissions_factor"),
+        F.col("p_partkey").alias("l_partkey"), "kind", "p_size"
     )
 
 
+def with_kind(df: DataFrame) -> DataFrame:
+    """Kind number and size to sector, technology, unit and emission factor."""
+    kinds = df.sparkSession.createDataFrame(
+        _kinds()[1], "kind int, sector string, technology string, unit string, scale double"
+    )
+    factor = F.when(F.col("p_size") != UNKNOWN_FACTOR_SIZE, F.col("p_size") / F.col("scale"))
+    named = fixed_lookup(df, kinds, ["kind"], "inner")
+    return named.withColumn("emissions_factor", factor).drop("kind", "p_size", "scale")
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company id, name, country and region of every supplier."""
     nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
@@ -162,9 +171,9 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipments per supplier and asset kind, years side by side, in one pass over the lines.
 
     ``_<year>`` is net of returns and makes the production table; ``g_<year>``
-    is gross and makes the scenarios. Lines are summed per supplier before the
-    supplier's name and place are joined. Both lookup tables grow with the
-    data, so their size is checked before they are broadcast.
+    is gross and makes the scenarios. Lines are summed on three numbers; texts
+    (kind, supplier name, place) are joined to the sums. Both lookup tables grow
+    with the data, so their size is checked before they are broadcast.
     """
     returned = F.col("l_returnflag") == "R"
     lines = read(spark, sf_dir, "lineitem").select(
@@ -175,9 +184,9 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("net"),
     )
     of_kind = key_join(
-        lines, asset_kinds(spark, sf_dir), ["l_partkey"], stored=read(spark, sf_dir, "part")
+        lines, part_kinds(spark, sf_dir), ["l_partkey"], stored=read(spark, sf_dir, "part")
     )
-    summed = of_kind.groupBy("l_suppkey", "sector", "technology", "unit", "emissions_factor").agg(
+    summed = of_kind.groupBy("l_suppkey", "kind", "p_size").agg(
         *[
             F.sum(F.when(F.col("ship_year") == y, F.col(value))).alias(f"{prefix}_{y}")
             for prefix, value in (("", "net"), ("g", "gross"))
@@ -185,7 +194,7 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     return key_join(
-        summed, places(spark, sf_dir), ["l_suppkey"], stored=read(spark, sf_dir, "supplier")
+        with_kind(summed), places(spark, sf_dir), ["l_suppkey"], stored=read(spark, sf_dir, "supplier")
     ).withColumnRenamed("l_suppkey", "company_id")
 
 
