@@ -39,10 +39,9 @@ def name_bridge(wide: DataFrame, companies: DataFrame) -> DataFrame:
     return pairs.join(listed, "company_name", "inner")
 
 
-def in_scope(facts: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Rows of listed companies."""
-    ids = bridge.select(F.col("company_id").alias("id"))
-    return facts.join(ids, "id", "left_semi")
+def in_scope(facts: DataFrame, bridge: DataFrame, id: str = "id") -> DataFrame:
+    """Rows of listed companies. Best applied to wide rows, before sums and years."""
+    return facts.join(bridge.select(F.col("company_id").alias(id)), id, "left_semi")
 
 
 def with_company(facts: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -167,13 +167,10 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shipments per supplier and asset kind, years side by side, in one pass over the lines.
+def lines_of_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its kind, year, and quantity before and after returns.
 
-    ``_<year>`` is net of returns and makes the production table; ``g_<year>``
-    is gross and makes the scenarios. Lines are summed on three numbers; texts
-    (kind, supplier name, place) are joined to the sums. Both lookup tables grow
-    with the data, so their size is checked before they are broadcast.
+    The part table grows with the data, so its size is checked before it is broadcast.
     """
     returned = F.col("l_returnflag") == "R"
     lines = read(spark, sf_dir, "lineitem").select(
@@ -183,21 +180,43 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("gross"),
         F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("net"),
     )
-    of_kind = key_join(
-        lines, part_kinds(spark, sf_dir), ["l_partkey"], stored=read(spark, sf_dir, "part")
-    )
+    return key_join(lines, part_kinds(spark, sf_dir), ["l_partkey"], stored=read(spark, sf_dir, "part"))
+
+
+def _side_by_side(value: str, prefix: str) -> list[Column]:
+    return [
+        F.sum(F.when(F.col("ship_year") == y, F.col(value))).alias(f"{prefix}_{y}") for y in YEARS
+    ]
+
+
+def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments per supplier and asset kind, years side by side, in one pass over the lines.
+
+    ``_<year>`` is net of returns and makes the production table; ``g_<year>``
+    is gross and makes the scenarios. Lines are summed on three numbers; texts
+    (kind, supplier name, place) are joined to the sums.
+    """
+    of_kind = lines_of_kind(spark, sf_dir)
     summed = of_kind.groupBy("l_suppkey", "kind", "p_size").agg(
-        *[
-            F.sum(F.when(F.col("ship_year") == y, F.col(value))).alias(f"{prefix}_{y}")
-            for prefix, value in (("", "net"), ("g", "gross"))
-            for y in YEARS
-        ]
+        *_side_by_side("net", ""), *_side_by_side("gross", "g")
     )
     return key_join(
         with_kind(summed), places(spark, sf_dir), ["l_suppkey"], stored=read(spark, sf_dir, "supplier")
     ).withColumnRenamed("l_suppkey", "company_id")
 
 
+def shipped_gross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``totals`` needs of ``shipped``, for results that read the scenarios alone."""
+    kinds = spark.createDataFrame(
+        _kinds()[1], "kind int, sector string, technology string, unit string, scale double"
+    )
+    summed = lines_of_kind(spark, sf_dir).groupBy("l_suppkey", "kind").agg(*_side_by_side("gross", "g"))
+    placed = key_join(
+        summed, places(spark, sf_dir), ["l_suppkey"], stored=read(spark, sf_dir, "supplier")
+    )
+    return fixed_lookup(placed, kinds, ["kind"], "inner")
+
+
 def production(shipped: DataFrame) -> DataFrame:
     """Wide production table: one column per year, empty where nothing was shipped."""
     return shipped.select(

@@ -58,6 +58,11 @@ def _name_bridge(spark, sf_dir, wide: DataFrame) -> DataFrame:
     return conn.name_bridge(wide, model.companies(spark, sf_dir))
 
 
+def _stored_bridge(spark, sf_dir, wide: DataFrame) -> DataFrame:
+    """The bridge as a stage, as in a run; Spark then knows its size when it joins it."""
+    return store(_name_bridge(spark, sf_dir, wide), "name_bridge")
+
+
 def _scenario_input(shipped: DataFrame) -> DataFrame:
     """Both scenario tables come from the same totals, which are kept as a stage."""
     totals = store(model.totals(shipped), "totals")
@@ -65,7 +70,7 @@ def _scenario_input(shipped: DataFrame) -> DataFrame:
 
 
 def _scenario_raw(spark, sf_dir) -> DataFrame:
-    totals = store(model.totals(model.shipped(spark, sf_dir)), "totals")
+    totals = store(model.totals(model.shipped_gross(spark, sf_dir)), "totals")
     return stack_named(model.datasets(totals), PARAMS.scenario_datasets)
 
 
@@ -79,7 +84,7 @@ def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Connected table and name bridge, on top of stored inputs."""
     shipped = _shipped(spark, sf_dir)
     wide = model.production(shipped)
-    listed = store(_name_bridge(spark, sf_dir, wide), "name_bridge")
+    listed = _stored_bridge(spark, sf_dir, wide)
     assets = prod.asset_sums(wide, years=PARAMS.relevant_years, zero_techs=PARAMS.zero_emission_techs)
     connected = conn.connect(
         prod.recode_hdv(assets),
@@ -145,7 +150,7 @@ def hdv_recode(spark, sf_dir):
 
 
 def hdv_pathway(spark, sf_dir):
-    return scenario.hdv_pathway(model.pathway(model.totals(model.shipped(spark, sf_dir))), PARAMS)
+    return scenario.hdv_pathway(model.pathway(model.totals(model.shipped_gross(spark, sf_dir))), PARAMS)
 
 
 def scenario_union(spark, sf_dir):
@@ -158,7 +163,7 @@ def interpolate(spark, sf_dir):
 
 
 def market_share(spark, sf_dir):
-    return rounded(_scenario_input(model.shipped(spark, sf_dir)), ["value", "tmsr", "smsp", "fair_share"])
+    return rounded(_scenario_input(model.shipped_gross(spark, sf_dir)), ["value", "tmsr", "smsp", "fair_share"])
 
 
 def geo_bridge_join(spark, sf_dir):
@@ -172,12 +177,12 @@ def index_regions(spark, sf_dir):
 
 
 def scenario_long(spark, sf_dir):
-    return rounded(_scenario_long(spark, sf_dir, model.shipped(spark, sf_dir)), ["value", "tmsr", "smsp", "fair_share"])
+    return rounded(_scenario_long(spark, sf_dir, model.shipped_gross(spark, sf_dir)), ["value", "tmsr", "smsp", "fair_share"])
 
 
 def company_scope(spark, sf_dir):
     wide = _wide(spark, sf_dir)
-    return conn.in_scope(_masterdata(wide), _name_bridge(spark, sf_dir, wide))
+    return _masterdata(conn.in_scope(wide, _stored_bridge(spark, sf_dir, wide), "company_id"))
 
 
 def name_bridge(spark, sf_dir):
@@ -187,7 +192,7 @@ def name_bridge(spark, sf_dir):
 def bridge_join(spark, sf_dir):
     wide = _wide(spark, sf_dir)
     facts = _masterdata(wide, years=[PARAMS.reference_year])
-    return conn.with_company(facts, _name_bridge(spark, sf_dir, wide))
+    return conn.with_company(facts, _stored_bridge(spark, sf_dir, wide))
 
 
 def connect(spark, sf_dir):
@@ -209,7 +214,7 @@ def stage_roundtrip(spark, sf_dir):
 
 def csv_roundtrip(spark, sf_dir):
     path = stage_path(spark, "scenario_input.csv")
-    tables.write_csv(_scenario_input(model.shipped(spark, sf_dir)), path)
+    tables.write_csv(_scenario_input(model.shipped_gross(spark, sf_dir)), path)
     back = tables.read_csv(spark, path, schemas.SCENARIO_INPUT)
     return rounded(back, ["value", "tmsr", "smsp", "fair_share"])
 
@@ -243,14 +248,14 @@ def ei_scope(spark, sf_dir):
 def ei_intensity(spark, sf_dir):
     wide = _wide(spark, sf_dir)
     facts = _masterdata(wide, years=[PARAMS.reference_year])
-    result = ei.company_intensity(facts, _name_bridge(spark, sf_dir, wide), PARAMS)
+    result = ei.company_intensity(facts, _stored_bridge(spark, sf_dir, wide), PARAMS)
     return rounded(result, ["emission_intensity_sector"], FACTOR_DIGITS)
 
 
 def _intensity_result(spark, sf_dir) -> DataFrame:
     wide = _wide(spark, sf_dir)
     facts = _masterdata(wide, years=[PARAMS.reference_year])
-    return ei.intensity_result(facts, _name_bridge(spark, sf_dir, wide), PARAMS)
+    return ei.intensity_result(facts, _stored_bridge(spark, sf_dir, wide), PARAMS)
 
 
 def ei_score(spark, sf_dir):

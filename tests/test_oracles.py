@@ -7,7 +7,9 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_module
-from testbed import compare
+from pathgauge.operators import lookup
+from pathgauge.plans import connect
+from testbed import compare, model
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -36,3 +38,27 @@ def test_query(spark, db, name):
     count, problem, _, _ = compare.compare(spark, db, name, SF_DIR)
     assert problem == ""
     assert count > 0
+
+
+@pytest.fixture
+def nothing_is_small(spark, monkeypatch):
+    """Every size check fails, so each join takes its way for large tables."""
+    original, original_key = lookup.lookup_join, lookup.key_join
+
+    def large(*args, **options):
+        return original(*args, **{**options, "row_limit": 0, "salts": 5})
+
+    def large_key(*args, **options):
+        return original_key(*args, **{**options, "row_limit": 0})
+
+    monkeypatch.setattr(connect, "lookup_join", large)
+    monkeypatch.setattr(model, "key_join", large_key)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+@pytest.mark.parametrize("name", ["agg_rank", "comm_plan", "traj_wide", "ei_score", "report_auto", "scenario_long"])
+def test_query_when_nothing_is_small(spark, db, nothing_is_small, name):
+    _, problem, _, _ = compare.compare(spark, db, name, SF_DIR)
+    assert problem == ""
