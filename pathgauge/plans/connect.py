@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathgauge.functions.semantics import floor_at_zero
-from pathgauge.operators.lookup import lookup_join
+from pathgauge.operators.lookup import BROADCAST_ROW_LIMIT, lookup_join
 from pathgauge.params import Params
 from pathgauge.plans.production import sum_years, year_rows
 from pathgauge.sources.stages import store
@@ -40,10 +40,25 @@ def name_bridge(wide: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def in_scope(facts: DataFrame, bridge: DataFrame, id: str = "id") -> DataFrame:
-    """Rows of listed companies. Best applied to wide rows, before sums and years."""
+    """Rows of listed companies."""
     return facts.join(bridge.select(F.col("company_id").alias(id)), id, "left_semi")
 
 
+def in_scope_if_free(
+    facts: DataFrame, bridge: DataFrame, id: str = "id", row_limit: int = BROADCAST_ROW_LIMIT
+) -> DataFrame:
+    """Rows of listed companies where that takes no shuffle, else all rows.
+
+    For use ahead of a stage that applies the scope anyway, but later, to sums.
+    A short list of companies leaves most assets out before they are shuffled;
+    a long one would only shuffle them once more. ``bridge`` should be a stored
+    table, whose size its footers tell.
+    """
+    if bridge.count() > row_limit:
+        return facts
+    return facts.join(F.broadcast(bridge.select(F.col("company_id").alias(id))), id, "left_semi")
+
+
 def with_company(facts: DataFrame, bridge: DataFrame) -> DataFrame:
     """Attach name and assessed sector; a company listed under two sectors doubles its rows."""
     return facts.join(bridge.withColumnRenamed("company_id", "id"), "id", "left")

@@ -65,10 +65,12 @@ def _typed(name: str, kind: T.DataType, heading: str | None = None) -> Column:
     source = F.col(f"`{heading or name}`")
     if isinstance(kind, T.StringType):
         return source.cast(kind).alias(name)
-    value = source.cast("string").try_cast(kind) if not isinstance(kind, T.DoubleType) else source.try_cast(kind)
     if isinstance(kind, T.DoubleType):
-        value = F.when(~F.isnan(value), value)
-    return value.alias(name)
+        number = source.try_cast(kind)
+        return F.when(~F.isnan(number), number).alias(name)
+    # Whole numbers may be written as 7, 7.0 or 7e5.
+    text = source.cast("string")
+    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind)).alias(name)
 
 
 def write_csv(df: DataFrame, path: str, headings: Mapping[str, str] | None = None) -> None:

@@ -102,7 +102,8 @@ class Run:
             "scenario_long",
             path=self.path("scenario_long"),
         )
-        assets = prod.recode_hdv(prod.side_by_side(masterdata, params.relevant_years))
+        listed = conn.in_scope_if_free(masterdata, bridge)
+        assets = prod.recode_hdv(prod.side_by_side(listed, params.relevant_years))
         conn.store_per_source(
             conn.connect(assets, bridge, long, inputs.scenario_regions, markets, params),
             path=self.path("connected"),

@@ -85,7 +85,11 @@ def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     shipped = _shipped(spark, sf_dir)
     wide = model.production(shipped)
     listed = _stored_bridge(spark, sf_dir, wide)
-    assets = prod.asset_sums(wide, years=PARAMS.relevant_years, zero_techs=PARAMS.zero_emission_techs)
+    assets = prod.asset_sums(
+        conn.in_scope_if_free(wide, listed, "company_id"),
+        years=PARAMS.relevant_years,
+        zero_techs=PARAMS.zero_emission_techs,
+    )
     connected = conn.connect(
         prod.recode_hdv(assets),
         listed,
@@ -245,17 +249,20 @@ def ei_scope(spark, sf_dir):
     return ei.intensity_scope(facts, PARAMS)
 
 
-def ei_intensity(spark, sf_dir):
+def _intensity_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     wide = _wide(spark, sf_dir)
-    facts = _masterdata(wide, years=[PARAMS.reference_year])
-    result = ei.company_intensity(facts, _stored_bridge(spark, sf_dir, wide), PARAMS)
+    listed = _stored_bridge(spark, sf_dir, wide)
+    scoped = conn.in_scope_if_free(wide, listed, "company_id")
+    return _masterdata(scoped, years=[PARAMS.reference_year]), listed
+
+
+def ei_intensity(spark, sf_dir):
+    result = ei.company_intensity(*_intensity_inputs(spark, sf_dir), PARAMS)
     return rounded(result, ["emission_intensity_sector"], FACTOR_DIGITS)
 
 
 def _intensity_result(spark, sf_dir) -> DataFrame:
-    wide = _wide(spark, sf_dir)
-    facts = _masterdata(wide, years=[PARAMS.reference_year])
-    return ei.intensity_result(facts, _stored_bridge(spark, sf_dir, wide), PARAMS)
+    return ei.intensity_result(*_intensity_inputs(spark, sf_dir), PARAMS)
 
 
 def ei_score(spark, sf_dir):

@@ -184,3 +184,12 @@ def test_per_source_output_prunes_partitions(spark, world, tmp_path):
     ]
     plan = stored.where("scenario_source = 'V'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(scenario_source" in plan
+
+
+def test_early_scope_only_when_it_is_free(spark, tmp_path):
+    path = str(tmp_path / "bridge")
+    spark.createDataFrame([("A", 1), ("B", 2)], "company_name string, company_id long").write.parquet(path)
+    bridge = spark.read.parquet(path)
+    wide = spark.createDataFrame([(1, 1.0), (3, 1.0), (None, 1.0)], "company_id long, v double")
+    assert rows(conn.in_scope_if_free(wide, bridge, "company_id")) == [(1, 1.0)]
+    assert conn.in_scope_if_free(wide, bridge, "company_id", row_limit=1).count() == 3

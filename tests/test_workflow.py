@@ -153,3 +153,32 @@ def test_stage_folder_comes_from_the_session(spark):
     assert stage_path(spark, "t") != stage_path(spark, "t")
     df = spark.createDataFrame([(1, "a"), (2, None)], "a int, b string")
     assert rows(store(df, "t")) == [(1, "a"), (2, None)]
+
+
+def test_numbers_in_text_files(spark, tmp_path):
+    header = [*schemas.PRODUCTION_KEYS.fieldNames(), "X_2022"]
+    write(
+        tmp_path / "p.csv",
+        header,
+        [
+            [7, "A", "Power", "NA", "CoalCap", "MW", "0.5", "1.5"],
+            ["8.0", "B", "", "", "CoalCap", "MW", "NA", "NaN"],
+            ["2e5", "C", "Power", "DE", "CoalCap", "MW", "", ""],
+            ["x", "D", "Power", "DE", "CoalCap", "MW", "0", "0"],
+        ],
+    )
+    got = tables.read_production(spark, str(tmp_path / "p.csv"))
+    assert got.columns == header
+    assert rows(got, "company_name", "company_id", "asset_country", "emissions_factor", "X_2022") == [
+        ("A", 7, "NA", 0.5, 1.5),
+        ("B", 8, None, None, None),
+        ("C", 200000, "DE", None, None),
+        ("D", None, "DE", 0.0, 0.0),
+    ]
+
+
+def test_reading_a_text_file_reads_no_data_to_guess_types(spark, tmp_path):
+    write(tmp_path / "r.csv", ["country", "scenario_geography", "other"], [["DE", "Global", "1"]])
+    got = tables.read_csv(spark, str(tmp_path / "r.csv"), schemas.SCENARIO_REGIONS)
+    assert got.dtypes == [("scenario_geography", "string"), ("country", "string")]
+    assert rows(got) == [("Global", "DE")]
