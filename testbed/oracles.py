@@ -416,8 +416,8 @@ def _q(body: str) -> str:
     return f"WITH {CTES}\n{body}"
 
 
-def _r(*columns: str, digits: int = 6) -> str:
-    return ", ".join(f"ROUND({c}, {digits}) AS {c}" for c in columns)
+def _r(*columns: str) -> str:
+    return ", ".join(f"ROUND({c}, 6) AS {c}" for c in columns)
 
 
 _SHARED = "scenario_source, scenario, ald_sector, technology, scenario_geography, indicator, units, year"
@@ -506,11 +506,11 @@ ORACLES: dict[str, str] = {
         AND technology <> 'Grinding' AND technology <> 'Freight' AND year = {T0}"""
     ),
     "ei_intensity": _q(
-        f"SELECT company_name, year, ald_sector, {_r('emission_intensity_sector', digits=9)} FROM ei"
+        "SELECT company_name, year, ald_sector, emission_intensity_sector FROM ei"
     ),
     "ei_score": _q(
-        f"""SELECT ald_sector, company_name, year, {_r('emission_intensity_sector', 'value', digits=9)}, scenario,
-        benchmark_year, ROUND(gap, 6) AS alignment_metric, alignement_classement, traffic_light FROM ei_result"""
+        """SELECT ald_sector, company_name, year, emission_intensity_sector, value, scenario,
+        benchmark_year, gap AS alignment_metric, alignement_classement, traffic_light FROM ei_result"""
     ),
     "traj_base": _q(
         f"""SELECT id, ald_sector, technology, plan, category,

@@ -24,7 +24,6 @@ from testbed.model import PARAMS
 Query = Callable[[SparkSession, str], DataFrame]
 
 RATIO_DIGITS = 6
-FACTOR_DIGITS = 9
 
 
 def rounded(df: DataFrame, columns: Sequence[str], digits: int = RATIO_DIGITS) -> DataFrame:
@@ -257,8 +256,7 @@ def _intensity_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def ei_intensity(spark, sf_dir):
-    result = ei.company_intensity(*_intensity_inputs(spark, sf_dir), PARAMS)
-    return rounded(result, ["emission_intensity_sector"], FACTOR_DIGITS)
+    return ei.company_intensity(*_intensity_inputs(spark, sf_dir), PARAMS)
 
 
 def _intensity_result(spark, sf_dir) -> DataFrame:
@@ -266,9 +264,7 @@ def _intensity_result(spark, sf_dir) -> DataFrame:
 
 
 def ei_score(spark, sf_dir):
-    result = _intensity_result(spark, sf_dir)
-    result = rounded(result, ["emission_intensity_sector", "value"], FACTOR_DIGITS)
-    return rounded(result, ["alignment_metric"])
+    return _intensity_result(spark, sf_dir)
 
 
 def traj_base(spark, sf_dir):
