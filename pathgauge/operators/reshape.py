@@ -79,7 +79,7 @@ def strict_pivot(
         clash = F.col(f"_check{i}") != F.col(f"_hi{i}") if distinct_rows else F.col(f"_check{i}") > 1
         if reject_other:
             clash = (F.col("_other") > 0) | clash
-        message = F.concat(F.lit(f"pivot on {name}: more than one row, or an unlisted name, at {names[i]}"))
+        message = F.lit(f"pivot on {name}: more than one row, or an unlisted name, at {names[i]}")
         return F.when(clash, F.raise_error(message)).otherwise(F.col(f"_hi{i}"))
 
     return grouped.select(*keys, *[checked(i).alias(columns[i]) for i in range(len(names))])

@@ -18,7 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
     folder = configured or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="pathgauge-")
     spark.sparkContext.setCheckpointDir(folder)

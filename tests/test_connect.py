@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from pathgauge import schemas
 from pathgauge.operators import lookup
@@ -193,3 +192,11 @@ def test_early_scope_only_when_it_is_free(spark, tmp_path):
     wide = spark.createDataFrame([(1, 1.0), (3, 1.0), (None, 1.0)], "company_id long, v double")
     assert rows(conn.in_scope_if_free(wide, bridge, "company_id")) == [(1, 1.0)]
     assert conn.in_scope_if_free(wide, bridge, "company_id", row_limit=1).count() == 3
+
+
+def test_no_excluded_technologies_and_no_targets(spark, world):
+    params = profile("2022Q2", time_horizon=1, excluded_techs=())
+    data = [("W", "Power", "OtherCap", "Global", 2022, 0.0)]
+    got = connected(spark, world, FACT_ROWS, data, params)
+    assert rows(got, "technology", "plan_tech_prod", "scen_tech_prod") == [("OtherCap", 1000.0, 1000.0)]
+    assert connected(spark, world, FACT_ROWS, [], PARAMS).count() == 0

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from pathgauge import schemas
 from pathgauge.params import profile
