@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,57 +32,83 @@ _HDV_B2DS, _HDV_SDS, _HDV_NPS, _HDV_WORST = (
     _CODE["Significantly above 2DS >2.7°C"],
 )
 
-# Per sector and category: the conditions in the order they are tried, with the
-# rating each one gives, and the rating when none holds. A condition on a
-# missing number does not hold. "plan" is the company's production, the other
-# names are what the scenarios expect. Bounds are open or closed exactly as
-# written, so a plan that equals a bound may fall through to the last entry.
-LADDERS: dict[tuple[str, str], tuple[tuple[tuple[str, int], ...], int]] = {
-    ("Power", "Green"): (
-        (
-            ("plan = 0", _NOT_APPLICABLE),
-            ("plan >= STEPS AND plan < APS", _ABOVE_APS),
-            ("plan >= APS AND plan < NZE_2050", _APS),
-            ("plan >= NZE_2050", _NZE),
-        ),
-        _STEPS,
+@dataclass(frozen=True)
+class Ladder:
+    """Ratings by the interval between two scenario values that a plan lies in.
+
+    ``steps`` are (low, high, rating), tried in order; a missing end is open.
+    ``ends`` says whether plans equal to an end belong to the interval, so with
+    open ends a plan that equals a scenario value may fall through to
+    ``fallback``, as does a plan or scenario value that is unknown. A plan of 0
+    has its own rating, before or after the steps; ``zero_with`` names a scenario
+    value that must be 0 as well.
+    """
+
+    steps: tuple[tuple[str | None, str | None, int], ...]
+    ends: str
+    fallback: int
+    zero_first: bool = True
+    zero_with: str | None = None
+
+    def rating(self, plan: Column) -> Column:
+        zero = plan == 0 if self.zero_with is None else (plan == 0) & (F.col(self.zero_with) == 0)
+        rules = [(self._inside(plan, low, high), F.lit(code)) for low, high, code in self.steps]
+        rules.insert(0 if self.zero_first else len(rules), (zero, F.lit(_NOT_APPLICABLE)))
+        return first_match(rules, F.lit(self.fallback))
+
+    def _inside(self, plan: Column, low: str | None, high: str | None) -> Column:
+        holds = []
+        if low is not None:
+            holds.append(plan >= F.col(low) if self.ends[0] == "[" else plan > F.col(low))
+        if high is not None:
+            holds.append(plan <= F.col(high) if self.ends[1] == "]" else plan < F.col(high))
+        return reduce(and_, holds)
+
+
+# The ladder of each sector and technology category.
+LADDERS: dict[tuple[str, str], Ladder] = {
+    ("Power", "Green"): Ladder(
+        steps=(("STEPS", "APS", _ABOVE_APS), ("APS", "NZE_2050", _APS), ("NZE_2050", None, _NZE)),
+        ends="[)",
+        fallback=_STEPS,
     ),
-    ("Power", "Brown"): (
-        (
-            ("plan > STEPS", _STEPS),
-            ("plan > APS AND plan < STEPS", _ABOVE_APS),
-            ("plan > NZE_2050 AND plan < APS", _APS),
-            ("plan = 0 AND NZE_2050 = 0", _NOT_APPLICABLE),
-        ),
-        _NZE,
+    ("Power", "Brown"): Ladder(
+        steps=(("STEPS", None, _STEPS), ("APS", "STEPS", _ABOVE_APS), ("NZE_2050", "APS", _APS)),
+        ends="()",
+        fallback=_NZE,
+        zero_first=False,
+        zero_with="NZE_2050",
     ),
-    ("Automotive", "Green"): (
-        (("plan = 0", _NOT_APPLICABLE), ("plan >= NZE_2050", _NZE), ("plan >= APS", _APS)),
-        _ABOVE_APS,
+    ("Automotive", "Green"): Ladder(
+        steps=(("NZE_2050", None, _NZE), ("APS", None, _APS)),
+        ends="[)",
+        fallback=_ABOVE_APS,
     ),
-    ("Automotive", "Brown"): (
-        (("plan = 0", _NOT_APPLICABLE), ("plan <= NZE_2050", _NZE), ("plan <= APS", _APS)),
-        _ABOVE_APS,
+    ("Automotive", "Brown"): Ladder(
+        steps=((None, "NZE_2050", _NZE), (None, "APS", _APS)),
+        ends="(]",
+        fallback=_ABOVE_APS,
     ),
-    ("HDV", "Green"): (
-        (
-            ("plan = 0", _NOT_APPLICABLE),
-            ("plan < NPS", _HDV_WORST),
-            ("plan >= NPS AND plan < SDS", _HDV_NPS),
-            ("plan >= SDS AND plan < B2DS", _HDV_SDS),
-            ("plan >= B2DS", _HDV_B2DS),
+    ("HDV", "Green"): Ladder(
+        steps=(
+            (None, "NPS", _HDV_WORST),
+            ("NPS", "SDS", _HDV_NPS),
+            ("SDS", "B2DS", _HDV_SDS),
+            ("B2DS", None, _HDV_B2DS),
         ),
-        _NO_RATING,
+        ends="[)",
+        fallback=_NO_RATING,
     ),
-    ("HDV", "Brown"): (
-        (
-            ("plan >= NPS", _HDV_WORST),
-            ("plan >= SDS AND plan < NPS", _HDV_NPS),
-            ("plan >= B2DS AND plan < SDS", _HDV_SDS),
-            ("plan < B2DS", _HDV_B2DS),
-            ("plan = 0", _NOT_APPLICABLE),
+    ("HDV", "Brown"): Ladder(
+        steps=(
+            ("NPS", None, _HDV_WORST),
+            ("SDS", "NPS", _HDV_NPS),
+            ("B2DS", "SDS", _HDV_SDS),
+            (None, "B2DS", _HDV_B2DS),
         ),
-        _NO_RATING,
+        ends="[)",
+        fallback=_NO_RATING,
+        zero_first=False,
     ),
 }
 
@@ -117,9 +147,9 @@ def _stricter_power_target() -> Column:
 def rate(ladder: DataFrame) -> DataFrame:
     """Rating code of every row; see ``refdata.RATINGS``."""
     code = F.lit(None).cast("int")
-    for (sector, category), (rules, fallback) in LADDERS.items():
+    for (sector, category), ladder_of in LADDERS.items():
         here = (F.col("ald_sector") == sector) & (F.col("category") == category)
-        code = F.when(here, first_match(rules, fallback)).otherwise(code)
+        code = F.when(here, ladder_of.rating(F.col("plan"))).otherwise(code)
     return ladder.withColumn("NZE_2050", _stricter_power_target()).withColumn("rating_code", code)
 
 
