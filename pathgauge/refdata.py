@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-NO_BREAK_SPACE = " "
-EN_DASH = "–"
-APOSTROPHE = "’"
-E_ACUTE_UPPER, E_ACUTE = "É", "é"
+NO_BREAK_SPACE = "\u00a0"
+EN_DASH = "\u2013"
+APOSTROPHE = "\u2019"
+E_ACUTE_UPPER, E_ACUTE = "\u00c9", "\u00e9"
 
 # --- fixed values: companies and the sector each is assessed in ---------------
 
