@@ -24,7 +24,7 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(entry_module.QUERIES) == set(entry_module.ORACLES)
 
 
 def test_entry(spark):
@@ -33,7 +33,7 @@ def test_entry(spark):
     assert result.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(entry_module.QUERIES))
 def test_query(spark, db, name):
     count, problem, _, _ = compare.compare(spark, db, name, SF_DIR)
     assert problem == ""
