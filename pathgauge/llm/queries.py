@@ -4,21 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathgauge.llm import sharding, simhash
+from pathgauge.llm import decontaminate, language, pieces, pii, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_language(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.token_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash, op10_sharding)}
+QUERIES = {
+    f.__name__: f for f in (op4_language, op5_simhash, op6_pii, op7_decontamination, op8_pieces, op10_sharding)
+}
 
 ORACLES: dict[str, str] = {}
