@@ -246,11 +246,13 @@ def _joined(spans: str):
     return F.array_join(F.transform(spans, one), ",")
 
 
+def _count(spans: str, kind: int):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts per kind, digest of the pattern spans, and all spans, per row of ``docs``."""
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])
-    ]
+    counts = [_count("base", k).alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
     return find_spans(docs, id_col, text_col).select(
         "doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans")
     )
