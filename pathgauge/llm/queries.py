@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathgauge.llm import decontaminate, language, pieces, pii, sharding, simhash
+from pathgauge.llm import decontaminate, fingerprint, language, pages, pieces, pii, quality, sharding, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(_table(spark, sf_dir, "documents"))
 
@@ -31,12 +43,28 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
-    f.__name__: f for f in (op4_language, op5_simhash, op6_pii, op7_decontamination, op8_pieces, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_extraction,
+        op3_fingerprints,
+        op4_language,
+        op5_simhash,
+        op6_pii,
+        op7_decontamination,
+        op8_pieces,
+        op9_urls,
+        op10_sharding,
+    )
 }
 
 ORACLES: dict[str, str] = {}
