@@ -1,0 +1,149 @@
+"""Personal data against the plain patterns, and disclosing terms against plain counts."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import time
+from collections import defaultdict
+
+from llm_fixtures import docs  # noqa: F401
+from pathgauge.llm import pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + k % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def brute_base(text):
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    found = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    found += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 12 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    found += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15]
+    return sorted(found)
+
+
+def test_patterns_against_plain_expressions():
+    source = random.Random(9)
+    samples = ["a@b.c.d@e.f", "x@@y.z", "_@a.b", "a@b", "1.2.3.4.5.6.7.8", "0001.2.3.004", "256.1.1.1", "+1+2 (3)45-6789 01 +"]
+    samples += ["4111 1111-1111 1111", "4111  1111 1111 1111", "é@é.com ü.x@y-.z", "٣.٣.٣.٣"]
+    for alphabet in ("ab1@.-_ ", "0123456789. -+()", "+1 ().-29", "@.a"):
+        samples += ["".join(source.choice(alphabet) for _ in range(source.randrange(60))) for _ in range(1500)]
+    for text in samples:
+        assert pii.base_spans(text) == brute_base(text), text
+
+
+def test_long_runs_take_linear_time():
+    began = time.time()
+    for text in ("1" * 300_000, "a" * 300_000, "a." * 150_000, "1." * 150_000, "+1(" * 100_000, "@" * 300_000, "a@" * 150_000):
+        pii.base_spans(text)
+    assert time.time() - began < 60
+
+
+def report(frame):
+    return {r.doc_id: r for r in pii.pii_report(frame).collect()}
+
+
+def joined(spans):
+    return ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+
+
+def test_report(docs):
+    rows = [
+        (1, "mail é jo.e@mail.example.com or +1 (555) 555-1234, 10.0.0.255"),
+        (2, None),
+        (3, ""),
+        (4, "card 4111 1111 1111 1111"),
+        (5, "ordinary " * 5000),
+        (None, "x@y.zz"),
+    ]
+    frame = docs(*rows, rows[0])
+    found = report(frame)
+    assert pii.pii_report(frame).count() == len(rows) + 1
+    for i, text in rows:
+        spans = brute_base(text or "")
+        r = found[i]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for _, k, _ in spans) for kind in range(4)]
+        assert r.spans == joined(spans)
+        assert r.base_sha256 == hashlib.sha256(joined(spans).encode()).hexdigest()
+    assert pii.pii_report(frame.where("false")).collect() == []
+
+
+def corpus():
+    """One person's address in ten texts with a telling name; a hundred texts without."""
+    source = random.Random(3)
+    plain = lambda n: " ".join(f"common{source.randrange(30)}" for _ in range(n))
+    rows = [(k, f"{plain(5)} Zebulon {plain(2)} zeb@mail.example.com {plain(3)} {k}x") for k in range(10)]
+    rows += [(100 + k, plain(12) + f" t{k}") for k in range(100)]
+    rows += [(300, "Zebulon alone, without the address " + plain(4))]
+    rows += [(400 + k, rows[0][1]) for k in range(20)]  # copies count once
+    rows += [(500 + k, f"Onlytwice one{k}@mail.example.com") for k in range(2)]
+    return rows
+
+
+def brute_terms(rows):
+    """The definition, text by text."""
+    texts = sorted({t for _, t in rows})
+    words = lambda t: [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[A-Za-z0-9_\u0080-\U0010ffff]+", t) if not m[0][0].isdigit()]
+    with_value, with_term, together = defaultdict(set), defaultdict(set), defaultdict(set)
+    for t in texts:
+        spans, ws = brute_base(t), words(t)
+        for _, _, w in ws:
+            with_term[w].add(t)
+        for s, _, e in spans:
+            value = t[s:e].lower()
+            with_value[value].add(t)
+            left = [w for w in ws if w[1] <= s][-pii.WINDOW :]
+            right = [w for w in ws if w[0] >= e][: pii.WINDOW]
+            for a, b, w in left + right:
+                if not any(x < b and a < y for x, _, y in spans):
+                    together[w, value].add(t)
+    found = set()
+    for (w, value), both in together.items():
+        if len(both) >= pii.SUPPORT:
+            content = math.log(len(texts) / len(with_value[value]))
+            pmi = math.log(len(texts) * len(both) / (len(with_term[w]) * len(with_value[value])))
+            if pmi >= pii.DISCLOSURE * content:
+                found.add(w)
+    return found, words
+
+
+def test_disclosing_terms(docs):
+    rows = corpus()
+    terms, words = brute_terms(rows)
+    assert "zebulon" in terms and "onlytwice" not in terms and not any(w.startswith("common") for w in terms)
+    found = report(docs(*rows))
+    for i, text in rows:
+        spans = brute_base(text)
+        spans += [(s, 4, e) for s, e, w in words(text) if w in terms and not any(x < e and s < y for x, _, y in spans)]
+        assert found[i].spans == joined(sorted(spans)), text
+
+
+def test_sanitised(docs):
+    rows = corpus() + [(900, None), (901, "call +1 (555) 555-1234 now"), (901, "call +1 (555) 555-1234 now"), (None, "me@here.org")]
+    frame = docs(*rows)
+    clean = pii.sanitised(frame)
+    assert clean.columns == frame.columns
+    found = clean.collect()
+    assert len(found) == len(rows)
+    texts = defaultdict(list)
+    for r in found:
+        texts[r.doc_id].append(r.text)
+        assert r.text is None or r.n_chars == len(r.text)
+    assert texts[901] == ["call [PHONE] now"] * 2 and texts[None] == ["[EMAIL]"] and texts[900] == [None]
+    assert texts[300][0].startswith("[TERM] alone, without")
+    assert "[TERM]" in texts[0][0] and "[EMAIL]" in texts[0][0] and "zeb@" not in texts[0][0]
+    unchanged = {i: t for i, t in rows if 100 <= (i or 0) < 200}
+    assert all(texts[i] == [t] for i, t in unchanged.items())
