@@ -37,7 +37,7 @@ def main(arguments: list[str] | None = None) -> int:
     run = Run(spark, options.output, options.profile, params)
     for step in options.steps or STEPS:
         if step == "prepare":
-            run.prepare(read_inputs(spark, options.inputs, params))
+            run.prepare(read_inputs(spark, options.inputs, params, options.output))
         elif step == "assemble":
             run.assemble(tables.read_text(spark, f"{options.inputs}/roster.csv"))
         else:

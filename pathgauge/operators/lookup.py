@@ -1,4 +1,4 @@
-"""Joins of large facts to smaller tables, with a size check before any broadcast."""
+"""Joins of large facts to smaller tables."""
 
 from __future__ import annotations
 
@@ -7,59 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 200_000
-SALTS = 64
-
 
 def fixed_lookup(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join to a literal table of ``refdata``, whose size is fixed in the code."""
+    """Join to a table whose size the model bounds: a literal table, or one row per listed place."""
     return facts.join(F.broadcast(table), list(on), how)
 
 
-def lookup_join(
+def salted_join(
     facts: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     how: str,
     *,
     spread_by: Sequence[str],
-    row_limit: int = BROADCAST_ROW_LIMIT,
-    salts: int = SALTS,
+    salts: int,
 ) -> DataFrame:
-    """Join to a stored table that is usually small but comes from the input.
+    """Shuffle join on a few, hot keys.
 
-    Up to ``row_limit`` rows it is broadcast. Beyond that, both sides are
-    shuffled on the key plus a salt, so that one hot key spreads over ``salts``
-    tasks; every table row is repeated once per salt, which keeps the result
-    whole. ``table`` should be a stored table: the size check is a count, which
-    for Parquet reads the file footers only.
+    Both sides are shuffled on the key plus a salt, so that one hot key spreads
+    over ``salts`` tasks; every table row is repeated once per salt, which keeps
+    the result whole. A plain join splits a hot key too where adaptive execution
+    can; this is for stages after which it can't.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
-    if table.count() <= row_limit:
-        return facts.join(F.broadcast(table), list(on), how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def key_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    *,
-    stored: DataFrame | None = None,
-    row_limit: int = BROADCAST_ROW_LIMIT,
-) -> DataFrame:
-    """Join to a table with one row per key that may be small or very large.
-
-    It is broadcast when ``stored`` (the file table that ``table`` is made from,
-    row by row) has at most ``row_limit`` rows; its footers tell. Spark's own
-    estimate is off once the table is itself a join. Beyond the limit this is a
-    plain shuffle join: the key has many values, and adaptive execution splits
-    a frequent one over several tasks.
-    """
-    if (table if stored is None else stored).count() <= row_limit:
-        table = F.broadcast(table)
-    return facts.join(table, list(on), how)

@@ -49,6 +49,7 @@ class Params:
     global_aggregate_sources: tuple[str, ...] = ("ETP2020", "GECO2021", "IPR2021", "ISF2021", "WEO2021")
     global_aggregate_sectors: tuple[str, ...] = ("Power",)
     pathway_source: str = "ETP2017"
+    assessed_sources: tuple[str, ...] = ("WEO2022", "ETP2017")
     brown_techs: tuple[str, ...] = ("ICE", "CoalCap", "GasCap", "OilCap")
     most_relevant_techs: tuple[str, ...] = (
         "ICE",
@@ -129,6 +130,7 @@ CONFIG_KEYS = {
     "tech_exclude": "excluded_techs",
     "scenario_geographies_list": "scenario_geographies",
     "global_aggregate_scenario_sources_list": "global_aggregate_sources",
+    "assessed_scenario_sources_list": "assessed_sources",
     "global_aggregate_sector_list": "global_aggregate_sectors",
     "Brown.Techs": "brown_techs",
     "Most.Relevant.Techs": "most_relevant_techs",
@@ -151,5 +153,6 @@ def from_config(document: Mapping[str, Mapping], name: str) -> Params:
             picks[sector],
             source=merged.get(f"scenario_source_agg_score{suffix}", picks[sector].source),
             scenario=merged.get(f"scenario_agg_score{suffix}", picks[sector].scenario),
+            only_companies=tuple(merged.get(f"only_companies_agg_score{suffix}", picks[sector].only_companies)),
         )
     return replace(Params(), score_picks=picks, **values)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathgauge.functions.semantics import floor_at_zero
-from pathgauge.operators.lookup import BROADCAST_ROW_LIMIT, lookup_join
+from pathgauge.operators.lookup import fixed_lookup, salted_join
 from pathgauge.params import Params
 from pathgauge.plans.production import sum_years, year_rows
 from pathgauge.sources.stages import store
@@ -40,25 +40,10 @@ def name_bridge(wide: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def in_scope(facts: DataFrame, bridge: DataFrame, id: str = "id") -> DataFrame:
-    """Rows of listed companies."""
+    """Rows of listed companies; to be applied ahead of the first sum."""
     return facts.join(bridge.select(F.col("company_id").alias(id)), id, "left_semi")
 
 
-def in_scope_if_free(
-    facts: DataFrame, bridge: DataFrame, id: str = "id", row_limit: int = BROADCAST_ROW_LIMIT
-) -> DataFrame:
-    """Rows of listed companies where that takes no shuffle, else all rows.
-
-    For use ahead of a stage that applies the scope anyway, but later, to sums.
-    A short list of companies leaves most assets out before they are shuffled;
-    a long one would only shuffle them once more. ``bridge`` should be a stored
-    table, whose size its footers tell.
-    """
-    if bridge.count() > row_limit:
-        return facts
-    return facts.join(F.broadcast(bridge.select(F.col("company_id").alias(id))), id, "left_semi")
-
-
 def with_company(facts: DataFrame, bridge: DataFrame) -> DataFrame:
     """Attach name and assessed sector; a company listed under two sectors doubles its rows."""
     return facts.join(bridge.withColumnRenamed("company_id", "id"), "id", "left")
@@ -71,14 +56,12 @@ def index_regions(wide: DataFrame) -> DataFrame:
     )
 
 
-def company_plans(
-    assets: DataFrame, bridge: DataFrame, regions: DataFrame, markets: DataFrame, params: Params
-) -> DataFrame:
-    """Production plan per listed company, market, geography, technology and year.
+def company_plans(assets: DataFrame, regions: DataFrame, markets: DataFrame, params: Params) -> DataFrame:
+    """Production plan per company, market, geography, technology and year.
 
     ``_tech0`` and ``_sector0`` are the reference-year plans of the technology
     and of its whole sector. ``assets`` holds the years side by side, see
-    ``production.asset_sums``.
+    ``production.asset_sums``, and the listed companies only, see ``in_scope``.
 
     Assets are summed by country first, and combined before they are shuffled: a
     company holding a large part of all assets arrives as one row per country
@@ -102,9 +85,8 @@ def company_plans(
         .distinct()
     )
     sector = ["id", "equity_market", "scenario_geography", "ald_sector"]
-    placed = lookup_join(
-        in_scope(by_country, bridge), places, ["ald_location"], "inner", spread_by=["id"]
-    )
+    # At most one row per country, listed geography and market.
+    placed = fixed_lookup(by_country, places, ["ald_location"], "inner")
     plans = sum_years(placed, [*sector, "technology"], years)
     with_start = plans.withColumn(
         "_tech0", F.coalesce(f"v_{params.reference_year}", F.lit(0.0))
@@ -114,75 +96,100 @@ def company_plans(
 
 def connect(
     assets: DataFrame,
-    bridge: DataFrame,
     scenarios: DataFrame,
     regions: DataFrame,
     markets: DataFrame,
     params: Params,
+    *,
+    salts: int = 0,
 ) -> DataFrame:
     """Each listed company's plan beside the production the scenario expects of it.
 
     The expected production starts at the company's own plan in the reference
     year and moves by the scenario's share of the company's sector (technologies
     to build out) or of the technology itself (all others); it is never negative.
-    ``scenarios``, ``regions`` and ``markets`` should be stored tables: they have
-    few keys, so their size is checked before they are broadcast.
+    A technology that a company has no asset of has no plan and hence no row,
+    also where its sector should build it out.
+
+    ``assets`` are those of listed companies (``in_scope``). ``scenarios`` holds
+    a row per source, scenario, geography, technology and year, so how it is
+    joined is left to its size; ``salts`` above 0 asks for a salted shuffle join.
     """
-    targets = scenarios.select(
-        "scenario_source",
-        "scenario",
-        "ald_sector",
-        "technology",
-        "scenario_geography",
-        "year",
-        "fair_share",
-    )
-    plans = company_plans(assets, bridge, regions, markets, params)
-    joined = lookup_join(
-        plans,
-        targets,
-        ["ald_sector", "technology", "scenario_geography", "year"],
-        "inner",
-        spread_by=["id"],
-    )
+    targets = global_from_parts(scenarios, params)
+    plans = company_plans(assets, regions, markets, params)
+    keys = ["ald_sector", "technology", "scenario_geography", "year"]
+    if salts:
+        joined = salted_join(plans, targets, keys, "inner", spread_by=["id"], salts=salts)
+    else:
+        joined = plans.join(targets, keys, "inner")
     base = F.when(F.col("technology").isin(*params.green_techs), F.col("_sector0")).otherwise(F.col("_tech0"))
     expected = floor_at_zero(F.col("_tech0") + F.col("fair_share") * base)
-    connected = joined.withColumn("scen_tech_prod", expected).select(*CONNECTED_COLUMNS)
-    return _global_from_parts(connected, params)
+    connected = joined.withColumn("scen_tech_prod", expected)
+    if not _aggregates_global(params):
+        return connected.select(*CONNECTED_COLUMNS)
+    places = F.when(F.col("_in_global"), F.array("scenario_geography", F.lit(GLOBAL))).otherwise(
+        F.array("scenario_geography")
+    )
+    keys = [c for c in CONNECTED_COLUMNS if c not in ("plan_tech_prod", "scen_tech_prod")]
+    return (
+        connected.withColumn("scenario_geography", F.explode(places))
+        .groupBy(*keys)
+        .agg(F.sum("plan_tech_prod").alias("plan_tech_prod"), F.sum("scen_tech_prod").alias("scen_tech_prod"))
+    )
+
+
+def _aggregates_global(params: Params) -> bool:
+    return bool(params.global_aggregate_sources and params.global_aggregate_sectors)
 
 
-def _global_from_parts(connected: DataFrame, params: Params) -> DataFrame:
-    """For the listed sources and sectors, Global is the sum of the other geographies.
+def global_from_parts(scenarios: DataFrame, params: Params) -> DataFrame:
+    """Targets; for the listed sources and sectors Global becomes the sum of the other geographies.
 
-    Each row of such a pair is emitted for its own geography and for Global, the
-    given Global rows leave, and equal keys are summed, all in one pass.
+    That needs all of the listed geographies: where a source, scenario,
+    technology and year has each of them, the given Global target leaves and the
+    others are marked ``_in_global``, which adds what they come to with each
+    company's plans to its Global row. Where one is missing the targets stay as
+    they are given, so a source that knows Global alone keeps it. This works on
+    the targets, which are few, and costs no pass over the plans.
     """
-    if not params.global_aggregate_sources or not params.global_aggregate_sectors:
-        return connected
+    targets = scenarios.select(
+        "scenario_source", "scenario", "ald_sector", "technology", "scenario_geography", "year", "fair_share"
+    )
+    if not _aggregates_global(params):
+        return targets
+    parts = [g for g in params.scenario_geographies if g != GLOBAL]
     listed = F.coalesce(
         F.col("scenario_source").isin(*params.global_aggregate_sources)
         & F.col("ald_sector").isin(*params.global_aggregate_sectors),
         F.lit(False),
     )
-    is_global = F.col("scenario_geography") == GLOBAL
-    places = (
-        F.when(listed & is_global, F.array().cast("array<string>"))
-        .when(listed, F.array("scenario_geography", F.lit(GLOBAL)))
-        .otherwise(F.array("scenario_geography"))
-    )
-    keys = [c for c in CONNECTED_COLUMNS if c not in ("plan_tech_prod", "scen_tech_prod")]
+    series = Window.partitionBy("scenario_source", "scenario", "ald_sector", "technology", "year")
+    is_part = F.col("scenario_geography").isin(*parts)
+    present = F.size(F.collect_set(F.when(is_part, F.col("scenario_geography"))).over(series))
+    whole = listed & (present == len(parts)) & F.lit(bool(parts))
     return (
-        connected.withColumn("scenario_geography", F.explode(places))
-        .groupBy(*keys)
-        .agg(F.sum("plan_tech_prod").alias("plan_tech_prod"), F.sum("scen_tech_prod").alias("scen_tech_prod"))
+        targets.withColumn("_whole", whole)
+        .where(~(F.col("_whole") & (F.col("scenario_geography") == GLOBAL)))
+        .withColumn("_in_global", F.col("_whole") & is_part)
+        .drop("_whole")
     )
 
 
 def store_per_source(connected: DataFrame, path: str | None = None) -> DataFrame:
     """Write one folder per scenario source in a single job and read it back.
 
-    Rows stay in the tasks that made them, so a source holding most rows is
-    written by many tasks; a later filter on the source reads only its folder.
+    Rows are dealt by source into tasks of even size: a source holding most rows
+    is written by many tasks, a small one by one, so there are few small files. A
+    later filter on the source reads only its folder.
     """
-    stored = store(connected, "connected", partition_by="scenario_source", path=path)
+    dealt = connected.hint("rebalance", "scenario_source")
+    stored = store(dealt, "connected", partition_by="scenario_source", path=path)
     return stored.select(*CONNECTED_COLUMNS)
+
+
+def assessed(connected: DataFrame, params: Params) -> DataFrame:
+    """Rows of the sources that scores and ratings read; prunes the folders of a stored table.
+
+    Other sources may carry a scenario of the same name and would count twice.
+    """
+    return connected.where(F.col("scenario_source").isin(*params.assessed_sources))

@@ -17,7 +17,7 @@ from pathgauge.functions.semantics import (
 )
 from pathgauge.operators.lookup import fixed_lookup
 from pathgauge.params import Params
-from pathgauge.plans.connect import in_scope_if_free
+from pathgauge.plans.connect import in_scope
 from pathgauge.plans.names import display_name
 
 SCORE_COLUMNS = (
@@ -50,7 +50,7 @@ def company_intensity(facts: DataFrame, bridge: DataFrame, params: Params) -> Da
     handles one row per id, sector and year however many assets an id has.
     """
     per_id = (
-        in_scope_if_free(intensity_scope(facts, params), bridge)
+        in_scope(intensity_scope(facts, params), bridge)
         .groupBy("id", "year", "ald_sector")
         .agg(*weighted_terms("ald_emissions_factor", "ald_production"))
     )

@@ -58,11 +58,13 @@ def _with_factor_versions(wide: DataFrame, years: dict[str, int], techs: Sequenc
         return F.when(holds, F.coalesce(value, F.lit(0.0)))
 
     copies = wide.select(*_ASSET_KEYS, "emissions_factor", *years, F.explode(versions).alias("_version"))
-    return copies.select(
+    cells = copies.select(
         *_ASSET_KEYS,
         factor.alias("emissions_factor"),
         *[cell(F.col(c)).alias(f"v_{y}") for c, y in years.items()],
     )
+    # A version that holds in no year would only be shuffled.
+    return cells.where(F.coalesce(*[F.col(f"v_{y}") for y in years.values()]).isNotNull()) if years else cells
 
 
 def sum_years(rows: DataFrame, keys: Sequence[str], years: Iterable[int]) -> DataFrame:

@@ -223,6 +223,11 @@ def company_scores(connected: DataFrame, bridge: DataFrame, params: Params) -> D
 def score_result(scores: DataFrame) -> DataFrame:
     """Rank within the sector, class and traffic light."""
     ranked = average_rank_desc(scores, "ald_sector", "single_score_Case8", "company_name")
+    return score_classes(ranked).select(*RANK_COLUMNS)
+
+
+def score_classes(scores: DataFrame) -> DataFrame:
+    """Class and traffic light, which need no rank; reports read these alone."""
     good = F.coalesce(F.col("single_score_Case8") >= 0, F.lit(False))
     classes = first_match(
         [
@@ -232,9 +237,8 @@ def score_result(scores: DataFrame) -> DataFrame:
     )
     yes, no = refdata.SCORE_LIGHTS
     return (
-        ranked.withColumn("aggregate_score_class", classes)
+        scores.withColumn("aggregate_score_class", classes)
         .withColumn("aggregate_score_traffic_light", F.when(good, F.lit(yes)).otherwise(F.lit(no)))
-        .select(*RANK_COLUMNS)
     )
 
 

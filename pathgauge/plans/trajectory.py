@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,83 +31,70 @@ _HDV_B2DS, _HDV_SDS, _HDV_NPS, _HDV_WORST = (
     _CODE["Significantly above 2DS >2.7°C"],
 )
 
+
 @dataclass(frozen=True)
 class Ladder:
-    """Ratings by the interval between two scenario values that a plan lies in.
-
-    ``steps`` are (low, high, rating), tried in order; a missing end is open.
-    ``ends`` says whether plans equal to an end belong to the interval, so with
-    open ends a plan that equals a scenario value may fall through to
-    ``fallback``, as does a plan or scenario value that is unknown. A plan of 0
-    has its own rating, before or after the steps; ``zero_with`` names a scenario
-    value that must be 0 as well.
+    """Ratings of one sector and category: conditions tried in order, and what is left.
+
+    Each condition compares the plan with scenario values. A condition on an
+    unknown value doesn't hold. Where all are strict, a plan that equals a
+    scenario value falls through to ``fallback``.
     """
 
-    steps: tuple[tuple[str | None, str | None, int], ...]
-    ends: str
+    arms: tuple[tuple[str, int], ...]
     fallback: int
-    zero_first: bool = True
-    zero_with: str | None = None
 
-    def rating(self, plan: Column) -> Column:
-        zero = plan == 0 if self.zero_with is None else (plan == 0) & (F.col(self.zero_with) == 0)
-        rules = [(self._inside(plan, low, high), F.lit(code)) for low, high, code in self.steps]
-        rules.insert(0 if self.zero_first else len(rules), (zero, F.lit(_NOT_APPLICABLE)))
-        return first_match(rules, F.lit(self.fallback))
-
-    def _inside(self, plan: Column, low: str | None, high: str | None) -> Column:
-        holds = []
-        if low is not None:
-            holds.append(plan >= F.col(low) if self.ends[0] == "[" else plan > F.col(low))
-        if high is not None:
-            holds.append(plan <= F.col(high) if self.ends[1] == "]" else plan < F.col(high))
-        return reduce(and_, holds)
+    def rating(self) -> Column:
+        return first_match([(F.expr(when), F.lit(code)) for when, code in self.arms], F.lit(self.fallback))
 
 
 # The ladder of each sector and technology category.
 LADDERS: dict[tuple[str, str], Ladder] = {
     ("Power", "Green"): Ladder(
-        steps=(("STEPS", "APS", _ABOVE_APS), ("APS", "NZE_2050", _APS), ("NZE_2050", None, _NZE)),
-        ends="[)",
+        (
+            ("plan = 0", _NOT_APPLICABLE),
+            ("plan >= STEPS and plan < APS", _ABOVE_APS),
+            ("plan >= APS and plan < NZE_2050", _APS),
+            ("plan >= NZE_2050", _NZE),
+        ),
         fallback=_STEPS,
     ),
     ("Power", "Brown"): Ladder(
-        steps=(("STEPS", None, _STEPS), ("APS", "STEPS", _ABOVE_APS), ("NZE_2050", "APS", _APS)),
-        ends="()",
+        (
+            ("plan > STEPS", _STEPS),
+            ("plan > APS and plan < STEPS", _ABOVE_APS),
+            ("plan > NZE_2050 and plan < APS", _APS),
+            ("plan = 0 and NZE_2050 = 0", _NOT_APPLICABLE),
+        ),
         fallback=_NZE,
-        zero_first=False,
-        zero_with="NZE_2050",
     ),
     ("Automotive", "Green"): Ladder(
-        steps=(("NZE_2050", None, _NZE), ("APS", None, _APS)),
-        ends="[)",
+        (("plan = 0", _NOT_APPLICABLE), ("plan >= NZE_2050", _NZE), ("plan >= APS", _APS)),
         fallback=_ABOVE_APS,
     ),
     ("Automotive", "Brown"): Ladder(
-        steps=((None, "NZE_2050", _NZE), (None, "APS", _APS)),
-        ends="(]",
+        (("plan = 0", _NOT_APPLICABLE), ("plan <= NZE_2050", _NZE), ("plan <= APS", _APS)),
         fallback=_ABOVE_APS,
     ),
     ("HDV", "Green"): Ladder(
-        steps=(
-            (None, "NPS", _HDV_WORST),
-            ("NPS", "SDS", _HDV_NPS),
-            ("SDS", "B2DS", _HDV_SDS),
-            ("B2DS", None, _HDV_B2DS),
+        (
+            ("plan = 0", _NOT_APPLICABLE),
+            ("plan < NPS", _HDV_WORST),
+            ("plan >= NPS and plan < SDS", _HDV_NPS),
+            ("plan >= SDS and plan < B2DS", _HDV_SDS),
+            ("plan >= B2DS", _HDV_B2DS),
         ),
-        ends="[)",
         fallback=_NO_RATING,
     ),
     ("HDV", "Brown"): Ladder(
-        steps=(
-            ("NPS", None, _HDV_WORST),
-            ("SDS", "NPS", _HDV_NPS),
-            ("B2DS", "SDS", _HDV_SDS),
-            (None, "B2DS", _HDV_B2DS),
+        (
+            ("plan >= NPS", _HDV_WORST),
+            ("plan >= SDS and plan < NPS", _HDV_NPS),
+            ("plan >= B2DS and plan < SDS", _HDV_SDS),
+            ("plan < B2DS", _HDV_B2DS),
+            ("plan = 0", _NOT_APPLICABLE),
         ),
-        ends="[)",
         fallback=_NO_RATING,
-        zero_first=False,
     ),
 }
 
@@ -149,7 +135,7 @@ def rate(ladder: DataFrame) -> DataFrame:
     code = F.lit(None).cast("int")
     for (sector, category), ladder_of in LADDERS.items():
         here = (F.col("ald_sector") == sector) & (F.col("category") == category)
-        code = F.when(here, ladder_of.rating(F.col("plan"))).otherwise(code)
+        code = F.when(here, ladder_of.rating()).otherwise(code)
     return ladder.withColumn("NZE_2050", _stricter_power_target()).withColumn("rating_code", code)
 
 
@@ -171,21 +157,41 @@ def rated(connected: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def rated_columns(sector: str) -> dict[str, str]:
-    return {refdata.tech_key(sector, tech): tech for tech in refdata.RATED_TECHS[sector]}
+def rated_columns(sector: str, techs: Mapping[str, Sequence[str]] = refdata.RATED_TECHS) -> dict[str, str]:
+    return {refdata.tech_key(sector, tech): tech for tech in techs[sector]}
+
 
+def run_techs(targets: DataFrame) -> dict[str, tuple[str, ...]]:
+    """Technologies to rate per sector: the fixed list, then what else the run's targets name.
 
-def technology_result(connected: DataFrame, bridge: DataFrame, params: Params) -> DataFrame:
+    Reads the distinct technologies of the stored targets, a few dozen.
+    """
+    named = targets.where(F.col("ald_sector").isin(*refdata.RATED_TECHS)).select("ald_sector", "technology")
+    found = {(r.ald_sector, r.technology) for r in named.distinct().collect() if r.technology is not None}
+    return {
+        sector: (*fixed, *sorted(t for s, t in found if s == sector and t not in fixed))
+        for sector, fixed in refdata.RATED_TECHS.items()
+    }
+
+
+def technology_result(
+    connected: DataFrame,
+    bridge: DataFrame,
+    params: Params,
+    techs: Mapping[str, Sequence[str]] = refdata.RATED_TECHS,
+) -> DataFrame:
     """One row per company in the sector it is assessed in, two columns per technology.
 
-    Only the rating code is pivoted; text and light are looked up afterwards,
-    which keeps the aggregate on plain numbers.
+    ``techs`` widens the result by technologies that a run has beside the fixed
+    ones; one that is in neither is an error. Only the rating code is pivoted;
+    text and light are looked up afterwards, which keeps the aggregate on plain
+    numbers.
     """
     coded = rate(scenario_ladder(connected, params))
     assessed = bridge.select(
         F.col("company_id").alias("id"), "company_name", F.col("sector_assessed").alias("ald_sector")
     )
-    keys = {key: tech for sector in refdata.RATED_TECHS for key, tech in rated_columns(sector).items()}
+    keys = {key: tech for sector in techs for key, tech in rated_columns(sector, techs).items()}
     wide = strict_pivot(
         coded.join(assessed, ["id", "ald_sector"], "inner"),
         ["company_name", "ald_sector"],

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 NO_BREAK_SPACE = "\u00a0"
 EN_DASH = "\u2013"
 APOSTROPHE = "\u2019"
-E_ACUTE_UPPER, E_ACUTE = "\u00c9", "\u00e9"
 
 # --- fixed values: companies and the sector each is assessed in ---------------
 
@@ -25,7 +24,7 @@ COMPANIES: dict[str, tuple[str, ...]] = {
         "Dominion Energy, Inc.",
         "Duke Energy Corp.",
         "E.ON SE",
-        f"{E_ACUTE_UPPER}lectricit{E_ACUTE} de France SA",
+        "Électricité de France SA",
         "Enel SpA",
         "ENGIE SA",
         "Eskom Holdings SOC Ltd.",
@@ -116,7 +115,7 @@ COMPANIES: dict[str, tuple[str, ...]] = {
 
 SCORE_DISPLAY_NAMES: dict[str, str] = {
     "CEZ as": "CEZ, a.s.",
-    f"{E_ACUTE_UPPER}lectricit{E_ACUTE} de France SA": f"Electricit{E_ACUTE} de France S.A.",
+    "Électricité de France SA": "Electricité de France S.A.",
     "ENGIE SA": "Engie S.A.",
     "Iberdrola SA": "Iberdrola, S.A.",
     "National Grid Plc": "National Grid plc",

@@ -6,14 +6,13 @@ executor costs its running tasks but never a stage that is already written.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for stage tables; a temporary one only on a local master that names none."""
+    """Folder for stage tables: the cluster's checkpoint folder, or beside a local master's tables."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = configured or spark.sparkContext.getCheckpointDir()
     if folder:
@@ -21,9 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="pathgauge-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_pathgauge"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -31,9 +28,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def _own_stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stages/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A folder no other run uses."""
-    return f"{shared_dir(spark)}/stages/{uuid.uuid4().hex}/{name}"
+    """A folder no other stage uses, among those of this application."""
+    return f"{_own_stages(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def remove_stages(spark: SparkSession) -> None:
+    """Delete what this application has stored without a path of its own; for the end of a run."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(_own_stages(spark))
+    folder.getFileSystem(conf).delete(folder, True)
 
 
 def store(df: DataFrame, name: str, *, partition_by: str | None = None, path: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ alone, and work that is stored is never lost with an executor.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,16 +39,21 @@ class Inputs:
     companies: DataFrame
 
 
-def read_inputs(spark: SparkSession, folder: str, params: Params) -> Inputs:
+def read_inputs(spark: SparkSession, folder: str, params: Params, run_folder: str) -> Inputs:
     """Inputs from one folder of CSV files.
 
     ``production.csv``, ``scenarios/<dataset>.csv`` for every configured dataset,
     ``hdv_pathway.csv``, ``geography_bridge.csv`` and ``scenario_regions.csv``.
     The assessed companies are the fixed list of the model. The production file
-    is parsed once and kept as a column store, as three stages read parts of it.
+    is parsed once and kept as a column store in the run's folder, as three stages
+    read parts of it; a repeated run overwrites it.
     """
     return Inputs(
-        production=store(tables.read_production(spark, f"{folder}/production.csv"), "production"),
+        production=store(
+            tables.read_production(spark, f"{folder}/production.csv"),
+            "production",
+            path=f"{run_folder.rstrip('/')}/production",
+        ),
         scenarios={
             name: tables.read_csv(spark, f"{folder}/scenarios/{name}.csv", schemas.SCENARIO_RAW)
             for name in params.scenario_datasets
@@ -102,15 +107,16 @@ class Run:
             "scenario_long",
             path=self.path("scenario_long"),
         )
-        listed = conn.in_scope_if_free(masterdata, bridge)
+        listed = conn.in_scope(masterdata, bridge)
         assets = prod.recode_hdv(prod.side_by_side(listed, params.relevant_years))
         conn.store_per_source(
-            conn.connect(assets, bridge, long, inputs.scenario_regions, markets, params),
+            conn.connect(assets, long, inputs.scenario_regions, markets, params),
             path=self.path("connected"),
         )
 
     def connected(self) -> DataFrame:
-        return self.table("connected").select(*conn.CONNECTED_COLUMNS)
+        """Plans and targets of the sources that scores and ratings are made from."""
+        return conn.assessed(self.table("connected").select(*conn.CONNECTED_COLUMNS), self.params)
 
     def score(self) -> None:
         """Aggregate score per sector, and the communication table."""
@@ -131,13 +137,18 @@ class Run:
 
     def trajectory(self) -> None:
         """Rating and traffic light per technology."""
-        result = trajectory.technology_result(self.connected(), self.table("name_bridge"), self.params)
+        techs = self.techs()
+        result = trajectory.technology_result(self.connected(), self.table("name_bridge"), self.params, techs)
         tables.write_csv(
             trajectory.sorted_result(result),
             self.path(f"Trajectory_technology_{self.name}.csv"),
-            technology_headings(),
+            technology_headings(techs),
         )
 
+    def techs(self) -> dict[str, tuple[str, ...]]:
+        """Rated technologies per sector, those of the run's targets included."""
+        return trajectory.run_techs(self.table("scenario_long"))
+
     def intensity(self) -> None:
         """Emission intensity against the benchmark."""
         result = ei.intensity_result(self.table("masterdata"), self.table("name_bridge"), self.params)
@@ -145,12 +156,12 @@ class Run:
 
     def assemble(self, roster: DataFrame) -> dict[str, DataFrame]:
         """Report table of every sheet, also written as one CSV per sheet."""
-        spark = self.spark
+        spark, techs = self.spark, self.techs()
         technologies = tables.read_csv(
             spark,
             self.path(f"Trajectory_technology_{self.name}.csv"),
-            technology_schema(),
-            technology_headings(),
+            technology_schema(techs),
+            technology_headings(techs),
         )
         intensities = tables.read_csv(
             spark,
@@ -175,16 +186,16 @@ class Run:
         return sheets
 
 
-def technology_schema() -> T.StructType:
+def technology_schema(techs: Mapping[str, Sequence[str]] = refdata.RATED_TECHS) -> T.StructType:
     names = ["company_name", "ald_sector"]
     for kind in ("Rating", "traffic_light"):
-        for sector in refdata.RATED_TECHS:
-            names += [f"{kind}_{key}" for key in trajectory.rated_columns(sector)]
+        for sector in techs:
+            names += [f"{kind}_{key}" for key in trajectory.rated_columns(sector, techs)]
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def technology_headings() -> dict[str, str]:
+def technology_headings(techs: Mapping[str, Sequence[str]] = refdata.RATED_TECHS) -> dict[str, str]:
     """Columns whose name in the file holds a dot, which a column here does not."""
     return {
-        name: name.replace("2_", "2.", 1) for name in technology_schema().fieldNames() if "2di" in name
+        name: name.replace("2_", "2.", 1) for name in technology_schema(techs).fieldNames() if "2di" in name
     }

@@ -14,21 +14,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathgauge.functions.semantics import first_match
-from pathgauge.operators.lookup import fixed_lookup, key_join
+from pathgauge.operators.lookup import fixed_lookup
 from pathgauge.params import Params, ScorePick, profile
 
 YEARS = range(1995, 2002)
 KNOTS = (1995, 1998, 2001)
 
+# The truck score is made for some of the companies only.
+HDV_SCORED = tuple(f"Supplier#{n:09d}" for n in range(1, 200, 2))
+
 PARAMS: Params = profile(
     "2023Q2",
     reference_year=1996,
     time_horizon=5,
-    scenario_datasets=("weo_2022", "sector_2021"),
+    scenario_datasets=("weo_2022", "sector_2021", "geco_2021"),
+    # GECO2021 has a scenario of the same name as WEO2022; scores and ratings leave it out.
+    scenario_sources=("WEO2022", "ETP2017", "GECO2021"),
+    brown_techs=("ICE", "CoalCap", "GasCap", "OilCap", "ICE_HDV"),
     score_picks={
         "Power": ScorePick("WEO2022", "NZE_2050"),
         "Automotive": ScorePick("WEO2022", "NZE_2050"),
-        "HDV": ScorePick("ETP2017", "B2DS"),
+        "HDV": ScorePick("ETP2017", "B2DS", HDV_SCORED),
     },
 )
 
@@ -84,6 +90,7 @@ BRIDGE = (
     ("WEO2022", "Emerging economies", "NonOECD"),
     ("ETP2017", "Global", "Global"),
     ("SECTOR2021", "World", "Global"),
+    ("GECO2021", "World", "Global"),
 )
 
 
@@ -134,8 +141,9 @@ def _kinds() -> tuple[list[tuple], list[tuple]]:
 def part_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind number and size of every part."""
     rule = spark.createDataFrame(_kinds()[0], "p_type string, p_brand string, kind int")
-    return fixed_lookup(read(spark, sf_dir, "part"), rule, ["p_type", "p_brand"], "inner").select(
-        F.col("p_partkey").alias("l_partkey"), "kind", "p_size"
+    unknown = F.raise_error(F.concat_ws(" ", F.lit("no kind for part type and brand"), "p_type", "p_brand"))
+    return fixed_lookup(read(spark, sf_dir, "part"), rule, ["p_type", "p_brand"], "left").select(
+        F.col("p_partkey").alias("l_partkey"), F.coalesce("kind", unknown.cast("int")).alias("kind"), "p_size"
     )
 
 
@@ -170,17 +178,21 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lines_of_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line with its kind, year, and quantity before and after returns.
 
-    The part table grows with the data, so its size is checked before it is broadcast.
+    The part table grows with the data; its size decides how Spark joins it.
     """
     returned = F.col("l_returnflag") == "R"
+    year = F.year("l_shipdate")
+    outside = F.raise_error(F.concat(F.lit("shipped outside the model's years: "), year.cast("string")))
     lines = read(spark, sf_dir, "lineitem").select(
         "l_partkey",
         "l_suppkey",
-        F.year("l_shipdate").alias("ship_year"),
+        F.when(year.isin(*YEARS), year).otherwise(outside.cast("int")).alias("ship_year"),
         F.col("l_quantity").alias("gross"),
         F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("net"),
     )
-    return key_join(lines, part_kinds(spark, sf_dir), ["l_partkey"], stored=read(spark, sf_dir, "part"))
+    return lines.join(part_kinds(spark, sf_dir), "l_partkey").select(
+        "l_suppkey", "ship_year", "gross", "net", "kind", "p_size"
+    )
 
 
 def _side_by_side(value: str, prefix: str) -> list[Column]:
@@ -200,9 +212,8 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     summed = of_kind.groupBy("l_suppkey", "kind", "p_size").agg(
         *_side_by_side("net", ""), *_side_by_side("gross", "g")
     )
-    return key_join(
-        with_kind(summed), places(spark, sf_dir), ["l_suppkey"], stored=read(spark, sf_dir, "supplier")
-    ).withColumnRenamed("l_suppkey", "company_id")
+    placed = with_kind(summed).join(places(spark, sf_dir), "l_suppkey")
+    return placed.withColumnRenamed("l_suppkey", "company_id")
 
 
 def shipped_gross(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,10 +222,7 @@ def shipped_gross(spark: SparkSession, sf_dir: str) -> DataFrame:
         _kinds()[1], "kind int, sector string, technology string, unit string, scale double"
     )
     summed = lines_of_kind(spark, sf_dir).groupBy("l_suppkey", "kind").agg(*_side_by_side("gross", "g"))
-    placed = key_join(
-        summed, places(spark, sf_dir), ["l_suppkey"], stored=read(spark, sf_dir, "supplier")
-    )
-    return fixed_lookup(placed, kinds, ["kind"], "inner")
+    return fixed_lookup(summed.join(places(spark, sf_dir), "l_suppkey"), kinds, ["kind"], "inner")
 
 
 def production(shipped: DataFrame) -> DataFrame:
@@ -307,7 +315,10 @@ def datasets(totals: DataFrame) -> Mapping[str, DataFrame]:
         "year",
         F.col("total").alias("value"),
     )
-    return {"weo_2022": weo, "sector_2021": sector}
+    geco = weo.where((F.col("scenario") == "NZE_2050") & (F.col("scenario_geography") == "World")).withColumns(
+        {"source": F.lit("GECO2021"), "value": F.col("value") * 1.5}
+    )
+    return {"weo_2022": weo, "sector_2021": sector, "geco_2021": geco}
 
 
 def pathway(totals: DataFrame) -> DataFrame:

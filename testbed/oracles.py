@@ -178,8 +178,11 @@ placed_totals AS (
           CASE WHEN region IN ('AMERICA', 'EUROPE') THEN 'Advanced economies' ELSE 'Emerging economies' END
         FROM facts)
   WHERE y IN (1995, 1998, 2001) GROUP BY ALL),
+weo AS ({_WEO}),
 raw_scenarios AS (
-  {_WEO}
+  SELECT * FROM weo
+  UNION ALL SELECT 'GECO2021', scenario, sector, technology, scenario_geography, indicator, units, year, value * 1.5
+  FROM weo WHERE scenario = 'NZE_2050' AND scenario_geography = 'World'
   UNION ALL SELECT 'SECTOR2021', 'REF', sector, technology, scenario_geography, NULL, 't', year, total
   FROM placed_totals WHERE sector IN ('Steel', 'Cement') AND scenario_geography = 'World' AND year IN (1995, 2001)),
 spans AS (
@@ -271,6 +274,7 @@ expected AS (
     AND b.ald_sector = p.ald_sector),
 connected AS (
   SELECT * EXCLUDE (scen), CASE WHEN scen <= 0 THEN 0 ELSE scen END AS scen_tech_prod FROM expected),
+assessed_rows AS (SELECT * FROM connected WHERE scenario_source IN ('WEO2022', 'ETP2017')),
 ei_rows AS (
   SELECT m.*, b.company_name FROM master m JOIN bridge b ON b.company_id = m.id
   WHERE m.ald_sector IN ('Steel', 'Cement', 'Aviation') AND m.technology NOT IN ('Grinding', 'Freight')
@@ -311,7 +315,7 @@ ladder AS (
     MAX(CASE WHEN scenario = 'SDS' THEN scen_tech_prod END) AS "SDS",
     MAX(CASE WHEN scenario = 'B2DS' THEN scen_tech_prod END) AS "B2DS",
     CASE WHEN technology IN {_in(P.brown_techs)} THEN 'Brown' ELSE 'Green' END AS category
-  FROM connected
+  FROM assessed_rows
   WHERE year = {T1} AND scenario_geography = 'Global' AND ald_sector IN ('Power', 'Automotive', 'HDV')
   GROUP BY ALL),
 ladder2 AS (
@@ -330,6 +334,8 @@ ratings AS (
       WHEN plan >= "NZE_2050" THEN {_NZE} WHEN plan >= "APS" THEN {_APS} ELSE {_ABOVE} END
     WHEN ald_sector = 'Automotive' THEN CASE WHEN plan = 0 THEN {_NA}
       WHEN plan <= "NZE_2050" THEN {_NZE} WHEN plan <= "APS" THEN {_APS} ELSE {_ABOVE} END
+    WHEN category = 'Brown' THEN CASE WHEN plan >= "NPS" THEN {_H4} WHEN plan >= "SDS" AND plan < "NPS" THEN {_H3}
+      WHEN plan >= "B2DS" AND plan < "SDS" THEN {_H2} WHEN plan < "B2DS" THEN {_H1} WHEN plan = 0 THEN {_NA} END
     ELSE CASE WHEN plan = 0 THEN {_NA} WHEN plan < "NPS" THEN {_H4} WHEN plan >= "NPS" AND plan < "SDS" THEN {_H3}
       WHEN plan >= "SDS" AND plan < "B2DS" THEN {_H2} WHEN plan >= "B2DS" THEN {_H1} END
     END AS rating FROM ladder2),
@@ -341,7 +347,7 @@ types AS ({_TYPES}),
 sums AS (
   SELECT company_name, id, scenario_source, scenario, scenario_geography, ald_sector, technology, year,
     COALESCE(SUM(plan_tech_prod), 0) AS plan_tech_prod, COALESCE(SUM(scen_tech_prod), 0) AS scen_tech_prod
-  FROM connected JOIN bridge ON company_id = id
+  FROM assessed_rows JOIN bridge ON company_id = id
   WHERE year IN ({T0}, {T1}) AND ald_sector IN ('Power', 'Automotive', 'HDV') GROUP BY ALL),
 sector_sums AS (
   SELECT company_name, id, scenario, scenario_geography, ald_sector, year,
@@ -377,7 +383,8 @@ scores AS (
   FROM factors GROUP BY ALL),
 picked AS (
   SELECT DISTINCT ald_sector, company_name, score FROM scores
-  WHERE year = {T1} AND (scenario_source, scenario) IN (('WEO2022', 'NZE_2050'), ('ETP2017', 'B2DS'))),
+  WHERE year = {T1} AND ((ald_sector <> 'HDV' AND (scenario_source, scenario) = ('WEO2022', 'NZE_2050'))
+    OR (scenario_source, scenario) = ('ETP2017', 'B2DS') AND company_name IN {_in(model.HDV_SCORED)})),
 ranked AS (
   SELECT p.ald_sector, p.company_name, p.score AS "single_score_Case8",
     CASE WHEN p.score IS NOT NULL THEN CAST(
@@ -484,6 +491,21 @@ ORACLES: dict[str, str] = {
         FROM master LEFT JOIN bridge ON company_id = id WHERE year = {T0}"""
     ),
     "connect": _q("SELECT * REPLACE (ROUND(scen_tech_prod, 6) AS scen_tech_prod) FROM connected"),
+    "global_aggregate": _q(
+        """SELECT id, equity_market, v.name AS scenario_source, scenario, scenario_geography, ald_sector, technology,
+          year, plan_tech_prod, ROUND(scen_tech_prod, 6) AS scen_tech_prod
+        FROM connected JOIN (VALUES ('ALL', 'OECD'), ('ALL', 'NonOECD'), ('TOP', 'Global'), ('SOME', 'Global'),
+          ('SOME', 'OECD')) AS v(name, place) ON v.place = scenario_geography
+        WHERE scenario_source = 'WEO2022' AND ald_sector = 'Power'
+        UNION ALL SELECT id, equity_market, 'ALL', scenario, 'Global', ald_sector, technology, year,
+          SUM(plan_tech_prod), ROUND(SUM(scen_tech_prod), 6)
+        FROM connected WHERE scenario_source = 'WEO2022' AND ald_sector = 'Power'
+          AND scenario_geography IN ('OECD', 'NonOECD')
+        GROUP BY id, equity_market, scenario, ald_sector, technology, year"""
+    ),
+    "result_csv": _q(
+        'SELECT * REPLACE (ROUND("single_score_Case8", 6) AS "single_score_Case8") FROM ranked'
+    ),
     "per_source_output": _q(
         """SELECT scenario_source, scenario, COUNT(*) AS n_rows, SUM(plan_tech_prod) AS plan_tech_prod
         FROM connected GROUP BY ALL"""

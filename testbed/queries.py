@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pathgauge import refdata, schemas
 from pathgauge.functions.semantics import sum0
@@ -18,6 +21,7 @@ from pathgauge.plans import report, scenario, score, trajectory
 from pathgauge.plans.names import display_name
 from pathgauge.sources import tables
 from pathgauge.sources.stages import stage_path, store
+from pathgauge.workflow import technology_headings, technology_schema
 from testbed import model
 from testbed.model import PARAMS
 
@@ -63,13 +67,13 @@ def _stored_bridge(spark, sf_dir, wide: DataFrame) -> DataFrame:
 
 
 def _scenario_input(shipped: DataFrame) -> DataFrame:
-    """Both scenario tables come from the same totals, which are kept as a stage."""
-    totals = store(model.totals(shipped), "totals")
+    """Both scenario tables come from the same totals."""
+    totals = model.totals(shipped)
     return scenario.scenario_input(model.datasets(totals), model.pathway(totals), PARAMS)
 
 
 def _scenario_raw(spark, sf_dir) -> DataFrame:
-    totals = store(model.totals(model.shipped_gross(spark, sf_dir)), "totals")
+    totals = model.totals(model.shipped_gross(spark, sf_dir))
     return stack_named(model.datasets(totals), PARAMS.scenario_datasets)
 
 
@@ -79,27 +83,32 @@ def _scenario_long(spark, sf_dir, shipped: DataFrame) -> DataFrame:
     )
 
 
-def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Connected table and name bridge, on top of stored inputs."""
+def _connected(spark, sf_dir, params=PARAMS, targets=lambda scenarios: scenarios) -> tuple[DataFrame, DataFrame]:
+    """Connected table of all sources, and the name bridge, on top of the stored shipments."""
     shipped = _shipped(spark, sf_dir)
     wide = model.production(shipped)
-    listed = _stored_bridge(spark, sf_dir, wide)
+    listed = _name_bridge(spark, sf_dir, wide)
     assets = prod.asset_sums(
-        conn.in_scope_if_free(wide, listed, "company_id"),
-        years=PARAMS.relevant_years,
-        zero_techs=PARAMS.zero_emission_techs,
+        conn.in_scope(wide, listed, "company_id"),
+        years=params.relevant_years,
+        zero_techs=params.zero_emission_techs,
     )
     connected = conn.connect(
         prod.recode_hdv(assets),
-        listed,
-        store(_scenario_long(spark, sf_dir, shipped), "scenario_long"),
+        targets(_scenario_long(spark, sf_dir, shipped)),
         model.regions(spark, sf_dir),
-        store(conn.index_regions(wide), "index_regions"),
-        PARAMS,
+        conn.index_regions(wide),
+        params,
     )
     return connected, listed
 
 
+def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Connected table of the assessed sources, and the name bridge."""
+    connected, listed = _connected(spark, sf_dir)
+    return conn.assessed(connected, PARAMS), listed
+
+
 def _rated(sector: str) -> Query:
     def query(spark, sf_dir):
         connected, _ = _connected_stages(spark, sf_dir)
@@ -199,12 +208,28 @@ def bridge_join(spark, sf_dir):
 
 
 def connect(spark, sf_dir):
-    connected, _ = _connected_stages(spark, sf_dir)
+    connected, _ = _connected(spark, sf_dir)
+    return rounded(connected, ["scen_tech_prod"])
+
+
+def _three_sources(scenarios: DataFrame) -> DataFrame:
+    """The power targets under three names: every geography, Global alone, Global and one part."""
+    geography = F.col("scenario_geography")
+    versions = F.when(geography == "Global", F.array(F.lit("ALL"), F.lit("TOP"), F.lit("SOME")))
+    versions = versions.when(geography == "OECD", F.array(F.lit("ALL"), F.lit("SOME"))).otherwise(F.array(F.lit("ALL")))
+    own = scenarios.where((F.col("scenario_source") == "WEO2022") & (F.col("ald_sector") == "Power"))
+    return own.withColumn("scenario_source", F.explode(versions))
+
+
+def global_aggregate(spark, sf_dir):
+    """Global as the sum of its parts where a source has them all, else as given."""
+    params = replace(PARAMS, global_aggregate_sources=("ALL", "TOP", "SOME"), global_aggregate_sectors=("Power",))
+    connected, _ = _connected(spark, sf_dir, params, _three_sources)
     return rounded(connected, ["scen_tech_prod"])
 
 
 def per_source_output(spark, sf_dir):
-    connected, _ = _connected_stages(spark, sf_dir)
+    connected, _ = _connected(spark, sf_dir)
     stored = conn.store_per_source(connected)
     return stored.groupBy("scenario_source", "scenario").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("plan_tech_prod").alias("plan_tech_prod")
@@ -251,7 +276,7 @@ def ei_scope(spark, sf_dir):
 def _intensity_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     wide = _wide(spark, sf_dir)
     listed = _stored_bridge(spark, sf_dir, wide)
-    scoped = conn.in_scope_if_free(wide, listed, "company_id")
+    scoped = conn.in_scope(wide, listed, "company_id")
     return _masterdata(scoped, years=[PARAMS.reference_year]), listed
 
 
@@ -357,13 +382,51 @@ def comm_plan(spark, sf_dir):
     return rounded(plan, numbers)
 
 
+def _through_csv(spark, df: DataFrame, name: str, schema=None, headings=None) -> DataFrame:
+    """A result file, written and read back."""
+    path = stage_path(spark, f"{name}.csv")
+    tables.write_csv(df, path, headings)
+    return tables.read_csv(spark, path, schema, headings) if schema else tables.read_text(spark, path)
+
+
+def result_csv(spark, sf_dir):
+    """The ranked score of every sector, from one result file per sector."""
+    result = store(_score_result(spark, sf_dir), "score", partition_by="ald_sector")
+    own = schemas.SCORE_RESULT.fieldNames()
+    files = [
+        _through_csv(spark, result.where(F.col("ald_sector") == s).select(*own), s, schemas.SCORE_RESULT).withColumn(
+            "ald_sector", F.lit(s)
+        )
+        for s in PARAMS.score_picks
+    ]
+    return rounded(reduce(DataFrame.unionByName, files), ["single_score_Case8"])
+
+
 def _technology_report(sector: str) -> Query:
+    """A report sheet from the files of the earlier steps, written as a file itself."""
+
     def query(spark, sf_dir):
         connected, listed = _connected_stages(spark, sf_dir)
         connected = conn.store_per_source(connected)
-        scores = score.score_result(score.company_scores(connected, listed, PARAMS))
-        technologies = trajectory.technology_result(connected, listed, PARAMS)
-        return report.technology_report(model.roster(spark, sf_dir), scores, technologies, sector)
+        classes = score.score_classes(score.company_scores(connected, listed, PARAMS))
+        fields = [f for f in schemas.SCORE_RESULT.fields if f.name in classes.columns]
+        scores = _through_csv(
+            spark,
+            classes.where(F.col("ald_sector") == sector).select(*[f.name for f in fields]),
+            "score",
+            T.StructType(fields),
+        ).withColumn("ald_sector", F.lit(sector))
+        technologies = _through_csv(
+            spark,
+            trajectory.technology_result(connected, listed, PARAMS),
+            "technologies",
+            technology_schema(),
+            technology_headings(),
+        )
+        roster = _through_csv(spark, model.roster(spark, sf_dir), "roster")
+        sheet = report.technology_report(roster, scores, technologies, sector)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in sheet.columns])
+        return _through_csv(spark, sheet, "report", schema, report.headings(sector))
 
     return query
 
@@ -398,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "name_bridge": name_bridge,
     "bridge_join": bridge_join,
     "connect": connect,
+    "global_aggregate": global_aggregate,
     "per_source_output": per_source_output,
     "stage_roundtrip": stage_roundtrip,
     "csv_roundtrip": csv_roundtrip,
@@ -419,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "comm_values_long": comm_values_long,
     "comm_values_wide": comm_values_wide,
     "comm_plan": comm_plan,
+    "result_csv": result_csv,
     "report_power": _technology_report("Power"),
     "report_auto": _technology_report("Automotive"),
     "report_intensity": report_intensity,

@@ -4,11 +4,10 @@ import pytest
 from conftest import rows
 
 from pathgauge import schemas
-from pathgauge.operators import lookup
 from pathgauge.params import profile
 from pathgauge.plans import connect as conn
 from pathgauge.plans import production as prod
-from pathgauge.plans import score
+from pathgauge.plans import score, trajectory
 
 PARAMS = profile("2022Q2", time_horizon=1)
 
@@ -40,11 +39,10 @@ def targets(spark, *data):
     return spark.createDataFrame(full, schemas.SCENARIO_INPUT)
 
 
-def connected(spark, world, facts, data, params=PARAMS):
-    assets = prod.side_by_side(spark.createDataFrame(facts, FACTS), params.relevant_years)
-    return conn.connect(
-        assets, world["bridge"], targets(spark, *data), world["regions"], world["markets"], params
-    )
+def connected(spark, world, facts, data, params=PARAMS, **options):
+    listed = conn.in_scope(spark.createDataFrame(facts, FACTS), world["bridge"])
+    assets = prod.side_by_side(listed, params.relevant_years)
+    return conn.connect(assets, targets(spark, *data), world["regions"], world["markets"], params, **options)
 
 
 FACT_ROWS = [
@@ -100,23 +98,21 @@ def test_expected_production_is_never_negative_and_unknown_stays(spark, world):
     assert rows(got, "technology", "scen_tech_prod") == [("CoalCap", 0.0), ("RenewablesCap", None)]
 
 
-def test_same_result_without_broadcast(spark, world, monkeypatch):
+@pytest.mark.parametrize("salts", [0, 3])
+def test_same_result_without_broadcast(spark, world, salts):
     want = rows(connected(spark, world, FACT_ROWS, TARGETS))
-    original = lookup.lookup_join
-    monkeypatch.setattr(
-        conn, "lookup_join", lambda *a, **k: original(*a, **{**k, "row_limit": 0, "salts": 3})
-    )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = connected(spark, world, FACT_ROWS, TARGETS)
-        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        got = connected(spark, world, FACT_ROWS, TARGETS, salts=salts)
+        # Only the places, one per country and geography, are broadcast.
+        assert got._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == 1
         assert rows(got) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
 
 
 def test_one_placement_by_company_serves_all_later_steps(spark, world):
-    """With every table too large to broadcast, assets are shuffled twice up to the score."""
+    """With every table too large to broadcast, companies are placed once on either side of the targets."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         table = connected(spark, world, FACT_ROWS, TARGETS)
@@ -126,9 +122,10 @@ def test_one_placement_by_company_serves_all_later_steps(spark, world):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     by_company = [line for line in shuffles if "Exchange hashpartitioning(id#" in line]
-    # The sum per country and its placement by id; the bridge goes to the same
-    # place for the scope and for the name. The other two match the countries.
-    assert len(by_company) == 4 and len(shuffles) == 6
+    # By company: the sum per country's placement, the bridge for the scope and the
+    # name, the plans beside their targets. The others are that sum itself, the two
+    # sides that match countries, and the two that match targets.
+    assert len(by_company) == 4 and len(shuffles) == 8
 
 
 def test_global_from_parts(spark, world):
@@ -185,13 +182,40 @@ def test_per_source_output_prunes_partitions(spark, world, tmp_path):
     assert "PartitionFilters: [isnotnull(scenario_source" in plan
 
 
-def test_early_scope_only_when_it_is_free(spark, tmp_path):
-    path = str(tmp_path / "bridge")
-    spark.createDataFrame([("A", 1), ("B", 2)], "company_name string, company_id long").write.parquet(path)
-    bridge = spark.read.parquet(path)
-    wide = spark.createDataFrame([(1, 1.0), (3, 1.0), (None, 1.0)], "company_id long, v double")
-    assert rows(conn.in_scope_if_free(wide, bridge, "company_id")) == [(1, 1.0)]
-    assert conn.in_scope_if_free(wide, bridge, "company_id", row_limit=1).count() == 3
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_building_plans_starts_no_job(spark, world):
+    before = _jobs(spark)
+    table = connected(spark, world, FACT_ROWS, TARGETS)
+    score.scored_technologies(table, world["bridge"], PARAMS)
+    score.score_classes(score.company_scores(table, world["bridge"], PARAMS))
+    trajectory.technology_result(table, world["bridge"], PARAMS)
+    assert _jobs(spark) == before
+
+
+def test_scope_is_joined_once(spark, world):
+    plan = connected(spark, world, FACT_ROWS, TARGETS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LeftSemi") == 1
+
+
+def test_only_assessed_sources_reach_scores(spark, world):
+    data = [("WEO2022", *t[1:]) for t in TARGETS] + [("GECO2021", *t[1:]) for t in TARGETS]
+    table = connected(spark, world, FACT_ROWS, data)
+    assert {r.scenario_source for r in conn.assessed(table, PARAMS).collect()} == {"WEO2022"}
+    assert {r.scenario_source for r in table.collect()} == {"WEO2022", "GECO2021"}
+
+
+def test_global_is_kept_where_parts_are_missing(spark, world):
+    top = [t for t in TARGETS if t[3] == "Global"]
+    data = [("TOP", *t[1:]) for t in top] + [("SOME", *t[1:]) for t in TARGETS if t[3] != "Europe"]
+    params = profile(
+        "2022Q2", time_horizon=1, global_aggregate_sources=("TOP", "SOME"), global_aggregate_sectors=("Power",)
+    )
+    got = connected(spark, world, FACT_ROWS, data, params)
+    given = connected(spark, world, FACT_ROWS, data)
+    assert rows(got) == rows(given) and got.where("scenario_source = 'TOP'").count() == 5
 
 
 def test_no_excluded_technologies_and_no_targets(spark, world):

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pathgauge.operators import (
     average_rank_desc,
     interpolate_yearly,
-    key_join,
-    lookup_join,
+    salted_join,
     stack_named,
     stack_same,
     strict_pivot,
@@ -105,17 +104,16 @@ def test_interpolate_shuffles_once(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_lookup_join_gives_the_same_beyond_the_limit(spark, how):
+def test_salted_join_equals_a_plain_one(spark, how):
     # One key holds a third of all rows; some keys have no match.
     facts = spark.range(900).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40).cast("int").alias("k")
     )
     table = spark.createDataFrame([(k, f"v{k}") for k in range(0, 30)], "k int, v string")
-    small = lookup_join(facts, table, ["k"], how, spread_by=["id"])
-    large = lookup_join(facts, table, ["k"], how, spread_by=["id"], row_limit=5, salts=7)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert small.columns == large.columns
-    assert rows(small) == rows(large)
+    plain = facts.join(table, ["k"], how)
+    salted = salted_join(facts, table, ["k"], how, spread_by=["id"], salts=7)
+    assert plain.columns == salted.columns
+    assert rows(plain) == rows(salted)
 
 
 def test_stack(spark):
@@ -171,19 +169,3 @@ def test_rank_when_one_score_fills_many_partitions(spark):
 @given(st.lists(st.tuples(st.sampled_from("pq"), st.sampled_from([None, -1.0, 0.0, 0.5, 2.0])), min_size=1, max_size=40))
 def test_rank_against_brute_force(spark, drawn):
     check_rank(spark, [(g, f"c{i:02d}", s) for i, (g, s) in enumerate(drawn)])
-
-
-def test_key_join_checks_the_size_before_it_broadcasts(spark, tmp_path):
-    path = str(tmp_path / "keys")
-    spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).write.parquet(path)
-    table = spark.read.parquet(path)
-    facts = spark.range(300).select("id", (F.col("id") % 60).alias("k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = key_join(facts, table, ["k"], stored=table)
-        large = key_join(facts, table, ["k"], stored=table, row_limit=10)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-        assert rows(small) == rows(large)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))

@@ -7,9 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_module
-from pathgauge.operators import lookup
-from pathgauge.plans import connect
-from testbed import compare, model
+from testbed import compare
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,18 +39,8 @@ def test_query(spark, db, name):
 
 
 @pytest.fixture
-def nothing_is_small(spark, monkeypatch):
-    """Every size check fails, so each join takes its way for large tables."""
-    original, original_key = lookup.lookup_join, lookup.key_join
-
-    def large(*args, **options):
-        return original(*args, **{**options, "row_limit": 0, "salts": 5})
-
-    def large_key(*args, **options):
-        return original_key(*args, **{**options, "row_limit": 0})
-
-    monkeypatch.setattr(connect, "lookup_join", large)
-    monkeypatch.setattr(model, "key_join", large_key)
+def nothing_is_small(spark):
+    """No table is small enough for Spark to broadcast by its size."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))

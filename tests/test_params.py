@@ -32,3 +32,11 @@ def test_config_document():
     assert run.score_picks["Automotive"].source == "W" and run.score_picks["Power"].source == "NZE_2021"
     assert run.score_picks["HDV"].only_companies == ("Volvo", "PACCAR, Inc.")
     assert from_config(document, "default").reference_year == 2022
+
+
+def test_source_choice_and_company_limit_from_a_configuration():
+    document = {"default": {"assessed_scenario_sources_list": ["A", "B"], "only_companies_agg_score_hdv": ["V"]}}
+    params = from_config(document, "default")
+    assert params.assessed_sources == ("A", "B")
+    assert params.score_picks["HDV"].only_companies == ("V",)
+    assert params.score_picks["Power"].only_companies == ()

@@ -178,3 +178,12 @@ def test_sorted_result_puts_missing_names_last(spark):
 def test_ratings_and_lights_line_up():
     assert len(refdata.RATINGS) == 10
     assert {light for _, light in refdata.RATINGS} == {None, "Green", "Amber", "Red"}
+
+
+def test_technologies_of_the_run_widen_the_result(spark):
+    targets = spark.createDataFrame(
+        [("Power", "WaveCap"), ("Power", "CoalCap"), ("HDV", None), ("Steel", "X")], "ald_sector string, technology string"
+    )
+    techs = trajectory.run_techs(targets)
+    assert techs["Power"] == (*refdata.RATED_TECHS["Power"], "WaveCap")
+    assert techs["HDV"] == refdata.RATED_TECHS["HDV"] and set(techs) == set(refdata.RATED_TECHS)
