@@ -31,6 +31,17 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def hashed_sample(rows: DataFrame, hash_col: str, size: int) -> DataFrame:
+    """At most ``size`` rows, those of the lowest hashes; ties are broken by the other columns.
+
+    A share of about twice as many is cut out by hash first, so the rows that
+    are put in order don't grow with the table.
+    """
+    share = min(1.0, 2 * size / max(1, rows.count()))
+    upto = min(2**63 - 1, -(2**63) + int(share * 2**64))
+    return rows.where(F.col(hash_col) <= upto).orderBy(hash_col, *[c for c in rows.columns if c != hash_col]).limit(size)
+
+
 def in_fold(id_col: str | Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves ``fold``; a missing id counts as empty text."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathgauge.llm.boosting import Trees, boost
-from pathgauge.llm.common import chunks
+from pathgauge.llm.common import chunks, hashed_sample
 
 #: At most so many pages train the trees, of no more than so many characters each.
 SAMPLE_PAGES = 400
@@ -389,18 +389,14 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Trees:
-    """Trees learned from at most ``sample`` pages, picked by a hash of their html.
+    """Trees learned from at most ``sample`` pages, picked by a hash of id and html.
 
     Nodes take their label from the nearest element that names its purpose (by
     element name, class, id or role). Without labels of both kinds the names
     themselves decide.
     """
-    picked = (
-        pages.where(F.length("html") <= SAMPLE_CHARS)
-        .select(F.xxhash64("html").alias("at"), "html")
-        .orderBy("at")
-        .limit(sample)
-    )
+    short = pages.where(F.length("html") <= SAMPLE_CHARS)
+    picked = hashed_sample(short.select(F.xxhash64("page_id", "html").alias("at"), "html"), "at", sample)
     array = "array<double>"
     found = (
         picked.mapInArrow(_sampled, f"at long, label int, x {array}")

@@ -9,7 +9,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathgauge.llm.common import NOT_SPACE, byte_class, chunks, hash_spans, id_and_text, in_fold, mix, runs, text_bytes
+from pathgauge.llm.common import (
+    NOT_SPACE,
+    byte_class,
+    chunks,
+    hash_spans,
+    hashed_sample,
+    id_and_text,
+    in_fold,
+    mix,
+    runs,
+    text_bytes,
+)
 
 #: Weights; an n-gram's hash picks one.
 BUCKETS = 1 << 18
@@ -137,12 +148,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     no more than ``sample`` rows of at most BUCKETS values. Without labels all
     weights are 0.
     """
-    picked = (
+    known = (
         labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("label"))
         .where("label is not null and label_id is not null")
-        .orderBy(F.xxhash64("label_id"), "label_id", "label")
-        .limit(sample)
+        .withColumn("label_hash", F.xxhash64("label_id"))
     )
+    picked = hashed_sample(known, "label_hash", sample)
     source = (
         id_and_text(docs)
         .join(F.broadcast(picked), F.col("doc_id") == F.col("label_id"))
