@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +58,13 @@ def index_regions(wide: DataFrame) -> DataFrame:
     )
 
 
-def company_plans(assets: DataFrame, regions: DataFrame, markets: DataFrame, params: Params) -> DataFrame:
+def company_plans(
+    assets: DataFrame,
+    regions: DataFrame,
+    markets: DataFrame,
+    params: Params,
+    years: Iterable[int] | None = None,
+) -> DataFrame:
     """Production plan per company, market, geography, technology and year.
 
     ``_tech0`` and ``_sector0`` are the reference-year plans of the technology
@@ -69,7 +77,7 @@ def company_plans(assets: DataFrame, regions: DataFrame, markets: DataFrame, par
     keyed by company, up to the scores, uses that placement without another
     shuffle.
     """
-    years = list(params.relevant_years)
+    years = sorted({params.reference_year, *(years or params.relevant_years)})
     by_country = sum_years(
         assets.where(
             F.col("ald_sector").isin(*params.all_sectors)
@@ -101,6 +109,7 @@ def connect(
     markets: DataFrame,
     params: Params,
     *,
+    years: Iterable[int] | None = None,
     salts: int = 0,
 ) -> DataFrame:
     """Each listed company's plan beside the production the scenario expects of it.
@@ -111,12 +120,14 @@ def connect(
     A technology that a company has no asset of has no plan and hence no row,
     also where its sector should build it out.
 
+    ``years`` narrows the result, as scores and ratings need the first and the
+    last year only; the reference year is always kept.
     ``assets`` are those of listed companies (``in_scope``). ``scenarios`` holds
     a row per source, scenario, geography, technology and year, so how it is
     joined is left to its size; ``salts`` above 0 asks for a salted shuffle join.
     """
     targets = global_from_parts(scenarios, params)
-    plans = company_plans(assets, regions, markets, params)
+    plans = company_plans(assets, regions, markets, params, years)
     keys = ["ald_sector", "technology", "scenario_geography", "year"]
     if salts:
         joined = salted_join(plans, targets, keys, "inner", spread_by=["id"], salts=salts)

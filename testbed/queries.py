@@ -83,14 +83,16 @@ def _scenario_long(spark, sf_dir, shipped: DataFrame) -> DataFrame:
     )
 
 
-def _connected(spark, sf_dir, params=PARAMS, targets=lambda scenarios: scenarios) -> tuple[DataFrame, DataFrame]:
+def _connected(
+    spark, sf_dir, params=PARAMS, targets=lambda scenarios: scenarios, years=PARAMS.relevant_years
+) -> tuple[DataFrame, DataFrame]:
     """Connected table of all sources, and the name bridge, on top of the stored shipments."""
     shipped = _shipped(spark, sf_dir)
     wide = model.production(shipped)
     listed = _name_bridge(spark, sf_dir, wide)
     assets = prod.asset_sums(
         conn.in_scope(wide, listed, "company_id"),
-        years=params.relevant_years,
+        years=years,
         zero_techs=params.zero_emission_techs,
     )
     connected = conn.connect(
@@ -99,13 +101,14 @@ def _connected(spark, sf_dir, params=PARAMS, targets=lambda scenarios: scenarios
         model.regions(spark, sf_dir),
         conn.index_regions(wide),
         params,
+        years=years,
     )
     return connected, listed
 
 
 def _connected_stages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Connected table of the assessed sources, and the name bridge."""
-    connected, listed = _connected(spark, sf_dir)
+    """Connected table that scores and ratings need: assessed sources, first and last year."""
+    connected, listed = _connected(spark, sf_dir, years=(PARAMS.reference_year, PARAMS.end_year))
     return conn.assessed(connected, PARAMS), listed
 
 
