@@ -316,7 +316,14 @@ def datasets(totals: DataFrame) -> Mapping[str, DataFrame]:
         F.col("total").alias("value"),
     )
     geco = weo.where((F.col("scenario") == "NZE_2050") & (F.col("scenario_geography") == "World")).withColumns(
-        {"source": F.lit("GECO2021"), "value": F.col("value") * 1.5}
+        {
+            "source": F.lit("GECO2021"),
+            "value": F.col("value") * 1.5,
+            # This source gives electric trucks, under a doubled suffix.
+            "technology": F.when(F.col("technology") == "Electric", F.lit("Electric_HDV_HDV")).otherwise(
+                F.col("technology")
+            ),
+        }
     )
     return {"weo_2022": weo, "sector_2021": sector, "geco_2021": geco}
 

@@ -181,7 +181,9 @@ placed_totals AS (
 weo AS ({_WEO}),
 raw_scenarios AS (
   SELECT * FROM weo
-  UNION ALL SELECT 'GECO2021', scenario, sector, technology, scenario_geography, indicator, units, year, value * 1.5
+  UNION ALL SELECT 'GECO2021', scenario, sector,
+    CASE WHEN technology = 'Electric' THEN 'Electric_HDV_HDV' ELSE technology END, scenario_geography, indicator,
+    units, year, value * 1.5
   FROM weo WHERE scenario = 'NZE_2050' AND scenario_geography = 'World'
   UNION ALL SELECT 'SECTOR2021', 'REF', sector, technology, scenario_geography, NULL, 't', year, total
   FROM placed_totals WHERE sector IN ('Steel', 'Cement') AND scenario_geography = 'World' AND year IN (1995, 2001)),
@@ -239,8 +241,10 @@ shares AS (
 targets AS (
   SELECT *, CASE WHEN technology IN {_in(P.green_techs)} THEN smsp ELSE tmsr - 1 END AS fair_share FROM shares),
 targets_long AS (
-  SELECT DISTINCT scenario_source, scenario, ald_sector,
-    CASE WHEN ald_sector = 'HDV' AND technology IS NULL THEN 'FuelCell_HDV' ELSE technology END AS technology,
+  SELECT DISTINCT scenario_source, scenario,
+    CASE WHEN technology = 'Electric_HDV_HDV' THEN 'HDV' ELSE ald_sector END AS ald_sector,
+    CASE WHEN ald_sector = 'HDV' AND technology IS NULL THEN 'FuelCell_HDV'
+      WHEN technology = 'Electric_HDV_HDV' THEN 'Electric_HDV' ELSE technology END AS technology,
     scenario_geography, indicator, units, year, value, tmsr, smsp, fair_share
   FROM (
     SELECT t.* REPLACE (g.geo_model AS scenario_geography)
