@@ -7,17 +7,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
-from pathgauge.llm.common import chunks
+from pathgauge.llm.common import chunks, list_array
 
 MARK = "▁"
-#: Words whose pieces a task remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Words whose pieces a worker remembers in each of two generations; words that come up again move to the newer one.
+REMEMBERED = 300_000
 
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
@@ -116,13 +117,15 @@ class Encoder:
     vocabulary: Vocabulary
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     borders: dict[tuple[str, int], list[str]] = field(default_factory=dict)
-    known: dict[str, list[int]] = field(default_factory=dict)
+    #: Ids of words, as the bytes of 32-bit integers.
+    known: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
     tails: set[str] = field(default_factory=set)
-    piece_ids: dict[str, list[int]] = field(default_factory=dict)
+    piece_ids: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.tails = {p[k:] for p in self.vocabulary.scores for k in range(len(p))}
-        self.piece_ids = {p: [k] for p, k in self.vocabulary.ids.items()}
+        self.piece_ids = {p: _packed([k]) for p, k in self.vocabulary.ids.items()}
         scores = [s for s in self.vocabulary.scores.values() if s > -1e8]
         self.unknown_score = min(scores, default=0.0) - 10
 
@@ -163,7 +166,7 @@ class Encoder:
             else:
                 j += 1
 
-    def _forward_bpe(self, word: str, last: list[str], path: list[list[int]]) -> None:
+    def _forward_bpe(self, word: str, last: list[str], path: list[bytes]) -> None:
         scores, tails, pairs, open_pair = self.vocabulary.scores, self.tails, self.pairs, self._open
         for end in range(len(last), len(word) + 1):
             for begin in range(end - 1, -1, -1):
@@ -182,7 +185,7 @@ class Encoder:
                     path.append(path[begin] + (self.piece_ids.get(piece) or self._ids(piece)))
                     break
 
-    def _forward_best(self, word: str, last: list[str], path: list[list[int]], total: list[float]) -> None:
+    def _forward_best(self, word: str, last: list[str], path: list[bytes], total: list[float]) -> None:
         scores, tails = self.vocabulary.scores, self.tails
         for end in range(len(last), len(word) + 1):
             best, won = None, ""
@@ -197,31 +200,31 @@ class Encoder:
             total.append(best)
             path.append(path[end - len(won)] + (self.piece_ids.get(won) or self._ids(won)))
 
-    def _ids(self, piece: str) -> list[int]:
+    def _ids(self, piece: str) -> bytes:
         """A character that is no piece is spelled in bytes."""
         v = self.vocabulary
-        found = [v.byte_ids[b] for b in piece.encode()] if v.byte_ids else [v.unknown]
+        found = _packed([v.byte_ids[b] for b in piece.encode()] if v.byte_ids else [v.unknown])
         self.piece_ids[piece] = found
         return found
 
-    def _spaced(self, word: str) -> list[int]:
+    def _spaced(self, word: str) -> bytes:
         """BPE of a word after two marks or more: all but the word's own mark are joined last, among themselves."""
         rest = word.lstrip(MARK)
-        marks, tail = len(word) - len(rest), []
+        marks, tail = len(word) - len(rest), b""
         if rest:
-            last, path = [""], [[]]
+            last, path = [""], [b""]
             self._forward_bpe(MARK + rest, last, path)
-            tail = path[-1]
-            if tail[0] == self.vocabulary.ids.get(MARK):
-                tail = tail[1:]
+            tail, own = path[-1], self.piece_ids.get(MARK) or self._ids(MARK)
+            if tail.startswith(own):
+                tail = tail[len(own) :]
             else:
                 marks -= 1
         spaces = merged_marks(marks, self.vocabulary.scores)
-        return [*chain.from_iterable(self.piece_ids.get(p) or self._ids(p) for p in spaces), *tail]
+        return b"".join(self.piece_ids.get(p) or self._ids(p) for p in spaces) + tail
 
     def learn(self, words: set[str]) -> None:
         """Work out the ids of words not seen before."""
-        last, path, total, previous = [""], [[]], [0.0], ""
+        last, path, total, previous = [""], [b""], [0.0], ""
         is_bpe, known = self.vocabulary.is_bpe, self.known
         for word in sorted(words):
             if is_bpe and word.startswith(MARK + MARK):
@@ -239,17 +242,21 @@ class Encoder:
             previous = word
             known[word] = path[-1]
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text; a null text counts as empty and has none."""
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as bytes of 32-bit integers; a null text counts as empty and has none."""
         split = [marked_words(text, self.vocabulary.dummy_prefix) for text in texts]
-        words = set(chain.from_iterable(split))
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = words
-        self.learn(new)
-        known = self.known
-        return [list(chain.from_iterable([known[w] for w in ws])) for ws in split]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = set(chain.from_iterable(split)) - known.keys()
+        again = missing & older.keys()
+        known.update([(w, older[w]) for w in again])
+        self.learn(missing - again)
+        return [b"".join([known[w] for w in words]) for words in split]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
 
 
 _WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -290,15 +297,20 @@ def encode(docs: DataFrame, model: str | None = None, text_col: str = "text") ->
     Null and empty texts have no ids. As in SentencePiece itself a space and the
     mark U+2581 are one and the same. Rows that repeat give equal ids.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(load(model or default_model())))
+    shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": vars(load(model or default_model()))})
     added = [StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(**shared.value))
+        # What a worker has learned serves its later tasks too; another worker learns it anew.
+        if "encoder" not in shared.value:
+            shared.value["encoder"] = Encoder(Vocabulary(**shared.value["vocabulary"]))
+        encoder = shared.value["encoder"]
         for batch in chunks(batches, text_col):
             found = encoder.encode(batch.column(text_col).to_pylist())
-            ids, counts = pa.array(found, pa.list_(pa.int32())), pa.array(list(map(len, found)), pa.int64())
-            yield _extended(batch, {"ids": ids, "n_tokens": counts})
+            counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            bounds = np.concatenate(([0], np.cumsum(counts)))
+            ids = list_array(bounds, pa.array(np.frombuffer(b"".join(found), np.int32)))
+            yield _extended(batch, {"ids": ids, "n_tokens": pa.array(counts)})
 
     return docs.mapInArrow(run, _with(docs, added))
 
@@ -314,8 +326,9 @@ def decode(docs: DataFrame, model: str | None = None, ids_col: str = "ids") -> D
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 texts = []
-                for ids in batch.column(ids_col).to_pylist():
-                    text = b"".join([spelled[i] for i in ids or ()]).decode(errors="replace")
+                for ids in batch.column(ids_col):
+                    pieces = ids.values.to_numpy().tolist() if ids.is_valid else ()
+                    text = b"".join([spelled[i] for i in pieces]).decode(errors="replace")
                     texts.append(text[1:] if dummy_prefix and text.startswith(" ") else text)
                 yield _extended(batch, {"decoded": pa.array(texts, pa.string())})
 

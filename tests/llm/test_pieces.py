@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
@@ -24,6 +25,10 @@ def encoder():
     return pieces.Encoder(pieces.load(pieces.default_model()))
 
 
+def ids(encoder, text):
+    return np.frombuffer(encoder.encode([text])[0], np.int32).tolist()
+
+
 def texts(count=400, seed=2):
     source = random.Random(seed)
     words = sorted(pieces.load(pieces.default_model()).ids)
@@ -37,7 +42,7 @@ def texts(count=400, seed=2):
 
 def test_bpe_vocabulary_equals_library(encoder, library):
     for text in texts():
-        assert encoder.encode([text])[0] == library.encode(text), text
+        assert ids(encoder, text) == library.encode(text), text
 
 
 def test_shared_prefixes_change_nothing(encoder):
@@ -50,6 +55,14 @@ def test_shared_prefixes_change_nothing(encoder):
     assert [together.known[w] for w in words] == [e.known[w] for e, w in zip(fresh, words)]
 
 
+def test_memory_turns_over(encoder, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    small = pieces.Encoder(encoder.vocabulary)
+    for text in ["a b c d", "b c e f g", "a b", "h i j k", "b"] * 2:
+        assert ids(small, text) == ids(encoder, text)
+    assert len(small.known) + len(small.older) < 14
+
+
 def test_unigram_vocabulary_equals_library(tmp_path):
     """The same pieces as a UNIGRAM model: the best total score wins."""
     model = sentencepiece_model_pb2.ModelProto()
@@ -67,7 +80,7 @@ def test_unigram_vocabulary_equals_library(tmp_path):
     scores = encoder.vocabulary.scores
     total = lambda ids: sum(scores[library.id_to_piece(i)] for i in ids)
     for text in ["the theater there then", "reading and writing of words", "unbelievable internationalisation"]:
-        assert total(encoder.encode([text])[0]) == pytest.approx(total(library.encode(text)))
+        assert total(ids(encoder, text)) == pytest.approx(total(library.encode(text)))
 
 
 def test_operators(docs, library):
