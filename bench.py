@@ -13,6 +13,7 @@ import sys
 import time
 
 from pathgauge.session import session
+from pathgauge.sources.stages import remove_stages
 from testbed.queries import QUERIES
 
 
@@ -49,6 +50,7 @@ def main() -> int:
         "master": f"local[{cpus}]",
         "shuffle_partitions": int(cpus),
     }
+    remove_stages(spark)
     spark.stop()
     print(json.dumps(record))
     return 0

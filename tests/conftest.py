@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pathgauge.session import session  # noqa: E402
+from pathgauge.sources.stages import remove_stages  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,6 +24,7 @@ def spark():
     )
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
+    remove_stages(spark)
     spark.stop()
 
 
