@@ -28,9 +28,10 @@ ALPHABET = 96
 SEGMENT = 1024
 #: A text of fewer symbols is too short to be called foreign to every learned language.
 JUDGED = 200
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
 _CLOSED = 28  # a table entry holds the next state, and above this bit the phrases it closes
 _MASK = (1 << _CLOSED) - 1
+_ZERO = np.zeros(1, np.int32)
 
 
 def automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -85,8 +86,8 @@ class LanguageModel:
         letter = symbols > 0
         kept = letter.copy()
         kept[1:] |= letter[:-1]  # of a run that isn't letters one symbol stays
-        letters = np.concatenate(([0], np.cumsum(letter)))[bounds]
-        bounds = np.concatenate(([0], np.cumsum(kept)))[bounds]
+        letters = np.concatenate((_ZERO, np.cumsum(letter, dtype=np.int32)))[bounds]
+        bounds = np.concatenate((_ZERO, np.cumsum(kept, dtype=np.int32)))[bounds]
         symbols = symbols[kept].astype(np.int32)
         sizes = np.diff(bounds)
         pieces = -(-sizes // SEGMENT)
