@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathgauge.llm.common import id_and_text
+from pathgauge.llm.common import chunks, id_and_text
 
 #: One edit is allowed for each so many characters of an item, so its pieces have about this length.
 CHARS_PER_ERROR = 16
@@ -132,7 +132,7 @@ def benchmark_hits(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, chars_per_error)
-            for batch in batches:
+            for batch in chunks(batches, "text"):
                 rows = [
                     (doc_id, matcher.items[k][0], distance, matcher.items[k][2], place)
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
@@ -160,6 +160,6 @@ def _holds(shared, chars_per_error: int):
     def holds(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(shared.value, chars_per_error)
         for part in texts:
-            yield pa.array([bool(matcher.find(text)) for text in part.to_pylist()], pa.bool_())
+            yield pa.array([bool(matcher.find(text.as_py())) for text in part], pa.bool_())
 
     return holds

@@ -261,15 +261,16 @@ def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 @F.arrow_udf(StringType())
 def _replaced(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """Texts with every span replaced by its label; of overlapping spans the first that begins rules."""
-    out = texts.to_pylist()
-    for k in np.flatnonzero(pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)).tolist():
-        text, parts, free = out[k], [], 0
+    marked = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False) > 0
+    changed = []
+    for k in np.flatnonzero(marked).tolist():
+        text, parts, free = texts[k].as_py(), [], 0
         for s in spans[k].as_py():
             if s["start"] >= free:
                 parts += [text[free : s["start"]], LABELS[KINDS[s["kind"]]]]
             free = max(free, s["end"])
-        out[k] = "".join(parts) + text[free:]
-    return pa.array(out, pa.string())
+        changed.append("".join(parts) + text[free:])
+    return pc.replace_with_mask(texts, pa.array(marked), pa.array(changed, texts.type))
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
