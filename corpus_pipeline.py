@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pathgauge.llm.decontaminate import without_benchmark
 from pathgauge.llm.language import in_learned_language
-from pathgauge.llm.pieces import decode, encode
+from pathgauge.llm.pieces import encode
 from pathgauge.llm.pii import sanitised
 from pathgauge.llm.simhash import keep_first
 from pathgauge.sources.stages import store
@@ -37,7 +37,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids and the text these spell."""
-    return decode(encode(docs))
+    return encode(docs, decoded=True)
 
 
 STAGES = [

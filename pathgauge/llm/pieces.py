@@ -18,7 +18,7 @@ from pathgauge.llm.common import chunks, list_array
 
 MARK = "▁"
 #: Words whose pieces a worker remembers in each of two generations; words that come up again move to the newer one.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
@@ -291,14 +291,24 @@ def _extended(batch: pa.RecordBatch, added: dict[str, pa.Array]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], *added.values()], [*kept, *added])
 
 
-def encode(docs: DataFrame, model: str | None = None, text_col: str = "text") -> DataFrame:
+def _spell(ids: list[int], spelled: list[bytes], dummy_prefix: bool) -> str:
+    text = b"".join([spelled[i] for i in ids]).decode(errors="replace")
+    return text[1:] if dummy_prefix and text.startswith(" ") else text
+
+
+def encode(
+    docs: DataFrame, model: str | None = None, text_col: str = "text", *, decoded: bool = False
+) -> DataFrame:
     """``docs`` with ``ids`` (piece ids of the whole text) and ``n_tokens``; older columns of these names give way.
 
     Null and empty texts have no ids. As in SentencePiece itself a space and the
-    mark U+2581 are one and the same. Rows that repeat give equal ids.
+    mark U+2581 are one and the same. Rows that repeat give equal ids. With
+    ``decoded`` the text that the ids spell stands beside them, as ``decode`` gives
+    it, without a second pass through Python.
     """
     shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": vars(load(model or default_model()))})
     added = [StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())]
+    added += [StructField("decoded", StringType())] if decoded else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # What a worker has learned serves its later tasks too; another worker learns it anew.
@@ -310,7 +320,12 @@ def encode(docs: DataFrame, model: str | None = None, text_col: str = "text") ->
             counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
             bounds = np.concatenate(([0], np.cumsum(counts)))
             ids = list_array(bounds, pa.array(np.frombuffer(b"".join(found), np.int32)))
-            yield _extended(batch, {"ids": ids, "n_tokens": pa.array(counts)})
+            columns = {"ids": ids, "n_tokens": pa.array(counts)}
+            if decoded:
+                v = encoder.vocabulary
+                texts = [_spell(np.frombuffer(x, np.int32).tolist(), v.spelled, v.dummy_prefix) for x in found]
+                columns["decoded"] = pa.array(texts, pa.string())
+            yield _extended(batch, columns)
 
     return docs.mapInArrow(run, _with(docs, added))
 
@@ -327,9 +342,8 @@ def decode(docs: DataFrame, model: str | None = None, ids_col: str = "ids") -> D
                 batch = whole.slice(at, 256)
                 texts = []
                 for ids in batch.column(ids_col):
-                    pieces = ids.values.to_numpy().tolist() if ids.is_valid else ()
-                    text = b"".join([spelled[i] for i in pieces]).decode(errors="replace")
-                    texts.append(text[1:] if dummy_prefix and text.startswith(" ") else text)
+                    pieces = ids.values.to_numpy().tolist() if ids.is_valid else []
+                    texts.append(_spell(pieces, spelled, dummy_prefix))
                 yield _extended(batch, {"decoded": pa.array(texts, pa.string())})
 
     return docs.mapInArrow(run, _with(docs, [StructField("decoded", StringType())]))
@@ -339,8 +353,7 @@ def token_report(docs: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, ids, n_tokens, decoded_sha256, round_trip) per row of ``docs``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    back = decode(encode(source, model).select("doc_id", "text_hash", "ids", "n_tokens"), model)
-    return back.select(
+    return encode(source, model, decoded=True).select(
         "doc_id",
         "ids",
         "n_tokens",
