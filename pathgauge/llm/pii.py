@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -27,8 +28,12 @@ KINDS = ("email", "ip", "card", "phone", "term")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 #: Words on either side of a mention that count as occurring with it.
 WINDOW = 10
-#: A term is judged once this many different texts have it next to the same value.
+#: A term is judged once this many different texts have it next to the same value, or if its tie is significant.
 SUPPORT = 3
+#: Chance that a tie of any of all terms and entities is taken for significant where there is none.
+CHANCE = 0.05
+#: Parts that the terms of one entity are spread over in a join.
+SALTS = 16
 #: A term discloses a value if it gives at least this part of the value's information content.
 DISCLOSURE = 0.9
 #: Bits of the filter that thins out words before they are shuffled; its size is fixed.
@@ -92,8 +97,23 @@ def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, hash_spans(data + (_CAPITAL[data] * np.uint8(32)), starts, ends).view(np.int64)
 
 
+def _entities(kind: int, value: str) -> list[str]:
+    """A value and what others may share with it: e-mail domain and name, network, issuer, exchange, its kind."""
+    found = [f"{KINDS[kind]}:{value}", KINDS[kind]]
+    if kind == 0:
+        local, domain = value.rsplit("@", 1)
+        found.append(f"domain:{domain}")
+        if stem := local.split("+")[0].rstrip("0123456789._%-"):
+            found.append(f"name:{stem}")
+    elif kind == 1:
+        found.append(f"net:{value.rsplit('.', 1)[0]}")
+    else:
+        found.append(f"issuer:{value[:6]}" if kind == 2 else f"prefix:{value[:-4]}")
+    return found
+
+
 def _mentions(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Every value that a text mentions with the words around each mention."""
+    """The entities of every value that a text mentions with the words around each mention."""
     data = np.frombuffer(text.encode(), np.uint8)
     starts, ends, terms = _words(data)
     before = code_points_before(data)
@@ -106,12 +126,12 @@ def _mentions(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         value = text[s:e].lower() if kind == 0 else re.sub(r"[^0-9.]" if kind == 1 else r"[^0-9]", "", text[s:e])
         left, right = int(np.searchsorted(ends, s, "right")), int(np.searchsorted(starts, e))
         near = np.r_[max(0, left - WINDOW) : left, right : min(len(starts), right + WINDOW)]
-        found.append({"value": f"{KINDS[kind]}:{value}", "terms": np.unique(terms[near[plain[near]]]).tolist()})
+        found.append({"entities": _entities(kind, value), "terms": np.unique(terms[near[plain[near]]]).tolist()})
     return found
 
 
 _SPAN = "struct<start:int,kind:int,end:int>"
-_SCAN = f"doc_id long, text_hash long, base array<{_SPAN}>, mentions array<struct<value:string,terms:array<long>>>"
+_SCAN = f"doc_id long, text_hash long, base array<{_SPAN}>, mentions array<struct<entities:array<string>,terms:array<long>>>"
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -122,7 +142,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pattern matches of every text; only texts with a digit or an @ are looked at in Python."""
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-    mention = pa.struct([("value", pa.string()), ("terms", pa.list_(pa.int64()))])
+    mention = pa.struct([("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.int64()))])
     for batch in chunks(batches, "text"):
         data, bounds = text_bytes(batch.column(2))
         marked = np.concatenate(([0], np.cumsum(_MARKS[data])))[bounds]
@@ -137,38 +157,56 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _disclosing_terms(docs: DataFrame, scanned: DataFrame) -> DataFrame | None:
-    """Every occurrence (doc_id, text_hash, term, spans) of a term that discloses a value.
-
-    Texts are counted once however many rows hold them. With N texts, n(v) of
-    them with value v, n(t) with term t and n(t, v) with t near v:
-    IC(v) = ln N/n(v), PMI(t; v) = ln N*n(t, v) / (n(t)*n(v)), and t discloses v
-    if PMI >= DISCLOSURE * IC, given SUPPORT texts. n(t) is taken for the terms
-    only that pass with n(t) replaced by the texts that have t near any value,
-    which is a lower bound.
+    """Every occurrence (doc_id, text_hash, term, spans) of a term that discloses an entity.
+
+    An entity is a value, or what several values share (``_entities``). Texts are
+    counted once however many rows hold them. With N texts, n(v) of them with
+    entity v, n(t) with term t and n(t, v) with t near v: IC(v) = ln N/n(v),
+    PMI(t; v) = ln N*n(t, v) / (n(t)*n(v)), and t discloses v if PMI >= DISCLOSURE * IC,
+    given SUPPORT texts for a value, or a tie of two texts or more that is
+    significant: the chance of n(t, v) such texts among n(t) is at most
+    exp(-n(t) * KL(n(t, v)/n(t); n(v)/N)), which must not exceed CHANCE over the
+    number of entities times that of terms near any. n(t) is taken for the terms only that pass with n(t)
+    replaced by the texts that have t near any value, which is a lower bound.
     """
     spark = docs.sparkSession
+    mentioned = scanned.where(F.size("mentions") > 0).select("text_hash", F.explode("mentions").alias("m"))
     near = (
-        scanned.where(F.size("mentions") > 0)
-        .select("text_hash", F.explode("mentions").alias("m"))
-        .select("text_hash", "m.value", F.explode("m.terms").alias("term"))
+        mentioned.select("text_hash", F.explode("m.entities").alias("value"), "m.terms")
+        .select("text_hash", "value", F.explode("terms").alias("term"))
         .distinct()
     )
     total = scanned.groupBy("text_hash").count().count()
     values = (
-        scanned.where(F.size("mentions") > 0)
-        .select("text_hash", F.explode("mentions.value").alias("value"))
+        mentioned.select("text_hash", F.explode("m.entities").alias("value"))
         .distinct()
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("with_value"))
-        .where(F.col("with_value") >= SUPPORT)
     )
-    pairs = near.groupBy("value", "term").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= SUPPORT)
-    around = near.select("text_hash", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    pairs = near.groupBy("value", "term").agg(F.count(F.lit(1)).alias("together")).where("together > 1")
+    around = (
+        mentioned.select("text_hash", F.explode("m.terms").alias("term"))
+        .distinct()
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("with_term"))
+    )
+    values, around = settle(values), settle(around)
+    tried = values.count() * around.count()
+    salted = values.where("with_value > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
     content = F.log(F.lit(float(total)) / F.col("with_value"))
     pmi = content + F.log(F.col("together") / F.col("with_term"))
+    apart = F.col("with_term") - F.col("together")
+    # n(t) * KL: the texts of t with v, and those without.
+    surprise = F.col("together") * pmi + F.when(apart > 0, apart * F.log(apart / F.col("with_term") / (1 - F.col("with_value") / total))).otherwise(0.0)
+    supported = F.col("value").rlike(f"^({'|'.join(KINDS[:4])}):") & (F.col("together") >= SUPPORT)
+    disclosed = (pmi >= DISCLOSURE * content) & (supported | ((pmi > 0) & (surprise >= math.log(max(1, tried) / CHANCE))))
     candidates = settle(
-        pairs.join(values, "value").join(around, "term").where(pmi >= DISCLOSURE * content).select("term", "value", "together", "with_value")
+        pairs.withColumn("salt", F.pmod("term", F.lit(SALTS)).cast("int"))
+        .join(salted, ["value", "salt"])
+        .join(around, "term")
+        .where(disclosed)
+        .select("term", "value", "together", "with_value")
     )
     words = (
         candidates.select(
@@ -213,7 +251,7 @@ def _disclosing_terms(docs: DataFrame, scanned: DataFrame) -> DataFrame | None:
         )
     )
     everywhere = found.select("text_hash", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    disclosing = settle(candidates.join(everywhere, "term").where(pmi >= DISCLOSURE * content).select("term").distinct())
+    disclosing = settle(candidates.join(everywhere, "term").where(disclosed).select("term").distinct())
     return found.join(disclosing, "term", "left_semi")
 
 
@@ -252,7 +290,7 @@ def _count(spans: str, kind: int):
 
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts per kind, digest of the pattern spans, and all spans, per row of ``docs``."""
-    counts = [_count("base", k).alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
+    counts = [_count("spans", k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return find_spans(docs, id_col, text_col).select(
         "doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans")
     )

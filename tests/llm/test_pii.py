@@ -147,3 +147,27 @@ def test_sanitised(docs):
     assert "[TERM]" in texts[0][0] and "[EMAIL]" in texts[0][0] and "zeb@" not in texts[0][0]
     unchanged = {i: t for i, t in rows if 100 <= (i or 0) < 200}
     assert all(texts[i] == [t] for i, t in unchanged.items())
+
+
+def test_terms_of_entities_that_recur(docs):
+    """Every value stands in one text only; domain, name, network, issuer and exchange recur."""
+    source = random.Random(8)
+    plain = lambda n: " ".join(f"common{source.randrange(30)}" for _ in range(n))
+    cards = [c for c in (f"499273980000{k:04d}" for k in range(200)) if luhn(c)]
+    shared = {
+        "Acmecorp": lambda k: f"p{k}q@acme.example.com",
+        "Zebulon": lambda k: f"zeb{k}@mail{k}.example.com",
+        "Datacentre": lambda k: f"10.20.30.{k}",
+        "Goldbank": lambda k: cards[k],
+        "Springfield": lambda k: f"+1 (555) 217-{1000 + k}",
+    }
+    rows = []
+    for word, value in shared.items():
+        rows += [(len(rows) + k, f"{plain(5)} {word} {plain(2)} is {value(k)} {plain(3)}") for k in range(8)]
+    rows += [(1000 + k, plain(12) + f" t{k} is") for k in range(400)]
+    rows += [(2000, "lonely hapax@single.example.org word"), (3000, "Zebulon and Goldbank alone, Datacentre too")]
+    found = report(docs(*rows))
+    for i, text in rows:
+        terms = [m.start() for m in re.finditer("|".join(shared), text)]
+        assert [int(s.split(":")[1]) for s in found[i].spans.split(",") if s.startswith("term")] == terms, text
+        assert found[i].n_term == len(terms)
