@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pathgauge.llm.common import chunks, id_and_text, settle, text_bytes
 from pathgauge.llm.components import components
@@ -39,6 +40,21 @@ def _fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(majority).view(">i8")[0])
 
 
+def _marked(source: DataFrame, shingle: int) -> DataFrame:
+    """``source`` with the fingerprint of ``text`` as ``fp`` in place of it."""
+    kept = [f for f in source.schema.fields if f.name != "text"]
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            data, bounds = text_bytes(batch.column("text"))
+            raw = data.tobytes()
+            found = [_fingerprint(raw[s:e], shingle) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(found, pa.int64())], [*names, "fp"])
+
+    return source.mapInArrow(run, StructType([*kept, StructField("fp", LongType())]))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp) per row of ``docs``; fp is the 64-bit fingerprint as a long.
 
@@ -46,15 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     shingles count as often as they occur. A null or empty text, or one without
     words, has fingerprint 0; fewer words than a shingle count as one shingle.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            data, bounds = text_bytes(batch.column(1))
-            raw = data.tobytes()
-            found = [_fingerprint(raw[s:e], shingle) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
-
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return _marked(id_and_text(docs, id_col, text_col), shingle)
 
 
 def _rotated(fp: Column, start: Column) -> Column:
@@ -150,6 +158,12 @@ def links(distinct: DataFrame, distance: int = 2) -> DataFrame:
     return buckets.mapInArrow(run, "a long, b long")
 
 
+def _rooted(nodes: DataFrame, distance: int) -> DataFrame:
+    """``nodes`` (one per fp) with ``root``, the least fingerprint of their component."""
+    roots = components(links(nodes.select("fp"), distance), "a", "b").withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_components(
     docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -163,8 +177,7 @@ def simhash_components(
     """
     marked = settle(fingerprints(docs, shingle, id_col, text_col))
     nodes = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size")))
-    roots = components(links(nodes.select("fp"), distance), "a", "b").withColumnRenamed("node", "fp")
-    rooted = settle(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    rooted = settle(_rooted(nodes, distance))
     named = settle(rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("size").alias("rows")).where("rows > 1"))
     labels = settle(rooted.join(named, "root").select("fp", "component_id"))
     return marked.join(labels, "fp", "left").select(
@@ -177,15 +190,26 @@ def simhash_components(
 def keep_first(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: that of its smallest doc_id.
 
-    Rows that share that id keep the one with the least text hash. Components of
-    null ids only keep one row too.
+    Nulls come last; rows that share that id keep the one with the least text
+    hash, and of rows equal in both the least hash of all columns decides.
+    Whatever else has the same id, or none, doesn't matter.
     """
-    classes = simhash_components(docs, shingle, distance)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return (
-        docs.join(kept.withColumnRenamed("doc_id", "_kept_id"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-        .withColumn("_kept_order", F.row_number().over(order))
-        .where("_kept_order = 1")
-        .drop("_kept_order")
+    marked = settle(_marked(id_and_text(docs).withColumn("text_hash", F.xxhash64("text")), shingle))
+    first = F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))
+    nodes = settle(marked.groupBy("fp").agg(F.min(first).alias("first")))
+    kept = _rooted(nodes, distance).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+
+    doc_id = F.col("doc_id").cast("long")
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = (
+        docs.select(
+            doc_id.isNull().alias("_none"),
+            F.coalesce(doc_id, F.lit(0)).alias("_id"),
+            F.xxhash64(F.col("text").cast("string")).alias("_hash"),
+            F.xxhash64(*hashed).alias("_order"),
+            F.struct(*docs.columns).alias("_row"),
+        )
+        .groupBy("_none", "_id", "_hash")
+        .agg(F.min_by("_row", "_order").alias("_row"))
     )
+    return rows.join(kept, ["_none", "_id", "_hash"], "left_semi").select("_row.*")

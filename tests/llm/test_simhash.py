@@ -113,3 +113,13 @@ def test_nulls_repeats_and_empty(docs, spark):
     kept = simhash.keep_first(frame)
     assert kept.columns == frame.columns
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, "q w e r"), (5, "a b c d")]
+
+
+def test_every_component_keeps_one_row(docs):
+    """Several null ids, and one id over two unlike texts."""
+    a, b, c, e = ("alpha beta gamma delta", "one two three four", "red green blue", "north south east")
+    for x, y in ((a, b), (b, a)):
+        frame = docs((5, x), (5, y), (3, y), (None, c), (None, c), (None, e), (None, x))
+        kept = simhash.keep_first(frame)
+        assert kept.columns == frame.columns
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(5, x), (3, y), (None, c), (None, e)], key=repr)
