@@ -19,6 +19,8 @@ from pathgauge.llm.common import chunks, list_array
 MARK = "▁"
 #: Words whose pieces a worker remembers in each of two generations; words that come up again move to the newer one.
 REMEMBERED = 150_000
+#: Longer words (runs without a space) are worked out anew each time, so that what is remembered stays small.
+LONGEST = 256
 
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
@@ -166,7 +168,7 @@ class Encoder:
             else:
                 j += 1
 
-    def _forward_bpe(self, word: str, last: list[str], path: list[bytes]) -> None:
+    def _forward_bpe(self, word: str, last: list[str]) -> None:
         scores, tails, pairs, open_pair = self.vocabulary.scores, self.tails, self.pairs, self._open
         for end in range(len(last), len(word) + 1):
             for begin in range(end - 1, -1, -1):
@@ -182,10 +184,9 @@ class Encoder:
                     found = pairs[key] = open_pair(*key)
                 if found:
                     last.append(piece)
-                    path.append(path[begin] + (self.piece_ids.get(piece) or self._ids(piece)))
                     break
 
-    def _forward_best(self, word: str, last: list[str], path: list[bytes], total: list[float]) -> None:
+    def _forward_best(self, word: str, last: list[str], total: list[float]) -> None:
         scores, tails = self.vocabulary.scores, self.tails
         for end in range(len(last), len(word) + 1):
             best, won = None, ""
@@ -198,7 +199,16 @@ class Encoder:
                     best, won = total[begin] + score, piece
             last.append(won)
             total.append(best)
-            path.append(path[end - len(won)] + (self.piece_ids.get(won) or self._ids(won)))
+
+    def _traced(self, last: list[str]) -> bytes:
+        """Ids of a whole word, from its end: the last piece of a prefix tells the prefix before it."""
+        end, found = len(last) - 1, []
+        while end > 0:
+            piece = last[end]
+            found.append(self.piece_ids.get(piece) or self._ids(piece))
+            end -= len(piece)
+        found.reverse()
+        return b"".join(found)
 
     def _ids(self, piece: str) -> bytes:
         """A character that is no piece is spelled in bytes."""
@@ -212,9 +222,9 @@ class Encoder:
         rest = word.lstrip(MARK)
         marks, tail = len(word) - len(rest), b""
         if rest:
-            last, path = [""], [b""]
-            self._forward_bpe(MARK + rest, last, path)
-            tail, own = path[-1], self.piece_ids.get(MARK) or self._ids(MARK)
+            last = [""]
+            self._forward_bpe(MARK + rest, last)
+            tail, own = self._traced(last), self.piece_ids.get(MARK) or self._ids(MARK)
             if tail.startswith(own):
                 tail = tail[len(own) :]
             else:
@@ -224,7 +234,7 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Work out the ids of words not seen before."""
-        last, path, total, previous = [""], [b""], [0.0], ""
+        last, total, previous = [""], [0.0], ""
         is_bpe, known = self.vocabulary.is_bpe, self.known
         for word in sorted(words):
             if is_bpe and word.startswith(MARK + MARK):
@@ -233,14 +243,14 @@ class Encoder:
             shared, most = 0, min(len(word), len(previous))
             while shared < most and word[shared] == previous[shared]:
                 shared += 1
-            del last[shared + 1 :], path[shared + 1 :]
+            del last[shared + 1 :]
             if is_bpe:
-                self._forward_bpe(word, last, path)
+                self._forward_bpe(word, last)
             else:
                 del total[shared + 1 :]
-                self._forward_best(word, last, path, total)
+                self._forward_best(word, last, total)
             previous = word
-            known[word] = path[-1]
+            known[word] = self._traced(last)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes of 32-bit integers; a null text counts as empty and has none."""
@@ -252,7 +262,11 @@ class Encoder:
         again = missing & older.keys()
         known.update([(w, older[w]) for w in again])
         self.learn(missing - again)
-        return [b"".join([known[w] for w in words]) for words in split]
+        found = [b"".join([known[w] for w in words]) for words in split]
+        for word in missing:
+            if len(word) > LONGEST:
+                del known[word]
+        return found
 
 
 def _packed(ids: list[int]) -> bytes:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -107,3 +109,20 @@ def test_other_normalisers_are_refused(tmp_path):
     path.write_bytes(model.SerializeToString())
     with pytest.raises(ValueError):
         pieces.load(str(path))
+
+
+def test_long_run_without_spaces(encoder, library):
+    """Memory grows with the run, not with its square; BPE equals the library, UNIGRAM the best score."""
+    source = random.Random(6)
+    run = "".join(source.choice("abcdefghijklmnopqrstuvwxyz0123456789+/=漢字文中") for _ in range(200_000))
+    best = dataclasses.replace(encoder.vocabulary, is_bpe=False)
+    for fresh in (pieces.Encoder(encoder.vocabulary), pieces.Encoder(best)):
+        tracemalloc.start()
+        found = ids(fresh, run)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 300 << 20
+        assert b"".join(best.spelled[i] for i in found).decode() == " " + run
+        assert not any(len(w) > pieces.LONGEST for w in fresh.known)
+        if fresh.vocabulary.is_bpe:
+            assert found == library.encode(run)
