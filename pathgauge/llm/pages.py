@@ -25,12 +25,17 @@ _BLOCK = _names(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure"
     " footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search"
     " section select summary table tbody td tfoot th thead tr ul"
+    " template object noscript audio video canvas"
 )
 _VOID = _names("area base br col embed hr img input link meta param source track wbr")
 #: Elements whose content is no text of the page, and is skipped up to their end tag.
-_RAW = _names("script style title textarea iframe noembed noframes xmp svg math template object noscript audio video canvas")
+_RAW = _names("script style title textarea iframe noembed noframes xmp")
+#: Elements without text of the page; a block element inside ends them, as in HTML.
+_DRAWN = _names("svg math")
+#: What stands in for an element that can't be shown; its nodes are judged like any other.
+_INSTEAD = _names("template object noscript audio video canvas")
 _HEADINGS = _names("h1 h2 h3 h4 h5 h6")
-_CLOSES_P = _BLOCK - _names("button caption body dd dt html legend option optgroup select td th tr tbody thead tfoot li summary")
+_CLOSES_P = _BLOCK - _names("button caption body dd dt html legend option optgroup select td th tr tbody thead tfoot li summary") - _INSTEAD
 #: A start tag ends an open element of these names, up to the nearest of those.
 _ENDS = {
     "li": (_names("li"), _names("ul ol menu dir")),
@@ -43,10 +48,10 @@ _ENDS = {
     "tbody": (_names("tbody thead tfoot tr td th"), _names("table")),
     "tfoot": (_names("tbody thead tfoot tr td th"), _names("table")),
 }
-_TAKES_NO_P = _names("table td th button caption")  # an open p outside of these isn't ended from inside
+_TAKES_NO_P = _INSTEAD | _names("table td th button caption")  # an open p outside of these isn't ended from inside
 
 _CONTENT_TAGS = _names("article main")
-_OTHER_TAGS = _names("nav footer aside form menu button select dialog fieldset header search")
+_OTHER_TAGS = _names("nav footer aside form menu button select dialog fieldset header search template audio video canvas")
 _CONTENT_WORDS = _names("article articlebody post entry story content main body text prose maintext")
 _OTHER_WORDS = _names(
     "ad ads adv advert advertisement advertising adsense banner promo promotion sponsor sponsored sponsoring teaser"
@@ -59,7 +64,8 @@ _OTHER_WORDS = _names(
 )
 _ROLES = {"navigation": -1, "banner": -1, "contentinfo": -1, "complementary": -1, "search": -1, "form": -1, "dialog": -1, "alert": -1, "main": 1, "article": 1}
 
-_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+# A quote opens a value only right after "=", and only if it is closed; else it is part of a name.
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+)>")
 _OPENING = re.compile(r"<(?=[A-Za-z!?/])")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
@@ -164,9 +170,10 @@ def parse(nodes: Nodes, page: int, html: str) -> None:
             piece = html[at:stop]
             if "&" in piece:
                 piece = unescape(piece)
-            parts.append(piece)
-            if links:
-                linked += len(piece.strip())
+            if not (opened.get("svg") or opened.get("math")):
+                parts.append(piece)
+                if links:
+                    linked += len(piece.strip())
         if not m:
             break
         at = stop
@@ -189,7 +196,7 @@ def parse(nodes: Nodes, page: int, html: str) -> None:
         name = m[2].lower()
         if m[1]:
             if opened.get(name):
-                inline = name not in _BLOCK
+                inline = name not in _BLOCK and name not in _DRAWN
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == name:
                         end(k)
@@ -198,10 +205,16 @@ def parse(nodes: Nodes, page: int, html: str) -> None:
                         break
             continue
         if name in _RAW:
+            if (opened.get("svg") or opened.get("math")) and m[3].endswith("/"):
+                continue
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-            if not m[3].endswith("/") or name not in ("svg", "math"):
-                at = close.end() if close else size
+            at = close.end() if close else size
+            continue
+        drawn = opened.get("svg") or opened.get("math")
+        if m[3].endswith("/") and (drawn or name in _DRAWN):
             continue
+        if drawn and name in _BLOCK:
+            end(next(k for k in range(1, len(stack)) if stack[k][0] in _DRAWN))
         if name not in _BLOCK:
             if name == "br":
                 parts.append(" ")

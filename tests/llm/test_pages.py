@@ -118,3 +118,27 @@ def test_names_decide_without_training(spark):
     html = "<nav>no</nav><article><p>yes</p><div class=ad>no</div></article>"
     model = Trees(0.0, np.array([[2]]), np.array([[-0.5]]), np.array([[-1.0, 1.0]]))
     assert g.main_texts([html], model) == ["yes"]
+
+
+def test_stray_quotes_and_unclosed_elements_keep_the_page():
+    cases = {
+        '<p class="x"">First part. </p><p class="y">Second part.</p>': ["First part.", "Second part."],
+        "<p title=it's>First. </p><p>Second. </p>": ["First.", "Second."],
+        "<p title=it's>First. </p><p title=it's>Second. </p>": ["First.", "Second."],
+        "<p 'a>b</p>": ["b"],
+        '<p title="never closed>a</p><p>b</p>': ["a", "b"],
+        "<p title = 'a > b' x=\"c > d\"y=/>e": ["e"],
+        "<svg><path d=x /><p>a</p>": ["a"],
+        "<div>a<svg><text>no</text><style/></div>b": ["a", "b"],
+        "<p>a<svg/>b <math><mi>x</mi></math>c": ["ab c"],
+        "<svg><foreignObject><div>a</svg>b": ["ab"],
+        "<script>no": [],
+    }
+    cases |= {f"<{name}><p>a</p><p>b</p>": ["a", "b"] for name in "noscript object video audio canvas template".split()}
+    for html, expected in cases.items():
+        assert blocks(html) == expected, html
+
+
+def test_quotes_take_linear_time():
+    for html in ("<a href='x\">" * 20_000, "<a x='" * 20_000 + ">", '<a x="\'>' * 20_000, "<svg><p>" * 20_000, "<a =" * 50_000 + ">"):
+        blocks(html)
