@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -13,7 +14,7 @@ from pathgauge.llm.common import chunks, id_and_text
 
 #: One edit is allowed for each so many characters of an item, so its pieces have about this length.
 CHARS_PER_ERROR = 16
-#: Shorter items say too little to tell a leak and are not searched.
+#: Shorter items are found from word border to word border only.
 LEAST_CHARS = 20
 #: The items are searched in blocks of about this many bytes, one pass over the documents each.
 BLOCK_BYTES = 2 << 20
@@ -51,6 +52,39 @@ def search(pattern: str, text: str) -> tuple[int, int]:
     return best, at
 
 
+# Scripts that set no spaces between words: every place is a border there.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _border(text: str, at: int) -> bool:
+    """Whether no word goes on over place ``at``."""
+    around = text[at - 1 : at + 1] if at else ""
+    return len(around) < 2 or not around[0].isalnum() or not around[1].isalnum() or bool(_UNSPACED.search(around))
+
+
+def _distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, x in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (c != x))
+    return row[-1]
+
+
+def _between_borders(item: str, text: str, places: list[int], errors: int) -> tuple[int, int]:
+    """(least distance, end) of the parts of ``text`` near ``places`` that begin and end at borders."""
+    best, at = errors + 1, -1
+    for place in sorted(set(places)):
+        for begin in range(max(0, place - errors), place + errors + 1):
+            if _border(text, begin):
+                for end in range(begin + len(item) - errors, min(len(text), begin + len(item) + errors) + 1):
+                    if _border(text, end) and (found := _distance(item, text[begin:end])) < best:
+                        best, at = found, end
+        if best == 0:
+            break
+    return best, at
+
+
 class Matcher:
     """Items of one block, found in texts with at most ``len // chars_per_error`` edits each."""
 
@@ -80,6 +114,9 @@ class Matcher:
         for k, places in starts.items():
             _, item, errors = self.items[k]
             best, at, done = errors + 1, -1, -1
+            if len(item) < LEAST_CHARS:
+                best, at = _between_borders(item, text, places, errors)
+                places = []
             for start in sorted(places):
                 # A match of this piece begins within the error budget of ``start``.
                 low, high = max(0, start - errors), min(len(text), start + len(item) + errors)
@@ -104,7 +141,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
     for block in range(count):
         rows = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)) == block).collect()
         found = sorted({(r.doc_id, plain(r.text)) for r in rows}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        yield [(i, t) for i, t in found if len(t) >= LEAST_CHARS]
+        yield [(i, t) for i, t in found if t]
 
 
 def benchmark_hits(
@@ -122,7 +159,7 @@ def benchmark_hits(
     one piece must stand unchanged in any match, and Myers' distance is taken
     around each piece found. ``place`` is where the closest match ends in the
     evened-out text. Null and empty texts hold nothing; items under 20
-    characters are not searched; repeated rows each give their rows. An empty
+    characters count from word border to word border only; repeated rows each give their rows. An empty
     table on either side gives no rows.
     """
     source, schema = id_and_text(docs, id_col, text_col), "doc_id long, item_id long, distance int, allowed int, place long"

@@ -103,3 +103,11 @@ def test_empty_tables(spark, docs):
     assert d.without_benchmark(frame, nothing).count() == 1
     benchmark = spark.createDataFrame([(1, "a benchmark item that is long enough")], "item_id long, text string")
     assert d.benchmark_hits(frame.where("false"), benchmark).collect() == []
+
+
+def test_short_items_between_word_borders(spark, docs):
+    benchmark = spark.createDataFrame([(1, "19 x 23 = ?"), (2, "世界上最高的山是什么？"), (3, "cat sat"), (4, "who wrote hamlet"), (5, " ")], "item_id long, text string")
+    frame = docs((1, "so 19 X 23  = ? is"), (2, "问题：世界上最高的山是什么？珠峰"), (3, "a bobcat sat"), (4, "the cat sat."), (5, "x who wrote hamlt y"), (6, "119 x 23 = ?"), (7, ""))
+    hits = {(r.doc_id, r.item_id, r.distance) for r in d.benchmark_hits(frame, benchmark).collect()}
+    assert hits == {(1, 1, 0), (2, 2, 0), (4, 3, 0), (5, 4, 1)}
+    assert {r.doc_id for r in d.without_benchmark(frame, benchmark).collect()} == {3, 6, 7}
