@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
+import duckdb
 import pytest
 from test_decontaminate import expected_hits
 from test_pii import brute_base
@@ -40,6 +42,8 @@ def tables(spark, tmp_path_factory):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     pages = [(i, f"http://a.example.org/{lang}/{i}", f"<nav>x</nav><article><p>{t}</article>") for i, t, lang in rows]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    vectors = [(k, [float(k % 7), 1.0, float(k)], 0) for k in range(21)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     return str(folder), rows, items
 
 
@@ -79,9 +83,27 @@ def test_stages_keep_columns_and_take_empty_tables(spark, tables):
 
 def test_queries_are_registered(spark, tables):
     folder, rows, _ = tables
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(QUERIES)
     for name, query in QUERIES.items():
         count = query(spark, folder).count()
-        assert count == 4 if name == "op7_decontamination" else count == len(rows), name
+        if name == "op13_collocations":
+            assert count > 0
+        else:
+            assert count == {"op7_decontamination": 4, "op11_neighbours": 40}.get(name, len(rows)), name
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_sql(spark, name):
+    found = QUERIES[name](spark, SF_DIR)
+    with duckdb.connect() as db:
+        for table in ("documents", "pages", "labels", "embeddings", "benchmark"):
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+        expected = db.sql(ORACLES[name])
+        assert found.columns == expected.columns
+        assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(expected.fetchall(), key=repr)
