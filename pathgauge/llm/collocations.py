@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
@@ -30,7 +31,8 @@ _CHUNK = 4 << 20
 _CUT = byte_class(b".,;:!?\n\v\f\r")
 _WORD = ~(_CUT | byte_class(b" \t"))
 _UPPER = byte_class(bytes(range(65, 91)))
-_STRIPE = "lang string, prefix string, part int, next array<string>, count array<long>"
+#: A stripe travels as one text of elements ``next count``, a tab between them: words hold neither space nor tab.
+_STRIPE = "lang string, prefix string, part int, stripe string"
 
 
 class _Words:
@@ -67,41 +69,47 @@ def _batch(lang: pa.Array, prefix: pa.Array, group: np.ndarray, part: np.ndarray
     key = group * PARTS + part
     order = np.argsort(key, kind="stable")
     begin = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))
-    offsets = pa.array(np.append(begin, len(key)).astype(np.int32))
     head = pa.array(order[begin])
+    kind = pa.string()
+    numbers = pa.array(count[order]).cast(kind)
+    elements = pc.binary_join_element_wise(following.take(pa.array(order)).cast(kind), numbers, pa.scalar(" ", kind))
+    stripes = pa.ListArray.from_arrays(pa.array(np.append(begin, len(key)).astype(np.int32)), elements)
     columns = [
         lang.take(head).cast(pa.string()),
         prefix.take(head).cast(pa.string()),
         pa.array(part[order[begin]].astype(np.int32)),
-        pa.ListArray.from_arrays(offsets, following.take(pa.array(order)).cast(pa.string())),
-        pa.ListArray.from_arrays(offsets, pa.array(count[order].astype(np.int64))),
+        pc.binary_join(stripes, "\t"),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "next", "count"])
+    return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "stripe"])
 
 
 def _after_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stripes of single words; the end of a piece is the next word null, so a stripe's sum counts its prefix."""
+    """Stripes of single words, with the prefix's own count as the element of an empty next word.
+
+    The stripe of the empty prefix has that element alone: the words of a language.
+    """
     for batch in chunks(batches, "text", _CHUNK):
         w = _Words(batch.column(1), batch.column(0))
-        size = len(w.words)
-        if not size:
+        size, ends = len(w.words) + 1, len(w.words)  # the last number is the empty word
+        if not ends:
             continue
-        following = np.full(len(w.word), size)
         together = np.flatnonzero(w.piece[1:] == w.piece[:-1])
-        following[together] = w.word[together + 1]
-        key, count = np.unique((w.lang * size + w.word) * (size + 1) + following, return_counts=True)
-        group, following = key // (size + 1), key % (size + 1)
+        prefix = w.lang * size + w.word
+        pair, pairs = np.unique(prefix[together] * size + w.word[together + 1], return_counts=True)
+        own, owns = np.unique(prefix, return_counts=True)
+        lang, langs = np.unique(w.lang, return_counts=True)
+        key = np.concatenate((pair, own * size + ends, (lang * size + ends) * size + ends))
+        group, following = key // size, key % size
         part = np.append(w.hashes % np.uint64(PARTS), np.uint64(0)).astype(np.int64)[following]
-        endings = pa.concat_arrays([w.words, pa.nulls(1, w.words.type)])
-        yield _batch(w.langs.take(pa.array(group // size)), w.words.take(pa.array(group % size)), group, part, endings.take(pa.array(following)), count)
+        words = pa.concat_arrays([w.words, pa.array([""], w.words.type)])
+        count = np.concatenate((pairs, owns, langs))
+        yield _batch(w.langs.take(pa.array(group // size)), words.take(pa.array(group % size)), group, part, words.take(pa.array(following)), count)
 
 
 def _after_pairs(shared: Broadcast):
     """Stripes of word pairs, where both pairs of the three words may be candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
         frequent = shared.value
         for batch in chunks(batches, "text", _CHUNK):
             w = _Words(batch.column(1), batch.column(0))
@@ -130,9 +138,9 @@ def _merged(stripes: DataFrame) -> DataFrame:
     """(lang, prefix, part, next, count): all stripes of a prefix added element by element, in one shuffle."""
     return (
         stripes.repartition("lang", "prefix", "part")
-        .select("lang", "prefix", "part", F.inline(F.arrays_zip("next", "count")))
-        .groupBy("lang", "prefix", "part", "next")
-        .agg(F.sum("count").alias("count"))
+        .select("lang", "prefix", "part", F.explode(F.split("stripe", "\t")).alias("element"))
+        .groupBy("lang", "prefix", "part", F.substring_index("element", " ", 1).alias("next"))
+        .agg(F.sum(F.substring_index("element", " ", -1).cast("long")).alias("count"))
     )
 
 
@@ -182,10 +190,10 @@ def collocations(
     lies in a longer candidate of ``subsumed`` per cent of its occurrences goes.
 
     A stripe is a prefix with a counter of its next words, made per piece of text
-    and merged element by element. The stripes of single words give the pairs, by
-    their sums the words' own counts, and with the stripes of pairs the threes;
-    the largest element of a pair's stripe and of those that end in the pair is
-    what may subsume it. Pairs that aren't candidates open no stripe (a filter of
+    and merged element by element. The stripes of single words give the pairs and,
+    as an element of each, the prefix's own count; those of pairs give the threes,
+    and the largest element of a pair's stripe and of those that end in the pair
+    is what may subsume it. Pairs that aren't candidates open no stripe (a filter of
     fixed size lets a few through, which their count then leaves out). Stripes
     are dealt out by prefix and next word, so a common prefix doesn't meet in one task.
 
@@ -197,18 +205,11 @@ def collocations(
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     source = docs.select(lang.alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
-    frequent = F.collect_list(F.when(F.col("next").isNotNull() & (F.col("count") >= least), F.struct("next", "count")))
-    stripes = store(
-        _merged(source.mapInArrow(_after_words, _STRIPE))
-        .groupBy("lang", "prefix", "part")
-        .agg(F.sum("count").alias("total"), frequent.alias("frequent")),
-        "stripes",
-    )
-    counts = stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("f"))
-    sizes = stripes.groupBy("lang").agg(F.sum("total").alias("n"))
-    words = store(counts.where(F.col("f") >= least).withColumnRenamed("prefix", "word"), "words")
-    pairs = stripes.select("lang", "prefix", F.inline("frequent"))
-    pairs = store(pairs.select("lang", "prefix", "next", F.concat_ws(" ", "prefix", "next").alias("pair"), F.col("count").alias("f")), "pairs")
+    stripes = _merged(source.mapInArrow(_after_words, _STRIPE)).where(F.col("count") >= least)
+    stripes = store(stripes.select("lang", "prefix", "next", F.col("count").alias("f")), "stripes")
+    sizes = stripes.where("prefix = '' and next = ''").select("lang", F.col("f").alias("n"))
+    words = stripes.where("prefix <> '' and next = ''").select("lang", F.col("prefix").alias("word"), "f")
+    pairs = stripes.where("next <> ''").withColumn("pair", F.concat_ws(" ", "prefix", "next"))
 
     shared = spark.sparkContext.broadcast(_pair_filter(pairs))
     threes = store(
