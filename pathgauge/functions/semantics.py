@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pathgauge.functions.exact import exact_sum
+
 ColumnLike = Column | str
 
 
@@ -19,6 +21,14 @@ def _col(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def total(value: ColumnLike, exact: bool = False, over=None) -> Column:
+    """Sum as an aggregate, or as a window value; ``exact`` makes it the same in any order of rows."""
+    if exact:
+        return exact_sum(value, over)
+    summed = F.sum(_col(value))
+    return summed if over is None else summed.over(over)
+
+
 def sum0(value: ColumnLike) -> Column:
     """Sum that is 0, not NULL, when no value is present."""
     return F.coalesce(F.sum(_col(value)), F.lit(0.0))
@@ -74,29 +84,29 @@ def text_or(value: ColumnLike, fallback: str, also: Iterable[str] = ()) -> Colum
 # fine key before a shuffle and once per final key after it.
 
 
-def weighted_terms(value: ColumnLike, weight: ColumnLike, prefix: str = "wm") -> list[Column]:
+def weighted_terms(value: ColumnLike, weight: ColumnLike, prefix: str = "wm", exact: bool = False) -> list[Column]:
     x, w = _col(value), _col(weight)
     unknown = w.isNull() | ((w != 0) & x.isNull())
     return [
         F.count_if(unknown).alias(f"{prefix}_unknown"),
-        F.sum(F.when(w != 0, x * w)).alias(f"{prefix}_top"),
-        F.sum(w).alias(f"{prefix}_weight"),
+        total(F.when(w != 0, x * w), exact).alias(f"{prefix}_top"),
+        total(w, exact).alias(f"{prefix}_weight"),
     ]
 
 
-def merge_weighted_terms(prefix: str = "wm") -> list[Column]:
-    return [F.sum(f"{prefix}_{part}").alias(f"{prefix}_{part}") for part in ("unknown", "top", "weight")]
+def merge_weighted_terms(prefix: str = "wm", exact: bool = False) -> list[Column]:
+    unknown = F.sum(f"{prefix}_unknown").alias(f"{prefix}_unknown")
+    return [unknown, *[total(f"{prefix}_{part}", exact).alias(f"{prefix}_{part}") for part in ("top", "weight")]]
 
 
 def weighted_mean_from_terms(prefix: str = "wm") -> Column:
     return F.when(F.col(f"{prefix}_unknown") == 0, ratio(f"{prefix}_top", f"{prefix}_weight"))
 
 
-def weighted_mean(value: ColumnLike, weight: ColumnLike, over=None) -> Column:
+def weighted_mean(value: ColumnLike, weight: ColumnLike, over=None, exact: bool = False) -> Column:
     """Weighted mean as an aggregate, or as a window value when ``over`` is given."""
     x, w = _col(value), _col(weight)
     unknown = F.count_if(w.isNull() | ((w != 0) & x.isNull()))
-    top, total = F.sum(F.when(w != 0, x * w)), F.sum(w)
     if over is not None:
-        unknown, top, total = unknown.over(over), top.over(over), total.over(over)
-    return F.when(unknown == 0, ratio(top, total))
+        unknown = unknown.over(over)
+    return F.when(unknown == 0, ratio(total(F.when(w != 0, x * w), exact, over), total(w, exact, over)))

@@ -67,6 +67,11 @@ class Params:
         }
     )
 
+    #: Sums that come out the same however the rows are partitioned; see ``functions/exact.py``.
+    exact_sums: bool = False
+    #: A row, with a plan of 0, also for target technologies a company has no asset of.
+    complete_technologies: bool = False
+
     @property
     def end_year(self) -> int:
         return self.reference_year + self.time_horizon
@@ -75,6 +80,17 @@ class Params:
     def relevant_years(self) -> range:
         return range(self.reference_year, self.end_year + 1)
 
+    def check_picks(self) -> None:
+        """An error if a score is to be read from a scenario source that the run leaves out.
+
+        Such a score would come out empty without a word. Sources are read if they
+        are listed (the truck pathway always is) and assessed.
+        """
+        read = {*self.scenario_sources, self.pathway_source} & set(self.assessed_sources)
+        unread = {sector: pick.source for sector, pick in self.score_picks.items() if pick.source not in read}
+        if unread:
+            raise ValueError(f"scores picked from sources that are not read: {unread}; read are {sorted(read)}")
+
     @property
     def all_sectors(self) -> tuple[str, ...]:
         return self.sectors + self.other_sectors
@@ -134,6 +150,8 @@ CONFIG_KEYS = {
     "global_aggregate_sector_list": "global_aggregate_sectors",
     "Brown.Techs": "brown_techs",
     "Most.Relevant.Techs": "most_relevant_techs",
+    "exact_sums": "exact_sums",
+    "complete_technologies": "complete_technologies",
 }
 
 _SCORE_CONFIG_SUFFIX = {"Power": "", "Automotive": "_auto", "HDV": "_hdv"}

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathgauge.functions.semantics import floor_at_zero
+from pathgauge.functions.semantics import floor_at_zero, total
 from pathgauge.operators.lookup import fixed_lookup, salted_join
 from pathgauge.params import Params
 from pathgauge.plans.production import sum_years, year_rows
@@ -64,11 +64,13 @@ def company_plans(
     markets: DataFrame,
     params: Params,
     years: Iterable[int] | None = None,
+    targets: DataFrame | None = None,
 ) -> DataFrame:
     """Production plan per company, market, geography, technology and year.
 
     ``_tech0`` and ``_sector0`` are the reference-year plans of the technology
-    and of its whole sector. ``assets`` holds the years side by side, see
+    and of its whole sector. With ``targets`` a company also gets the technologies
+    these name for its sector, with a plan of 0 in every year. ``assets`` holds the years side by side, see
     ``production.asset_sums``, and the listed companies only, see ``in_scope``.
 
     Assets are summed by country first, and combined before they are shuffled: a
@@ -85,6 +87,7 @@ def company_plans(
         ),
         ["id", "ald_location", "ald_sector", "technology"],
         years,
+        params.exact_sums,
     ).repartition("id")
     places = (
         regions.where(F.col("scenario_geography").isin(*params.scenario_geographies))
@@ -95,13 +98,42 @@ def company_plans(
     sector = ["id", "equity_market", "scenario_geography", "ald_sector"]
     # At most one row per country, listed geography and market.
     placed = fixed_lookup(by_country, places, ["ald_location"], "inner")
-    plans = sum_years(placed, [*sector, "technology"], years)
+    plans = sum_years(placed, [*sector, "technology"], years, params.exact_sums)
+    if targets is not None:
+        plans = complete(plans, sector, sector_technologies(targets, params), years)
     with_start = plans.withColumn(
         "_tech0", F.coalesce(f"v_{params.reference_year}", F.lit(0.0))
-    ).withColumn("_sector0", F.sum("_tech0").over(Window.partitionBy(*sector)))
+    ).withColumn("_sector0", total("_tech0", params.exact_sums, Window.partitionBy(*sector)))
     return year_rows(with_start, [*sector, "technology", "_tech0", "_sector0"], years, "plan_tech_prod")
 
 
+def sector_technologies(targets: DataFrame, params: Params) -> DataFrame:
+    """(ald_sector, _listed): the technologies that targets name, one row per sector of the model."""
+    named = targets.where(
+        F.col("ald_sector").isin(*params.all_sectors)
+        & F.col("technology").isNotNull()
+        & ~F.col("technology").isin(*params.excluded_techs)
+    )
+    return named.groupBy("ald_sector").agg(F.collect_set("technology").alias("_listed"))
+
+
+def complete(plans: DataFrame, sector: Sequence[str], listed: DataFrame, years: Iterable[int]) -> DataFrame:
+    """``plans`` with a row of zeros for each listed technology that a company's sector lacks.
+
+    A company's technologies of a sector, a few dozen at most, are gathered where
+    they lie, as ``plans`` is placed by company; a generator then yields them and
+    what the list has beyond them. The list is looked up, one row per sector, so
+    no join makes more rows than it reads.
+    """
+    columns = ["technology", *[f"v_{y}" for y in years]]
+    gathered = plans.groupBy(*sector).agg(F.collect_list(F.struct(*columns)).alias("_own"))
+    lacking = F.array_except(F.coalesce("_listed", F.array().cast("array<string>")), F.col("_own.technology"))
+    zero = lambda t: F.struct(t.alias("technology"), *[F.lit(0.0).alias(c) for c in columns[1:]])
+    return fixed_lookup(gathered, listed, ["ald_sector"], "left").select(
+        *sector, F.inline(F.concat("_own", F.transform(lacking, zero)))
+    )
+
+
 def connect(
     assets: DataFrame,
     scenarios: DataFrame,
@@ -118,7 +150,8 @@ def connect(
     year and moves by the scenario's share of the company's sector (technologies
     to build out) or of the technology itself (all others); it is never negative.
     A technology that a company has no asset of has no plan and hence no row,
-    also where its sector should build it out.
+    also where its sector should build it out, unless the parameters ask to
+    complete them: then it has a plan of 0, and the sector's share is expected.
 
     ``years`` narrows the result, as scores and ratings need the first and the
     last year only; the reference year is always kept.
@@ -127,7 +160,8 @@ def connect(
     joined is left to its size; ``salts`` above 0 asks for a salted shuffle join.
     """
     targets = global_from_parts(scenarios, params)
-    plans = company_plans(assets, regions, markets, params, years)
+    named = scenarios if params.complete_technologies else None
+    plans = company_plans(assets, regions, markets, params, years, named)
     keys = ["ald_sector", "technology", "scenario_geography", "year"]
     if salts:
         joined = salted_join(plans, targets, keys, "inner", spread_by=["id"], salts=salts)
@@ -145,7 +179,7 @@ def connect(
     return (
         connected.withColumn("scenario_geography", F.explode(places))
         .groupBy(*keys)
-        .agg(F.sum("plan_tech_prod").alias("plan_tech_prod"), F.sum("scen_tech_prod").alias("scen_tech_prod"))
+        .agg(*[total(c, params.exact_sums).alias(c) for c in ("plan_tech_prod", "scen_tech_prod")])
     )
 
 

@@ -52,13 +52,13 @@ def company_intensity(facts: DataFrame, bridge: DataFrame, params: Params) -> Da
     per_id = (
         in_scope(intensity_scope(facts, params), bridge)
         .groupBy("id", "year", "ald_sector")
-        .agg(*weighted_terms("ald_emissions_factor", "ald_production"))
+        .agg(*weighted_terms("ald_emissions_factor", "ald_production", exact=params.exact_sums))
     )
     listed = bridge.withColumnRenamed("company_id", "id")
     return (
         per_id.join(listed, "id", "inner")
         .groupBy("company_name", "year", "ald_sector")
-        .agg(*merge_weighted_terms())
+        .agg(*merge_weighted_terms(exact=params.exact_sums))
         .select(
             "company_name",
             "year",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathgauge import refdata
-from pathgauge.functions.semantics import floor_at_zero, if_else, recode
+from pathgauge.functions.semantics import floor_at_zero, if_else, recode, total
 from pathgauge.operators.reshape import prefixed_years
 
 _ASSET_KEYS = ("company_name", "company_id", "sector", "asset_country", "technology", "unit")
@@ -67,9 +67,9 @@ def _with_factor_versions(wide: DataFrame, years: dict[str, int], techs: Sequenc
     return cells.where(F.coalesce(*[F.col(f"v_{y}") for y in years.values()]).isNotNull()) if years else cells
 
 
-def sum_years(rows: DataFrame, keys: Sequence[str], years: Iterable[int]) -> DataFrame:
+def sum_years(rows: DataFrame, keys: Sequence[str], years: Iterable[int], exact: bool = False) -> DataFrame:
     """Sums per year; a year no row has stays NULL."""
-    return rows.groupBy(*keys).agg(*[F.sum(f"v_{y}").alias(f"v_{y}") for y in years])
+    return rows.groupBy(*keys).agg(*[total(f"v_{y}", exact).alias(f"v_{y}") for y in years])
 
 
 def year_rows(
@@ -91,6 +91,7 @@ def asset_sums(
     *,
     years: Iterable[int] | None = None,
     zero_techs: Sequence[str] = refdata.ZERO_FACTOR_TECHS,
+    exact: bool = False,
 ) -> DataFrame:
     """Assets summed per key, floored at 0 and under their clean names; years side by side.
 
@@ -101,7 +102,7 @@ def asset_sums(
     columns = prefixed_years(wide, years)
     numbers = list(columns.values())
     summed = sum_years(
-        _with_factor_versions(wide, columns, zero_techs), [*_ASSET_KEYS, "emissions_factor"], numbers
+        _with_factor_versions(wide, columns, zero_techs), [*_ASSET_KEYS, "emissions_factor"], numbers, exact
     )
     cleaned = (
         F.when(F.col("technology") == "Oil and Condensate", F.lit("Oil"))
@@ -146,18 +147,21 @@ def normalise(
     years: Iterable[int] | None = None,
     zero_techs: Sequence[str] = refdata.ZERO_FACTOR_TECHS,
     without: Sequence[str] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """The full clean long table: one row per value of all its other columns."""
-    rows = asset_sums(wide, years=years, zero_techs=zero_techs)
+    rows = asset_sums(wide, years=years, zero_techs=zero_techs, exact=exact)
     keys, numbers = _key_columns(rows, without), _years(rows)
-    return year_rows(sum_years(rows, keys, numbers), keys, numbers)
+    return year_rows(sum_years(rows, keys, numbers, exact), keys, numbers)
 
 
 def masterdata(
-    wide: DataFrame, zero_techs: Sequence[str], *, years: Iterable[int] | None = None
+    wide: DataFrame, zero_techs: Sequence[str], *, years: Iterable[int] | None = None, exact: bool = False
 ) -> DataFrame:
     """The clean long table as later stages read it: keyed by company id, without its name."""
-    return normalise(wide, years=years, zero_techs=zero_techs, without=("company_name", "id_name"))
+    return normalise(
+        wide, years=years, zero_techs=zero_techs, without=("company_name", "id_name"), exact=exact
+    )
 
 
 def recode_hdv(facts: DataFrame) -> DataFrame:

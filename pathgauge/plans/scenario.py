@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathgauge import refdata, schemas
-from pathgauge.functions.semantics import ratio, recode
+from pathgauge.functions.semantics import ratio, recode, total
 from pathgauge.operators.interpolate import interpolate_yearly
 from pathgauge.operators.union import stack_named, stack_same
 from pathgauge.params import Params
@@ -31,7 +31,7 @@ def hdv_pathway(raw: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def add_market_share(df: DataFrame, reference_year: int) -> DataFrame:
+def add_market_share(df: DataFrame, reference_year: int, exact: bool = False) -> DataFrame:
     """Growth against the reference year: of the technology, and as a share of its sector.
 
     ``tmsr`` is the value over the technology's reference value; ``smsp`` is the
@@ -41,7 +41,7 @@ def add_market_share(df: DataFrame, reference_year: int) -> DataFrame:
     sector = ["source", "scenario", "scenario_geography", "sector"]
     at_start = F.when(F.col("year") == reference_year, F.col("value"))
     return (
-        df.withColumn("_sector0", F.sum(at_start).over(Window.partitionBy(*sector)))
+        df.withColumn("_sector0", total(at_start, exact, Window.partitionBy(*sector)))
         .withColumn("_tech0", F.max(at_start).over(Window.partitionBy(*sector, "technology")))
         .withColumn("tmsr", ratio("value", "_tech0"))
         .withColumn("smsp", ratio(F.col("value") - F.col("_tech0"), F.col("_sector0")))
@@ -67,7 +67,7 @@ def scenario_input(
     raw = stack_named(datasets, params.scenario_datasets)
     yearly = stack_same(interpolate_yearly(raw, SERIES_KEYS), hdv_pathway(pathway, params))
     started = yearly.where(F.col("year") >= params.reference_year)
-    shared = format_targets(add_market_share(started, params.reference_year), params)
+    shared = format_targets(add_market_share(started, params.reference_year, params.exact_sums), params)
     return shared.select(*schemas.SCENARIO_INPUT.fieldNames())
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathgauge import refdata
-from pathgauge.functions.semantics import first_match, if_else, ratio, weighted_mean
+from pathgauge.functions.semantics import first_match, if_else, ratio, total, weighted_mean
 from pathgauge.operators.lookup import fixed_lookup
 from pathgauge.operators.ranking import average_rank_desc
 from pathgauge.operators.reshape import strict_pivot
@@ -46,13 +46,13 @@ def paired_years(connected: DataFrame, bridge: DataFrame, params: Params) -> Dat
     )
     listed = scope.join(bridge.withColumnRenamed("company_id", "id"), "id", "inner")
 
-    def total(side: str, year: int) -> Column:
+    def of_year(side: str, year: int) -> Column:
         known = F.coalesce(f"{side}_tech_prod", F.lit(0.0))
-        return F.sum(F.when(F.col("year") == year, known))
+        return total(F.when(F.col("year") == year, known), params.exact_sums)
 
     return listed.groupBy(*_SERIES, "technology").agg(
         *[
-            total(side, number).alias(f"{side}_{name}")
+            of_year(side, number).alias(f"{side}_{name}")
             for side in ("plan", "scen")
             for name, number in (("start", params.reference_year), ("end", params.end_year))
         ]
@@ -63,12 +63,12 @@ def _has(year: str) -> Column:
     return F.col(f"plan_{year}").isNotNull()
 
 
-def with_sector_totals(pairs: DataFrame) -> DataFrame:
+def with_sector_totals(pairs: DataFrame, params: Params) -> DataFrame:
     """Sector totals per year. The source is not a key: equal scenario names pool."""
     window = Window.partitionBy(*_PLACE)
     return pairs.withColumns(
         {
-            f"{side}_sec_{year}": F.sum(f"{side}_{year}").over(window)
+            f"{side}_sec_{year}": total(f"{side}_{year}", params.exact_sums, window)
             for side in ("plan", "scen")
             for year in ("start", "end")
         }
@@ -89,7 +89,7 @@ def _long(pairs: DataFrame, keys: list[str], per_year: dict[str, str], params: P
 def tech_share(connected: DataFrame, bridge: DataFrame, params: Params) -> DataFrame:
     """Technology sums, sector totals and shares for both years."""
     long = _long(
-        with_sector_totals(paired_years(connected, bridge, params)),
+        with_sector_totals(paired_years(connected, bridge, params), params),
         [*_SERIES, "technology"],
         {
             "plan_tech_prod": "plan_{year}",
@@ -142,13 +142,13 @@ def with_factors(pairs: DataFrame, params: Params) -> DataFrame:
 
 def scored_technologies(connected: DataFrame, bridge: DataFrame, params: Params) -> DataFrame:
     """Every scored technology, in both years, with the score of its company and year."""
-    factors = with_factors(with_sector_totals(paired_years(connected, bridge, params)), params)
+    factors = with_factors(with_sector_totals(paired_years(connected, bridge, params), params), params)
     window = Window.partitionBy(*_SERIES)
 
     def score(year: str) -> Column:
         # A series without rows in this year has no part in the mean: weight 0.
         weight = F.when(_has(year), F.col("weighting_factor")).otherwise(0.0)
-        return weighted_mean(f"alignment_{year}", weight, window)
+        return weighted_mean(f"alignment_{year}", weight, window, params.exact_sums)
 
     scored = factors.withColumns({"score_start": score("start"), "score_end": score("end")})
     long = _long(
@@ -201,7 +201,7 @@ def company_scores(connected: DataFrame, bridge: DataFrame, params: Params) -> D
     scores = (
         factors.where(_has("end"))
         .groupBy(*_SERIES)
-        .agg(weighted_mean("alignment_end", "weighting_factor").alias("single_score_Case8"))
+        .agg(weighted_mean("alignment_end", "weighting_factor", exact=params.exact_sums).alias("single_score_Case8"))
         .select("ald_sector", "company_name", "single_score_Case8")
     )
     named = sector_display_name(
@@ -282,8 +282,9 @@ def communication_plan(scored: DataFrame, params: Params) -> DataFrame:
     values and the right join onto them come out of a single aggregate.
     """
     end = F.col("year") == params.end_year
-    total = F.sum(F.when(end, F.col("weighting_factor"))).over(Window.partitionBy(*_COMM_KEYS[1:]))
-    weighted = scored.withColumn("weighting_factor", ratio("weighting_factor", total))
+    sector = Window.partitionBy(*_COMM_KEYS[1:])
+    of_sector = total(F.when(end, F.col("weighting_factor")), params.exact_sums, sector)
+    weighted = scored.withColumn("weighting_factor", ratio("weighting_factor", of_sector))
     cells = []
     for year in (params.reference_year, params.end_year):
         here = F.col("year") == year

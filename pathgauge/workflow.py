@@ -87,9 +87,12 @@ class Run:
     def prepare(self, inputs: Inputs) -> None:
         """Clean production, scenario targets, company bridge and the connected table."""
         params = self.params
+        params.check_picks()
         wide = inputs.production
         masterdata = store(
-            prod.masterdata(wide, params.zero_emission_techs), "masterdata", path=self.path("masterdata")
+            prod.masterdata(wide, params.zero_emission_techs, exact=params.exact_sums),
+            "masterdata",
+            path=self.path("masterdata"),
         )
         bridge = store(
             conn.name_bridge(wide, inputs.companies), "name_bridge", path=self.path("name_bridge")
@@ -120,6 +123,7 @@ class Run:
 
     def score(self) -> None:
         """Aggregate score per sector, and the communication table."""
+        self.params.check_picks()
         bridge = self.table("name_bridge")
         result = store(
             score.score_result(score.company_scores(self.connected(), bridge, self.params)),

@@ -97,6 +97,20 @@ _PATHWAY = " UNION ALL ".join(
     for s, step in model.PATHWAY_STEP.items()
 )
 
+def _expected(source: str, own: str) -> str:
+    """Expected production beside each plan of ``source``, from the first year's plans in ``own``."""
+    return f"""SELECT p.id, p.equity_market, t.scenario_source, t.scenario, p.scenario_geography, p.ald_sector, p.technology,
+    p.year, p.plan AS plan_tech_prod,
+    COALESCE(a.p0, 0) + t.fair_share *
+      CASE WHEN p.technology IN {_in(P.green_techs)} THEN COALESCE(b.s0, 0) ELSE COALESCE(a.p0, 0) END AS scen
+  FROM {source} p JOIN targets_long t ON t.ald_sector = p.ald_sector AND t.technology = p.technology
+    AND t.scenario_geography = p.scenario_geography AND t.year = p.year
+  LEFT JOIN (SELECT id, scenario_geography, ald_sector, technology, plan AS p0 FROM {own} WHERE year = {T0}) a ON a.id = p.id AND a.scenario_geography = p.scenario_geography
+    AND a.ald_sector = p.ald_sector AND a.technology = p.technology
+  LEFT JOIN (SELECT id, scenario_geography, ald_sector, SUM(plan) AS s0 FROM {own} WHERE year = {T0} GROUP BY ALL) b ON b.id = p.id AND b.scenario_geography = p.scenario_geography
+    AND b.ald_sector = p.ald_sector"""
+
+
 _RATING = {rating: light for rating, light in refdata.RATINGS if rating}
 _LIGHT = "CASE rating " + " ".join(
     f"WHEN {_text(r)} THEN {_text(light)}" for r, light in _RATING.items() if light
@@ -262,22 +276,22 @@ plans AS (
   FROM scoped JOIN geographies g ON g.country = ald_location
   WHERE g.scenario_geography IN {_in(P.scenario_geographies)} AND technology NOT IN {_in(P.excluded_techs)}
   GROUP BY ALL),
-plan_starts AS (SELECT id, scenario_geography, ald_sector, technology, plan AS p0 FROM plans WHERE year = {T0}),
-plan_sector_starts AS (
-  SELECT id, scenario_geography, ald_sector, SUM(plan) AS s0 FROM plans WHERE year = {T0} GROUP BY ALL),
-expected AS (
-  SELECT p.id, p.equity_market, t.scenario_source, t.scenario, p.scenario_geography, p.ald_sector, p.technology,
-    p.year, p.plan AS plan_tech_prod,
-    COALESCE(a.p0, 0) + t.fair_share *
-      CASE WHEN p.technology IN {_in(P.green_techs)} THEN COALESCE(b.s0, 0) ELSE COALESCE(a.p0, 0) END AS scen
-  FROM plans p JOIN targets_long t ON t.ald_sector = p.ald_sector AND t.technology = p.technology
-    AND t.scenario_geography = p.scenario_geography AND t.year = p.year
-  LEFT JOIN plan_starts a ON a.id = p.id AND a.scenario_geography = p.scenario_geography
-    AND a.ald_sector = p.ald_sector AND a.technology = p.technology
-  LEFT JOIN plan_sector_starts b ON b.id = p.id AND b.scenario_geography = p.scenario_geography
-    AND b.ald_sector = p.ald_sector),
+plans_sparse AS (SELECT * FROM plans WHERE (id + length(technology)) % 3 <> 0),
+plans_complete AS (
+  SELECT * FROM plans_sparse
+  UNION ALL SELECT c.id, 'GlobalMarket', c.scenario_geography, c.ald_sector, t.technology, CAST(y.year AS INTEGER), 0.0
+  FROM (SELECT DISTINCT id, scenario_geography, ald_sector FROM plans_sparse) c
+  JOIN (SELECT DISTINCT ald_sector, technology FROM targets_long
+        WHERE technology IS NOT NULL AND technology NOT IN {_in(P.excluded_techs)}) t ON t.ald_sector = c.ald_sector
+  CROSS JOIN (SELECT unnest(range({T0}, {T1 + 1})) AS year) y
+  WHERE NOT EXISTS (SELECT 1 FROM plans_sparse p WHERE p.id = c.id AND p.scenario_geography = c.scenario_geography
+    AND p.ald_sector = c.ald_sector AND p.technology = t.technology)),
+expected AS ({_expected('plans', 'plans')}),
 connected AS (
   SELECT * EXCLUDE (scen), CASE WHEN scen <= 0 THEN 0 ELSE scen END AS scen_tech_prod FROM expected),
+connected_complete AS (
+  SELECT * EXCLUDE (scen), CASE WHEN scen <= 0 THEN 0 ELSE scen END AS scen_tech_prod
+  FROM ({_expected('plans_complete', 'plans_sparse')})),
 assessed_rows AS (SELECT * FROM connected WHERE scenario_source IN ('WEO2022', 'ETP2017')),
 ei_rows AS (
   SELECT m.*, b.company_name FROM master m JOIN bridge b ON b.company_id = m.id
@@ -462,6 +476,12 @@ def _tech_report(sector: str) -> str:
     )
 
 
+def _nearest(units: str) -> str:
+    """The double nearest to a whole number of 2 ** -60: both parts of the one addition are exact."""
+    half = 2**50
+    return f"((CAST({units} // {half} AS DOUBLE) * {half}.0 + CAST({units} % {half} AS DOUBLE)) / {2.0**60})"
+
+
 ORACLES: dict[str, str] = {
     "scan_wide": _q("SELECT * FROM wide"),
     "production_csv": _q("SELECT * FROM wide"),
@@ -495,6 +515,15 @@ ORACLES: dict[str, str] = {
         FROM master LEFT JOIN bridge ON company_id = id WHERE year = {T0}"""
     ),
     "connect": _q("SELECT * REPLACE (ROUND(scen_tech_prod, 6) AS scen_tech_prod) FROM connected"),
+    "connect_complete": _q("SELECT * REPLACE (ROUND(scen_tech_prod, 6) AS scen_tech_prod) FROM connected_complete"),
+    "exact_sums": f"""
+        WITH v AS (
+          SELECT l_suppkey, l_returnflag, l_extendedprice * (1 - l_discount) AS w, l_discount AS x FROM lineitem),
+        s AS (
+          SELECT l_suppkey, l_returnflag, SUM(CAST(w * {2.0**60} AS HUGEINT)) AS w, SUM(CAST(x * w * {2.0**60} AS HUGEINT)) AS xw
+          FROM v GROUP BY ALL)
+        SELECT l_suppkey, l_returnflag, {_nearest("w")} AS revenue, {_nearest("xw")} / {_nearest("w")} AS mean_discount
+        FROM s""",
     "global_aggregate": _q(
         """SELECT id, equity_market, v.name AS scenario_source, scenario, scenario_geography, ald_sector, technology,
           year, plan_tech_prod, ROUND(scen_tech_prod, 6) AS scen_tech_prod

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pathgauge import refdata, schemas
-from pathgauge.functions.semantics import sum0
+from pathgauge.functions.semantics import sum0, total, weighted_mean
 from pathgauge.operators import interpolate_yearly, stack_named, unpivot_years
 from pathgauge.operators.lookup import fixed_lookup
 from pathgauge.plans import connect as conn
@@ -84,7 +84,12 @@ def _scenario_long(spark, sf_dir, shipped: DataFrame) -> DataFrame:
 
 
 def _connected(
-    spark, sf_dir, params=PARAMS, targets=lambda scenarios: scenarios, years=PARAMS.relevant_years
+    spark,
+    sf_dir,
+    params=PARAMS,
+    targets=lambda scenarios: scenarios,
+    years=PARAMS.relevant_years,
+    owned=lambda assets: assets,
 ) -> tuple[DataFrame, DataFrame]:
     """Connected table of all sources, and the name bridge, on top of the stored shipments."""
     shipped = _shipped(spark, sf_dir)
@@ -94,9 +99,10 @@ def _connected(
         conn.in_scope(wide, listed, "company_id"),
         years=years,
         zero_techs=params.zero_emission_techs,
+        exact=params.exact_sums,
     )
     connected = conn.connect(
-        prod.recode_hdv(assets),
+        owned(prod.recode_hdv(assets)),
         targets(_scenario_long(spark, sf_dir, shipped)),
         model.regions(spark, sf_dir),
         conn.index_regions(wide),
@@ -215,6 +221,26 @@ def connect(spark, sf_dir):
     return rounded(connected, ["scen_tech_prod"])
 
 
+def connect_complete(spark, sf_dir):
+    """Companies that own two thirds of the technologies, also with those they have no asset of."""
+    some = (F.col("id") + F.length("technology")) % 3 != 0
+    params = replace(PARAMS, complete_technologies=True)
+    connected, _ = _connected(spark, sf_dir, params, owned=lambda assets: assets.where(some))
+    return rounded(connected, ["scen_tech_prod"])
+
+
+def exact_sums(spark, sf_dir):
+    """Revenue per supplier and return flag, and its mean discount: sums whose last bits depend on the order of rows."""
+    lines = spark.read.schema("l_suppkey bigint, l_extendedprice double, l_discount double, l_returnflag string").parquet(
+        f"{sf_dir}/lineitem.parquet"
+    )
+    revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return lines.groupBy("l_suppkey", "l_returnflag").agg(
+        total(revenue, exact=True).alias("revenue"),
+        weighted_mean("l_discount", revenue, exact=True).alias("mean_discount"),
+    )
+
+
 def _three_sources(scenarios: DataFrame) -> DataFrame:
     """The power targets under three names: every geography, Global alone, Global and one part."""
     geography = F.col("scenario_geography")
@@ -464,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "name_bridge": name_bridge,
     "bridge_join": bridge_join,
     "connect": connect,
+    "connect_complete": connect_complete,
     "global_aggregate": global_aggregate,
     "per_source_output": per_source_output,
     "stage_roundtrip": stage_roundtrip,
@@ -479,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "traj_hdv": _rated("HDV"),
     "traj_wide": traj_wide,
     "display_names": display_names,
+    "exact_sums": exact_sums,
     "tech_share": tech_share,
     "agg_factors": agg_factors,
     "agg_score": agg_score,

@@ -224,3 +224,50 @@ def test_no_excluded_technologies_and_no_targets(spark, world):
     got = connected(spark, world, FACT_ROWS, data, params)
     assert rows(got, "technology", "plan_tech_prod", "scen_tech_prod") == [("OtherCap", 1000.0, 1000.0)]
     assert connected(spark, world, FACT_ROWS, [], PARAMS).count() == 0
+
+
+def test_completed_technologies(spark, world):
+    """A company gets its sector's target technologies with a plan of 0, and nothing it could not have."""
+    params = profile("2022Q2", time_horizon=1, complete_technologies=True, excluded_techs=("OtherCap",))
+    facts = [
+        (1, "Power", "DE", "CoalCap", 2022, 60.0),
+        (1, "Power", "DE", "CoalCap", 2023, 50.0),
+        (2, "Power", "NA", "RenewablesCap", 2023, 7.0),  # nothing in the first year
+    ]
+    data = [
+        ("W", sector, tech, geo, year, share)
+        for sector, tech, share in (
+            ("Power", "CoalCap", -0.5),
+            ("Power", "RenewablesCap", 0.25),  # to build out: a share of the sector
+            ("Power", "GasCap", 0.5),  # not to build out: a share of its own nothing
+            ("Power", "OtherCap", 0.5),  # excluded
+            ("Steel", "Open Hearth", 0.5),  # no such asset
+        )
+        for geo in ("Global", "OECD")
+        for year in (2022, 2023)
+    ]
+    found = connected(spark, world, facts, data, params)
+    got = {(r.id, r.scenario_geography, r.technology, r.year): (r.plan_tech_prod, r.scen_tech_prod) for r in found.collect()}
+    assert set(got) == {
+        (1, geo, tech, year) for geo in ("Global", "OECD") for tech in ("CoalCap", "RenewablesCap", "GasCap") for year in (2022, 2023)
+    } | {(2, "Global", tech, year) for tech in ("CoalCap", "GasCap") for year in (2022, 2023)} | {(2, "Global", "RenewablesCap", 2023)}
+    assert got[1, "OECD", "RenewablesCap", 2023] == (0.0, 15.0)
+    assert got[1, "OECD", "GasCap", 2023] == (0.0, 0.0)
+    assert got[1, "OECD", "CoalCap", 2023] == (50.0, 30.0)
+    assert got[2, "Global", "RenewablesCap", 2023] == (7.0, 0.0)
+    plain = connected(spark, world, facts, data, profile("2022Q2", time_horizon=1, excluded_techs=("OtherCap",)))
+    assert {(r.id, r.technology) for r in plain.collect()} == {(1, "CoalCap"), (2, "RenewablesCap")}
+
+
+def test_completion_joins_one_row_per_sector_and_keeps_the_placement(spark, world):
+    params = profile("2022Q2", time_horizon=1, complete_technologies=True)
+
+    def plan(params):
+        text = connected(spark, world, FACT_ROWS, TARGETS, params)._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in text and "NestedLoop" not in text
+        return text
+
+    assert plan(params).count("hashpartitioning(id#") == plan(PARAMS).count("hashpartitioning(id#")
+    assert plan(params).count("Join") == plan(PARAMS).count("Join") + 1
+    listed = conn.sector_technologies(targets(spark, *TARGETS), params)
+    assert listed.count() == listed.select("ald_sector").distinct().count()

@@ -1,0 +1,83 @@
+"""Exact sums against whole-number arithmetic, in any order and partitioning."""
+
+from __future__ import annotations
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from pathgauge.functions.exact import LIMIT, exact_sum
+
+
+def numbers(n, seed):
+    source = random.Random(seed)
+    return [source.choice((-1, 1)) * source.random() * 2.0 ** source.randrange(-60, 100) for _ in range(n)]
+
+
+def bits(value):
+    return None if value is None else value.hex()
+
+
+@pytest.fixture(scope="module")
+def groups():
+    return {
+        0: numbers(3000, 1),
+        1: [1e16, 1.0, -1e16, 1e-9] * 50,
+        2: [0.1] * 1000,
+        3: [x for v in numbers(400, 2) for x in (v, -v)] + [2.0**-100],
+        4: [2.0**53, 1.0],  # halfway: the even neighbour
+        5: [2.0**53, 1.0, 2.0**-119],  # a little above halfway
+        6: [-(2.0**53), -3.0],
+        7: [0.0, -0.0],
+        8: [None, None],
+        9: [None, 5.5],
+        10: [LIMIT / 2, -LIMIT / 2, 2.0**-120],
+        11: [math.nextafter(LIMIT, 0)] * 300,
+        12: [-(2.0**-120)] * 3,
+        13: [],
+    }
+
+
+def test_nearest_double_in_any_partitioning(spark, groups):
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    expected = {g: math.fsum(v for v in values if v is not None) for g, values in groups.items() if any(v is not None for v in values)}
+    found = {}
+    for parts in (1, 8, 200):
+        random.Random(parts).shuffle(rows)
+        df = spark.createDataFrame(rows, "g int, v double").repartition(parts)
+        result = {r.g: bits(r.s) for r in df.groupBy("g").agg(exact_sum("v").alias("s")).collect()}
+        assert result == {g: bits(expected.get(g) and expected[g] + 0.0) if g in expected and expected[g] else bits(0.0) if g in expected else None for g in result}
+        assert found.setdefault("first", result) == result
+
+
+def test_finer_bits_are_rounded_value_by_value(spark):
+    values = [2.0**-122, 2.0**-121 * 1.5, 1.0, 3.0 * 2.0**-121]
+    unit = Fraction(1, 2**120)
+    expected = float(sum(round(Fraction(v) / unit) * unit for v in values))
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(exact_sum("v").alias("s")).first().s == expected
+
+
+def test_as_window(spark):
+    rows = [(k % 3, v) for k, v in enumerate(numbers(90, 5))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    found = df.select("g", exact_sum("v", Window.partitionBy("g")).alias("s")).distinct().collect()
+    assert {r.g: r.s for r in found} == {g: math.fsum(v for h, v in rows if h == g) for g in range(3)}
+
+
+@pytest.mark.parametrize("bad", [LIMIT, -LIMIT, math.inf, math.nan])
+def test_out_of_range_is_an_error(spark, bad):
+    df = spark.createDataFrame([(1.0,), (bad,)], "v double")
+    with pytest.raises(PySparkException, match="outside the range of an exact sum"):
+        df.agg(exact_sum("v")).collect()
+
+
+def test_sums_are_combined_before_the_shuffle(spark):
+    plan = spark.range(100).select((F.col("id") % 3).alias("g"), F.rand(1).alias("v")).groupBy("g").agg(exact_sum("v"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("HashAggregate") == 2 and text.count("partial_sum") >= 10 and "SortAggregate" not in text

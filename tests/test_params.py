@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 
-from pathgauge.params import Params, from_config, profile
+from pathgauge.params import PROFILES, Params, from_config, profile
 
 
 def test_profiles_overlay_the_default():
@@ -40,3 +42,17 @@ def test_source_choice_and_company_limit_from_a_configuration():
     assert params.assessed_sources == ("A", "B")
     assert params.score_picks["HDV"].only_companies == ("V",)
     assert params.score_picks["Power"].only_companies == ()
+
+
+@pytest.mark.parametrize("name", list(PROFILES))
+def test_picks_are_read(name):
+    """The default lists neither source it picks scores from; its user must say which to read."""
+    if name == "default":
+        with pytest.raises(ValueError, match="NZE_2021"):
+            profile(name).check_picks()
+        picks = {s: replace(p, source="WEO2021") for s, p in profile().score_picks.items() if s != "HDV"}
+        profile(score_picks=picks, assessed_sources=("WEO2021",)).check_picks()
+    else:
+        profile(name).check_picks()
+    with pytest.raises(ValueError, match="WEO2022"):
+        profile("2023Q2", assessed_sources=("ETP2017",)).check_picks()
