@@ -29,6 +29,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--output", required=True, help="folder for stage and result tables")
     parser.add_argument("--config", help="YAML file with a default section and profiles")
     parser.add_argument("--profile", default="default", help=f"profile name, built in: {', '.join(PROFILES)}")
+    parser.add_argument("--template", help="report workbook that lists the companies, in place of roster.csv in the inputs")
     parser.add_argument("--master", help="Spark master; taken from spark-submit when left out")
     options = parser.parse_args(arguments)
 
@@ -39,7 +40,10 @@ def main(arguments: list[str] | None = None) -> int:
         if step == "prepare":
             run.prepare(read_inputs(spark, options.inputs, params, options.output))
         elif step == "assemble":
-            run.assemble(tables.read_text(spark, f"{options.inputs}/roster.csv"))
+            if options.template:
+                run.assemble(template=options.template)
+            else:
+                run.assemble(tables.read_text(spark, f"{options.inputs}/roster.csv"))
         else:
             getattr(run, step)()
     return 0

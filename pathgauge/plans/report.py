@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,25 @@ def intensity_report(roster: DataFrame, intensity: DataFrame, sector: str) -> Da
     )
 
 
+def template_roster(cells: DataFrame, sector: str, columns: Sequence[str]) -> DataFrame:
+    """Companies of one template sheet, (sheet, row) and the sheet's own columns.
+
+    ``cells`` are rows as ``sources.workbook`` reads them. Columns that the report
+    fills are left out; rows without a company are no part of the list.
+    """
+    own = [c for c in columns if c not in headings(sector).values()]
+    named = cells.select("sheet", "row", *[F.col("cells")[c].alias(c) for c in own])
+    return named.where((F.col("sheet") == refdata.REPORT_SHEETS[sector]) & F.col("Company").isNotNull())
+
+
+def filled(sheet: DataFrame, sector: str, columns: Sequence[str]) -> DataFrame:
+    """A report under its headings, in the template's order of columns; what that lacks comes last."""
+    names = headings(sector)
+    named = sheet.select("row", *[F.col(f"`{c}`").alias(names.get(c, c)) for c in sheet.columns if c != "row"])
+    there = [c for c in columns if c in named.columns]
+    return named.select("row", *[F.col(f"`{c}`") for c in [*there, *[c for c in named.columns if c not in (*there, "row")]]])
+
+
 def headings(sector: str) -> dict[str, str]:
     """Internal column name to the heading the sheet shows."""
     names = {

@@ -275,6 +275,8 @@ REPORT_SHEETS = {
     "Steel": "Steel",
     "Aviation": "Aviation",
 }
+# Rows of the report template above the headings of each sheet.
+TEMPLATE_SKIP = {"Electric Utilities": 12, "Autos": 5, "Cement": 5, "Steel": 5, "Aviation": 5}
 
 # Sheet sector -> (internal column stem, heading stem, technology) in sheet order.
 REPORT_TECHS = {

@@ -19,7 +19,7 @@ from pathgauge.plans import connect as conn
 from pathgauge.plans import intensity as ei
 from pathgauge.plans import production as prod
 from pathgauge.plans import report, scenario, score, trajectory
-from pathgauge.sources import tables
+from pathgauge.sources import tables, workbook
 from pathgauge.sources.stages import store
 
 # File stem of each sector's score result.
@@ -158,8 +158,18 @@ class Run:
         result = ei.intensity_result(self.table("masterdata"), self.table("name_bridge"), self.params)
         tables.write_csv(result, self.path(f"emission_intensity_{self.name}.csv"), _INTENSITY_HEADINGS)
 
-    def assemble(self, roster: DataFrame) -> dict[str, DataFrame]:
-        """Report table of every sheet, also written as one CSV per sheet."""
+    def assemble(self, roster: DataFrame | None = None, template: str | None = None) -> dict[str, DataFrame]:
+        """Report table of every sheet, also written as one CSV per sheet.
+
+        The companies of each sheet come from ``roster``, or from a workbook
+        ``template``, whose rows, columns and what stands above them are kept; then
+        all sheets also make one workbook, ``report.xlsx``.
+        """
+        if (roster is None) == (template is None):
+            raise ValueError("either a roster or a template lists the companies")
+        if template:
+            cells = workbook.read_sheets(self.spark, template, refdata.TEMPLATE_SKIP)
+            columns = workbook.sheet_headings(template, refdata.TEMPLATE_SKIP)
         spark, techs = self.spark, self.techs()
         technologies = tables.read_csv(
             spark,
@@ -173,8 +183,10 @@ class Run:
             schemas.INTENSITY_RESULT,
             _INTENSITY_HEADINGS,
         )
-        sheets = {}
+        sheets, in_template = {}, {}
         for sector, sheet in refdata.REPORT_SHEETS.items():
+            if template:
+                roster = report.template_roster(cells, sector, columns[sheet])
             if sector in refdata.REPORT_TECHS:
                 scores = tables.read_csv(
                     spark,
@@ -184,9 +196,20 @@ class Run:
                 sheets[sheet] = report.technology_report(roster, scores, technologies, sector)
             else:
                 sheets[sheet] = report.intensity_report(roster, intensities, sector)
+            if template:
+                in_template[sheet] = report.filled(sheets[sheet], sector, columns[sheet])
+                sheets[sheet] = sheets[sheet].drop("row")
             tables.write_csv(
                 sheets[sheet], self.path(f"report/sheet={sheet}"), report.headings(sector)
             )
+        if template:
+            workbook.write_sheets(
+                in_template,
+                self.path("report.xlsx"),
+                start_rows={s: n + 1 for s, n in refdata.TEMPLATE_SKIP.items()},
+                template=template,
+                order="row",
+            )
         return sheets
 
 

@@ -633,4 +633,9 @@ ORACLES: dict[str, str] = {
         FROM rosters r LEFT JOIN ei_result e ON e.company_name = r."Company" AND e.ald_sector = r.sector
         WHERE r.sector IN ('Cement', 'Steel', 'Aviation')"""
     ),
+    "roster_skip": _q(
+        """SELECT CASE sector WHEN 'Power' THEN 'Electric Utilities' WHEN 'Automotive' THEN 'Autos' ELSE sector END AS sheet,
+        "Company" FROM rosters WHERE sector <> 'HDV'"""
+    ),
 }
+ORACLES["report_book"] = ORACLES["report_intensity"]

@@ -19,7 +19,7 @@ from pathgauge.plans import intensity as ei
 from pathgauge.plans import production as prod
 from pathgauge.plans import report, scenario, score, trajectory
 from pathgauge.plans.names import display_name
-from pathgauge.sources import tables
+from pathgauge.sources import tables, workbook
 from pathgauge.sources.stages import stage_path, store
 from pathgauge.workflow import technology_headings, technology_schema
 from testbed import model
@@ -471,6 +471,44 @@ def report_intensity(spark, sf_dir):
     return sheets[0].unionByName(sheets[1]).unionByName(sheets[2])
 
 
+_START_ROWS = {sheet: skip + 1 for sheet, skip in refdata.TEMPLATE_SKIP.items()}
+
+
+def _template(spark, sf_dir) -> str:
+    """A report template: companies under the headings of each sheet, below rows of notes."""
+    notes, path = stage_path(spark, "notes.xlsx"), stage_path(spark, "template.xlsx")
+    lines = model.read(spark, sf_dir, "region").select(F.concat(F.lit("Region: "), "r_name").alias("Notes"))
+    workbook.write_sheets({sheet: lines for sheet in (*_START_ROWS, "Cover")}, notes)
+    companies = model.roster(spark, sf_dir)
+    listed = {s: companies.where(F.col("sheet") == s).select("Company", F.lit(None).cast("string").alias("1. traffic light")) for s in _START_ROWS}
+    workbook.write_sheets(listed, path, start_rows=_START_ROWS, template=notes)
+    return path
+
+
+def roster_skip(spark, sf_dir):
+    """Companies of every sheet of a template, below the rows to skip."""
+    path = _template(spark, sf_dir)
+    return workbook.read_sheets(spark, path, refdata.TEMPLATE_SKIP, "sheet string, Company string")
+
+
+def report_book(spark, sf_dir):
+    """The three intensity sheets placed into a template by one job, and read back from the workbook."""
+    template, path = _template(spark, sf_dir), stage_path(spark, "report.xlsx")
+    result = store(_intensity_result(spark, sf_dir), "intensity")
+    sectors = ("Cement", "Steel", "Aviation")
+    skip = {s: refdata.TEMPLATE_SKIP[s] for s in sectors}
+    cells, columns = workbook.read_sheets(spark, template, skip), workbook.sheet_headings(template, skip)
+    sheets = {
+        s: report.filled(report.intensity_report(report.template_roster(cells, s, columns[s]), result, s), s, columns[s])
+        for s in sectors
+    }
+    workbook.write_sheets(sheets, path, start_rows=_START_ROWS, template=template, order="row")
+    names = report.headings("Steel")
+    own = ", ".join(f"`{names[c]}` string" for c in ("overall_light", "overall_value"))
+    back = workbook.read_sheets(spark, path, skip, f"Company string, {own}, sheet string")
+    return back.toDF("Company", "overall_light", "overall_value", "sheet")
+
+
 QUERIES: dict[str, Query] = {
     "scan_wide": scan_wide,
     "production_csv": production_csv,
@@ -518,4 +556,6 @@ QUERIES: dict[str, Query] = {
     "report_power": _technology_report("Power"),
     "report_auto": _technology_report("Automotive"),
     "report_intensity": report_intensity,
+    "roster_skip": roster_skip,
+    "report_book": report_book,
 }

@@ -1,0 +1,91 @@
+"""Workbooks: what is written is read back, layouts with rows above the headings, failing tasks."""
+
+from __future__ import annotations
+
+import os
+import zipfile
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from pathgauge.sources import workbook as wb
+
+ODD = ["plain", " blanks kept ", "a&b<c>\"d'", "no break – é 日本", "line\nfeed\ttab", "bell\x07", "_x0041_", "=1+1", "007"]
+
+
+def read(spark, path, skip=None, schema=wb.ANY_SHEET):
+    return [tuple(r) for r in wb.read_sheets(spark, path, skip, schema).collect()]
+
+
+def test_roundtrip_in_order(spark, tmp_path):
+    path = str(tmp_path / "book.xlsx")
+    many = spark.range(3000).select((3000 - F.col("id")).alias("at"), F.col("id").cast("string").alias("Company"), F.lit(None).cast("string").alias("x"))
+    odd = spark.createDataFrame([(k, t, None if k % 2 else "") for k, t in enumerate(ODD)], "at int, Company string, y string")
+    wb.write_sheets({"Many": many.repartition(7), "Odd & co": odd}, path, start_rows={"Many": 13}, headings={"Odd & co": {"y": "1. - value"}}, order="at")
+    assert os.listdir(tmp_path) == ["book.xlsx"]
+    found = read(spark, path, {"Many": 12}, "row int, Company string, x string, sheet string")
+    assert found == [(14 + k, str(2999 - k), None, "Many") for k in range(3000)]
+    assert [r[2] for r in sorted(read(spark, path, {"Odd & co": 0}))] == [{"Company": t} for t in ODD]
+    assert wb.read_sheets(spark, path).rdd.getNumPartitions() == 2
+    assert wb.read_sheets(spark, "file:" + path).count() == 3000 + len(ODD)
+
+
+def test_template_keeps_what_stands_above_and_other_sheets(spark, tmp_path):
+    template, path = str(tmp_path / "template.xlsx"), str(tmp_path / "report.xlsx")
+    notes = spark.createDataFrame([("second",), ("third",)], "first string")
+    wb.write_sheets({"Autos": notes, "Cover": notes}, template)
+    data = spark.createDataFrame([("A", "Green"), ("B", None)], "Company string, light string")
+    wb.write_sheets({"Autos": data, "New": data}, path, start_rows={"Autos": 6}, headings={"Autos": {"light": "1. traffic light"}}, template=template)
+    assert read(spark, path, {"Autos": 0}) == [("Autos", 2, {"first": "second"}), ("Autos", 3, {"first": "third"}), ("Autos", 6, {"first": "Company"}), ("Autos", 7, {"first": "A"}), ("Autos", 8, {"first": "B"})]
+    assert read(spark, path, {"Autos": 5}, "Company string, `1. traffic light` string") == [("A", "Green"), ("B", None)]
+    assert read(spark, path, {"Cover": 1}) == [("Cover", 3, {"second": "third"})]
+    with zipfile.ZipFile(path) as book:
+        assert book.testzip() is None and len([n for n in book.namelist() if "/sheet" in n]) == 3
+
+
+def test_a_failing_task_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "book.xlsx")
+    good = spark.range(50).select(F.col("id").cast("string").alias("Company"))
+    wb.write_sheets({"S": good}, path)
+    before = open(path, "rb").read()
+    bad = spark.range(50).select(F.when(F.col("id") == 49, F.raise_error(F.lit("lost"))).otherwise(F.col("id").cast("string")).alias("Company"))
+    with pytest.raises(PySparkException):
+        wb.write_sheets({"S": bad}, path)
+    long = spark.createDataFrame([("a",), ("x" * 40_000,)], "Company string")
+    with pytest.raises(PySparkException, match="32767"):
+        wb.write_sheets({"S": long}, path)
+    with pytest.raises(PySparkException, match="not a name"):
+        wb.write_sheets({"a/b": good}, path)
+    assert os.listdir(tmp_path) == ["book.xlsx"] and open(path, "rb").read() == before
+
+
+def test_other_peoples_files(spark, tmp_path):
+    """Shared texts in runs, numbers, truth values, errors, cells without a place."""
+    path = tmp_path / "other.xlsx"
+    main = f'xmlns="{wb._MAIN}"'
+    sheet = f"""<worksheet {main}><sheetData><row r="2"><c r="B2" t="s"><v>1</v></c><c r="AB2" t="s"><v>0</v></c></row>
+      <row><c/><c t="n"><v>7</v></c></row><row r="9"><c r="B9" t="b"><v>1</v></c><c r="C9"><v>3</v></c><c r="AB9" t="e"><v>#N/A</v></c></row>
+      <row r="10"/></sheetData></worksheet>"""
+    strings = f"<sst {main}><si><t>far</t></si><si><r><t>Comp</t></r><r><t>any</t></r><rPh><t>no</t></rPh></si></sst>"
+    with zipfile.ZipFile(path, "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{wb._OFFICE}"><sheets><sheet name="S" r:id="q"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{wb._PACKAGE}/relationships"><Relationship Id="q" Target="/xl/s.xml"/></Relationships>')
+        book.writestr("xl/sharedStrings.xml", strings)
+        book.writestr("xl/s.xml", sheet)
+    assert read(spark, str(path), {"S": 1}) == [("S", 3, {"Company": "7"}), ("S", 9, {"Company": "TRUE"})]
+    with pytest.raises(PySparkException, match="no sheets"):
+        read(spark, str(path), {"T": 1})
+
+
+def test_twice_the_same_heading(spark, tmp_path):
+    path = str(tmp_path / "twice.xlsx")
+    wb.write_sheets({"S": spark.createDataFrame([("a", "b")], "x string, y string")}, path, headings={"S": {"y": "x"}})
+    with pytest.raises(PySparkException, match="occurs twice"):
+        read(spark, path)
+
+
+def test_empty_sheet(spark, tmp_path):
+    path = str(tmp_path / "empty.xlsx")
+    wb.write_sheets({"S": spark.createDataFrame([], "x string"), "T": spark.createDataFrame([("a",)], "x string")}, path)
+    assert read(spark, path) == [("T", 2, {"x": "a"})]

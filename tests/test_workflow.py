@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import csv
+import shutil
 
 import pytest
 from conftest import rows
 
 from pathgauge import __main__ as cli
 from pathgauge import refdata, schemas
-from pathgauge.sources import tables
+from pathgauge.params import profile
+from pathgauge.sources import tables, workbook
 from pathgauge.sources.stages import shared_dir, stage_path, store
+from pathgauge.workflow import Run
 
 YEARS = range(2022, 2028)
 
@@ -128,6 +131,38 @@ def test_reports(spark, run):
     assert [(r["Company"], r["1. traffic light"]) for r in cement] == [("CRH plc", "Red")]
 
 
+def test_report_in_a_template(spark, run, tmp_path):
+    """Companies, their order and own columns come from the template; its rows above and other sheets stay."""
+    path, notes = str(tmp_path / "template.xlsx"), str(tmp_path / "notes.xlsx")
+    cover = spark.createDataFrame([("a note",)], "Title string")
+    workbook.write_sheets({"Cover": cover, "Steel": cover}, notes)
+    light = refdata.OVERALL_LIGHT_HEADING
+    companies = {"Electric Utilities": ["Unknown", "CEZ, a.s."], "Autos": ["Ford"], "Steel": ["None", "POSCO Holdings Inc."], "Cement": ["CRH plc"], "Aviation": ["None"]}
+    lists = {
+        sheet: spark.createDataFrame([(k, n, None, f"own {k}") for k, n in enumerate(names)], f"at int, Company string, `{light}` string, Ticker string")
+        for sheet, names in companies.items()
+    }
+    start = {s: n + 1 for s, n in refdata.TEMPLATE_SKIP.items()}
+    workbook.write_sheets(lists, path, start_rows=start, template=notes, order="at")
+    params = profile("2022Q2")
+    target = tmp_path / "out"
+    shutil.copytree(run, target)
+    sheets = Run(spark, str(target), "2022Q2", params).assemble(template=path)
+    assert set(sheets) == set(companies)
+    book = str(target / "report.xlsx")
+    assert workbook.sheet_headings(book, {"Steel": 5}) == {"Steel": ["Company", light, "Ticker", "1. - value"]}
+    steel = workbook.read_sheets(spark, book, {"Steel": 5}, f"row int, Company string, Ticker string, `{light}` string")
+    assert [tuple(r) for r in steel.collect()] == [(7, "None", "own 0", refdata.MISSING_LIGHT_TEXT), (8, "POSCO Holdings Inc.", "own 1", "Amber")]
+    power = workbook.read_sheets(spark, book, {"Electric Utilities": 12}, "Company string, `1.1 Coal - value` string")
+    assert [r[0] for r in power.collect()] == ["Unknown", "CEZ, a.s."] and power.first()[1] == "Not Assessed"
+    assert [tuple(r) for r in workbook.read_sheets(spark, book, {"Cover": 0}, "Title string").collect()] == [("a note",)]
+    assert workbook.sheet_headings(book, {"Steel": 0}) == {"Steel": ["Title"]}
+    csv_sheet = read(spark, target / "report/sheet=Steel")
+    assert "row" not in csv_sheet.columns and "Ticker" in csv_sheet.columns
+    with pytest.raises(ValueError):
+        Run(spark, str(target), "2022Q2", params).assemble()
+
+
 def test_intensity_headings(spark, run):
     got = read(spark, run / "emission_intensity_2022Q2.csv")
     assert {"year.x", "year.y", "alignment_metric"} <= set(got.columns)
