@@ -220,15 +220,18 @@ def global_from_parts(scenarios: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def store_per_source(connected: DataFrame, path: str | None = None) -> DataFrame:
+def store_per_source(connected: DataFrame, path: str | None = None, keep_other: bool = False) -> DataFrame:
     """Write one folder per scenario source in a single job and read it back.
 
+    With ``keep_other`` the folders of sources that aren't in ``connected`` stay
+    as they are, files included.
+
     Rows are dealt by source into tasks of even size: a source holding most rows
     is written by many tasks, a small one by one, so there are few small files. A
     later filter on the source reads only its folder.
     """
     dealt = connected.hint("rebalance", "scenario_source")
-    stored = store(dealt, "connected", partition_by="scenario_source", path=path)
+    stored = store(dealt, "connected", partition_by="scenario_source", path=path, keep_other=keep_other)
     return stored.select(*CONNECTED_COLUMNS)
 
 

@@ -44,11 +44,18 @@ def remove_stages(spark: SparkSession) -> None:
     folder.getFileSystem(conf).delete(folder, True)
 
 
-def store(df: DataFrame, name: str, *, partition_by: str | None = None, path: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet and return the table as read back."""
+def store(
+    df: DataFrame, name: str, *, partition_by: str | None = None, path: str | None = None, keep_other: bool = False
+) -> DataFrame:
+    """Write ``df`` as Parquet and return the table as read back.
+
+    With ``keep_other`` only the partitions that ``df`` has rows for are replaced.
+    """
     spark = df.sparkSession
     target = path or stage_path(spark, name)
     writer = df.write.mode("overwrite" if path else "errorifexists")
+    if keep_other:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(target)

@@ -6,8 +6,8 @@ alone, and work that is stored is never lost with an executor.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from pathgauge.plans import connect as conn
 from pathgauge.plans import intensity as ei
 from pathgauge.plans import production as prod
 from pathgauge.plans import report, scenario, score, trajectory
-from pathgauge.sources import tables, workbook
+from pathgauge.sources import manifest, tables, workbook
 from pathgauge.sources.stages import store
 
 # File stem of each sector's score result.
@@ -29,7 +29,10 @@ _INTENSITY_HEADINGS = {"year": "year.x", "benchmark_year": "year.y"}
 
 @dataclass(frozen=True)
 class Inputs:
-    """Input tables. ``scenarios`` holds the raw datasets by name."""
+    """Input tables. ``scenarios`` holds the raw datasets by name.
+
+    ``companies_name`` says which fixed list ``companies`` is, if it is one and not read from files.
+    """
 
     production: DataFrame
     scenarios: Mapping[str, DataFrame]
@@ -37,6 +40,7 @@ class Inputs:
     geography_bridge: DataFrame
     scenario_regions: DataFrame
     companies: DataFrame
+    companies_name: str | None = None
 
 
 def read_inputs(spark: SparkSession, folder: str, params: Params, run_folder: str) -> Inputs:
@@ -46,14 +50,12 @@ def read_inputs(spark: SparkSession, folder: str, params: Params, run_folder: st
     ``hdv_pathway.csv``, ``geography_bridge.csv`` and ``scenario_regions.csv``.
     The assessed companies are the fixed list of the model. The production file
     is parsed once and kept as a column store in the run's folder, as three stages
-    read parts of it; a repeated run overwrites it.
+    read parts of it; a repeated run overwrites it if the file has changed.
     """
+    raw, path = tables.read_production(spark, f"{folder}/production.csv"), f"{run_folder.rstrip('/')}/production"
+    production, _ = manifest.kept(spark, path, {"file": manifest.identity(raw)}, lambda: store(raw, "production", path=path))
     return Inputs(
-        production=store(
-            tables.read_production(spark, f"{folder}/production.csv"),
-            "production",
-            path=f"{run_folder.rstrip('/')}/production",
-        ),
+        production=production,
         scenarios={
             name: tables.read_csv(spark, f"{folder}/scenarios/{name}.csv", schemas.SCENARIO_RAW)
             for name in params.scenario_datasets
@@ -66,6 +68,7 @@ def read_inputs(spark: SparkSession, folder: str, params: Params, run_folder: st
             spark, f"{folder}/scenario_regions.csv", schemas.SCENARIO_REGIONS
         ),
         companies=refdata.companies(spark),
+        companies_name=manifest.digest(refdata.COMPANIES),
     )
 
 
@@ -84,38 +87,87 @@ class Run:
     def table(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
+    def _kept(self, name: str, made_from: Mapping[str, object], make: Callable[[], DataFrame], **options):
+        """A stage of this run, made by ``make`` unless it is there already, made from the same."""
+        path = self.path(name)
+        return manifest.kept(self.spark, path, made_from, lambda: store(make(), name, path=path, **options))
+
+    def _picked(self, *names: str) -> dict[str, object]:
+        return {name: asdict(self.params)[name] for name in names}
+
     def prepare(self, inputs: Inputs) -> None:
-        """Clean production, scenario targets, company bridge and the connected table."""
-        params = self.params
-        params.check_picks()
-        wide = inputs.production
-        masterdata = store(
-            prod.masterdata(wide, params.zero_emission_techs, exact=params.exact_sums),
-            "masterdata",
-            path=self.path("masterdata"),
-        )
-        bridge = store(
-            conn.name_bridge(wide, inputs.companies), "name_bridge", path=self.path("name_bridge")
+        """Clean production, scenario targets, company bridge and the connected table.
+
+        A table that an earlier run left here is used again if its inputs' files
+        and the parameters it depends on are the same, see ``sources/manifest.py``.
+        """
+        self.params.check_picks()
+        masterdata, bridge, markets, production = self._production_stages(inputs)
+        long, targets = self._target_stage(inputs)
+        regions = manifest.identity(inputs.scenario_regions)
+        made_from = {"production": production, "targets": targets, "regions": regions, "params": self._connect_params()}
+        path = self.path("connected")
+        manifest.kept(
+            self.spark, path, made_from, lambda: self._connect(inputs, masterdata, bridge, markets, long, path=path)
         )
-        markets = store(conn.index_regions(wide), "index_regions", path=self.path("index_regions"))
-        targets = scenario.scenario_input(inputs.scenarios, inputs.pathway, params)
-        tables.write_csv(targets, self.path("Scenario_AnalysisInput.csv"))
-        stored_targets = tables.read_csv(
-            self.spark, self.path("Scenario_AnalysisInput.csv"), schemas.SCENARIO_INPUT
+
+    def _production_stages(self, inputs: Inputs) -> tuple[DataFrame, DataFrame, DataFrame, list[str] | None]:
+        """Masterdata, name bridge and markets, and what a later stage takes as their identity."""
+        params, wide = self.params, inputs.production
+        production, companies = manifest.identity(wide), inputs.companies_name or manifest.identity(inputs.companies)
+        masterdata, one = self._kept(
+            "masterdata",
+            {"production": production, "params": self._picked("zero_emission_techs", "exact_sums")},
+            lambda: prod.masterdata(wide, params.zero_emission_techs, exact=params.exact_sums),
         )
-        long = store(
-            scenario.scenario_long(
-                stored_targets, inputs.geography_bridge, inputs.scenario_regions, params
-            ),
-            "scenario_long",
-            path=self.path("scenario_long"),
+        bridge, two = self._kept(
+            "name_bridge", {"production": production, "companies": companies}, lambda: conn.name_bridge(wide, inputs.companies)
         )
+        markets, three = self._kept("index_regions", {"production": production}, lambda: conn.index_regions(wide))
+        return masterdata, bridge, markets, None if None in (one, two, three) else [one, two, three]
+
+    def _target_stage(self, inputs: Inputs) -> tuple[DataFrame, str | None]:
+        params = self.params
+        named = {name: manifest.identity(inputs.scenarios[name]) for name in params.scenario_datasets}
+        others = [manifest.identity(df) for df in (inputs.pathway, inputs.geography_bridge, inputs.scenario_regions)]
+        known = None if None in (*named.values(), *others) else [named, others]
+
+        def make() -> DataFrame:
+            targets = scenario.scenario_input(inputs.scenarios, inputs.pathway, params)
+            file = self.path("Scenario_AnalysisInput.csv")
+            tables.write_csv(targets, file)
+            stored = tables.read_csv(self.spark, file, schemas.SCENARIO_INPUT)
+            return scenario.scenario_long(stored, inputs.geography_bridge, inputs.scenario_regions, params)
+
+        names = ("reference_year", "time_horizon", "scenario_sources", "scenario_datasets", "sectors", "other_sectors")
+        own = self._picked(*names, "green_techs", "pathway_source", "exact_sums")
+        return self._kept("scenario_long", {"inputs": known, "params": own}, make)
+
+    def _connect_params(self) -> dict[str, object]:
+        names = ("reference_year", "time_horizon", "sectors", "other_sectors", "excluded_techs", "scenario_geographies")
+        more = ("global_aggregate_sources", "global_aggregate_sectors", "green_techs", "exact_sums", "complete_technologies")
+        return self._picked(*names, *more)
+
+    def _connect(self, inputs, masterdata, bridge, markets, long, *, path: str, keep_other: bool = False) -> DataFrame:
         listed = conn.in_scope(masterdata, bridge)
-        assets = prod.recode_hdv(prod.side_by_side(listed, params.relevant_years))
-        conn.store_per_source(
-            conn.connect(assets, long, inputs.scenario_regions, markets, params),
-            path=self.path("connected"),
-        )
+        assets = prod.recode_hdv(prod.side_by_side(listed, self.params.relevant_years))
+        connected = conn.connect(assets, long, inputs.scenario_regions, markets, self.params)
+        return conn.store_per_source(connected, path=path, keep_other=keep_other)
+
+    def replace_source(self, inputs: Inputs, source: str) -> None:
+        """Make the connected rows of one scenario source anew; the files of the others stay as they are.
+
+        Its targets are made from the given inputs. The next ``prepare`` makes the
+        whole table again unless it is left out, as the sources no longer are of one run.
+        """
+        masterdata, bridge, markets, _ = self._production_stages(inputs)
+        long, _ = self._target_stage(inputs)
+        own = long.where(F.col("scenario_source") == source)
+        if own.isEmpty():
+            raise ValueError(f"no targets of source {source!r}")
+        path = self.path("connected")
+        manifest.forget(self.spark, path)
+        self._connect(inputs, masterdata, bridge, markets, own, path=path, keep_other=True)
 
     def connected(self) -> DataFrame:
         """Plans and targets of the sources that scores and ratings are made from."""

@@ -13,7 +13,7 @@ from pathgauge import refdata, schemas
 from pathgauge.params import profile
 from pathgauge.sources import tables, workbook
 from pathgauge.sources.stages import shared_dir, stage_path, store
-from pathgauge.workflow import Run
+from pathgauge.workflow import Run, read_inputs
 
 YEARS = range(2022, 2028)
 
@@ -217,3 +217,96 @@ def test_reading_a_text_file_reads_no_data_to_guess_types(spark, tmp_path):
     got = tables.read_csv(spark, str(tmp_path / "r.csv"), schemas.SCENARIO_REGIONS)
     assert got.dtypes == [("scenario_geography", "string"), ("country", "string")]
     assert rows(got) == [("Global", "DE")]
+
+
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def _files(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*") if p.is_file()}
+
+
+def _stages(folder, before):
+    """Stages with files that weren't there."""
+    return {name.split("/")[0] for name, at in _files(folder).items() if before.get(name) != at}
+
+
+@pytest.fixture
+def again(spark, run, tmp_path):
+    """A copy of the run's folders, prepared once, and how to prepare it again."""
+    inputs, output = tmp_path / "in", tmp_path / "out"
+    shutil.copytree(run.parent / "in", inputs)
+
+    def prepare(**changes):
+        params = profile("2022Q2", **changes)
+        tables_in = read_inputs(spark, str(inputs), params, str(output))
+        before = _jobs(spark)
+        Run(spark, str(output), "2022Q2", params).prepare(tables_in)
+        return _jobs(spark) - before
+
+    assert prepare() > 0
+    return inputs, output, prepare
+
+
+def test_a_repeated_run_starts_no_job(again, run):
+    _, output, prepare = again
+    before = _files(output)
+    assert prepare() == 0
+    assert _files(output) == before
+    assert {n.split("/")[0] for n in before if n.endswith("_manifest.json")} == {
+        "production", "masterdata", "name_bridge", "index_regions", "scenario_long", "connected"
+    }
+
+
+def test_a_change_redoes_what_depends_on_it(again):
+    inputs, output, prepare = again
+    targets = {"Scenario_AnalysisInput.csv", "scenario_long", "connected"}
+    for changes, redone in (
+        ({"excluded_techs": ()}, {"connected"}),
+        ({"excluded_techs": (), "score_picks": {}}, set()),
+        ({"excluded_techs": (), "zero_emission_techs": ("Electric",)}, {"masterdata", "connected"}),
+        ({"green_techs": ("Electric",)}, {"masterdata", *targets}),
+    ):
+        before = _files(output)
+        prepare(**changes)
+        assert _stages(output, before) == redone
+    before = _files(output)
+    text = (inputs / "hdv_pathway.csv").read_text()
+    (inputs / "hdv_pathway.csv").write_text(text.replace("105", "106"))
+    prepare(green_techs=("Electric",))
+    assert _stages(output, before) == targets
+    before = _files(output)
+    with open(inputs / "production.csv", "a", encoding="utf-8") as file:
+        file.write("8,New,Power,DE,CoalCap,u,0.5,1,1,1,1,1,1\n")
+    prepare(green_techs=("Electric",))
+    assert _stages(output, before) == {"production", "masterdata", "name_bridge", "index_regions", "connected"}
+    # A file that is gone, or a run that was cut short, is noticed too.
+    before = _files(output)
+    next((output / "index_regions").glob("*.parquet")).unlink()
+    (output / "scenario_long" / "_manifest.json").unlink()
+    prepare(green_techs=("Electric",))
+    assert _stages(output, before) >= {"index_regions", "scenario_long"}
+    assert prepare(green_techs=("Electric",)) == 0
+
+
+def test_one_source_replaced_alone(spark, again):
+    inputs, output, prepare = again
+    params = profile("2022Q2")
+    before = _files(output / "connected")
+    old = rows(spark.read.parquet(str(output / "connected")))
+    text = (inputs / "hdv_pathway.csv").read_text()
+    (inputs / "hdv_pathway.csv").write_text(text.replace(",95", ",50"))
+    run = Run(spark, str(output), "2022Q2", params)
+    run.replace_source(read_inputs(spark, str(inputs), params, str(output)), "ETP2017")
+    after = _files(output / "connected")
+    kept = {n: at for n, at in before.items() if n.startswith("scenario_source=WEO2022/")}
+    assert kept and kept == {n: at for n, at in after.items() if n.startswith("scenario_source=WEO2022/")}
+    assert not {n for n in after if n.startswith("scenario_source=ETP2017/") and n.endswith(".parquet")} & set(before)
+    assert "_manifest.json" not in after
+    new = rows(spark.read.parquet(str(output / "connected")))
+    assert len(new) == len(old) and new != old
+    with pytest.raises(ValueError, match="no targets"):
+        run.replace_source(read_inputs(spark, str(inputs), params, str(output)), "XYZ")
+    prepare()
+    assert rows(spark.read.parquet(str(output / "connected"))) == new
