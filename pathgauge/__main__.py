@@ -38,7 +38,10 @@ def main(arguments: list[str] | None = None) -> int:
     run = Run(spark, options.output, options.profile, params)
     for step in options.steps or STEPS:
         if step == "prepare":
-            run.prepare(read_inputs(spark, options.inputs, params, options.output))
+            inputs = read_inputs(spark, options.inputs, params, options.output)
+            if inputs.reject_counts:
+                print(f"cells of the production file that could not be read, by column: {inputs.reject_counts}", file=sys.stderr)
+            run.prepare(inputs)
         elif step == "assemble":
             if options.template:
                 run.assemble(template=options.template)

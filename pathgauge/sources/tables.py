@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,44 @@ def as_production(raw: DataFrame) -> DataFrame:
     return raw.select(*keys, *years)
 
 
+#: Column of cells that could not be converted, beside the converted ones.
+REJECTS = "_rejects"
+
+
+def with_rejects(raw: DataFrame) -> DataFrame:
+    """Wide production table with the cells that became missing though they hold something.
+
+    They stand in a column of (field, text), so that one pass over the file gives
+    the table and what is wrong with it; see ``rejects`` and ``count_rejects``.
+    """
+    numbers = [f for f in schemas.PRODUCTION_KEYS.fields if not isinstance(f.dataType, T.StringType)]
+    numbers += [T.StructField(c, T.DoubleType()) for c in prefixed_years(raw)]
+    lost = [
+        F.when(
+            F.col(f"`{f.name}`").isNotNull() & (F.trim(F.col(f"`{f.name}`").cast("string")) != "") & _typed(f.name, f.dataType).isNull(),
+            F.struct(F.lit(f.name).alias("field"), F.col(f"`{f.name}`").cast("string").alias("text")),
+        )
+        for f in numbers
+    ]
+    names = [*schemas.PRODUCTION_KEYS.fieldNames(), *prefixed_years(raw)]
+    kinds = {f.name: f.dataType for f in [*schemas.PRODUCTION_KEYS.fields, *numbers]}
+    return raw.select(*[_typed(c, kinds[c]) for c in names], F.array_compact(F.array(*lost)).alias(REJECTS))
+
+
+def rejects(checked: DataFrame) -> DataFrame:
+    """One row per lost cell: the asset's texts, the column, and what stood there."""
+    texts = [f.name for f in schemas.PRODUCTION_KEYS.fields if isinstance(f.dataType, T.StringType)]
+    return checked.where(F.size(REJECTS) > 0).select(*texts, F.inline(REJECTS))
+
+
+def count_rejects(checked: DataFrame, counts: Observation) -> DataFrame:
+    """``checked``, which counts its rows and its lost cells by column while it is being written."""
+    fields = [c for c in checked.columns if c != REJECTS]
+    lost = lambda c: F.count_if(F.exists(REJECTS, lambda r: r["field"] == c))
+    numbers = [f.name for f in checked.schema.fields if f.name in fields and not isinstance(f.dataType, T.StringType)]
+    return checked.observe(counts, F.count(F.lit(1)).alias("rows"), *[lost(c).alias(c) for c in numbers])
+
+
 def _typed(name: str, kind: T.DataType, heading: str | None = None) -> Column:
     source = F.col(f"`{heading or name}`")
     if isinstance(kind, T.StringType):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,9 @@ class Inputs:
     scenario_regions: DataFrame
     companies: DataFrame
     companies_name: str | None = None
+    #: Cells of the production file that could not be read, and their number by column, None if an earlier run parsed it.
+    rejects: DataFrame | None = None
+    reject_counts: Mapping[str, int] | None = None
 
 
 def read_inputs(spark: SparkSession, folder: str, params: Params, run_folder: str) -> Inputs:
@@ -52,10 +55,20 @@ def read_inputs(spark: SparkSession, folder: str, params: Params, run_folder: st
     is parsed once and kept as a column store in the run's folder, as three stages
     read parts of it; a repeated run overwrites it if the file has changed.
     """
-    raw, path = tables.read_production(spark, f"{folder}/production.csv"), f"{run_folder.rstrip('/')}/production"
-    production, _ = manifest.kept(spark, path, {"file": manifest.identity(raw)}, lambda: store(raw, "production", path=path))
+    checked = tables.with_rejects(tables.read_text(spark, f"{folder}/production.csv"))
+    path, counts = f"{run_folder.rstrip('/')}/production", {}
+
+    def parse() -> DataFrame:
+        seen = Observation("production")
+        table = store(tables.count_rejects(checked, seen), "production", path=path)
+        counts.update(seen.get)
+        return table
+
+    production, _ = manifest.kept(spark, path, {"file": manifest.identity(checked)}, parse)
     return Inputs(
-        production=production,
+        production=production.drop(tables.REJECTS),
+        rejects=tables.rejects(production),
+        reject_counts={c: n for c, n in counts.items() if n and c != "rows"} if counts else None,
         scenarios={
             name: tables.read_csv(spark, f"{folder}/scenarios/{name}.csv", schemas.SCENARIO_RAW)
             for name in params.scenario_datasets

@@ -485,6 +485,15 @@ def _nearest(units: str) -> str:
 ORACLES: dict[str, str] = {
     "scan_wide": _q("SELECT * FROM wide"),
     "production_csv": _q("SELECT * FROM wide"),
+    "csv_rejects": _q(
+        """SELECT company_name, sector, asset_country, technology, unit, 'emissions_factor' AS field, 'unknown' AS text
+        FROM wide WHERE emissions_factor IS NOT NULL AND company_id % 5 = 0 UNION ALL """
+        + " UNION ALL ".join(
+            f"""SELECT company_name, sector, asset_country, technology, unit, '_{y}', 'n/a {y}' FROM wide
+            WHERE "_{y}" IS NOT NULL AND (company_id + {y}) % 7 = 0"""
+            for y in YEARS
+        )
+    ),
     "unpivot_years": _q("SELECT * FROM long_rows"),
     "zero_emission": _q("SELECT * FROM zeroed_all"),
     "prod_normalise": _q("SELECT * FROM normal"),

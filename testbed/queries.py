@@ -282,6 +282,24 @@ def production_csv(spark, sf_dir):
     return tables.read_production(spark, path)
 
 
+def csv_rejects(spark, sf_dir):
+    """Cells that are no numbers, out of the pass that reads the table."""
+    wide, path = _production(spark, sf_dir), stage_path(spark, "spoiled.csv")
+    spoiled = {
+        f"_{y}": F.when(F.col(f"_{y}").isNotNull() & ((F.col("company_id") + y) % 7 == 0), F.lit(f"n/a {y}")).otherwise(
+            F.col(f"_{y}").cast("string")
+        )
+        for y in model.YEARS
+    }
+    factor = F.col("emissions_factor")
+    spoiled["emissions_factor"] = F.when(factor.isNotNull() & (F.col("company_id") % 5 == 0), F.lit("unknown")).otherwise(
+        factor.cast("string")
+    )
+    tables.write_csv(wide.withColumns(spoiled), path)
+    checked = store(tables.with_rejects(tables.read_text(spark, path)), "checked")
+    return tables.rejects(checked)
+
+
 def ei_benchmark(spark, sf_dir):
     """Production of the reference year against what the benchmark allows it to emit."""
     facts = _masterdata(_production(spark, sf_dir), years=[PARAMS.reference_year])
@@ -512,6 +530,7 @@ def report_book(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "scan_wide": scan_wide,
     "production_csv": production_csv,
+    "csv_rejects": csv_rejects,
     "unpivot_years": wide_years,
     "zero_emission": zero_emission,
     "prod_normalise": prod_normalise,

@@ -7,6 +7,7 @@ import shutil
 
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 
 from pathgauge import __main__ as cli
 from pathgauge import refdata, schemas
@@ -212,6 +213,47 @@ def test_numbers_in_text_files(spark, tmp_path):
     ]
 
 
+def test_cells_that_are_no_numbers_are_kept_and_counted(spark, tmp_path):
+    header = [*schemas.PRODUCTION_KEYS.fieldNames(), "X_2022", "X_2023"]
+    write(
+        tmp_path / "in" / "production.csv",
+        header,
+        [
+            ["x1", "A", "Power", "DE", "CoalCap", "MW", "NA", "1.5", "n/a"],
+            [2, "B", "Power", "DE", "CoalCap", "MW", "", " ", "NaN"],
+            [3, "C", "Power", "DE", "CoalCap", "MW", "0.5", "1,5", "2e3"],
+        ],
+    )
+    checked = tables.with_rejects(tables.read_text(spark, str(tmp_path / "in" / "production.csv")))
+    assert checked.columns == [*header, tables.REJECTS]
+    counts = Observation("test")
+    before = _jobs(spark)
+    stored = store(tables.count_rejects(checked, counts), "checked", path=str(tmp_path / "checked"))
+    found = counts.get
+    assert _jobs(spark) == before + 1  # the counts come with the one job that writes the table
+    assert found == {"rows": 3, "company_id": 1, "emissions_factor": 1, "X_2022": 1, "X_2023": 2}
+    assert rows(tables.rejects(stored), "company_name", "field", "text") == [
+        ("A", "X_2023", "n/a"),
+        ("A", "company_id", "x1"),
+        ("A", "emissions_factor", "NA"),
+        ("B", "X_2023", "NaN"),
+        ("C", "X_2022", "1,5"),
+    ]
+    assert rows(stored.drop(tables.REJECTS)) == rows(tables.read_production(spark, str(tmp_path / "in" / "production.csv")))
+
+
+def test_a_run_tells_its_rejects(spark, again):
+    inputs, output, _ = again
+    with open(inputs / "production.csv", "a", encoding="utf-8") as file:
+        file.write("9,Odd,Power,DE,CoalCap,u,none,1,1,1,1,1,1\n")
+    got = read_inputs(spark, str(inputs), profile("2022Q2"), str(output))
+    assert got.reject_counts == {"emissions_factor": 1, "_2023": 1}
+    assert rows(got.rejects, "company_name", "field", "text") == [("Ntpc Ltd.", "_2023", "x"), ("Odd", "emissions_factor", "none")]
+    assert tables.REJECTS not in got.production.columns
+    again = read_inputs(spark, str(inputs), profile("2022Q2"), str(output))
+    assert again.reject_counts is None and again.rejects.count() == 2
+
+
 def test_reading_a_text_file_reads_no_data_to_guess_types(spark, tmp_path):
     write(tmp_path / "r.csv", ["country", "scenario_geography", "other"], [["DE", "Global", "1"]])
     got = tables.read_csv(spark, str(tmp_path / "r.csv"), schemas.SCENARIO_REGIONS)
