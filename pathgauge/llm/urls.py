@@ -56,51 +56,97 @@ def _tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(named("host:", F.split(host, r"\.")), named("path:", segments), named("query:", names)))
 
 
-def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
-    """(pattern, confidence, support): token combinations that speak for blocking.
-
-    ``labelled`` has ``tokens`` and a boolean ``block``. A combination is left out
-    if a part of it is a rule already, since whatever it matches the part does.
-    As support is a share (and LEAST_URLS urls at least, so that few urls prove
-    nothing), the number of rules doesn't grow with the table.
+def mine_rules(
+    labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT, least: int = LEAST_URLS
+) -> tuple[DataFrame, DataFrame]:
+    """(pattern, confidence, support) of the items that speak for blocking, and (token, item).
+
+    ``labelled`` has ``tokens`` and a boolean ``block``. A combination counts if it is
+    blocked in ``least`` labelled urls, and in a share of ``support`` of them. It is
+    left out if a part of it is a rule already, since whatever it matches the part
+    does; as ``support`` is a share, the number of rules doesn't grow with the table.
+
+    FP-growth lists every frequent combination, so what can't be in a rule, or is
+    there twice, goes before it: tokens that are rules by themselves, tokens that
+    all labelled urls hold (no count changes with them), and of tokens that are in
+    the same labelled urls all but the first, which stands for them as an item.
     """
     spark = labelled.sparkSession
-    schema = "pattern array<string>, confidence double, support double"
-    marked = F.when(F.col("block"), F.array(F.lit(_BLOCK))).otherwise(F.array().cast("array<string>"))
-    items = settle(labelled.select(F.concat("tokens", marked).alias("items")).where(F.size("items") > 0))
-    count = items.count()
-    if count < LEAST_URLS:
-        return spark.createDataFrame([], schema)
-    support = max(support, LEAST_URLS / count)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    rules = settle(
-        model.associationRules.where((F.col("consequent")[0] == _BLOCK) & (F.col("lift") >= lift)).select(
-            F.array_sort("antecedent").alias("pattern"), "confidence", "support"
+    rows = settle(
+        labelled.where(F.size("tokens") > 0).select("tokens", "block", F.monotonically_increasing_id().alias("row"))
+    )
+    total, blocked = rows.agg(F.count(F.lit(1)), F.count_if("block")).first()
+    needed = max(support * total, least)
+    counted = (
+        rows.select(F.explode("tokens").alias("token"), "block", *[F.xxhash64("row", F.lit(k)).alias(f"h{k}") for k in (1, 2)])
+        .groupBy("token")
+        .agg(
+            F.count(F.lit(1)).alias("urls"),
+            F.count_if("block").alias("bad"),
+            *[F.bit_xor(f"h{k}").alias(f"h{k}") for k in (1, 2)],
         )
+        .where(F.col("bad") >= needed)
+    )
+    share = F.col("bad") / F.col("urls")
+    alone = (share >= confidence) & (share * total >= lift * blocked)
+    counted = settle(counted.withColumn("alone", alone))
+    single = counted.where("alone").select("token", "urls", "bad")
+    others = counted.where(~F.col("alone") & (F.col("urls") < total))
+    # Hashes of their urls tell sets of urls apart.
+    folded = settle(
+        others.groupBy("urls", "bad", "h1", "h2")
+        .agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"))
+        .select(F.explode("tokens").alias("token"), "item")
+    )
+    mark = F.when(F.col("block"), F.array(F.lit(_BLOCK))).otherwise(F.array().cast("array<string>"))
+    held = rows.select("row", F.explode("tokens").alias("token")).join(folded, "token").groupBy("row").agg(F.collect_set("item").alias("own"))
+    items = settle(
+        rows.join(held, "row", "left").select(F.concat(F.coalesce("own", F.array().cast("array<string>")), mark).alias("items"))
     )
+    schema = "pattern array<string>, confidence double, support double"
+    combined = spark.createDataFrame([], schema)
+    if blocked >= needed:
+        model = FPGrowth(itemsCol="items", minSupport=max(0.0, (needed - 0.5) / total), minConfidence=confidence).fit(items)
+        combined = settle(
+            model.associationRules.where(
+                (F.col("consequent")[0] == _BLOCK) & (F.col("lift") >= lift) & (F.round(F.col("support") * total) >= needed)
+            ).select(F.array_sort("antecedent").alias("pattern"), "confidence", "support")
+        )
     # Every shorter rule is found under one of its own tokens.
-    shorter = rules.select(F.col("pattern").alias("part"), F.col("pattern")[0].alias("token"))
-    longer = rules.select("pattern", F.explode("pattern").alias("token"))
+    shorter = combined.select(F.col("pattern").alias("part"), F.col("pattern")[0].alias("token"))
+    longer = combined.select("pattern", F.explode("pattern").alias("token"))
     implied = longer.join(shorter, "token").where(
         (F.size("part") < F.size("pattern")) & (F.size(F.array_except("part", "pattern")) == 0)
     )
-    return rules.join(implied.select("pattern").distinct(), "pattern", "left_anti")
+    alone_rules = single.select(F.array("token").alias("pattern"), share.alias("confidence"), (F.col("bad") / total).alias("support"))
+    rules = alone_rules.unionByName(combined.join(implied.select("pattern").distinct(), "pattern", "left_anti"))
+    return rules, folded.unionByName(single.select("token", F.col("token").alias("item")))
 
 
-def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def match_rules(urls: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
     """(url, pattern): the first pattern, by tokens, that each url of (url, tokens) has in full.
 
-    An inverted index: each rule stands under the one of its tokens that the
-    fewest rules share, so a url meets only rules it has a token of.
+    A rule's item is there if one of the tokens it stands for is. An inverted
+    index: each rule stands under the one of its items that the fewest rules
+    share, so a url meets only rules it has an item of.
     """
-    spread = rules.select("pattern", F.explode("pattern").alias("token"))
-    often = spread.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
-    index = spread.join(often, "token").groupBy("pattern").agg(F.min_by("token", F.struct("often", "token")).alias("token"))
-    met = urls.select("url", "tokens", F.explode("tokens").alias("token")).join(index, "token")
+    spread = rules.select("pattern", F.explode("pattern").alias("item"))
+    often = spread.groupBy("item").agg(F.count(F.lit(1)).alias("often"))
+    index = spread.join(often, "item").groupBy("pattern").agg(F.min_by("item", F.struct("often", "item")).alias("item"))
+    found = (
+        urls.select("url", F.explode("tokens").alias("token"))
+        .join(items, "token")
+        .groupBy("url", "item")
+        .agg(F.min("token").alias("token"))
+        .groupBy("url")
+        .agg(F.collect_list(F.struct("item", "token")).alias("held"))
+    )
+    met = found.select("url", "held", F.explode("held.item").alias("item")).join(index, "item")
+    tokens = F.transform(F.filter("held", lambda h: F.array_contains("pattern", h["item"])), lambda h: h["token"])
     return (
-        met.where(F.size(F.array_except("pattern", "tokens")) == 0)
+        met.where(F.size(F.array_except("pattern", "held.item")) == 0)
         .groupBy("url")
-        .agg(F.min(F.array_join("pattern", " ")).alias("pattern"))
+        .agg(F.min(F.array_join(F.array_sort(tokens), " ")).alias("pattern"))
     )
 
 
@@ -130,8 +176,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
         .agg(F.max("block").alias("block"))
     )
     shown = F.expr(r"try_cast(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) as long)")
-    mined = mine_rules(judged.withColumn("shown", shown).join(known, "shown").select("tokens", "block"))
-    found = match_rules(judged.where("fixed is null and url is not null").select("url", "tokens").distinct(), mined)
+    mined, items = mine_rules(judged.withColumn("shown", shown).join(known, "shown").select("tokens", "block"))
+    found = match_rules(judged.where("fixed is null and url is not null").select("url", "tokens").distinct(), mined, items)
     return judged.join(settle(found), "url", "left").select(
         "page_id",
         "host",

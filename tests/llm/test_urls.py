@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 import re
-from itertools import combinations
+import time
+from itertools import combinations, product
+
+import pytest
 
 from pathgauge.llm import urls
 
@@ -94,3 +97,72 @@ def test_mined_combinations(spark):
         hit = min((" ".join(c) for c in expected if set(c) <= ts), default=None)
         assert (found[k].pattern, found[k].verdict) == (hit, "block" if hit else "allow")
     assert found[5001].verdict == found[0].verdict
+
+
+def test_many_shared_tokens(spark):
+    """Thirty tokens on the same urls make as many rules, not as many combinations as there are sets of them."""
+    many = "/".join(f"s{k}" for k in range(30))
+    data = []
+    for k in range(1000):
+        kind = k % 4
+        if kind == 0:  # thirty tokens that block by themselves
+            url, bad = f"http://a.org/{many}/{k}", True
+        elif kind == 1:  # thirty others that block only with x
+            url, bad = f"http://b.org/{many.replace('s', 't')}/{'x' if k % 8 == 1 else 'y'}/{k}", k % 8 == 1
+        else:
+            url, bad = f"http://c.org/{'x' if k % 8 == 2 else 'z'}/{k}", False
+        data.append((k, url, bad))
+    pages = spark.createDataFrame([(k, u) for k, u, _ in data] + [(5000, "http://q.org/x/t7"), (5001, "http://q.org/t7/y"), (5002, "http://q.org/s9")], "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(not bad), 0) for k, _, bad in data], "doc_id long, quality int, toxic int")
+    start = time.monotonic()
+    found = {r.page_id: (r.verdict, r.pattern) for r in urls.judge_urls(pages, labels).collect()}
+    assert time.monotonic() - start < 60
+    for k, u, bad in data:
+        assert found[k] == ("block" if bad else "allow", ("host:a" if k % 4 == 0 else "host:b path:x") if bad else None)
+    assert found[5000] == ("block", "path:t7 path:x")
+    assert found[5001] == ("allow", None) and found[5002] == ("block", "path:s9")
+
+
+def all_rules(labelled, least, share=0.0):
+    """Every minimal rule with its tokens, by trying all combinations."""
+    total, bad = len(labelled), sum(b for _, b in labelled)
+    needed = max(share * total, least)
+    rules = []
+    tokens_of = sorted(set().union(*[t for t, _ in labelled]))
+    for n in range(1, len(tokens_of) + 1):
+        for c in combinations(tokens_of, n):
+            if any(set(r) <= set(c) for r in rules):
+                continue
+            hits = [b for t, b in labelled if set(c) <= t]
+            if sum(hits) >= needed and sum(hits) / len(hits) >= urls.CONFIDENCE and sum(hits) / len(hits) * total >= urls.LIFT * bad:
+                rules.append(c)
+    return set(rules)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rules_equal_all_combinations(spark, seed):
+    source = random.Random(seed)
+    labelled = []
+    for _ in range(120):
+        tokens = {t for t in "abcdef" if source.random() < 0.5} | {"u"}
+        if "a" in tokens:
+            tokens.add("twin")  # always with a
+        else:
+            tokens.discard("twin")
+        labelled.append((tokens, source.random() < (0.9 if {"a", "b"} <= tokens or {"c", "d", "e"} <= tokens else 0.2)))
+    frame = spark.createDataFrame([(sorted(t), b) for t, b in labelled], "tokens array<string>, block boolean")
+    rules, items = urls.mine_rules(frame, least=8)
+    members = {}
+    for r in items.collect():
+        members.setdefault(r.item, []).append(r.token)
+    found = {tuple(sorted(c)) for r in rules.collect() for c in product(*[members[i] for i in r.pattern])}
+    assert found == all_rules(labelled, 8)
+
+
+def test_nothing_proves_nothing(spark):
+    frame = spark.createDataFrame([(["a"], True)] * 19, "tokens array<string>, block boolean")
+    assert urls.mine_rules(frame)[0].count() == 0
+    assert urls.mine_rules(frame.where("false"))[0].count() == 0
+    mixed = frame.unionByName(spark.createDataFrame([(["b"], False)] * 30, frame.schema))
+    assert urls.mine_rules(mixed)[0].count() == 0
+    assert [r.pattern for r in urls.mine_rules(mixed, least=19)[0].collect()] == [["a"]]
