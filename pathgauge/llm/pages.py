@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -19,6 +20,8 @@ from pathgauge.llm.common import chunks, hashed_sample
 SAMPLE_PAGES = 400
 SAMPLE_CHARS = 100_000
 DEPTH = 3
+#: Characters of prose that show an article on a page that has no element made for one.
+SHOWN = 200
 
 _names = lambda text: frozenset(text.split())
 _BLOCK = _names(
@@ -52,16 +55,6 @@ _TAKES_NO_P = _INSTEAD | _names("table td th button caption")  # an open p outsi
 
 _CONTENT_TAGS = _names("article main")
 _OTHER_TAGS = _names("nav footer aside form menu button select dialog fieldset header search template audio video canvas")
-_CONTENT_WORDS = _names("article articlebody post entry story content main body text prose maintext")
-_OTHER_WORDS = _names(
-    "ad ads adv advert advertisement advertising adsense banner promo promotion sponsor sponsored sponsoring teaser"
-    " nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc toolbar tabs"
-    " header masthead topbar footer foot bottom copyright legal imprint sidebar aside rail widget widgets"
-    " comment comments discussion replies reply respond disqus reviews"
-    " cookie cookies consent gdpr notice notices notification alert popup modal overlay dialog"
-    " share sharing social follow newsletter subscribe subscription signup signin login register search form"
-    " related recommended recommendations popular trending more-stories outbrain taboola"
-)
 _ROLES = {"navigation": -1, "banner": -1, "contentinfo": -1, "complementary": -1, "search": -1, "form": -1, "dialog": -1, "alert": -1, "main": 1, "article": 1}
 
 # A quote opens a value only right after "=", and only if it is closed; else it is part of a name.
@@ -69,7 +62,8 @@ _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+
 _OPENING = re.compile(r"<(?=[A-Za-z!?/])")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
-_HASHED = 8
+#: Bits that the words of class and id are hashed to.
+_HASHED = 16
 
 
 @dataclass
@@ -79,9 +73,8 @@ class Nodes:
     page: list[int] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)
     depth: list[int] = field(default_factory=list)
-    #: 1 what usually holds the article, -1 what usually doesn't, 0 neither; by name, then by attributes.
-    tag_sign: list[int] = field(default_factory=list)
-    word_sign: list[int] = field(default_factory=list)
+    #: 1 an element made for the article, -1 one made for something else, 0 neither; by element name or role.
+    sign: list[int] = field(default_factory=list)
     kind: list[int] = field(default_factory=list)  # 1 heading, 2 paragraph, 3 list or table part, 4 container, 0 else
     hashed: list[int] = field(default_factory=list)
     chars: list[int] = field(default_factory=list)
@@ -94,20 +87,19 @@ class Nodes:
     text: list[str] = field(default_factory=list)
 
     def add(self, page: int, parent: int, depth: int, name: str, attributes: str) -> int:
-        signs, hashed = 0, 0
+        sign, hashed = (name in _CONTENT_TAGS) - (name in _OTHER_TAGS), 0
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
                 value = (m[2] or m[3] or m[4] or "").lower()
                 if m[1].lower() == "role":
-                    signs += 2 * _ROLES.get(value, 0)
+                    sign = _ROLES.get(value, sign)
+                    continue
                 for token in re.split(r"[\s_-]+", value):
-                    signs += (token in _CONTENT_WORDS) - 2 * (token in _OTHER_WORDS)
-                    hashed |= 1 << sum(token.encode()) % _HASHED if token else 0
+                    hashed |= 1 << zlib.crc32(token.encode()) % _HASHED if token else 0
         self.page.append(page)
         self.parent.append(parent)
         self.depth.append(depth)
-        self.tag_sign.append((name in _CONTENT_TAGS) - (name in _OTHER_TAGS))
-        self.word_sign.append((signs > 0) - (signs < 0))
+        self.sign.append(sign)
         kind = 1 if name in _HEADINGS else 2 if name in ("p", "blockquote", "pre") else 3 if name in _ENDS else 4 if name in ("div", "section", "td") else 0
         self.kind.append(kind)
         self.hashed.append(hashed)
@@ -257,41 +249,65 @@ def _levels(depth: np.ndarray) -> list[np.ndarray]:
     return np.split(order, cuts)
 
 
-#: Columns that name an element's purpose.
-_NAMING = slice(0, 4 + _HASHED)
+#: Columns that name an element's purpose, and those of them that hold words of class and id.
+_NAMING, _WORDS = slice(0, 2 + _HASHED), slice(2, 2 + _HASHED)
 
 
-def features(nodes: Nodes) -> np.ndarray:
-    """One row per node: names and attributes, depth, subtree density, siblings, place in the page."""
+@dataclass
+class _Tree:
+    """The nodes of many pages as arrays, with sums over their subtrees."""
+
+    parent: np.ndarray
+    page: np.ndarray
+    levels: list[np.ndarray]
+    #: The node above, for a page itself; and the page's own node.
+    up: np.ndarray
+    root: np.ndarray
+    sub: dict[str, np.ndarray]
+    #: -1 inside an element made for something else, 1 inside one made for the article, 0 neither.
+    place: np.ndarray
+    #: Whether the page has an element made for the article.
+    told: np.ndarray
+
+
+def _tree(nodes: Nodes) -> _Tree:
     column = lambda name: np.array(getattr(nodes, name), np.int64)
-    parent, depth, page = column("parent"), column("depth"), column("page")
-    levels = _levels(depth)
-    up = np.where(parent < 0, np.arange(len(parent)), parent)  # a page stands under itself
-    tag, word = column("tag_sign"), column("word_sign")
-    own = np.where(word != 0, word, tag)
-    nearest = own.copy()
-    above = np.zeros(len(own), np.int64)  # how many ancestors are usually not the article
-    for at in levels[1:]:
-        nearest[at] = np.where(own[at] != 0, own[at], nearest[up[at]])
-        above[at] = above[up[at]] + (own[up[at]] < 0)
-    chars, linked, words, marks = (column(n) for n in ("chars", "linked", "words", "marks"))
-    inline = column("inline")
-    sub = {n: _up(levels, parent, v) for n, v in (("chars", chars), ("linked", linked), ("marks", marks), ("words", words), ("inline", inline))}
-    size = _up(levels, parent, np.ones(len(own)))
+    parent, page = column("parent"), column("page")
+    levels = _levels(column("depth"))
+    up = np.where(parent < 0, np.arange(len(parent)), parent)
     root = np.zeros(int(page.max()) + 1 if len(page) else 0, np.int64)
     root[page[::-1]] = np.arange(len(page))[::-1]
-    whole = np.maximum(sub["chars"][root[page]], 1)
-    siblings = np.bincount(up, minlength=len(own))[up]
-    family = np.bincount(up, sub["chars"], minlength=len(own))[up]
-    first = np.full(len(own), len(own))
-    np.minimum.at(first, up, np.arange(len(own)))
+    root = root[page]
+    sub = {n: _up(levels, parent, column(n)) for n in ("chars", "linked", "marks", "words", "inline")}
+    sign = column("sign")
+    # What holds an article or nearly all text is a mere wrapper, whatever its name.
+    holds = _up(levels, parent, sign > 0) - (sign > 0)
+    sign = np.where((sign < 0) & ((holds > 0) | (sub["chars"] > 0.9 * sub["chars"][root])), 0, sign)
+    inside, outside = sign > 0, sign < 0
+    for at in levels[1:]:
+        inside[at] |= inside[up[at]]
+        outside[at] |= outside[up[at]]
+    told = (_up(levels, parent, sign > 0) > 0)[root]
+    return _Tree(parent, page, levels, up, root, sub, np.where(outside, -1, inside.astype(np.int64)), told)
+
+
+def features(nodes: Nodes, tree: _Tree | None = None) -> np.ndarray:
+    """One row per node: names and attributes, depth, subtree density, siblings, place in the page."""
+    t = tree or _tree(nodes)
+    column = lambda name: np.array(getattr(nodes, name), np.int64)
+    up, sub, n = t.up, t.sub, len(t.page)
+    chars, linked, words, marks = (column(c) for c in ("chars", "linked", "words", "marks"))
+    size = _up(t.levels, t.parent, np.ones(n))
+    whole = np.maximum(sub["chars"][t.root], 1)
+    siblings = np.bincount(up, minlength=n)[up]
+    family = np.bincount(up, sub["chars"], minlength=n)[up]
+    first = np.full(n, n)
+    np.minimum.at(first, up, np.arange(n))
     before = np.concatenate(([0], np.cumsum(chars)))[:-1]
-    hashed = column("hashed")
-    kind = column("kind")
-    rows = [tag, word, nearest, above]
-    rows += [(hashed >> k) & 1 for k in range(_HASHED)]
+    hashed, kind = column("hashed"), column("kind")
+    rows = [t.place, t.told, *[(hashed >> k) & 1 for k in range(_HASHED)]]
     rows += [
-        depth,
+        column("depth"),
         kind == 1,
         kind == 2,
         kind == 3,
@@ -306,23 +322,46 @@ def features(nodes: Nodes) -> np.ndarray:
         sub["chars"] / np.maximum(sub["words"], 1),
         np.log1p(size),
         np.log1p(siblings),
-        (np.arange(len(own)) - first[up]) / np.maximum(size[up], 1),
+        (np.arange(n) - first[up]) / np.maximum(size[up], 1),
         np.log1p(family / np.maximum(siblings, 1)),
-        (before - before[root[page]]) / whole,
+        family / whole,
+        (before - before[t.root]) / whole,
         sub["linked"][up] / np.maximum(sub["chars"][up], 1),
     ]
     return np.stack([np.asarray(r, np.float64) for r in rows], axis=1)
 
 
-def seeds(nodes: Nodes) -> np.ndarray:
-    """1 or 0 for nodes that the page itself names (or that stand inside one), -1 for the others."""
-    x = np.array([nodes.tag_sign, nodes.word_sign])
-    own = np.where(x[1] != 0, x[1], x[0])
-    label = np.where(own > 0, 1, np.where(own < 0, 0, -1))
-    for i, p in enumerate(nodes.parent):
-        if p >= 0 and (label[i] < 0 or label[p] == 0):
-            label[i] = label[p]
-    return label
+def seeds(nodes: Nodes, tree: _Tree | None = None) -> np.ndarray:
+    """1 for nodes of a page's article, 0 for those outside, -1 where the page doesn't show it; no word of class or id counts.
+
+    The article is the largest element made for one; on a page without, it is the
+    node whose own text and paragraphs hold most text that isn't linked, if that
+    is SHOWN characters and half of the page's. Elements made for something else
+    are outside wherever they stand; nodes above the article, and in a second
+    element made for one, are not labelled.
+    """
+    t = tree or _tree(nodes)
+    n = len(t.page)
+    if not n:
+        return np.zeros(0, np.int64)
+    column = lambda name: np.array(getattr(nodes, name), np.int64)
+    free = np.where(t.place < 0, 0, column("chars") - column("linked"))
+    prose = free + np.bincount(t.up, np.where((column("kind") == 2) & (t.parent >= 0), free, 0), minlength=n)
+    shown = (prose >= SHOWN) & (2 * prose >= t.sub["chars"][t.root]) & (t.parent >= 0)
+    weight = np.where(t.told, np.where((column("sign") > 0) & (t.place > 0), 1 + t.sub["chars"], 0), np.where(shown, prose, 0))
+    best = np.zeros(int(t.page.max()) + 1)
+    np.maximum.at(best, t.page, weight)
+    order = np.flatnonzero((weight > 0) & (weight == best[t.page]))[::-1]
+    article = np.zeros(n, bool)
+    picked = np.full(len(best), -1)
+    picked[t.page[order]] = order  # the first of equals
+    article[picked[picked >= 0]] = True
+    inside = article.copy()
+    for at in t.levels[1:]:
+        inside[at] |= inside[t.up[at]]
+    above = _up(t.levels, t.parent, article) > 0
+    label = np.where(inside, 1, np.where(above | (t.place > 0) | (picked[t.page] < 0), -1, 0))
+    return np.where(t.place < 0, 0, label)
 
 
 def kept_nodes(nodes: Nodes, score: np.ndarray) -> np.ndarray:
@@ -360,12 +399,13 @@ def main_texts(pages: list[str | None], model: Trees) -> list[str]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of nodes that are labelled by their page's own names."""
+    """Rows of nodes that their page labels."""
     for batch in chunks(batches, "html"):
         nodes = Nodes()
         for k, html in enumerate(batch.column(1).to_pylist()):
             parse(nodes, k, html or "")
-        x, y = features(nodes), seeds(nodes)
+        tree = _tree(nodes)
+        x, y = features(nodes, tree), seeds(nodes, tree)
         known = y >= 0
         at = np.array(batch.column(0).to_pylist(), np.int64)[np.array(nodes.page, np.int64)[known]]
         rows = pa.array(list(x[known]), pa.list_(pa.float64()))
@@ -373,16 +413,16 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(x: np.ndarray, y: np.ndarray) -> Trees:
-    """Trees from nodes that name their purpose, and from two altered copies of them.
+    """Trees from labelled nodes and two altered copies of them.
 
-    In one copy the names keep their label but the shapes are those of other
-    nodes, so where a page names a part the name decides; the other copy has no
-    names, so where a page names nothing the shape decides.
+    One copy has no names at all, so that shape decides where a page names
+    nothing; in the other the words of class and id are those of other nodes, so
+    that no word outweighs what the shape says.
     """
-    mixed, unnamed = x[np.random.default_rng(7).permutation(len(x))], x.copy()
-    mixed[:, _NAMING] = x[:, _NAMING]
+    unnamed, mixed = x.copy(), x.copy()
     unnamed[:, _NAMING] = 0
-    return boost(np.concatenate((x, mixed, unnamed)), np.concatenate((y, y, y)), depth=DEPTH)
+    mixed[:, _WORDS] = x[np.random.default_rng(7).permutation(len(x)), _WORDS]
+    return boost(np.concatenate((x, unnamed, mixed)), np.concatenate((y, y, y)), depth=DEPTH)
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,12 +441,16 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, ["base", "features", "bounds", "values"])
 
 
+def by_element() -> Trees:
+    """What stands in an element made for something else is left out, all else stays."""
+    return Trees(0.0, np.array([[0]]), np.array([[-0.5]]), np.array([[-1.0, 1.0]]))
+
+
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Trees:
     """Trees learned from at most ``sample`` pages, picked by a hash of id and html.
 
-    Nodes take their label from the nearest element that names its purpose (by
-    element name, class, id or role). Without labels of both kinds the names
-    themselves decide.
+    Nodes are labelled by where they stand, see ``seeds``. Without labels of both
+    kinds all is kept but elements made for something else.
     """
     short = pages.where(F.length("html") <= SAMPLE_CHARS)
     picked = hashed_sample(short.select(F.xxhash64("page_id", "html").alias("at"), "html"), "at", sample)
@@ -417,8 +461,8 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Trees:
         .mapInArrow(_fit, f"base {array}, features {array}, bounds {array}, values {array}")
         .first()
     )
-    if not found:  # nearest name: -1 is left out, 0 and 1 stay
-        return Trees(0.0, np.array([[2]]), np.array([[-0.5]]), np.array([[-1.0, 1.0]]))
+    if not found:
+        return by_element()
     inner = 2**DEPTH - 1
     trees = len(found["features"]) // inner
     return Trees(
