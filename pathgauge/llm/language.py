@@ -26,8 +26,11 @@ ALL_LETTERS = 128_000
 ALPHABET = 96
 #: A text is parsed in segments of this many symbols; a phrase ends where a segment ends.
 SEGMENT = 1024
-#: A text of fewer symbols is too short to be called foreign to every learned language.
-JUDGED = 200
+#: Languages told apart at most; a label column with more values is something else.
+MOST_LANGUAGES = 4096
+#: Phrases that a text may need beyond what its language explains: it begins and ends where
+#: it does, and its end is one. They weigh the more the shorter it is.
+FREE = 3
 _CHUNK = 2 << 20
 _CLOSED = 28  # a table entry holds the next state, and above this bit the phrases it closes
 _MASK = (1 << _CLOSED) - 1
@@ -123,7 +126,8 @@ class LanguageModel:
             score = np.ones(len(bits))
         found = letters > 0
         names = [self.names[k] if ok else UNDETERMINED for k, ok in zip(best.tolist(), found.tolist())]
-        return names, np.where(found, score, 0.0), found & ((least < self.symbol_bits) | (sizes < JUDGED))
+        told = least * sizes - FREE * self.phrase_bits[best] < self.symbol_bits * sizes
+        return names, np.where(found, score, 0.0), found & told
 
 
 def _tables(samples: dict[str, str]) -> LanguageModel:
@@ -167,18 +171,22 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
     """Suffix automata over a bounded sample per language.
 
     The sample is about SAMPLE_TEXTS texts of each non-null label, picked by a
-    hash of id and text, and SAMPLE_PIECE characters of each from a place that
+    hash of id and text (repeated rows are one), and SAMPLE_PIECE characters of each from a place that
     the hash gives; at most SAMPLE_LETTERS per language and ALL_LETTERS in all.
-    Labels without a letter in their texts are not learned.
+    Labels without a letter in their texts are not learned; more than MOST_LANGUAGES
+    labels are an error.
     """
     rows = labelled.select(
         F.col(lang_col).cast("string").alias("lang"),
         F.col(text_col).cast("string").alias("text"),
         F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("at"),
     ).where("lang is not null and text rlike '\\\\p{L}'")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    different = rows.groupBy("lang").agg(F.approx_count_distinct("at", 0.02).alias("texts"))
+    counts = {r["lang"]: max(1, r["texts"]) for r in different.limit(MOST_LANGUAGES + 1).collect()}
     if not counts:
         return _tables({})
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} labels in {lang_col!r}")
     limits = labelled.sparkSession.createDataFrame(
         [(k, min(2**62, SAMPLE_TEXTS * 2**62 // n)) for k, n in counts.items()], "lang string, upto long"
     )
@@ -187,6 +195,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
         rows.join(F.broadcast(limits), "lang")
         .where(F.shiftrightunsigned("at", 2) <= F.col("upto"))
         .select("lang", "at", F.substring("text", (F.pmod(F.xxhash64("at"), room) + 1).cast("int"), F.lit(SAMPLE_PIECE)).alias("piece"))
+        .distinct()  # repeated rows share one hash
         .collect()
     )
     budget = max(1, min(SAMPLE_LETTERS, ALL_LETTERS // len(counts)))
@@ -231,13 +240,15 @@ def predict_language(
 def in_learned_language(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text is in no learned language; same columns, no shuffle.
 
-    Rejected are texts that are null or without a letter, and texts of JUDGED
-    symbols or more that even the closest sample describes in no fewer bits than
-    letters of equal chance.
+    Rejected are texts that are null or without a letter, and texts that even the
+    closest sample describes in no fewer bits than letters of equal chance, FREE
+    phrases not counted: a margin that is wide for a few words and nothing for a
+    page. Where no language can be learned only the former are rejected.
     """
     model = train(docs)
     if not model.names:
-        return docs
+        text = F.col("text").cast("string")
+        return docs.where(text.isNotNull() & text.rlike("\\p{L}"))
     return docs.where(_accepts(docs.sparkSession.sparkContext.broadcast(vars(model)))(F.col("text").cast("string")))
 
 

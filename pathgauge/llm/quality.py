@@ -99,8 +99,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column(1),
             pa.ListArray.from_arrays(pa.array(cuts), pa.array((key % BUCKETS).astype(np.int32))),
             pa.ListArray.from_arrays(pa.array(cuts), pa.array(value.astype(np.float32))),
+            batch.column(3),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["at", "label", "bucket", "value"])
+        yield pa.RecordBatch.from_arrays(columns, ["at", "label", "bucket", "value", "label_id"])
 
 
 def ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> np.ndarray:
@@ -145,22 +146,28 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
 
     ``sample`` label rows with a known quality are picked by a hash of their id.
     Their n-grams are counted where the texts are; one task takes the steps, over
-    no more than ``sample`` rows of at most BUCKETS values. Without labels all
-    weights are 0.
+    no more than ``sample`` rows of at most BUCKETS values: an id counts once, with
+    its greatest label and, of several texts, that of the least hash. Without
+    labels all weights are 0.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("label"))
         .where("label is not null and label_id is not null")
+        .groupBy("label_id")
+        .agg(F.max("label").alias("label"))
         .withColumn("label_hash", F.xxhash64("label_id"))
     )
     picked = hashed_sample(known, "label_hash", sample)
     source = (
         id_and_text(docs)
         .join(F.broadcast(picked), F.col("doc_id") == F.col("label_id"))
-        .select(F.xxhash64(F.xxhash64("doc_id"), "text").alias("at"), "label", "text")
+        .select(F.xxhash64(F.xxhash64("doc_id"), "text").alias("at"), "label", "text", "label_id")
     )
     found = (
-        source.mapInArrow(_features, "at long, label int, bucket array<int>, value array<float>")
+        source.mapInArrow(_features, "at long, label int, bucket array<int>, value array<float>, label_id long")
+        .groupBy("label_id")
+        .agg(F.min_by(F.struct("at", "label", "bucket", "value"), "at").alias("row"))
+        .select("row.*")
         .repartition(1)
         .mapInArrow(_train, "weights binary")
         .first()

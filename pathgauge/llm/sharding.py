@@ -35,8 +35,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     of them), the others pooled by hash (POOLS items). So at most 32,768 items
     for 16 shards reach the driver however many groups there are, and loads
     differ by no more than the smallest items, unless one group outweighs a
-    shard. ``slot`` counts from 0 within a shard without gaps, in an order that
-    depends on ids and texts only up to repeated rows. ``grown_shard`` is null:
+    shard. ``slot`` counts from 0 within a shard without gaps; rows are dealt into
+    parts one by one to be counted, so however many are equal, no part has more
+    than its share. ``grown_shard`` is null:
     the law is ``bytes``. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -48,7 +49,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.md5(text.cast("binary")).alias("digest"),
         )
-    )
+    ).withColumn("row", F.monotonically_increasing_id())  # fixed by the checkpoint
     groups = settle(rows.groupBy("digest").agg(F.sum("size").alias("bytes")))
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     pool = F.pmod(F.xxhash64("digest"), F.lit(POOLS)).cast("int")
@@ -68,8 +69,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
         .withColumn("pool", pool)
         .join(F.broadcast(pooled), "pool", "left")
         .withColumn("shard", F.coalesce("own_shard", "pool_shard"))
-        .withColumn("part", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(parts)).cast("int"))
-        .select("doc_id", "size", "text_crc32", "digest", "shard", "part")
+        .withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
+        .select("doc_id", "size", "text_crc32", "digest", "row", "shard", "part")
     )
     # A shard is numbered part by part; this table has at most shards * parts rows.
     earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +79,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("shard", "part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("first"))
     )
-    within = Window.partitionBy("shard", "part").orderBy("doc_id", "digest")
+    within = Window.partitionBy("shard", "part").orderBy("doc_id", "digest", "row")
     return (
         dealt.withColumn("at", F.row_number().over(within) - 1)
         .join(F.broadcast(first), ["shard", "part"])

@@ -107,8 +107,8 @@ def links(distinct: DataFrame, distance: int = 2) -> DataFrame:
     hold more than 512, hence no group of any size is compared pair by pair, and
     within a bucket a link to the least member stands for all.
     """
-    if not 2 <= distance < 4:
-        raise ValueError("the ring of 8 segments is laid out for 2 or 3 differing bits")
+    if distance != 2:
+        raise ValueError("large buckets are split exactly for 2 differing bits only")
     width = BITS // SEGMENTS
     strict = next(n for n in range(SEGMENTS) if (n + 1) * distance >= SEGMENTS)
     keyed = (
@@ -118,17 +118,13 @@ def links(distinct: DataFrame, distance: int = 2) -> DataFrame:
     )
     sizes = settle(keyed.groupBy("start", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     met = keyed.join(sizes, ["start", "key"])
-    # In the chain of all but one segment at most ``loose`` bits differ; leave out one each time.
-    loose = (SEGMENTS - 1) * distance // SEGMENTS
+    # In the chain of all but one segment at most one bit differs; leave out one each time.
     rest = F.call_function("shiftrightunsigned", "ring", F.lit(width))
     free = (SEGMENTS - 1 - strict) * width
-    if loose == 1:
-        left_out = F.transform(
-            F.sequence(F.lit(0), F.lit(free - 1)),
-            lambda bit: F.struct(bit.alias("bit"), rest.bitwiseAND(F.lit(-1).cast("long").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))).alias("rest")),
-        )
-    else:
-        left_out = F.array(F.struct(F.lit(-1).alias("bit"), rest.bitwiseAND(0).alias("rest")))
+    left_out = F.transform(
+        F.sequence(F.lit(0), F.lit(free - 1)),
+        lambda bit: F.struct(bit.alias("bit"), rest.bitwiseAND(F.lit(-1).cast("long").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))).alias("rest")),
+    )
     whole = F.array(F.struct(F.lit(-1).alias("bit"), F.col("key").alias("rest")))
     buckets = (
         met.withColumn("part", F.explode(F.when(F.col("size") > BUCKET, left_out).otherwise(whole)))

@@ -82,3 +82,36 @@ def test_filter(docs):
     kept = g.in_learned_language(frame)
     assert kept.columns == frame.columns
     assert {r.doc_id for r in kept.collect()} == {*range(80), 903}
+
+
+def test_short_foreign_texts_go_and_short_own_ones_stay(docs):
+    source = random.Random(6)
+    rows = [(k, words(("en", "de")[k % 2], 60, source), ("en", "de")[k % 2]) for k in range(80)]
+    foreign = [(1000 + n, "".join(chr(0x4E00 + source.randrange(5000)) for _ in range(n)), None) for n in (10, 40, 150)]
+    own = [(2000 + n, words("en", n, source), None) for n in (1, 2, 5, 20)]
+    kept = {r.doc_id for r in g.in_learned_language(docs(*rows, *foreign, *own)).collect()}
+    assert kept == {*range(80), 2001, 2002, 2005, 2020}
+
+
+def test_without_a_language_texts_without_a_letter_go_too(docs):
+    frame = docs((1, "some text", None), (2, None, None), (3, "12 !", None), (4, "", None))
+    assert [r.doc_id for r in g.in_learned_language(frame).collect()] == [1]
+
+
+def test_one_row_very_often(docs):
+    """A third of the rows alike: they come to the driver once, and too many labels are refused."""
+    rows = [(k, f"some words of text {k} and more", "en") for k in range(300)]
+    hot = docs((7, "always the same short text", "en")).select("*", g.F.explode(g.F.sequence(g.F.lit(1), g.F.lit(20_000)))).drop("col")
+    model = g.train(docs(*rows).unionByName(hot))
+    assert model.names == ["en"]
+    many = docs(*[(k, "a text", f"label {k}") for k in range(30)])
+    g.train(many)
+    g.MOST_LANGUAGES, before = 20, g.MOST_LANGUAGES
+    try:
+        g.train(many)
+    except ValueError as error:
+        assert "more than 20 labels" in str(error)
+    else:
+        raise AssertionError
+    finally:
+        g.MOST_LANGUAGES = before

@@ -49,7 +49,7 @@ def test_training_rule():
 def test_score_is_the_sparse_product():
     weights = np.random.default_rng(1).normal(size=q.BUCKETS + 1)
     texts = pa.array(["a b a", None, "", "one", "x y z " * 400, "É ß\tq\x0bq"])
-    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array([1] * 6), texts], ["at", "label", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array([1] * 6), texts, pa.array(range(6))], ["at", "label", "text", "label_id"])
     (features,) = q._features(iter([batch]))
     for k, score in enumerate(q._scores(texts, weights)):
         bucket, value = features.column(2)[k].as_py(), features.column(3)[k].as_py()
@@ -90,3 +90,12 @@ def test_no_labels_and_empty(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert [r.score for r in q.quality_scores(docs((1, "a b")), labels).collect()] == [0.5]
     assert q.quality_scores(docs((1, "a")).where("false"), labels).collect() == []
+
+
+def test_an_id_on_very_many_rows_teaches_once(docs):
+    rows = [(k, ("good words here " if k % 2 else "bad bad 77 ") * (3 + k % 5)) for k in range(60)]
+    labels = docs((1, "")).sparkSession.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    plain = q.train(docs(*rows), labels)
+    repeated = docs(*rows).unionByName(docs(*[rows[3]] * 400))
+    again = q.train(repeated, labels.unionByName(labels.where("doc_id = 3")).unionByName(labels))
+    assert np.array_equal(plain, again)

@@ -48,3 +48,16 @@ def test_groups_slots_and_balance(docs):
 
 def test_empty(docs):
     assert shard_by_bytes(docs((1, "a")).where("false")).collect() == []
+
+
+def test_equal_rows_spread_over_parts(spark):
+    """A third of all rows alike: no task numbers more than twice its share of them."""
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "if(id % 3 = 0, 'hot', concat('t', id)) as text")
+    found = shard_by_bytes(rows).collect()
+    slots = defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r.slot)
+    assert len(found) == 30_000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    settled = spark.range(30_000).repartition(4).selectExpr("monotonically_increasing_id() as row")
+    sizes = [r["count"] for r in settled.selectExpr("pmod(xxhash64(row), 8) as part").groupBy("part").count().collect()]
+    assert max(sizes) < 2 * 30_000 / 8
