@@ -38,10 +38,13 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def remove_stages(spark: SparkSession) -> None:
-    """Delete what this application has stored without a path of its own; for the end of a run."""
+    """Delete what this application has stored without a path of its own, checkpoints too; for the end of a run."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(_own_stages(spark))
-    folder.getFileSystem(conf).delete(folder, True)
+    # Spark's checkpoint folder is one that it made for this application alone.
+    for name in (_own_stages(spark), spark.sparkContext.getCheckpointDir()):
+        if name:
+            folder = jvm.org.apache.hadoop.fs.Path(name)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def store(
