@@ -71,6 +71,8 @@ class Params:
     exact_sums: bool = False
     #: A row, with a plan of 0, also for target technologies a company has no asset of.
     complete_technologies: bool = False
+    #: Buckets of the tables that are placed by company id; for longer lists of companies, more.
+    company_buckets: int = 8
 
     @property
     def end_year(self) -> int:
@@ -152,6 +154,7 @@ CONFIG_KEYS = {
     "Most.Relevant.Techs": "most_relevant_techs",
     "exact_sums": "exact_sums",
     "complete_technologies": "complete_technologies",
+    "company_buckets": "company_buckets",
 }
 
 _SCORE_CONFIG_SUFFIX = {"Power": "", "Automotive": "_auto", "HDV": "_hdv"}

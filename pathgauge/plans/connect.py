@@ -11,6 +11,7 @@ from pathgauge.functions.semantics import floor_at_zero, total
 from pathgauge.operators.lookup import fixed_lookup, salted_join
 from pathgauge.params import Params
 from pathgauge.plans.production import sum_years, year_rows
+from pathgauge.sources.layout import store_placed
 from pathgauge.sources.stages import store
 
 MARKET = "GlobalMarket"
@@ -41,8 +42,26 @@ def name_bridge(wide: DataFrame, companies: DataFrame) -> DataFrame:
     return pairs.join(listed, "company_name", "inner")
 
 
-def in_scope(facts: DataFrame, bridge: DataFrame, id: str = "id") -> DataFrame:
-    """Rows of listed companies; to be applied ahead of the first sum."""
+#: Ids up to this many are put into the filter of a scan; a longer list is joined.
+MOST_PUSHED = 2_000
+
+
+def listed_ids(bridge: DataFrame, most: int = MOST_PUSHED) -> list[int] | None:
+    """Ids of the listed companies, None if there are more than ``most``; reads a stored bridge."""
+    ids = bridge.where(F.col("company_id").isNotNull()).select("company_id").distinct().limit(most + 1).collect()
+    return None if len(ids) > most else sorted(r[0] for r in ids)
+
+
+def in_scope(
+    facts: DataFrame, bridge: DataFrame, id: str = "id", *, ids: Sequence[int] | None = None
+) -> DataFrame:
+    """Rows of listed companies; to be applied ahead of the first sum.
+
+    With ``ids``, those of the whole bridge (``listed_ids``), it is a filter that
+    reaches the files, where a table laid out by id lets the scan pass over most.
+    """
+    if ids is not None:
+        return facts.where(F.col(id).isin(*ids) if ids else F.lit(False))
     return facts.join(bridge.select(F.col("company_id").alias(id)), id, "left_semi")
 
 
@@ -235,6 +254,24 @@ def store_per_source(connected: DataFrame, path: str | None = None, keep_other:
     return stored.select(*CONNECTED_COLUMNS)
 
 
+def store_placed_per_source(
+    connected: DataFrame, buckets: int, path: str | None = None, keep_other: bool = False
+) -> DataFrame:
+    """One folder per scenario source as in ``store_per_source``, bucketed by company id within each.
+
+    A name bridge placed likewise (``store_placed_bridge``) is joined to it, and
+    sums and sector totals by company are made, without another shuffle.
+    """
+    stored = store_placed(
+        connected, "connected", by="id", buckets=buckets, partition_by="scenario_source", path=path, keep_other=keep_other
+    )
+    return stored.select(*CONNECTED_COLUMNS)
+
+
+def store_placed_bridge(bridge: DataFrame, buckets: int, path: str | None = None) -> DataFrame:
+    return store_placed(bridge, "name_bridge", by="company_id", buckets=buckets, path=path)
+
+
 def assessed(connected: DataFrame, params: Params) -> DataFrame:
     """Rows of the sources that scores and ratings read; prunes the folders of a stored table.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,14 +44,17 @@ def intensity_scope(facts: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def company_intensity(facts: DataFrame, bridge: DataFrame, params: Params) -> DataFrame:
+def company_intensity(
+    facts: DataFrame, bridge: DataFrame, params: Params, ids: Sequence[int] | None = None
+) -> DataFrame:
     """Production-weighted mean factor per listed company, pooled over its ids.
 
     The terms of the mean are summed per id before the name join, so the join
-    handles one row per id, sector and year however many assets an id has.
+    handles one row per id, sector and year however many assets an id has. ``ids``
+    as in ``connect.in_scope``.
     """
     per_id = (
-        in_scope(intensity_scope(facts, params), bridge)
+        in_scope(intensity_scope(facts, params), bridge, ids=ids)
         .groupBy("id", "year", "ald_sector")
         .agg(*weighted_terms("ald_emissions_factor", "ald_production", exact=params.exact_sums))
     )
@@ -101,6 +105,8 @@ def score_intensity(intensity: DataFrame) -> DataFrame:
     )
 
 
-def intensity_result(facts: DataFrame, bridge: DataFrame, params: Params) -> DataFrame:
-    scored = score_intensity(company_intensity(facts, bridge, params))
+def intensity_result(
+    facts: DataFrame, bridge: DataFrame, params: Params, ids: Sequence[int] | None = None
+) -> DataFrame:
+    scored = score_intensity(company_intensity(facts, bridge, params, ids))
     return display_name(scored, refdata.INTENSITY_DISPLAY_NAMES)

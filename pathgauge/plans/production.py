@@ -148,19 +148,43 @@ def normalise(
     zero_techs: Sequence[str] = refdata.ZERO_FACTOR_TECHS,
     without: Sequence[str] = (),
     exact: bool = False,
+    ordered_by: str | None = None,
 ) -> DataFrame:
-    """The full clean long table: one row per value of all its other columns."""
+    """The full clean long table: one row per value of all its other columns.
+
+    With ``ordered_by`` it comes in order of that column. The sums are then placed
+    by ranges of it and the other keys in the place of their hash, so this costs a
+    sort but no further shuffle, and a value that many rows hold is split by the
+    other keys.
+    """
     rows = asset_sums(wide, years=years, zero_techs=zero_techs, exact=exact)
     keys, numbers = _key_columns(rows, without), _years(rows)
-    return year_rows(sum_years(rows, keys, numbers, exact), keys, numbers)
+    if ordered_by:
+        # A factor is evened out (-0.0, NaN) as a grouping key and a constant is none, so they'd spoil the placement.
+        others = ("ald_location", "technology", "ald_sector", "ald_production_unit")
+        rows = rows.repartitionByRange(ordered_by, *[c for c in others if c != ordered_by])
+    summed = sum_years(rows, keys, numbers, exact)
+    if ordered_by:
+        summed = summed.sortWithinPartitions(ordered_by)
+    return year_rows(summed, keys, numbers)
 
 
 def masterdata(
-    wide: DataFrame, zero_techs: Sequence[str], *, years: Iterable[int] | None = None, exact: bool = False
+    wide: DataFrame,
+    zero_techs: Sequence[str],
+    *,
+    years: Iterable[int] | None = None,
+    exact: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
-    """The clean long table as later stages read it: keyed by company id, without its name."""
+    """The clean long table as later stages read it: keyed by company id, without its name; in order of the id on request."""
     return normalise(
-        wide, years=years, zero_techs=zero_techs, without=("company_name", "id_name"), exact=exact
+        wide,
+        years=years,
+        zero_techs=zero_techs,
+        without=("company_name", "id_name"),
+        exact=exact,
+        ordered_by="id" if ordered else None,
     )
 
 

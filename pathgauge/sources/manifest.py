@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 #: To be raised when a stage's meaning changes, so that tables of older code are made again.
-VERSION = 1
+VERSION = 2
 _NAME = "_manifest.json"  # Spark's readers pass over names that begin so
 
 
@@ -66,14 +66,20 @@ def identity(df: DataFrame) -> str | None:
     return digest([plan.canonicalized().toString(), df.schema.json(), read])
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all it holds; none there is no error."""
+    files, at = _hadoop(spark, path)
+    files.delete(at, True)
+
+
 def forget(spark: SparkSession, path: str) -> None:
     """Remove a stage's manifest, before the stage changes in part."""
-    files, at = _hadoop(spark, f"{path}/{_NAME}")
-    files.delete(at, False)
+    remove(spark, f"{path}/{_NAME}")
 
 
-def _read(spark: SparkSession, path: str) -> dict | None:
-    files, at = _hadoop(spark, f"{path}/{_NAME}")
+def read_json(spark: SparkSession, path: str) -> dict | None:
+    """Content of a small file, None if there is none."""
+    files, at = _hadoop(spark, path)
     if not files.exists(at):
         return None
     stream = files.open(at)
@@ -83,8 +89,8 @@ def _read(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
-def _write(spark: SparkSession, path: str, content: dict) -> None:
-    files, at = _hadoop(spark, f"{path}/{_NAME}")
+def write_json(spark: SparkSession, path: str, content: dict) -> None:
+    files, at = _hadoop(spark, path)
     stream = files.create(at, True)
     try:
         stream.write(json.dumps(content).encode())
@@ -97,16 +103,20 @@ def kept(
     path: str,
     made_from: Mapping[str, object],
     make: Callable[[], DataFrame],
+    reopen: Callable[[], DataFrame] | None = None,
 ) -> tuple[DataFrame, str | None]:
     """The stored table, made anew unless its manifest and files agree; and what a later stage takes as its identity.
 
-    ``make`` writes the table to ``path`` and returns it. ``made_from`` names what
+    ``make`` writes the table to ``path`` and returns it; ``reopen`` reads one that
+    isn't plain Parquet. ``made_from`` names what
     it depends on; if any of that is None, it is made each time, and so is
     what depends on it.
     """
     known = None if any(v is None for v in made_from.values()) else digest([VERSION, dict(made_from)])
-    there = _read(spark, path) if known else None
+    there = read_json(spark, f"{path}/{_NAME}") if known else None
     if there and there["made_from"] == known and there["files"] == _listed(spark, path):
+        if reopen:
+            return reopen(), there["identity"]
         schema = StructType.fromJson(there["schema"])
         return spark.read.schema(schema).parquet(path), there["identity"]
     table = make()
@@ -115,5 +125,6 @@ def kept(
         return table, None
     files = _listed(spark, path)
     own = digest([known, files])
-    _write(spark, path, {"made_from": known, "identity": own, "files": files, "schema": table.schema.jsonValue()})
+    content = {"made_from": known, "identity": own, "files": files, "schema": table.schema.jsonValue()}
+    write_json(spark, f"{path}/{_NAME}", content)
     return table, own

@@ -19,9 +19,12 @@ from pathgauge.plans import connect as conn
 from pathgauge.plans import intensity as ei
 from pathgauge.plans import production as prod
 from pathgauge.plans import report, scenario, score, trajectory
-from pathgauge.sources import manifest, tables, workbook
+from pathgauge.sources import layout, manifest, tables, workbook
 from pathgauge.sources.stages import store
 
+# Tables placed by company id.
+_PLACED = ("name_bridge", "connected")
+
 # File stem of each sector's score result.
 _SCORE_FILES = {"Power": "power", "Automotive": "auto", "HDV": "hdv"}
 _INTENSITY_HEADINGS = {"year": "year.x", "benchmark_year": "year.y"}
@@ -98,6 +101,8 @@ class Run:
         return f"{self.folder.rstrip('/')}/{table}"
 
     def table(self, table: str) -> DataFrame:
+        if table in _PLACED:
+            return layout.read_placed(self.spark, self.path(table))
         return self.spark.read.parquet(self.path(table))
 
     def _kept(self, name: str, made_from: Mapping[str, object], make: Callable[[], DataFrame], **options):
@@ -105,6 +110,10 @@ class Run:
         path = self.path(name)
         return manifest.kept(self.spark, path, made_from, lambda: store(make(), name, path=path, **options))
 
+    def _kept_placed(self, name: str, made_from: Mapping[str, object], write: Callable[[str], DataFrame]):
+        path = self.path(name)
+        return manifest.kept(self.spark, path, made_from, lambda: write(path), lambda: self.table(name))
+
     def _picked(self, *names: str) -> dict[str, object]:
         return {name: asdict(self.params)[name] for name in names}
 
@@ -119,9 +128,8 @@ class Run:
         long, targets = self._target_stage(inputs)
         regions = manifest.identity(inputs.scenario_regions)
         made_from = {"production": production, "targets": targets, "regions": regions, "params": self._connect_params()}
-        path = self.path("connected")
-        manifest.kept(
-            self.spark, path, made_from, lambda: self._connect(inputs, masterdata, bridge, markets, long, path=path)
+        self._kept_placed(
+            "connected", made_from, lambda path: self._connect(inputs, masterdata, bridge, markets, long, path=path)
         )
 
     def _production_stages(self, inputs: Inputs) -> tuple[DataFrame, DataFrame, DataFrame, list[str] | None]:
@@ -131,10 +139,13 @@ class Run:
         masterdata, one = self._kept(
             "masterdata",
             {"production": production, "params": self._picked("zero_emission_techs", "exact_sums")},
-            lambda: prod.masterdata(wide, params.zero_emission_techs, exact=params.exact_sums),
+            lambda: prod.masterdata(wide, params.zero_emission_techs, exact=params.exact_sums, ordered=True),
+            blooms=("id",),
         )
-        bridge, two = self._kept(
-            "name_bridge", {"production": production, "companies": companies}, lambda: conn.name_bridge(wide, inputs.companies)
+        bridge, two = self._kept_placed(
+            "name_bridge",
+            {"production": production, "companies": companies, "params": self._picked("company_buckets")},
+            lambda path: conn.store_placed_bridge(conn.name_bridge(wide, inputs.companies), params.company_buckets, path),
         )
         markets, three = self._kept("index_regions", {"production": production}, lambda: conn.index_regions(wide))
         return masterdata, bridge, markets, None if None in (one, two, three) else [one, two, three]
@@ -158,14 +169,14 @@ class Run:
 
     def _connect_params(self) -> dict[str, object]:
         names = ("reference_year", "time_horizon", "sectors", "other_sectors", "excluded_techs", "scenario_geographies")
-        more = ("global_aggregate_sources", "global_aggregate_sectors", "green_techs", "exact_sums", "complete_technologies")
+        more = ("global_aggregate_sources", "global_aggregate_sectors", "green_techs", "exact_sums", "complete_technologies", "company_buckets")
         return self._picked(*names, *more)
 
     def _connect(self, inputs, masterdata, bridge, markets, long, *, path: str, keep_other: bool = False) -> DataFrame:
-        listed = conn.in_scope(masterdata, bridge)
+        listed = conn.in_scope(masterdata, bridge, ids=conn.listed_ids(bridge))
         assets = prod.recode_hdv(prod.side_by_side(listed, self.params.relevant_years))
         connected = conn.connect(assets, long, inputs.scenario_regions, markets, self.params)
-        return conn.store_per_source(connected, path=path, keep_other=keep_other)
+        return conn.store_placed_per_source(connected, self.params.company_buckets, path, keep_other)
 
     def replace_source(self, inputs: Inputs, source: str) -> None:
         """Make the connected rows of one scenario source anew; the files of the others stay as they are.
@@ -220,7 +231,8 @@ class Run:
 
     def intensity(self) -> None:
         """Emission intensity against the benchmark."""
-        result = ei.intensity_result(self.table("masterdata"), self.table("name_bridge"), self.params)
+        bridge = self.table("name_bridge")
+        result = ei.intensity_result(self.table("masterdata"), bridge, self.params, conn.listed_ids(bridge))
         tables.write_csv(result, self.path(f"emission_intensity_{self.name}.csv"), _INTENSITY_HEADINGS)
 
     def assemble(self, roster: DataFrame | None = None, template: str | None = None) -> dict[str, DataFrame]:

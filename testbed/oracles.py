@@ -518,6 +518,7 @@ ORACLES: dict[str, str] = {
     "company_scope": _q(
         f"SELECT {_FACT} FROM master m WHERE EXISTS (SELECT 1 FROM bridge b WHERE b.company_id = m.id)"
     ),
+    "scope_layout": _q(f"SELECT {_FACT} FROM master m WHERE m.id IN (SELECT company_id FROM bridge)"),
     "name_bridge": _q("SELECT * FROM bridge"),
     "bridge_join": _q(
         f"""SELECT {_FACT}, company_name, sector_assessed
@@ -605,6 +606,7 @@ ORACLES: dict[str, str] = {
         """SELECT company_name, id, scenario_source, scenario, ald_sector, year,
         ROUND(score, 6) AS "single_score_Case8", n_technologies FROM scores"""
     ),
+    "placed_score": _q('SELECT ald_sector, company_name, ROUND("single_score_Case8", 6) AS "single_score_Case8" FROM ranked'),
     "agg_rank": _q(
         'SELECT * REPLACE (ROUND("single_score_Case8", 6) AS "single_score_Case8") FROM ranked'
     ),

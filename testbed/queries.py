@@ -206,6 +206,14 @@ def company_scope(spark, sf_dir):
     return _masterdata(conn.in_scope(wide, _stored_bridge(spark, sf_dir, wide), "company_id"))
 
 
+def scope_layout(spark, sf_dir):
+    """The same rows from a stored table in order of the company id, by a filter that reaches its row groups."""
+    wide = _wide(spark, sf_dir)
+    ordered = prod.masterdata(wide, PARAMS.zero_emission_techs, ordered=True)
+    stored, bridge = store(ordered, "masterdata", blooms=["id"]), _stored_bridge(spark, sf_dir, wide)
+    return conn.in_scope(stored, bridge, ids=conn.listed_ids(bridge))
+
+
 def name_bridge(spark, sf_dir):
     return _name_bridge(spark, sf_dir, _production(spark, sf_dir))
 
@@ -406,6 +414,14 @@ def agg_score(spark, sf_dir):
     return rounded(rows, ["single_score_Case8"])
 
 
+def placed_score(spark, sf_dir):
+    """Scores from a connected table and a bridge that are placed by company id."""
+    connected, listed = _connected_stages(spark, sf_dir)
+    placed = conn.store_placed_per_source(connected, PARAMS.company_buckets)
+    scores = score.company_scores(placed, conn.store_placed_bridge(listed, PARAMS.company_buckets), PARAMS)
+    return rounded(scores.select("ald_sector", "company_name", "single_score_Case8"), ["single_score_Case8"])
+
+
 def _score_result(spark, sf_dir) -> DataFrame:
     return score.score_result(score.company_scores(*_connected_stages(spark, sf_dir), PARAMS))
 
@@ -544,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "index_regions": index_regions,
     "scenario_long": scenario_long,
     "company_scope": company_scope,
+    "scope_layout": scope_layout,
     "name_bridge": name_bridge,
     "bridge_join": bridge_join,
     "connect": connect,
@@ -567,6 +584,7 @@ QUERIES: dict[str, Query] = {
     "tech_share": tech_share,
     "agg_factors": agg_factors,
     "agg_score": agg_score,
+    "placed_score": placed_score,
     "agg_rank": agg_rank,
     "comm_values_long": comm_values_long,
     "comm_values_wide": comm_values_wide,
