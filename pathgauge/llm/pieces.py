@@ -19,6 +19,8 @@ from pathgauge.llm.common import chunks, list_array
 MARK = "▁"
 #: Words whose pieces a worker remembers in each of two generations; words that come up again move to the newer one.
 REMEMBERED = 150_000
+#: Neighbouring pieces a worker remembers, in each of two generations likewise; a pair holds about 250 bytes.
+PAIRS = 200_000
 #: Longer words (runs without a space) are worked out anew each time, so that what is remembered stays small.
 LONGEST = 256
 
@@ -118,6 +120,7 @@ class Encoder:
 
     vocabulary: Vocabulary
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    older_pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     borders: dict[tuple[str, int], list[str]] = field(default_factory=dict)
     #: Ids of words, as the bytes of 32-bit integers.
     known: dict[str, bytes] = field(default_factory=dict)
@@ -181,7 +184,13 @@ class Encoder:
                 key = (last[begin], piece)
                 found = pairs.get(key)
                 if found is None:
-                    found = pairs[key] = open_pair(*key)
+                    found = self.older_pairs.get(key)
+                    if found is None:
+                        found = open_pair(*key)
+                    if len(pairs) >= PAIRS:
+                        self.older_pairs, self.pairs = pairs, {}
+                        pairs = self.pairs
+                    pairs[key] = found
                 if found:
                     last.append(piece)
                     break

@@ -65,6 +65,17 @@ def test_memory_turns_over(encoder, monkeypatch):
     assert len(small.known) + len(small.older) < 14
 
 
+def test_pairs_are_bounded(encoder, library, monkeypatch):
+    """Also within one word: what is remembered of neighbouring pieces turns over without a change of the result."""
+    monkeypatch.setattr(pieces, "PAIRS", 500)
+    small, source = pieces.Encoder(encoder.vocabulary), random.Random(7)
+    for length in (20, 3_000, 50):
+        text = " ".join("".join(source.choice("aeintrshlou0123ABC") for _ in range(length)) for _ in range(20))
+        assert ids(small, text) == library.encode(text)
+        assert len(small.pairs) <= 500 and len(small.older_pairs) <= 500
+    assert len(small.older_pairs) == 500
+
+
 def test_unigram_vocabulary_equals_library(tmp_path):
     """The same pieces as a UNIGRAM model: the best total score wins."""
     model = sentencepiece_model_pb2.ModelProto()
