@@ -82,6 +82,13 @@ PATHWAY_KIND = {
     "ICE CNG_HDV": "ice",
     "FuelCell_HDV": "other",
 }
+# GECO2021 gives car technologies as those of trucks, under the names that need mending.
+GECO_TRUCKS = {
+    "Electric": "Electric_HDV_HDV",
+    "Hybrid": "Hybrid_HDV_HDV",
+    "ICE": "ICE_HDV_HDV",
+    "FuelCell": "NA_HDV",
+}
 RICH_REGIONS = ("AMERICA", "EUROPE")
 
 BRIDGE = (
@@ -319,9 +326,8 @@ def datasets(totals: DataFrame) -> Mapping[str, DataFrame]:
         {
             "source": F.lit("GECO2021"),
             "value": F.col("value") * 1.5,
-            # This source gives electric trucks, under a doubled suffix.
-            "technology": F.when(F.col("technology") == "Electric", F.lit("Electric_HDV_HDV")).otherwise(
-                F.col("technology")
+            "technology": first_match(
+                [(F.col("technology") == car, F.lit(truck)) for car, truck in GECO_TRUCKS.items()], F.col("technology")
             ),
         }
     )

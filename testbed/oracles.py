@@ -196,7 +196,8 @@ weo AS ({_WEO}),
 raw_scenarios AS (
   SELECT * FROM weo
   UNION ALL SELECT 'GECO2021', scenario, sector,
-    CASE WHEN technology = 'Electric' THEN 'Electric_HDV_HDV' ELSE technology END, scenario_geography, indicator,
+    CASE technology WHEN 'Electric' THEN 'Electric_HDV_HDV' WHEN 'Hybrid' THEN 'Hybrid_HDV_HDV'
+      WHEN 'ICE' THEN 'ICE_HDV_HDV' WHEN 'FuelCell' THEN 'NA_HDV' ELSE technology END, scenario_geography, indicator,
     units, year, value * 1.5
   FROM weo WHERE scenario = 'NZE_2050' AND scenario_geography = 'World'
   UNION ALL SELECT 'SECTOR2021', 'REF', sector, technology, scenario_geography, NULL, 't', year, total
@@ -256,9 +257,10 @@ targets AS (
   SELECT *, CASE WHEN technology IN {_in(P.green_techs)} THEN smsp ELSE tmsr - 1 END AS fair_share FROM shares),
 targets_long AS (
   SELECT DISTINCT scenario_source, scenario,
-    CASE WHEN technology = 'Electric_HDV_HDV' THEN 'HDV' ELSE ald_sector END AS ald_sector,
-    CASE WHEN ald_sector = 'HDV' AND technology IS NULL THEN 'FuelCell_HDV'
-      WHEN technology = 'Electric_HDV_HDV' THEN 'Electric_HDV' ELSE technology END AS technology,
+    CASE WHEN technology IN ('Electric_HDV_HDV', 'ICE_HDV_HDV', 'Hybrid_HDV_HDV', 'NA_HDV') THEN 'HDV'
+      ELSE ald_sector END AS ald_sector,
+    CASE WHEN ald_sector = 'HDV' AND technology IS NULL OR technology = 'NA_HDV' THEN 'FuelCell_HDV'
+      WHEN technology LIKE '%_HDV_HDV' THEN replace(technology, '_HDV_HDV', '_HDV') ELSE technology END AS technology,
     scenario_geography, indicator, units, year, value, tmsr, smsp, fair_share
   FROM (
     SELECT t.* REPLACE (g.geo_model AS scenario_geography)
@@ -426,6 +428,10 @@ comm_end AS (
   SELECT *, weighting_factor / NULLIF(SUM(weighting_factor)
     OVER (PARTITION BY ald_sector, company_name, scenario, scenario_geography), 0) AS weight_share
   FROM comm WHERE year = {T1}),
+truck_maker AS (
+  SELECT arg_min(company_name, company_id) AS maker, MIN(company_id) AS maker_id FROM (
+    SELECT company_id, company_name FROM bridge WHERE sector_assessed IN ('Automotive', 'HDV')
+    GROUP BY ALL HAVING COUNT(DISTINCT sector_assessed) = 2)),
 rosters AS (
   SELECT s_name AS "Company", sector FROM (
     SELECT s_name, {_nth(model.ASSESSED, 's_nationkey')} AS sector FROM supplier
@@ -460,18 +466,22 @@ def _sector_ratings(sector: str, names: tuple[str, ...]) -> str:
     )
 
 
-def _tech_report(sector: str) -> str:
+def _tech_report(sector: str, with_truck_maker: bool = False) -> str:
     cells = []
     for stem, _, _, tech in refdata.REPORT_TECHS[sector]:
         key = refdata.tech_key(sector, tech)
         for kind, suffix in (("Rating", "value"), ("traffic_light", "light")):
             cells.append(f"COALESCE(NULLIF(t.\"{kind}_{key}\", 'N.A.'), 'Not Assessed') AS {stem}_{suffix}")
+    company, left_out, maker = 'r."Company"', "", ""
+    if with_truck_maker:
+        company = """CASE WHEN r."Company" = maker THEN 'Volvo AB' ELSE r."Company" END AS "Company\""""
+        left_out, maker = "AND t.company_name IS DISTINCT FROM maker", "CROSS JOIN truck_maker"
     return _q(
-        f"""SELECT r."Company", COALESCE(k.aggregate_score_class, 'Not Assessed') AS overall_value,
+        f"""SELECT {company}, COALESCE(k.aggregate_score_class, 'Not Assessed') AS overall_value,
         COALESCE(k.aggregate_score_traffic_light, 'Not Assessed') AS overall_light, {', '.join(cells)}
-        FROM rosters r
+        FROM rosters r {maker}
         LEFT JOIN ranked k ON k.company_name = r."Company" AND k.ald_sector = '{sector}'
-        LEFT JOIN tech_wide t ON t.company_name = r."Company" AND t.ald_sector = '{sector}'
+        LEFT JOIN tech_wide t ON t.company_name = r."Company" AND t.ald_sector = '{sector}' {left_out}
         WHERE r.sector = '{sector}'"""
     )
 
@@ -606,6 +616,15 @@ ORACLES: dict[str, str] = {
         """SELECT company_name, id, scenario_source, scenario, ald_sector, year,
         ROUND(score, 6) AS "single_score_Case8", n_technologies FROM scores"""
     ),
+    "truck_names": _q(
+        f"""SELECT DISTINCT ald_sector, CASE WHEN id = maker_id AND ald_sector = 'HDV' THEN 'Volvo'
+          WHEN id = maker_id THEN 'Volvo AB' ELSE company_name END AS company_name,
+          ROUND(score, 6) AS "single_score_Case8"
+        FROM scores CROSS JOIN truck_maker
+        WHERE year = {T1} AND ((ald_sector <> 'HDV' AND (scenario_source, scenario) = ('WEO2022', 'NZE_2050'))
+          OR (scenario_source, scenario) = ('ETP2017', 'B2DS')
+            AND (id = maker_id OR company_name IN {_in(model.HDV_SCORED)}))"""
+    ),
     "placed_score": _q('SELECT ald_sector, company_name, ROUND("single_score_Case8", 6) AS "single_score_Case8" FROM ranked'),
     "agg_rank": _q(
         'SELECT * REPLACE (ROUND("single_score_Case8", 6) AS "single_score_Case8") FROM ranked'
@@ -634,6 +653,7 @@ ORACLES: dict[str, str] = {
     ),
     "report_power": _tech_report("Power"),
     "report_auto": _tech_report("Automotive"),
+    "report_left_out": _tech_report("Automotive", with_truck_maker=True),
     "report_intensity": _q(
         f"""SELECT r."Company",
         CASE WHEN r.sector = 'Cement' THEN traffic_light

@@ -414,6 +414,33 @@ def agg_score(spark, sf_dir):
     return rounded(rows, ["single_score_Case8"])
 
 
+def _truck_maker(listed: DataFrame) -> DataFrame:
+    """(company_id, company_name) of the first company assessed for cars and for trucks, or no row."""
+    both = (
+        listed.where(F.col("sector_assessed").isin("Automotive", "HDV"))
+        .groupBy("company_id", "company_name")
+        .agg(F.count_distinct("sector_assessed").alias("sectors"))
+        .where("sectors = 2")
+    )
+    return both.agg(F.min(F.struct("company_id", "company_name")).alias("one")).where("one is not null").select("one.*")
+
+
+def _as_truck_maker(df: DataFrame, maker: DataFrame, column: str) -> DataFrame:
+    """That company goes by the name of one that the truck score shows, and the car sheet treats, in its own way."""
+    one = maker.select(F.col("company_name").alias(column), F.lit("Volvo AB").alias("_name"))
+    return fixed_lookup(df, one, [column], "left").withColumn(column, F.coalesce("_name", column)).select(*df.columns)
+
+
+def truck_names(spark, sf_dir):
+    """Scores under the names they show, which for a truck maker depends on the sector."""
+    connected, listed = _connected_stages(spark, sf_dir)
+    listed = store(listed, "name_bridge")
+    named = _as_truck_maker(listed, _truck_maker(listed), "company_name")
+    own = replace(PARAMS.score_picks["HDV"], only_companies=("Volvo", *model.HDV_SCORED))
+    params = replace(PARAMS, score_picks={**PARAMS.score_picks, "HDV": own})
+    return rounded(score.company_scores(connected, named, params), ["single_score_Case8"])
+
+
 def placed_score(spark, sf_dir):
     """Scores from a connected table and a bridge that are placed by company id."""
     connected, listed = _connected_stages(spark, sf_dir)
@@ -465,12 +492,17 @@ def result_csv(spark, sf_dir):
     return rounded(reduce(DataFrame.unionByName, files), ["single_score_Case8"])
 
 
-def _technology_report(sector: str) -> Query:
+def _technology_report(sector: str, with_truck_maker: bool = False) -> Query:
     """A report sheet from the files of the earlier steps, written as a file itself."""
 
     def query(spark, sf_dir):
         connected, listed = _connected_stages(spark, sf_dir)
-        connected = conn.store_per_source(connected)
+        connected = conn.store_per_source(connected.where(F.col("ald_sector") == sector))
+        roster = model.roster(spark, sf_dir)
+        if with_truck_maker:
+            listed = store(listed, "name_bridge")
+            maker = _truck_maker(listed)
+            listed, roster = _as_truck_maker(listed, maker, "company_name"), _as_truck_maker(roster, maker, "Company")
         classes = score.score_classes(score.company_scores(connected, listed, PARAMS))
         fields = [f for f in schemas.SCORE_RESULT.fields if f.name in classes.columns]
         scores = _through_csv(
@@ -486,7 +518,7 @@ def _technology_report(sector: str) -> Query:
             technology_schema(),
             technology_headings(),
         )
-        roster = _through_csv(spark, model.roster(spark, sf_dir), "roster")
+        roster = _through_csv(spark, roster, "roster")
         sheet = report.technology_report(roster, scores, technologies, sector)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in sheet.columns])
         return _through_csv(spark, sheet, "report", schema, report.headings(sector))
@@ -585,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "agg_factors": agg_factors,
     "agg_score": agg_score,
     "placed_score": placed_score,
+    "truck_names": truck_names,
     "agg_rank": agg_rank,
     "comm_values_long": comm_values_long,
     "comm_values_wide": comm_values_wide,
@@ -592,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "result_csv": result_csv,
     "report_power": _technology_report("Power"),
     "report_auto": _technology_report("Automotive"),
+    "report_left_out": _technology_report("Automotive", with_truck_maker=True),
     "report_intensity": report_intensity,
     "roster_skip": roster_skip,
     "report_book": report_book,
