@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import statistics
 
+import pytest
+import xxhash
 from llm_fixtures import docs  # noqa: F401
+from pathgauge.llm import fingerprint
 from pathgauge.llm.fingerprint import edited_fingerprints
 
 
@@ -65,3 +69,46 @@ def test_one_row_none_and_plan(docs, capsys):
     edited_fingerprints(docs(*make_rows(20))).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def chained(*parts):
+    """Spark's hash of several columns: each one's hash is the seed of the next."""
+    seed = 42
+    for size, part in parts:
+        data = part.encode() if size is None else part.to_bytes(size, "little", signed=True)
+        seed = xxhash.xxh64_intdigest(data, seed % 2**64)
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def plain_fingerprint(text, shingle):
+    """Bin by bin: the least hash of each bin, empty bins filled by probes, four bits a bin."""
+    words = [chained((None, w)) for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    if len(words) >= shingle:
+        hashes = [chained(*[(8, h) for h in words[i : i + shingle]]) for i in range(len(words) - shingle + 1)]
+    else:
+        hashes = [chained(*[(8, h) for h in words])] if words else []
+    least = {}
+    for h in hashes:
+        at = (h >> 56) + 128
+        least[at] = min(h, least.get(at, h))
+    if not least:
+        return ""
+    digits = []
+    for j in range(256):
+        tries = [j, *[table[j] for table in fingerprint._probe_tables()]]
+        at = next((t for t in tries if t in least), None)
+        if at is None:
+            at = min(least, key=lambda b: chained((4, b), (4, j)))
+        digits.append("0123456789abcdef"[chained((8, least[at]), (4, j)) & 15])
+    return "".join(digits)
+
+
+@pytest.mark.parametrize("shingle", [1, 5])
+def test_equals_a_plain_version(docs, shingle):
+    """Also where one shingle fills all bins, and where most bins are filled by themselves."""
+    source = random.Random(11)
+    texts = ["", " \n", "one", "one two three four", "é 漢字 🙂 a b c", "no\u00a0break \x85next line x y z"]
+    texts += [" ".join(f"w{source.randrange(9_000)}" for _ in range(n)) for n in (5, 6, 7, 30, 300, 3_000)] + ["again " * 50]
+    df = docs(*enumerate(texts)).select("doc_id", fingerprint.packed_hex(fingerprint.lanes(fingerprint.F.col("text"), shingle)).alias("got"))
+    for r in df.collect():
+        assert r.got == plain_fingerprint(texts[r.doc_id], shingle), texts[r.doc_id][:40]
