@@ -20,6 +20,8 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
+            # Tests count jobs; the status store otherwise forgets those beyond the last thousand.
+            "spark.ui.retainedJobs": "100000",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
