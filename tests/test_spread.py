@@ -65,3 +65,9 @@ def test_tasks_grow_with_the_lines(spark, tables, tmp_path):
         assert tasks() > few == model.TASKS_PER_SPLIT
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_production_is_kept_without_the_scenarios_columns(spark, tables):
+    wide = queries._wide(spark, tables)
+    assert spark.read.parquet(*wide.inputFiles()).columns == wide.columns
+    assert rows(wide) == rows(queries._production(spark, tables)) != []
